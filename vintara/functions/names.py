@@ -15,7 +15,7 @@ from vintara.config.sites import (
     NO_PROGRAM,
     PROGRAM_KEYS,
 )
-from vintara.functions.text import col, squeeze, strip
+from vintara.functions.text import bind, col, squeeze, strip
 
 
 def _found(c: Column, pattern: str, group: int) -> Column:
@@ -25,7 +25,7 @@ def _found(c: Column, pattern: str, group: int) -> Column:
 
 
 def _fiscal_year(c: Column) -> Column:
-    digits = _found(c, r"(?i)fy\s*(\d{2,4})", 1)
+    digits = _found(c, r"(?iU)fy\s*(\d{2,4})", 1)
     return F.when(F.length(digits) == 2, F.concat(F.lit("20"), digits)).otherwise(digits)
 
 
@@ -38,11 +38,11 @@ def year_of_file(c: Column | str) -> Column:
 def year_of_hub_file(c: Column | str) -> Column:
     """Fiscal year, else a free-standing year 20xx, else null."""
     c = col(c)
-    return F.coalesce(_fiscal_year(c), _found(c, r"\b(20\d{2})\b", 1))
+    return F.coalesce(_fiscal_year(c), _found(c, r"(?U)\b(20\d{2})\b", 1))
 
 
 def year_of_link(text: Column | str, href: Column | str) -> Column:
-    pattern = r"\b(20\d{2})\b"
+    pattern = r"(?U)\b(20\d{2})\b"
     return F.coalesce(_found(col(text), pattern, 1), _found(col(href), pattern, 1))
 
 
@@ -61,21 +61,36 @@ def month_period(text: Column | str, href: Column | str) -> Column:
     Month words win over numeric forms (``M/yyyy``, ``yyyy-MM``); without either the
     month stays unknown.
     """
-    text, href = squeeze(text), F.coalesce(col(href), F.lit(""))
-    both = F.concat(text, F.lit(" "), href)
-    month = F.coalesce(*[
-        F.when(both.rlike(rf"(?i)\b{word}\b"), F.lit(number)) for word, number in MONTHS.items()
-    ])
-    slash, dash = r"(?:^|\D)(\d{1,2})/(20\d{2})(?:\D|$)", r"(?:^|\D)(20\d{2})-(\d{2})(?:\D|$)"
-    numeric = F.coalesce(_found(text, slash, 1), _found(text, dash, 2)).cast("int")
-    numeric = F.when(month.isNull() & numeric.between(1, 12), numeric)
-    numeric_year = F.coalesce(_found(text, slash, 2), _found(text, dash, 1))
-    year = F.coalesce(
-        _found(both, r"(?i)\bfy\s*(20\d{2})\b", 1),
-        F.when(numeric.isNotNull(), numeric_year),
-        _found(both, r"\b(20\d{2})\b", 1),
+    words = "|".join(MONTHS)
+    found = F.struct(
+        squeeze(text).alias("text"),
+        F.concat(squeeze(text), F.lit(" "), F.coalesce(col(href), F.lit(""))).alias("both"),
     )
-    month = F.coalesce(month, numeric)
+    parts = bind(found, lambda f: F.struct(
+        _first_month(F.regexp_extract_all(f["both"], F.lit(rf"(?iU)\b({words})\b"), 1)).alias("word_month"),
+        F.coalesce(_found(f["text"], _SLASH, 1), _found(f["text"], _DASH, 2)).cast("int").alias("month"),
+        F.coalesce(_found(f["text"], _SLASH, 2), _found(f["text"], _DASH, 1)).alias("month_year"),
+        _found(f["both"], r"(?iU)\bfy\s*(20\d{2})\b", 1).alias("fiscal"),
+        _found(f["both"], r"(?U)\b(20\d{2})\b", 1).alias("year"),
+    ))
+    return bind(parts, _period)
+
+
+_SLASH = r"(?:^|\D)(\d{1,2})/(20\d{2})(?:\D|$)"
+_DASH = r"(?:^|\D)(20\d{2})-(\d{2})(?:\D|$)"
+
+
+def _first_month(words: Column) -> Column:
+    """Number of the month whose word comes first in the dictionary, not in the text."""
+    order = F.array(*[F.lit(w) for w in MONTHS])
+    rank = F.array_min(F.transform(words, lambda w: F.array_position(order, F.lower(w))))
+    return F.get(F.array(*[F.lit(n) for n in MONTHS.values()]), (rank - 1).cast("int"))
+
+
+def _period(p: Column) -> Column:
+    numeric = p["word_month"].isNull() & p["month"].between(1, 12)
+    month = F.coalesce(p["word_month"], F.when(numeric, p["month"]))
+    year = F.coalesce(p["fiscal"], F.when(numeric, p["month_year"]), p["year"])
     return (
         F.when(year.isNull(), F.lit("misc"))
         .when(month.isNull(), F.concat(F.lit("FY"), year))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,15 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it.
+
+    Plain nesting repeats the value's expression at every use, which for regular expressions
+    costs time and can outgrow the size of generated code.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind, no-break spaces included."""
     return F.btrim(col(c), F.lit(WHITESPACE))

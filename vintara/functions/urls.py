@@ -52,29 +52,32 @@ def _tidy(path: Column) -> Column:
 def resolve_url(base: Column | str, ref: Column | str) -> Column:
     """Absolute URL of a link found on the page ``base``."""
     base, ref = col(base), col(ref)
-    scheme, host = _part(base, 1), _part(base, 2)
-    root = F.concat(scheme, F.lit(":"), host)
-    path, query, fragment = _part(ref, 3), _part(ref, 4), _part(ref, 5)
-    folder = F.regexp_replace(_part(base, 3), "[^/]*$", "")
+    scheme, own = F.lower(F.substring_index(base, ":", 1)), F.lower(F.substring_index(ref, ":", 1))
+    absolute = ref.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
+    root = F.regexp_extract(base, r"^([^:/?#]+:(?://[^/?#]*)?)", 1)
+    page = F.regexp_extract(base, r"^[^:/?#]+:(?://[^/?#]*)?([^#]*)", 1)
+    page_path = F.substring_index(page, "?", 1)
+    folder = F.regexp_replace(page_path, "[^/]*$", "")
+    path = F.regexp_extract(ref, "^[^?#]*", 0)
+    rest = F.regexp_extract(ref, r"[?#](?s:.*)\z", 0)
     # empty inner segments of a merged relative path are dropped
     merged = F.regexp_replace(F.concat(F.lit("/"), folder, path), "/{2,}", "/")
-    plain = ~path.rlike(r"(^|/)\.{1,2}(/|$)")
-    rest = F.concat(query, fragment)
+    dotted = ref.rlike(r"^(?:[^?#]*/)?\.{1,2}(?:[/?#]|\z)")
     return (
         F.when(ref == "", base)
-        .when(_part(ref, 1) != "", ref)
-        .when(_part(ref, 2) != "", F.concat(scheme, F.lit(":"), ref))
-        .when(path == "", F.concat(
-            root, _part(base, 3), F.when(query != "", query).otherwise(_part(base, 4)), fragment))
-        .when(path.startswith("/") & plain, F.concat(root, ref))
-        .when(path.startswith("/"), F.concat(root, _tidy(path), rest))
-        .when(plain, F.concat(root, merged, rest))
-        .otherwise(F.concat(root, _tidy(merged), rest))
+        .when(absolute & (own == scheme), F.concat(scheme, F.substring(ref, F.length(own) + 1, F.length(ref))))
+        .when(absolute, ref)
+        .when(ref.startswith("//"), F.concat(scheme, F.lit(":"), ref))
+        .when(ref.startswith("?"), F.concat(root, page_path, ref))
+        .when(ref.startswith("#"), F.concat(root, page, ref))
+        .when(dotted, F.concat(root, _tidy(F.when(ref.startswith("/"), path).otherwise(merged)), rest))
+        .when(ref.startswith("/"), F.concat(root, ref))
+        .otherwise(F.concat(root, merged, rest))
     )
 
 
 def has_extension(c: Column | str, extensions: Sequence[str]) -> Column:
-    return col(c).rlike(r"(?i)\.(" + "|".join(extensions) + ")$")
+    return col(c).rlike(r"(?i)\.(" + "|".join(extensions) + r")\z")
 
 
 def last_segment(c: Column | str) -> Column:

@@ -63,7 +63,7 @@ def anchors_of(html: Column) -> Column:
     # what follows "<a": attribute value as written, and the markup inside the element
     raw = F.transform(pieces, lambda piece: F.struct(
         F.regexp_extract(piece, _HREF, 1).alias("value"),
-        F.regexp_extract(piece, r"(?is)^[^>]*>(.*?)(?:</a\s*>|$)", 1).alias("inner"),
+        F.regexp_extract(piece, r"(?is)^[^>]*>(.*?)(?:</a\s*>|\z)", 1).alias("inner"),
     ))
     return F.transform(F.filter(raw, lambda a: a["value"] != ""), lambda a: F.struct(
         _href(a["value"]).alias("href"), plain_text(a["inner"], squeeze=False).alias("text")))
@@ -178,10 +178,11 @@ def table_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     return (
         found.withColumn("filename", filename)
         .where(~names.is_deprecated("filename", "cell"))
+        .withColumn("url", urls.resolve_url("base", "href"))
         .select(
             "page_id", "row", "nth", "filename",
             names.program_of_row("cell", "filename").alias("program"),
-            urls.normalise_url(urls.resolve_url("base", "href")).alias("url"),
+            urls.normalise_url("url").alias("url"),
             names.year_of_file("filename").alias("year"),
         )
     )
@@ -280,11 +281,12 @@ def classified_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
         link_context(pages, kind)
         .withColumn("filename", filename)
         .where(~names.is_deprecated("filename"))
+        .withColumn("url", urls.resolve_url("base", "href"))
         .select(
             "page_id", "pos", "filename",
             F.coalesce(names.program_of("filename"), names.program_of("block"), "heading",
                        F.lit(NO_PROGRAM)).alias("program"),
-            urls.normalise_url(urls.resolve_url("base", "href")).alias("url"),
+            urls.normalise_url("url").alias("url"),
             names.year_of_file("filename").alias("year"),
         )
     )
