@@ -24,6 +24,11 @@ def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", fingerprint("text").alias("sha256"), F.octet_length("text").alias("bytes"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores: a small table is one task, but every row becomes a file."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _zip(parts: dict[str, str]) -> bytes:
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -49,8 +54,8 @@ FROM (SELECT doc_id, 'text.txt' AS member, text AS body FROM documents WHERE doc
       UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE doc_id % 50 = 7)""")
 def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of an archive per document, every fiftieth of them damaged."""
-    archives = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").mapInPandas(
-        _archives, "path string, content binary")
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+    archives = rows.mapInPandas(_archives, "path string, content binary")
     return expand(archives).select("path", "folder", "member", fingerprint("content").alias("sha256"), "ok")
 
 
@@ -92,8 +97,8 @@ def _workbooks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal").mapInPandas(
-        _workbooks, "path string, content binary")
+    rows = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), "c_custkey")
+    return rows.mapInPandas(_workbooks, "path string, content binary")
 
 
 _HEADS = " UNION ALL ".join(

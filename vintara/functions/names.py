@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -98,7 +99,7 @@ def _period(p: Column) -> Column:
     )
 
 
-def _first_key(hit) -> Column:
+def _first_key(hit: Callable[[str], Column]) -> Column:
     """Program of the first key that ``hit(key)`` accepts, in dictionary order."""
     return F.coalesce(*[F.when(hit(key), F.lit(name)) for key, name in PROGRAM_KEYS.items()])
 
@@ -124,13 +125,15 @@ def is_deprecated(filename: Column | str, context: Column | str | None = None) -
     """Deprecated annual report, unless it is a record layout."""
     name = F.lower(col(filename))
     context = F.lit("") if context is None else F.lower(col(context))
-    both = F.concat(name, F.lit(" "), context)
 
-    def any_of(texts: list[str]) -> Column:
-        return reduce(lambda a, b: a | b, [both.contains(t) for t in texts])
+    def verdict(both: Column) -> Column:
+        def any_of(texts: list[str]) -> Column:
+            return reduce(lambda a, b: a | b, [both.contains(t) for t in texts])
 
-    report = both.contains("annual") & both.contains("report") & name.endswith(".pdf")
-    return ~any_of(LAYOUT_TEXTS) & (any_of(DEPRECATED_TEXTS) | report)
+        report = both.contains("annual") & both.contains("report") & name.endswith(".pdf")
+        return ~any_of(LAYOUT_TEXTS) & (any_of(DEPRECATED_TEXTS) | report)
+
+    return bind(F.concat(name, F.lit(" "), context), verdict)
 
 
 def safe_name(c: Column | str, limit: int | None = 80) -> Column:

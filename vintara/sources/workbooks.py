@@ -11,6 +11,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -128,21 +129,22 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
                 element.clear()
 
 
+def _rows_of(path: str, content: bytes) -> Iterator[tuple]:
+    try:
+        for row, cells in _sheet_rows(content):
+            yield path, row, cells, True, None
+    except Exception as problem:  # a damaged workbook is a row of the result, not a failed job
+        yield path, 0, None, False, f"{type(problem).__name__}: {problem}"
+
+
 def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = ["path", "row", "cells", "ok", "error"]
-    for frame in frames:
-        for path, content in zip(frame["path"], frame["content"]):
-            batch: list[tuple] = []
-            try:
-                for row, cells in _sheet_rows(bytes(content)):
-                    batch.append((path, row, cells, True, None))
-                    if len(batch) == _BATCH:
-                        yield pd.DataFrame(batch, columns=names)
-                        batch = []
-            except Exception as problem:  # a damaged workbook is a row of the result, not a failed job
-                batch.append((path, 0, None, False, f"{type(problem).__name__}: {problem}"))
-            if batch:
-                yield pd.DataFrame(batch, columns=names)
+    rows = (
+        row for frame in frames for path, content in zip(frame["path"], frame["content"])
+        for row in _rows_of(path, bytes(content))
+    )
+    while batch := list(islice(rows, _BATCH)):
+        yield pd.DataFrame(batch, columns=names)
 
 
 def workbook_rows(files: DataFrame) -> DataFrame:
