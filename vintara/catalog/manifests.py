@@ -214,7 +214,8 @@ _PLAN_COLUMNS = ", ".join(CANDIDATES)
 @query(f"SELECT {_PLAN_COLUMNS}, split_part(verdict, ':', 1) AS decision, split_part(verdict, ':', 2) AS reason FROM ({_PLAN_SQL})")
 def fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What to do with each candidate, safe mode."""
-    return m.fetch_plan(candidates(spark, sf_dir), snapshot(spark, sf_dir), probe(spark, sf_dir))
+    plan = m.fetch_plan(candidates(spark, sf_dir), snapshot(spark, sf_dir), probe(spark, sf_dir))
+    return plan.select(*CANDIDATES, "decision", "reason")
 
 
 @query(f"""SELECT c.*, CASE WHEN a.url IS NULL THEN 'download' ELSE 'skip' END AS decision,
@@ -222,7 +223,8 @@ CASE WHEN a.url IS NULL THEN 'unseen' ELSE 'seen-fast' END AS reason
 FROM {_CAND_SQL} c LEFT JOIN ({_LATEST_SQL}) a ON a.period = c.period AND a.url = c.url""")
 def fetch_plan_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What to do with each candidate, fast mode."""
-    return m.fetch_plan(candidates(spark, sf_dir), snapshot(spark, sf_dir), probe(spark, sf_dir), mode="fast")
+    plan = m.fetch_plan(candidates(spark, sf_dir), snapshot(spark, sf_dir), probe(spark, sf_dir), mode="fast")
+    return plan.select(*CANDIDATES, "decision", "reason")
 
 
 _OUTCOME_SQL = f"""
@@ -239,7 +241,7 @@ LEFT JOIN ({_LATEST_SQL}) a ON a.period = x.period AND a.url = x.url
 def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = m.fetch_plan(candidates(spark, sf_dir), snapshot(spark, sf_dir), probe(spark, sf_dir))
     # fetches that failed have left no result
-    return m.fetch_outcomes(plan, snapshot(spark, sf_dir), fetched(spark, sf_dir).where("sha256 <> ''"))
+    return m.fetch_outcomes(plan, fetched(spark, sf_dir).where("sha256 <> ''"))
 
 
 @query(f"""SELECT program, {', '.join(f"count(*) FILTER (outcome = '{o}') AS {o}" for o in m.OUTCOMES)}
@@ -293,7 +295,8 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = snapshot(spark, sf_dir)
     offered = candidates(spark, sf_dir).withColumn("saved_path", F.concat_ws("/", "folder", "filename"))
     stored = derive(table(spark, sf_dir, "customer"), STORED)
-    return m.registered_entries(m.register_existing(offered, held, stored), held, F.expr(RUN))
+    plan = m.fetch_plan(offered, held, probe(spark, sf_dir))
+    return m.registered_entries(m.register_existing(plan, stored), F.expr(RUN))
 
 
 # ---- the manifest without versions, keyed by url ----

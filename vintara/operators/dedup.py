@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vintara.functions.text import quoted
 from vintara.operators.harmonise import BROADCAST_FILES
+from vintara.operators.joins import lookup_join
 
 
 def keep_first(
@@ -84,9 +85,9 @@ def global_positions(
         .join(totals, "_group")
         .select("_group", "_file", (F.col("_start") + F.col("_before")).alias("_start"))
     )
+    starts = starts.withColumnsRenamed({"_group": group, "_file": file})
     if files is not None and files <= BROADCAST_FILES:
-        starts = F.broadcast(starts)
-    joined = df.join(
-        starts, (F.col(group) == F.col("_group")) & (F.col(file) == F.col("_file")), "left"
-    )
-    return joined.withColumn(name, F.col("_start") + F.col(row)).drop("_group", "_file", "_start")
+        joined = df.join(F.broadcast(starts), [group, file], "left")
+    else:
+        joined = lookup_join(df, starts, [group, file])
+    return joined.withColumn(name, F.col("_start") + F.col(row)).drop("_start")

@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintara.functions.text import normalise_header_text, quoted
+from vintara.operators.joins import lookup_join
 
-#: Beyond this many files the per-file profile is left to the optimiser instead of broadcast
-#: (a profile row is a path and a few booleans, so this bounds the table at some 20 MB).
+#: Up to this many files the per-file profile is broadcast: a row is a path and a few
+#: booleans, so the table stays below some 20 MB. Beyond it the profile is shuffled.
 BROADCAST_FILES = 50_000
 
 
@@ -135,8 +136,10 @@ def harmonise(
         else:
             per_file = flat.groupBy(F.col(file).alias("_file")).agg(*counts)
             if files is not None and files <= BROADCAST_FILES:
-                per_file = F.broadcast(per_file)
-            flat = flat.join(per_file, F.col(file).eqNullSafe(F.col("_file")), "left")
+                flat = flat.join(F.broadcast(per_file), F.col(file).eqNullSafe(F.col("_file")), "left")
+            else:
+                per_file = per_file.withColumnRenamed("_file", file)
+                flat = lookup_join(flat, per_file, [file])
             is_filled = {p: F.col(_filled(p)) for p in contested}
 
     missing = F.lit(None).cast("string")

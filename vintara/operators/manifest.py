@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from vintara.config.sites import FILE_TYPES, STATUSES
 from vintara.functions import urls
 from vintara.operators.dedup import keep_first
+from vintara.operators.joins import lookup_join
 from vintara.operators.profile import conditional_counts
 
 MANIFEST = T.StructType([
@@ -128,21 +129,21 @@ def constraint_violations(manifest: DataFrame) -> DataFrame:
 def reconcile(manifest: DataFrame, listing: DataFrame, run_at: Column) -> DataFrame:
     """Next snapshot: active files that storage no longer holds become ``missing``.
 
-    ``listing(path)`` holds the files found; its paths are unique.
+    ``listing(path)`` holds each file found once.
     """
-    found = listing.select(F.col("path").alias("_path")).distinct()
-    joined = manifest.join(found, F.col("saved_path") == F.col("_path"), "left")
-    lost = (F.col("status") == "active") & F.col("_path").isNull()
+    found = listing.select(F.col("path").alias("saved_path"), F.lit(True).alias("_found"))
+    joined = lookup_join(manifest, found, ["saved_path"])
+    lost = (F.col("status") == "active") & F.col("_found").isNull()
     return joined.withColumns({
         "status": F.when(lost, "missing").otherwise(F.col("status")),
         "updated_at": F.when(lost, run_at).otherwise(F.col("updated_at")),
-    }).drop("_path")
+    }).drop("_found")
 
 
 def untracked(manifest: DataFrame, listing: DataFrame) -> DataFrame:
     """Files found that no active entry refers to."""
     known = active(manifest).select(F.col("saved_path").alias("path")).distinct()
-    return listing.join(known, "path", "left_anti")
+    return lookup_join(listing, known, ["path"], "left_anti")
 
 
 def untracked_report(files: DataFrame, shown: int = 10) -> DataFrame:
@@ -160,15 +161,30 @@ def _text(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
+def entry_states(manifest: DataFrame) -> DataFrame:
+    """What a run needs to know of each (period, url): its latest active version's headers,
+    size and hash, and the highest version whatever the status.
+
+    One aggregate with map-side combine, so the manifest is scanned and shuffled once and an
+    entry may have any number of versions.
+    """
+    held = F.struct("version", "etag", "last_modified", "bytes", "sha256")
+    live = F.when(F.col("status") == "active", F.struct("version", "id"))
+    return (
+        manifest.groupBy(*ENTRY)
+        .agg(F.max_by(held, live).alias("held"), F.max("version").alias("top_version"))
+    )
+
+
 def _plan_rules(mode: str) -> Column:
-    etag_same = _text("_etag") == _text("probe_etag")
-    size_fits = (F.col("_bytes") == F.col("probe_length")) | F.col("probe_length").isNull()
-    modified_same = (_text("_last_modified") == _text("probe_modified")) & size_fits
+    etag_same = _text("held.etag") == _text("probe_etag")
+    size_fits = (F.col("held.bytes") == F.col("probe_length")) | F.col("probe_length").isNull()
+    modified_same = (_text("held.last_modified") == _text("probe_modified")) & size_fits
 
     def verdict(decision: str, reason: str) -> Column:
         return F.struct(F.lit(decision).alias("decision"), F.lit(reason).alias("reason"))
 
-    rules = F.when(F.col("_version").isNull(), verdict("download", "unseen"))
+    rules = F.when(F.col("held").isNull(), verdict("download", "unseen"))
     if mode == "fast":
         return rules.otherwise(verdict("skip", "seen-fast"))
     return (
@@ -184,25 +200,26 @@ def _plan_rules(mode: str) -> Column:
 def fetch_plan(candidates: DataFrame, manifest: DataFrame, probe: DataFrame, mode: str = "safe") -> DataFrame:
     """Candidates with ``decision`` (skip, download, version) and ``reason``.
 
-    ``probe(url, http_ok, etag, last_modified, content_length, not_modified)`` has at most
-    one row per url; a url without one counts as a failed probe.
+    ``candidates`` have one row per (period, url). ``probe(url, http_ok, etag, last_modified,
+    content_length, not_modified)`` has at most one row per url; a url without one counts as
+    a failed probe. ``held_sha256`` and ``next_version`` go along for the steps after the
+    fetch, so the manifest need not be read for them again.
     """
-    held = latest_active(manifest).select(
-        *ENTRY, *[F.col(c).alias(f"_{c}") for c in ("etag", "last_modified", "bytes", "version")]
-    )
-    seen = probe.select(
-        "url",
-        F.col("http_ok").alias("probe_ok"),
-        F.col("etag").alias("probe_etag"),
-        F.col("last_modified").alias("probe_modified"),
-        F.col("content_length").alias("probe_length"),
-        F.col("not_modified").alias("probe_not_modified"),
-    )
-    joined = candidates.join(held, ENTRY, "left")
+    joined = candidates.join(entry_states(manifest), ENTRY, "left")
     if mode != "fast":
-        joined = joined.join(seen, "url", "left")
+        seen = probe.select(
+            "url",
+            F.col("http_ok").alias("probe_ok"),
+            F.col("etag").alias("probe_etag"),
+            F.col("last_modified").alias("probe_modified"),
+            F.col("content_length").alias("probe_length"),
+            F.col("not_modified").alias("probe_not_modified"),
+        )
+        joined = lookup_join(joined, seen, ["url"])
     return joined.withColumn("_plan", _plan_rules(mode)).select(
-        *candidates.columns, "_plan.decision", "_plan.reason"
+        *candidates.columns, "_plan.decision", "_plan.reason",
+        F.col("held.sha256").alias("held_sha256"),
+        (F.coalesce("top_version", F.lit(0)) + 1).cast("int").alias("next_version"),
     )
 
 
@@ -219,15 +236,13 @@ def plan_by_url(candidates: DataFrame, manifest: DataFrame, probe: DataFrame, li
         F.col("etag").alias("_etag"), F.col("last_modified").alias("_last_modified"),
     )
     owned = manifest.select("saved_path").distinct().withColumn("_owned", F.lit(True))
-    stored = listing.select(F.col("path").alias("saved_path")).distinct().withColumn("_stored", F.lit(True))
+    stored = listing.select(F.col("path").alias("saved_path"), F.lit(True).alias("_stored"))
     seen = probe.select(
         "url", F.coalesce(F.col("http_ok"), F.lit(False)).alias("_ok"),
         _text("etag").alias("_new_etag"), _text("last_modified").alias("_new_modified"),
     )
-    joined = (
-        candidates.join(held, "url", "left").join(seen, "url", "left")
-        .join(owned, "saved_path", "left").join(stored, "saved_path", "left")
-    )
+    joined = lookup_join(lookup_join(candidates, held, ["url"]), seen, ["url"])
+    joined = lookup_join(lookup_join(joined, owned, ["saved_path"]), stored, ["saved_path"])
     ok = F.coalesce(F.col("_ok"), F.lit(False))
     reason = (
         F.when(F.col("_known"),
@@ -256,28 +271,25 @@ def latest_by_url(entries: DataFrame, order: str) -> DataFrame:
 # ---- applying a run ----
 
 
-def register_existing(candidates: DataFrame, manifest: DataFrame, listing: DataFrame) -> DataFrame:
-    """Candidates whose target file is in storage but in no active entry.
+def register_existing(plan: DataFrame, listing: DataFrame) -> DataFrame:
+    """Planned entries that are not held but whose target file is in storage.
 
-    ``candidates`` carry ``saved_path``, ``listing(path, length, sha256)`` the stored files.
+    ``plan`` is a fetch plan whose candidates carry ``saved_path``; ``listing(path, length,
+    sha256)`` holds each stored file once.
     """
     files = listing.select(F.col("path").alias("saved_path"), F.col("length").alias("bytes"), "sha256")
-    known = active(manifest).select(*ENTRY).distinct()
-    return candidates.join(known, ENTRY, "left_anti").join(files, "saved_path")
+    return lookup_join(plan.where("reason = 'unseen'"), files, ["saved_path"], "inner")
 
 
-def fetch_outcomes(
-    plan: DataFrame, manifest: DataFrame, fetched: DataFrame, mode: str = "safe"
-) -> DataFrame:
+def fetch_outcomes(plan: DataFrame, fetched: DataFrame, mode: str = "safe") -> DataFrame:
     """Plan rows with what the fetch came to.
 
     ``fetched(period, url, http_304, sha256, bytes, etag, last_modified)`` has one row per
     fetched entry. A planned fetch without one is an error; not-modified responses and, in
     safe mode, equal content leave the entry unchanged.
     """
-    held = latest_active(manifest).select(*ENTRY, F.col("sha256").alias("_held_sha256"))
     got = fetched.withColumn("_fetched", F.lit(True))
-    same = F.coalesce(F.col("_held_sha256") == F.col("sha256"), F.lit(False)) & F.lit(mode == "safe")
+    same = F.coalesce(F.col("held_sha256") == F.col("sha256"), F.lit(False)) & F.lit(mode == "safe")
     outcome = (
         F.when(F.col("decision") == "skip", "skipped")
         .when(F.col("_fetched").isNull(), "errors")
@@ -285,34 +297,30 @@ def fetch_outcomes(
         .when(F.col("decision") == "version", "versioned")
         .otherwise("downloaded")
     )
-    return (
-        plan.join(got, ENTRY, "left").join(held, ENTRY, "left")
-        .withColumn("outcome", outcome).drop("_fetched", "_held_sha256", "http_304")
-    )
+    return plan.join(got, ENTRY, "left").withColumn("outcome", outcome).drop("_fetched", "http_304")
 
 
-def new_entries(outcomes: DataFrame, manifest: DataFrame, run_at: Column) -> DataFrame:
+def new_entries(outcomes: DataFrame, run_at: Column) -> DataFrame:
     """Manifest rows for downloaded and versioned outcomes.
 
     The version always follows the highest one known, whatever its status, so the key
     (period, url, version) stays unique. ``outcomes`` carry source_id, file_type, program
     and ``folder``.
     """
-    version = F.coalesce(F.col("next_version"), F.lit(1))
     plain = urls.file_name("url", "period")
-    filename = F.when(F.col("outcome") == "versioned", urls.versioned_name(plain, version)).otherwise(plain)
-    rows = (
-        outcomes.where(F.col("outcome").isin("downloaded", "versioned"))
-        .join(next_versions(manifest), ENTRY, "left")
-        .withColumns({"version": version, "filename": filename})
-    )
+    rows = outcomes.where(F.col("outcome").isin("downloaded", "versioned")).withColumns({
+        "version": F.col("next_version"),
+        "filename": F.when(
+            F.col("outcome") == "versioned", urls.versioned_name(plain, F.col("next_version"))
+        ).otherwise(plain),
+    })
     return _as_entries(rows.withColumn("saved_path", F.concat_ws("/", "folder", "filename")), run_at)
 
 
-def registered_entries(registered: DataFrame, manifest: DataFrame, run_at: Column) -> DataFrame:
+def registered_entries(registered: DataFrame, run_at: Column) -> DataFrame:
     """Manifest rows for files found in storage: empty headers."""
-    rows = registered.join(next_versions(manifest), ENTRY, "left").withColumns({
-        "version": F.coalesce(F.col("next_version"), F.lit(1)),
+    rows = registered.withColumns({
+        "version": F.col("next_version"),
         "filename": urls.last_segment("saved_path"),
         "etag": F.lit(""),
         "last_modified": F.lit(""),
@@ -338,12 +346,11 @@ def _as_entries(rows: DataFrame, run_at: Column) -> DataFrame:
 def apply_entries(manifest: DataFrame, entries: DataFrame, run_at: Column) -> DataFrame:
     """Next snapshot: new entries in, the active ones they supersede ``replaced``.
 
-    The new keys are unique, so every manifest row meets at most one; a (period, url) with
-    very many versions only makes a large left side, which the adaptive skew join splits.
+    ``entries`` have one row per (period, url).
     """
-    fresh = entries.select(*ENTRY).distinct().withColumn("_fresh", F.lit(True))
+    fresh = entries.select(*ENTRY, F.lit(True).alias("_fresh"))
     superseded = F.col("_fresh") & (F.col("status") == "active")
-    old = manifest.join(fresh, ENTRY, "left").withColumns({
+    old = lookup_join(manifest, fresh, ENTRY).withColumns({
         "status": F.when(superseded, "replaced").otherwise(F.col("status")),
         "updated_at": F.when(superseded, run_at).otherwise(F.col("updated_at")),
     })
@@ -352,7 +359,7 @@ def apply_entries(manifest: DataFrame, entries: DataFrame, run_at: Column) -> Da
 
 
 def apply_fetch(manifest: DataFrame, outcomes: DataFrame, run_at: Column) -> DataFrame:
-    return apply_entries(manifest, new_entries(outcomes, manifest, run_at), run_at)
+    return apply_entries(manifest, new_entries(outcomes, run_at), run_at)
 
 
 def outcome_counts(outcomes: DataFrame, by: Sequence[str] = ()) -> DataFrame:

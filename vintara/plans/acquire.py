@@ -44,12 +44,10 @@ def acquire(
 ) -> Run:
     """Plan, register what storage already holds, apply the fetch results."""
     plan = m.fetch_plan(offered, manifest, probe, mode)
-    wanted = plan.where("decision <> 'skip'")
-    registered = m.register_existing(wanted, manifest, listing)
-    done = registered.select(*m.ENTRY)
-    outcomes = m.fetch_outcomes(plan.join(done, m.ENTRY, "left_anti"), manifest, fetched, mode)
-    entries = m.new_entries(outcomes, manifest, run_at).unionByName(
-        m.registered_entries(registered, manifest, run_at))
+    registered = m.register_existing(plan, listing)
+    rest = plan.join(registered.select(*m.ENTRY), m.ENTRY, "left_anti")
+    outcomes = m.fetch_outcomes(rest, fetched, mode)
+    entries = m.new_entries(outcomes, run_at).unionByName(m.registered_entries(registered, run_at))
     all_outcomes = outcomes.select(*m.ENTRY, "program", "outcome").unionByName(
         registered.select(*m.ENTRY, "program", F.lit("registered").alias("outcome")))
     return Run(all_outcomes, m.apply_entries(manifest, entries, run_at))

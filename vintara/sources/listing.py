@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from vintara.config.sites import LISTED_EXTENSIONS
 from vintara.functions.names import is_companion
-from vintara.operators.dedup import keep_first
 
 
 def list_files(spark: SparkSession, root: str, extensions: Sequence[str] = LISTED_EXTENSIONS) -> DataFrame:
@@ -67,28 +66,30 @@ def main_files(listing: DataFrame, extensions: Sequence[str] = ("parquet", "xlsx
     By extension in the given order: the only file; else the only disclosure file; else the
     first new- or revised-form disclosure file; else the first disclosure file.
     """
-    by = ["vintage", "extension"]
     name = F.col("filename")
-    files = (
+    disclosure = name.contains("Disclosure_Data")
+    revised = F.lower(name).rlike("new_form|revised_form")
+    file = F.struct("filename", *[c for c in listing.columns if c not in ("vintage", "filename")])
+    # a folder of any size: only counts and the first name of each kind leave a task
+    kinds = (
         listing.withColumn("extension", F.regexp_extract("filename", r"\.([^./]+)$", 1))
         .where(F.col("extension").isin(list(extensions)))
-        .withColumns({
-            "disclosure": name.contains("Disclosure_Data"),
-            "revised": F.lower(name).rlike("new_form|revised_form"),
-        })
-    )
-    # counts are aggregates joined back, so a folder of any size is never one window
-    counts = files.groupBy(*by).agg(
-        F.count("*").alias("_files"), F.count_if("disclosure").alias("_disclosures"))
-    rule = (
-        F.when(F.col("_files") == 1, 1)
-        .when(F.col("disclosure") & (F.col("_disclosures") == 1), 2)
-        .when(F.col("disclosure") & F.col("revised"), 3)
-        .when(F.col("disclosure"), 4)
+        .groupBy("vintage", "extension")
+        .agg(
+            F.count("*").alias("files"), F.count_if(disclosure).alias("disclosures"),
+            F.min(file).alias("any"), F.min(F.when(disclosure, file)).alias("first"),
+            F.min(F.when(disclosure & revised, file)).alias("first_revised"),
+        )
     )
-    ranked = files.join(counts, by).withColumns({
-        "rule": rule,
-        "preference": F.array_position(F.array(*[F.lit(e) for e in extensions]), F.col("extension")),
-    }).where("rule IS NOT NULL")
-    return keep_first(ranked, ["vintage"], ["preference", "rule", "filename"]).select(
-        *listing.columns, "rule")
+    picked = kinds.select(
+        "vintage",
+        F.array_position(F.array(*[F.lit(e) for e in extensions]), F.col("extension")).alias("preference"),
+        F.when(F.col("files") == 1, F.struct(F.lit(1).alias("rule"), F.col("any").alias("file")))
+        .when(F.col("disclosures") == 1, F.struct(F.lit(2).alias("rule"), F.col("first").alias("file")))
+        .when(F.col("first_revised").isNotNull(),
+              F.struct(F.lit(3).alias("rule"), F.col("first_revised").alias("file")))
+        .when(F.col("first").isNotNull(), F.struct(F.lit(4).alias("rule"), F.col("first").alias("file")))
+        .alias("pick"),
+    ).where("pick IS NOT NULL")
+    best = picked.groupBy("vintage").agg(F.min_by("pick", "preference").alias("pick"))
+    return best.select("vintage", "pick.file.*", "pick.rule").select(*listing.columns, "rule")
