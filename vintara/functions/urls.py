@@ -62,7 +62,7 @@ def resolve_url(base: Column | str, ref: Column | str) -> Column:
     rest = F.regexp_extract(ref, r"[?#](?s:.*)\z", 0)
     # empty inner segments of a merged relative path are dropped
     merged = F.regexp_replace(F.concat(F.lit("/"), folder, path), "/{2,}", "/")
-    dotted = ref.rlike(r"^(?:[^?#]*/)?\.{1,2}(?:[/?#]|\z)")
+    target = F.when(ref.startswith("/"), path).otherwise(merged)
     return (
         F.when(ref == "", base)
         .when(absolute & (own == scheme), F.concat(scheme, F.substring(ref, F.length(own) + 1, F.length(ref))))
@@ -70,9 +70,8 @@ def resolve_url(base: Column | str, ref: Column | str) -> Column:
         .when(ref.startswith("//"), F.concat(scheme, F.lit(":"), ref))
         .when(ref.startswith("?"), F.concat(root, page_path, ref))
         .when(ref.startswith("#"), F.concat(root, page, ref))
-        .when(dotted, F.concat(root, _tidy(F.when(ref.startswith("/"), path).otherwise(merged)), rest))
-        .when(ref.startswith("/"), F.concat(root, ref))
-        .otherwise(F.concat(root, merged, rest))
+        .when(target.rlike(r"(?:^|/)\.{1,2}(?:/|\z)"), F.concat(root, _tidy(target), rest))
+        .otherwise(F.concat(root, target, rest))
     )
 
 
