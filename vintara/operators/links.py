@@ -293,13 +293,20 @@ def classified_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
 
 
 def discover_files(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
-    """All file links of each page: those in tables, then each further url once."""
-    in_tables = table_links(pages, kind)
-    others = classified_links(pages, kind).join(
-        in_tables.select("page_id", "url").distinct(), ["page_id", "url"], "left_anti")
+    """All file links of each page: those in tables, then each further url once.
+
+    Both kinds of links are ranked together per (page, url), a group no larger than a page,
+    so the pages are taken apart once for each kind and never joined.
+    """
     columns = ["page_id", "program", "year", "url", "filename"]
-    return in_tables.select(*columns, F.lit("table").alias("found_in")).unionByName(
-        keep_first(others, ["page_id", "url"], ["pos"]).select(*columns, F.lit("page").alias("found_in"))
+    in_tables = table_links(pages, kind).select(*columns, F.lit(0).alias("source"), F.lit(0).alias("pos"))
+    others = classified_links(pages, kind).select(*columns, F.lit(1).alias("source"), "pos")
+    rank = F.row_number().over(Window.partitionBy("page_id", "url").orderBy("source", "pos"))
+    return (
+        in_tables.unionByName(others)
+        .withColumn("_rank", rank)
+        .where((F.col("source") == 0) | (F.col("_rank") == 1))
+        .select(*columns, F.when(F.col("source") == 0, "table").otherwise("page").alias("found_in"))
     )
 
 

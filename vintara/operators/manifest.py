@@ -281,40 +281,60 @@ def register_existing(plan: DataFrame, listing: DataFrame) -> DataFrame:
     return lookup_join(plan.where("reason = 'unseen'"), files, ["saved_path"], "inner")
 
 
-def fetch_outcomes(plan: DataFrame, fetched: DataFrame, mode: str = "safe") -> DataFrame:
-    """Plan rows with what the fetch came to.
+def fetch_outcomes(
+    plan: DataFrame, fetched: DataFrame, mode: str = "safe", listing: DataFrame | None = None
+) -> DataFrame:
+    """Plan rows with what became of them.
 
     ``fetched(period, url, http_304, sha256, bytes, etag, last_modified)`` has one row per
     fetched entry. A planned fetch without one is an error; not-modified responses and, in
-    safe mode, equal content leave the entry unchanged.
+    safe mode, equal content leave the entry unchanged. With a ``listing(path, length,
+    sha256)`` of storage (each file once, plan rows carrying ``saved_path``), entries not held
+    whose file is already there are ``registered`` instead of fetched.
     """
-    got = fetched.withColumn("_fetched", F.lit(True))
+    rows = plan.join(fetched.withColumn("_fetched", F.lit(True)), ENTRY, "left")
     same = F.coalesce(F.col("held_sha256") == F.col("sha256"), F.lit(False)) & F.lit(mode == "safe")
+    outcome = F.when(F.col("decision") == "skip", "skipped")
+    if listing is not None:
+        stored = listing.select(
+            F.col("path").alias("saved_path"), F.struct(F.col("length").alias("bytes"), "sha256").alias("_stored"))
+        rows = lookup_join(rows, stored, ["saved_path"])
+        outcome = outcome.when((F.col("reason") == "unseen") & F.col("_stored").isNotNull(), "registered")
     outcome = (
-        F.when(F.col("decision") == "skip", "skipped")
-        .when(F.col("_fetched").isNull(), "errors")
+        outcome.when(F.col("_fetched").isNull(), "errors")
         .when(F.col("http_304") | same, "unchanged")
         .when(F.col("decision") == "version", "versioned")
         .otherwise("downloaded")
     )
-    return plan.join(got, ENTRY, "left").withColumn("outcome", outcome).drop("_fetched", "http_304")
+    rows = rows.withColumn("outcome", outcome)
+    if listing is not None:
+        found = F.col("outcome") == "registered"
+        rows = rows.withColumns({
+            "bytes": F.when(found, F.col("_stored.bytes")).otherwise(F.col("bytes")),
+            "sha256": F.when(found, F.col("_stored.sha256")).otherwise(F.col("sha256")),
+            "etag": F.when(~found, F.col("etag")),
+            "last_modified": F.when(~found, F.col("last_modified")),
+        })
+    return rows.drop("_fetched", "http_304", "_stored")
 
 
 def new_entries(outcomes: DataFrame, run_at: Column) -> DataFrame:
-    """Manifest rows for downloaded and versioned outcomes.
+    """Manifest rows for downloaded, versioned and registered outcomes.
 
     The version always follows the highest one known, whatever its status, so the key
     (period, url, version) stays unique. ``outcomes`` carry source_id, file_type, program
     and ``folder``.
     """
     plain = urls.file_name("url", "period")
-    rows = outcomes.where(F.col("outcome").isin("downloaded", "versioned")).withColumns({
-        "version": F.col("next_version"),
-        "filename": F.when(
-            F.col("outcome") == "versioned", urls.versioned_name(plain, F.col("next_version"))
-        ).otherwise(plain),
-    })
-    return _as_entries(rows.withColumn("saved_path", F.concat_ws("/", "folder", "filename")), run_at)
+    fresh = outcomes.where(F.col("outcome").isin("downloaded", "versioned", "registered")).withColumn(
+        "version", F.col("next_version"))
+    filename = F.when(F.col("outcome") == "versioned", urls.versioned_name(plain, F.col("version"))).otherwise(plain)
+    saved_path = F.concat_ws("/", "folder", "filename")
+    if "saved_path" in outcomes.columns:  # where a registered file was found
+        found = F.col("outcome") == "registered"
+        filename = F.when(found, urls.last_segment("saved_path")).otherwise(filename)
+        saved_path = F.when(found, F.col("saved_path")).otherwise(saved_path)
+    return _as_entries(fresh.withColumn("filename", filename).withColumn("saved_path", saved_path), run_at)
 
 
 def registered_entries(registered: DataFrame, run_at: Column) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from vintara.functions import names
 from vintara.operators import manifest as m
-from vintara.operators.links import discover_files
 from vintara.operators.dedup import keep_first
+from vintara.operators.links import discover_files
+from vintara.session import settle
 
 
 @dataclass(frozen=True)
@@ -42,12 +43,12 @@ def acquire(
     run_at: Column,
     mode: str = "safe",
 ) -> Run:
-    """Plan, register what storage already holds, apply the fetch results."""
+    """Plan, register what storage already holds, apply the fetch results.
+
+    The outcomes (one row per candidate) are written to the session's shared folder, so the
+    pages are not taken apart again for every use of them.
+    """
     plan = m.fetch_plan(offered, manifest, probe, mode)
-    registered = m.register_existing(plan, listing)
-    rest = plan.join(registered.select(*m.ENTRY), m.ENTRY, "left_anti")
-    outcomes = m.fetch_outcomes(rest, fetched, mode)
-    entries = m.new_entries(outcomes, run_at).unionByName(m.registered_entries(registered, run_at))
-    all_outcomes = outcomes.select(*m.ENTRY, "program", "outcome").unionByName(
-        registered.select(*m.ENTRY, "program", F.lit("registered").alias("outcome")))
-    return Run(all_outcomes, m.apply_entries(manifest, entries, run_at))
+    # the run's own table: written once, then read for the counters and twice for the snapshot
+    outcomes = settle(m.fetch_outcomes(plan, fetched, mode, listing))
+    return Run(outcomes, m.apply_fetch(manifest, outcomes, run_at))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,3 +30,27 @@ def build(name: str = "vintara", **settings: str) -> SparkSession:
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without one gets a folder of its own.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    folder = tempfile.mkdtemp(prefix="vintara-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """The same rows read back from a table in the shared folder: what leads up to them is
+    computed once and survives the loss of executors."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/vintara-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
