@@ -117,3 +117,29 @@ def test_parquet_and_size(spark, frame, tmp_path):
     rows = tables.read_release(spark, str(tmp_path / "t")).collect()
     assert rows[0]["row_index"] == 0 and rows[0]["file_path"].endswith(".parquet")
     assert tables.header_of(spark, str(tmp_path / "t")) == ["a"]
+
+
+def test_convert_writes_releases_beside_workbooks(spark, tmp_path, books):
+    from vintara.plans.convert import convert_workbooks
+    from vintara.plans.releases import find_releases
+
+    done = {r["path"].rsplit("/", 1)[-1]: r["ok"] for r in convert_workbooks(spark, str(tmp_path)).collect()}
+    assert done == {"r0.xlsx": True, "r1.xlsx": True, "bad.xlsx": False}
+    found = find_releases(spark, str(tmp_path))
+    assert [(r.vintage, r.filename) for r in found] == [
+        (y, f"r{i}.parquet") for y in ("2019", "2020") for i in range(2)]
+    table = spark.read.parquet(str(tmp_path / "2019" / "r1.parquet"))
+    assert table.columns == HEADER and table.count() == 1
+    again = convert_workbooks(spark, str(tmp_path), skip_existing=True)
+    assert [r["ok"] for r in again.collect()] == [False]
+
+
+def test_unreadable_release_falls_back_to_its_workbook(spark, tmp_path):
+    from vintara.plans.lca import compile_lca
+
+    (tmp_path / "2019").mkdir()
+    (tmp_path / "2019" / "r.xlsx").write_bytes(workbook(["CASE NO", "NAME", "x", "y", "z", "u", "WAGE_RATE_1"], 5, "name", 2.5))
+    (tmp_path / "2019" / "r.parquet").write_bytes(b"damaged")
+    (tmp_path / "2019" / "s.xlsx").write_bytes(workbook(["CASE NO", "NAME", "x", "y", "z", "u", "WAGE_RATE_1"], 6, "name", 3.5))
+    rows = compile_lca(spark, str(tmp_path), convert=True).select("case_number", "employer_name", "wage_rate_of_pay_from")
+    assert sorted(map(tuple, rows.collect())) == [("5", "name", "2.5"), ("6", "name", "3.5")]

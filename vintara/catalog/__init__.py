@@ -76,5 +76,6 @@ def load() -> None:
         harmonising,
         manifests,
         profiling,
+        releases,
         webpages,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.catalog import cases, derive, derive_sql, query, quote, strip_sql, table
+from vintara.catalog import ORACLES, cases, derive, derive_sql, query, quote, strip_sql, table
 from vintara.config.sites import (
     DEPRECATED_TEXTS,
     EXTENSIONS,
@@ -17,6 +17,7 @@ from vintara.config.sites import (
 )
 from vintara.functions import names, urls
 from vintara.operators import links as w
+from vintara.plans.acquire import candidates
 
 # ---- pages, each followed by links of the kinds that data sites have ----
 
@@ -164,6 +165,13 @@ def anchor_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.anchor_by_text(pages(spark, sf_dir), "Yearbook 20")
 
 
+@query(f"""SELECT page_id, base, pos, href, text, url FROM ({_file_links_sql('disclosure')})
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) = 1""")
+def first_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first file each page offers."""
+    return w.first_candidates(w.file_links(pages(spark, sf_dir)))
+
+
 def year_sql(value: str) -> str:
     return f"nullif(regexp_extract({value}, '(?:^|[^\\pL\\pN_])(20\\d{{2}})(?:[^\\pL\\pN_]|\\z)', 1), '')"
 
@@ -419,3 +427,30 @@ UNION ALL SELECT page_id, program, "year", url, filename, 'page' FROM (
 def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All files each page offers, with program and year."""
     return w.discover_files(pages(spark, sf_dir))
+
+
+_DISCOVERED_SQL = f"""
+SELECT page_id, program, "year", url, filename FROM {_TABLE_SQL}
+UNION ALL SELECT page_id, program, "year", url, filename FROM {_CLASSIFIED_SQL}"""
+
+
+@query(f"""SELECT program, count(DISTINCT url) AS urls, count(*) AS links, min("year") AS first_year, max("year") AS last_year
+FROM ({_DISCOVERED_SQL}) GROUP BY program""")
+def links_by_program(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pages offer by program, in tables and elsewhere."""
+    some = pages(spark, sf_dir)
+    columns = ["program", "year", "url"]
+    both = w.table_links(some).select(*columns).unionByName(w.classified_links(some).select(*columns))
+    return both.groupBy("program").agg(
+        F.countDistinct("url").alias("urls"), F.count("*").alias("links"), F.min("year").alias("first_year"),
+        F.max("year").alias("last_year"))
+
+
+@query(f"""
+SELECT program || '/' || "year" AS period, url, program, "year", 'dolstats' AS source_id, 'dol' AS file_type,
+  '/data/performance_data/' || program || '/' || "year" AS folder
+FROM ({ORACLES['discover_files']}) QUALIFY row_number() OVER (PARTITION BY program, "year", url ORDER BY page_id) = 1""")
+def run_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One candidate per (period, url) over all pages, with its folder."""
+    return candidates(pages(spark, sf_dir)).select(
+        "period", "url", "program", "year", "source_id", "file_type", "folder")

@@ -109,6 +109,11 @@ def anchor_by_text(pages: DataFrame, text: str) -> DataFrame:
     )
 
 
+def first_candidates(found: DataFrame) -> DataFrame:
+    """The first link of each page."""
+    return keep_first(found, ["page_id"], ["pos"])
+
+
 def year_pages(pages: DataFrame, text: str = YEAR_PAGE_TEXT) -> DataFrame:
     """Distinct (year, url) of the links to yearly report pages, newest first."""
     found = links(pages).where((F.col("href") != "") & F.col("text").contains(text)).select(

@@ -9,6 +9,7 @@ from vintara.config.lca import LCA, LCA_LABELS
 from vintara.config.values import LCA_STATUS, PAY_UNIT, VISA_CLASS, YES_NO
 from vintara.functions import text, typed
 from vintara.operators.dedup import distinct_rows, global_positions, keep_first, keep_first_block
+from vintara.plans.convert import convert_workbooks
 from vintara.plans.releases import find_releases, harmonise_releases, read_headers
 
 ORDER = ["vintage", "release", "file_path", "row_index"]
@@ -39,13 +40,19 @@ def cleaners() -> dict:
     return rules
 
 
-def compile_lca(spark: SparkSession, root: str, mode: str = "first", block_rows: int = 200_000) -> DataFrame:
+def compile_lca(
+    spark: SparkSession, root: str, mode: str = "first", block_rows: int = 200_000, convert: bool = False
+) -> DataFrame:
     """All releases below ``root/<year>/`` on the canonical layout, one row per case number.
 
     ``mode="first"`` keeps the first row of a case over all releases, ``mode="blocks"``
-    every row of the first block of ``block_rows`` that has the case.
+    every row of the first block of ``block_rows`` that has the case. ``convert`` first turns
+    workbooks without a readable Parquet release into one.
     """
-    headers, _ = read_headers(spark, find_releases(spark, root))
+    headers, errors = read_headers(spark, find_releases(spark, root))
+    if convert:
+        convert_workbooks(spark, root, skip_existing=True, redo=[r.path for r in errors])
+        headers, _ = read_headers(spark, find_releases(spark, root))
     rows = harmonise_releases(spark, headers, LCA, lambda: {"year": F.col("vintage")})
     rows = rows.withColumn("case_number", text.case_key("case_number"))
     if mode == "first":
