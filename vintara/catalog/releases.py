@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +24,26 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/vintara-{uuid.uuid4().hex}"
 
 
+def once_per_session(build: Callable[[SparkSession, str], str]) -> Callable[[SparkSession, str], str]:
+    """Write a tree of input files once for a session and tables, then reuse it."""
+    written: dict[tuple[str, str], str] = {}
+
+    @wraps(build)
+    def path(spark: SparkSession, sf_dir: str) -> str:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in written:
+            written[key] = build(spark, sf_dir)
+        return written[key]
+
+    return path
+
+
 def write_release(df: DataFrame, path: str, order: str) -> None:
     """A release whose row order is ``order``: range-partitioned, so no task holds it all."""
     df.repartitionByRange(F.col(order)).sortWithinPartitions(order).drop(order).write.parquet(path)
 
 
+@once_per_session
 def yearly_tree(spark: SparkSession, sf_dir: str) -> str:
     """Orders as one release per year, each in the header style of its time."""
     root = new_folder(spark)
@@ -77,6 +94,7 @@ def lca_releases_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FORM_YEAR = "cast(year(o_orderdate) + 25 as string)"
 
 
+@once_per_session
 def form_tree(spark: SparkSession, sf_dir: str) -> str:
     """Orders as releases of two forms: per year an old-form and a new-form file."""
     root = new_folder(spark)
@@ -123,6 +141,7 @@ _STYLES = [
 ]
 
 
+@once_per_session
 def wage_tree(spark: SparkSession, sf_dir: str) -> str:
     root = new_folder(spark)
     orders = table(spark, sf_dir, "orders")

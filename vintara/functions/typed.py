@@ -28,10 +28,10 @@ def _read(text: Column, fmt: str) -> Column:
 
 
 def parse_date(
-    c: Column | str, formats: Sequence[str] = DATE_FORMATS, serials: bool = True
+    c: Column | str, formats: Sequence[str] = DATE_FORMATS, serials: bool = True, trim: bool = True
 ) -> Column:
     """Timestamp of a date in any of the layouts; five digits are a workbook day number."""
-    text = strip(c)
+    text = strip(c) if trim else col(c)
     readings = [_read(text, f) for f in formats]
     if serials:
         day = F.when(text.rlike(_SERIAL), text.try_cast("int"))
@@ -55,15 +55,15 @@ def parse_like_first(
     return result
 
 
-def parse_number(c: Column | str) -> Column:
+def parse_number(c: Column | str, trim: bool = True) -> Column:
     """Double of a plain decimal; thousands separators, currency and suffixes are not numbers."""
-    text = strip(c)
+    text = strip(c) if trim else col(c)
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
-def parse_flag(c: Column | str) -> Column:
+def parse_flag(c: Column | str, trim: bool = True) -> Column:
     """Whole number as bigint; fractions become null."""
-    number = parse_number(c)
+    number = parse_number(c, trim)
     return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 

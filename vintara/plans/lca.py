@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintara.config.lca import LCA, LCA_LABELS
-from vintara.config.values import LCA_STATUS, PAY_UNIT, VISA_CLASS, YES_NO
+from vintara.config.values import BLANKS, LCA_STATUS, PAY_UNIT, VISA_CLASS, YES_NO
 from vintara.functions import text, typed
 from vintara.operators.dedup import distinct_rows, global_positions, keep_first, keep_first_block
 from vintara.plans.convert import convert_workbooks
@@ -25,21 +25,6 @@ TEXTS = ["job_title", "soc_code", "soc_title", "employer_name", "employer_city",
          "pw_wage_level", "naics_code", "case_number"]
 
 
-def cleaners() -> dict:
-    """Cleaned value of each typed column, by canonical name."""
-    rules = {
-        "case_status": lambda c: text.upper_code(c, LCA_STATUS),
-        "visa_class": lambda c: text.plain_code(c, VISA_CLASS),
-    }
-    rules |= {c: typed.parse_date for c in DATES}
-    rules |= {c: typed.parse_number for c in NUMBERS}
-    rules |= {c: lambda c: text.plain_code(c, PAY_UNIT) for c in UNITS}
-    rules |= {c: lambda c: text.plain_code(c, YES_NO) for c in ANSWERS}
-    rules |= {c: typed.parse_flag for c in FLAGS}
-    rules |= {c: text.clean_text for c in TEXTS}
-    return rules
-
-
 def compile_lca(
     spark: SparkSession, root: str, mode: str = "first", block_rows: int = 200_000, convert: bool = False
 ) -> DataFrame:
@@ -63,12 +48,37 @@ def compile_lca(
     return kept.select(*LCA.columns)
 
 
+RECODED = {
+    "case_status": LCA_STATUS,
+    "visa_class": VISA_CLASS,
+    **dict.fromkeys(UNITS, PAY_UNIT),
+    **dict.fromkeys(ANSWERS, YES_NO),
+}
+
+
 def clean_lca(compiled: DataFrame, labels: bool = False) -> DataFrame:
     """The kept columns that are present, cleaned and typed, without duplicate rows."""
-    rules = cleaners()
     have = [c for c in compiled.columns if c in LCA_LABELS]
-    cleaned = compiled.select(*[
-        rules.get(c, lambda value: value)(text.na_to_null(c)).alias(c) for c in have
-    ])
+    typing = dict.fromkeys(DATES, typed.parse_date) | dict.fromkeys(NUMBERS, typed.parse_number) \
+        | dict.fromkeys(FLAGS, typed.parse_flag)
+
+    # one projection per step: a step that uses its input several times then finds it computed
+    def stripped(c: str) -> Column:
+        value = text.na_to_null(c)
+        if c == "case_status":
+            return F.upper(text.strip(value))
+        return text.strip(value) if c in TEXTS or c in RECODED or c in typing else value
+
+    def blanked(c: str) -> Column:
+        return text.null_if_in(c, BLANKS) if c in TEXTS or c in RECODED else F.col(c)
+
+    def final(c: str) -> Column:
+        if c in RECODED:
+            return text.recode(c, RECODED[c])
+        return typing[c](c, trim=False) if c in typing else F.col(c)
+
+    cleaned = compiled
+    for step in (stripped, blanked, final):
+        cleaned = cleaned.select(*[step(c).alias(c) for c in have])
     distinct = distinct_rows(cleaned)
     return distinct.withColumnsRenamed(LCA_LABELS) if labels else distinct

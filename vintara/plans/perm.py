@@ -15,14 +15,20 @@ from vintara.plans.releases import find_releases, harmonise_releases, read_heade
 ORDER = ["vintage", "release", "file_path", "row_index"]
 
 
-def compile_perm(spark: SparkSession, root: str, layout: Layout = PERM) -> DataFrame:
-    """All releases below ``root/<year>/`` on the canonical layout, first row of each case."""
+def compile_perm(
+    spark: SparkSession, root: str, layout: Layout = PERM, null_key: str | None = None
+) -> DataFrame:
+    """All releases below ``root/<year>/`` on the canonical layout, first row of each case.
+
+    Rows without a case number are one case; ``null_key`` is the text to show for it.
+    """
     headers, _ = read_headers(spark, find_releases(spark, root, companions=True))
     rows = harmonise_releases(spark, headers, layout, lambda: {
         "year": F.col("vintage"), "form_type": names.form_type("release_name", "vintage")})
     rows = rows.withColumn("case_number", text.case_key("case_number", trim=False))
     key = text.case_key("case_number", trim=False, null_as="NAN")
-    return keep_first(rows, [key], ORDER).select(*layout.columns)
+    first = keep_first(rows, [key], ORDER).select(*layout.columns)
+    return first if null_key is None else first.fillna(null_key, ["case_number"])
 
 
 def clean_perm(compiled: DataFrame, labels: bool = False) -> DataFrame:

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # the canonical layouts are wider than the default limit for generated code
     "spark.sql.codegen.maxFields": "300",
+    # the JVM never compiles methods above 8000 bytes; Spark's split projections beat one that large
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
