@@ -332,14 +332,14 @@ _NAME = f"CASE WHEN {_LAST} <> '' THEN {_LAST} ELSE period || '.bin' END"
 
 
 @query(f"""SELECT doc_id, name, CASE WHEN contains(name, '.') THEN split_part(name, '.', 1) || '.v' || cast(version as string) || substr(name, length(split_part(name, '.', 1)) + 1)
-  ELSE name || '.v' || cast(version as string) END AS versioned, hub FROM (
+  ELSE name || '.v' || cast(version as string) END AS versioned, hub, lower(CASE WHEN url LIKE '%?q' THEN {_LAST} ELSE hub END) AS yearbook FROM (
   SELECT *, {_NAME} AS name, CASE WHEN url LIKE '%?q' AND {_LAST} = '' THEN 'file_' || substr(md5(url), 1, 8) || '.csv' ELSE {_LAST} END AS hub FROM {_PLACES_SQL})""")
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names downloads are stored under."""
     return derive(table(spark, sf_dir, "documents"), PLACES).select(
         "doc_id", urls.file_name("url", "period").alias("name"),
         urls.versioned_name(urls.file_name("url", "period"), F.col("version")).alias("versioned"),
-        urls.hub_file_name("url").alias("hub"))
+        urls.hub_file_name("url").alias("hub"), urls.yearbook_file_name("url").alias("yearbook"))
 
 
 # ---- table rows and context ----

@@ -97,6 +97,11 @@ def hub_file_name(url: Column | str) -> Column:
     return F.when(name != "", name).otherwise(F.concat(F.lit("file_"), digest, F.lit(".csv")))
 
 
+def yearbook_file_name(href: Column | str) -> Column:
+    """Last segment of the link's path, in lower case."""
+    return last_segment(F.regexp_replace(F.lower(url_path(strip(href))), "/+$", ""))
+
+
 def versioned_name(name: Column | str, version: Column) -> Column:
     """``base.vN.ext``, split at the first dot."""
     name = col(name)

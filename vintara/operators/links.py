@@ -216,23 +216,34 @@ def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     nearest preceding heading that announces one: (page_id, base, pos, href, block, heading).
 
     The pages that can hold such links are shuffled by id before their tokens are exploded;
-    every window and the join partition by the id first, so the tokens are never shuffled.
+    every window partitions by the id first, so the tokens are never shuffled. The page's texts
+    travel once, on a row in front of its tokens, and a window hands them to the few rows that
+    cut their element's text out of them. All windows are linear in the tokens of a page.
     """
     extensions = EXTENSIONS[kind]
-    own = (
-        pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
-        .select("page_id", F.col("url").alias("base"),
-                F.regexp_extract_all(visible("html"), F.lit(r"(<[^>]+>|[^<]+)"), 1).alias("tokens"))
-        .repartition("page_id")
-    )
 
     def text_of(token: Column) -> Column:
         text = unescape(strip(F.replace(token, F.lit("&nbsp;"), F.lit("\u00a0"))))
         return F.when(~token.startswith("<") & (text != ""), text)
 
+    # with a number of partitions: adaptive coalescing goes by size, but the work per byte is high here
+    partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = (
+        pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
+        .select("page_id", F.col("url").alias("base"), "html")
+        .repartition(partitions, "page_id")
+        .withColumn("tokens", F.regexp_extract_all(visible("html"), F.lit(r"(<[^>]+>|[^<]+)"), 1))
+    )
+    texts = F.filter(F.transform("tokens", text_of), lambda t: t.isNotNull())
+    no_token, no_texts = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    items = F.concat(
+        F.array(F.struct(no_token.alias("token"), texts.alias("texts"))),
+        F.transform("tokens", lambda t: F.struct(t.alias("token"), no_texts.alias("texts"))),
+    )
     page = Window.partitionBy("page_id").orderBy("pos")
     tokens = (
-        own.select("page_id", "base", F.posexplode_outer("tokens").alias("pos", "token"))
+        own.select("page_id", "base", F.posexplode_outer(items).alias("item_no", "item"))
+        .select("page_id", "base", (F.col("item_no") - 1).alias("pos"), "item.token", "item.texts")
         .withColumns({
             "tag": F.lower(F.regexp_extract("token", r"^</?([A-Za-z][A-Za-z0-9]*)", 1)),
             "closing": F.col("token").startswith("</"),
@@ -247,19 +258,19 @@ def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     for name, column in _depth(BLOCKS, page, "block") + _depth(HEADINGS, page, "heading"):
         tokens = tokens.withColumn(name, column)
 
+    # texts and other tags have been counted; from here on only these tokens matter
+    tokens = (
+        tokens.withColumn("is_link", urls.has_extension(F.coalesce("href", F.lit("")), extensions))
+        .where("pos < 0 OR is_link OR block_opens OR block_closes OR heading_opens OR heading_closes")
+        .drop("token", "tag", "closing", "empty")
+    )
+    level = Window.partitionBy("page_id", "block_level").orderBy("pos")
+    tokens = tokens.withColumn(
+        "block_start", F.last(F.when(F.col("block_opens"), F.col("texts_before")), ignorenulls=True).over(level))
     for name in ("block", "heading"):
-        level = Window.partitionBy("page_id", f"{name}_level").orderBy("pos")
-        after = level.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        tokens = tokens.withColumn(
-            f"{name}_end",
-            F.first(F.when(F.col(f"{name}_closes"), F.col("texts_before")), ignorenulls=True).over(after))
-        if name == "block":
-            tokens = tokens.withColumn(
-                "block_start",
-                F.last(F.when(F.col("block_opens"), F.col("texts_before")), ignorenulls=True).over(level))
-
-    is_link = urls.has_extension(F.coalesce("href", F.lit("")), extensions)
-    texts = own.select("page_id", F.filter(F.transform("tokens", text_of), lambda t: t.isNotNull()).alias("texts"))
+        tokens = tokens.withColumn(f"{name}_end", F.expr(
+            f"lead(CASE WHEN {name}_closes THEN texts_before END) IGNORE NULLS "
+            f"OVER (PARTITION BY page_id, {name}_level ORDER BY pos)"))
 
     def between(start: Column, end: Column) -> Column:
         length = F.coalesce(end, F.size("texts")) - start
@@ -268,9 +279,8 @@ def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     heading = F.when(F.col("heading_opens"), between(F.col("texts_before"), F.col("heading_end")))
     block = F.when(F.col("is_link") & (F.col("block_level") > 0), between(F.col("block_start"), F.col("block_end")))
     return (
-        tokens.withColumn("is_link", is_link)
-        .where(F.col("is_link") | F.col("heading_opens"))
-        .join(texts, "page_id")
+        tokens.where("pos < 0 OR is_link OR heading_opens")
+        .withColumn("texts", F.first("texts").over(page))
         .select("page_id", "base", "pos", "href", "is_link", block.alias("block"), heading.alias("title"))
         .withColumn("announces", names.heading_program("title"))
         .withColumn("heading", F.last("announces", ignorenulls=True).over(page))

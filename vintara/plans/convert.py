@@ -7,6 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintara.plans.releases import release_of
 from vintara.session import settle
 from vintara.sources.listing import list_files, read_files
 from vintara.sources.workbooks import missing_outputs, workbook_headers, workbook_rows, workbook_table
@@ -23,8 +24,7 @@ def convert_workbooks(
     """
     files = read_files(spark, root, ["xlsx"])
     if skip_existing:
-        outputs = list_files(spark, root, ["parquet"]).select(
-            F.regexp_extract("path", r"^(.*?\.parquet)(?:/|$)", 1).alias("path"))
+        outputs = list_files(spark, root, ["parquet"]).select(release_of("path").alias("path"))
         files = missing_outputs(files, outputs.where(~F.col("path").isin(list(redo))))
     rows = settle(workbook_rows(files))
     for header in workbook_headers(rows).collect():  # one row per workbook

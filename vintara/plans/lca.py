@@ -10,9 +10,7 @@ from vintara.config.values import BLANKS, LCA_STATUS, PAY_UNIT, VISA_CLASS, YES_
 from vintara.functions import text, typed
 from vintara.operators.dedup import distinct_rows, global_positions, keep_first, keep_first_block
 from vintara.plans.convert import convert_workbooks
-from vintara.plans.releases import find_releases, harmonise_releases, read_headers
-
-ORDER = ["vintage", "release", "file_path", "row_index"]
+from vintara.plans.releases import ORDER, find_releases, harmonise_releases, read_headers
 
 DATES = ["received_date", "decision_date", "begin_date", "end_date"]
 NUMBERS = ["wage_rate_of_pay_from", "wage_rate_of_pay_to", "prevailing_wage"]

@@ -10,9 +10,7 @@ from vintara.config.values import PERM_STATUS
 from vintara.functions import names, text, typed
 from vintara.operators.dedup import distinct_rows, keep_first
 from vintara.operators.harmonise import Layout
-from vintara.plans.releases import find_releases, harmonise_releases, read_headers
-
-ORDER = ["vintage", "release", "file_path", "row_index"]
+from vintara.plans.releases import ORDER, find_releases, harmonise_releases, read_headers
 
 
 def compile_perm(

@@ -13,8 +13,13 @@ from vintara.operators.harmonise import Layout, harmonise, union_all
 from vintara.sources.listing import list_files, release_files
 from vintara.sources.tables import header_of, read_release
 
-#: A release is a Parquet file or a folder of part files of that name.
-RELEASE = r"^(.*?\.parquet)(?:/|$)"
+#: First row wins in the order of the files' paths: year folder, release, part.
+ORDER = ["file_path", "row_index"]
+
+
+def release_of(path: str) -> Column:
+    """Path of the release a file belongs to: a Parquet file, or a folder of parts of that name."""
+    return F.concat(F.substring_index(path, ".parquet", 1), F.lit(".parquet"))
 
 
 @dataclass(frozen=True)
@@ -27,7 +32,7 @@ class Release:
 def find_releases(spark: SparkSession, root: str, companions: bool = False) -> list[Release]:
     """Releases below ``root`` in reading order: one entry per file, not per row or part."""
     parts = list_files(spark, root, ["parquet"])
-    paths = parts.select(F.regexp_extract("path", RELEASE, 1).alias("path")).distinct()
+    paths = parts.select(release_of("path").alias("path")).distinct()
     rows = release_files(paths, ["parquet"], companions).select("path", "vintage", "filename").collect()
     return [Release(*row) for row in rows]
 
@@ -46,11 +51,11 @@ def read_headers(
 
 
 def with_origin(df: DataFrame) -> DataFrame:
-    """Release, folder and file name of each row, from its file path."""
-    release = F.regexp_extract("file_path", RELEASE, 1)
-    return df.withColumn("release", release).withColumns({
-        "vintage": F.regexp_extract("release", r"([^/]+)/[^/]+$", 1),
-        "release_name": F.substring_index("release", "/", -1),
+    """Release, folder and file name of each row, by cheap cuts of its file path."""
+    return df.withColumns({
+        "release": release_of("file_path"),
+        "vintage": F.substring_index(F.substring_index(release_of("file_path"), "/", -2), "/", 1),
+        "release_name": F.substring_index(release_of("file_path"), "/", -1),
     })
 
 
@@ -62,7 +67,7 @@ def harmonise_releases(
 ) -> DataFrame:
     """Union of all releases on the canonical layout, one scan per distinct header.
 
-    Keeps ``release``, ``file_path`` and ``row_index`` beside the canonical columns.
+    Keeps the origin of each row beside the canonical columns.
     """
     same: dict[tuple[str, ...], list[Release]] = defaultdict(list)
     for release, header in headers.items():

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vintara.config.wages import IGNORED_HEADERS, WAGE_RENAMES
 from vintara.functions.text import quoted
 from vintara.operators.harmonise import resolve_headers, union_all, unmapped_report
-from vintara.plans.releases import RELEASE, Release, read_headers
+from vintara.plans.releases import Release, read_headers, release_of
 from vintara.sources.listing import list_files, main_files, with_vintage
 from vintara.sources.tables import mapping_frame
 
@@ -31,7 +31,7 @@ class Amalgamated:
 def main_releases(spark: SparkSession, root: str) -> list[Release]:
     """The main file of each all-digit folder below ``root``."""
     paths = list_files(spark, root, ["parquet"]).select(
-        F.regexp_extract("path", RELEASE, 1).alias("path")).distinct()
+        release_of("path").alias("path")).distinct()
     yearly = with_vintage(paths).where(F.col("vintage").rlike("^[0-9]+$"))
     rows = main_files(yearly, ["parquet"]).orderBy(F.col("vintage").cast("int")).select(
         "path", "vintage", "filename").collect()
