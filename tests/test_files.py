@@ -143,3 +143,20 @@ def test_unreadable_release_falls_back_to_its_workbook(spark, tmp_path):
     (tmp_path / "2019" / "s.xlsx").write_bytes(workbook(["CASE NO", "NAME", "x", "y", "z", "u", "WAGE_RATE_1"], 6, "name", 3.5))
     rows = compile_lca(spark, str(tmp_path), convert=True).select("case_number", "employer_name", "wage_rate_of_pay_from")
     assert sorted(map(tuple, rows.collect())) == [("5", "name", "2.5"), ("6", "name", "3.5")]
+
+
+def test_cell_values():
+    from xml.etree import ElementTree
+
+    def value(xml, dates=frozenset({1})):
+        return workbooks._value(ElementTree.fromstring(xml), ["s0"], set(dates), workbooks._EPOCH)
+
+    assert value("<c><v>5</v></c>") == "5" and value("<c><v>5.0</v></c>") == "5" and value("<c><v>1E3</v></c>") == "1000"
+    assert value("<c><v>0.10000000000000001</v></c>") == "0.1"
+    assert value('<c s="1"><v>43831</v></c>') == "2020-01-01 00:00:00"
+    assert value('<c s="1"><v>0.5</v></c>') == "12:00:00" and value('<c s="1"><v>1</v></c>') == "1900-01-01 00:00:00"
+    assert value('<c t="e"><v>#N/A</v></c>') is None and value("<c/>") is None
+    assert value('<c t="s"><v>0</v></c>') == "s0" and value('<c t="str"><v>x</v></c>') == "x"
+    assert value('<c t="b"><v>1</v></c>') == "True" and value('<c t="d"><v>2020-01-02T03:04:05</v></c>') == "2020-01-02 03:04:05"
+    assert workbooks._date("0", workbooks._EPOCH_1904) == "00:00:00"
+    assert workbooks._date("366", workbooks._EPOCH_1904) == "1905-01-01 00:00:00"

@@ -114,7 +114,7 @@ SELECT '/w/' || cast(c_custkey as string) || '.xlsx' AS path, cast(r AS BIGINT)
   UNION ALL SELECT c_custkey, 2, 3, strftime(DATE '1899-12-30' + cast(43000 + c_custkey % 900 AS INTEGER), '%Y-%m-%d 00:00:00') FROM good
   UNION ALL SELECT c_custkey, 2, 4, '2017-09-22 12:00:00' FROM good
   UNION ALL SELECT c_custkey, 2, 5, CASE WHEN c_custkey % 2 = 1 THEN 'True' ELSE 'False' END FROM good
-  UNION ALL SELECT c_custkey, 2, 6, cast(c_acctbal as string) FROM good)""")
+  UNION ALL SELECT c_custkey, 2, 6, CASE WHEN c_acctbal = floor(c_acctbal) THEN cast(cast(c_acctbal as bigint) as string) ELSE cast(c_acctbal as string) END FROM good)""")
 def xlsx_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filled cells of a workbook per customer; damaged workbooks have none."""
     return workbook_cells(workbook_rows(workbooks(spark, sf_dir)))

@@ -23,7 +23,7 @@ from vintara.functions.text import na_to_null
 _BATCH = 2_000
 # Number formats that show a date or time.
 _DATE_FORMAT_IDS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
-_EPOCH = datetime(1899, 12, 30)
+_EPOCH, _EPOCH_1904 = datetime(1899, 12, 30), datetime(1904, 1, 1)
 
 ROWS = "path string, row long, cells array<string>, ok boolean, error string"
 
@@ -75,14 +75,16 @@ def _date_styles(book: zipfile.ZipFile) -> set[int]:
     return styles
 
 
-def _first_sheet(book: zipfile.ZipFile) -> str:
-    """Path of the first sheet listed in the workbook."""
+def _first_sheet(book: zipfile.ZipFile) -> tuple[str, datetime]:
+    """Path of the first sheet listed in the workbook, and the workbook's day zero."""
     root = ElementTree.fromstring(book.read("xl/workbook.xml"))
     sheet = next(e for e in root.iter() if _local(e.tag) == "sheet")
     link = next(v for k, v in sheet.attrib.items() if _local(k) == "id")
     links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     target = next(e.get("Target", "") for e in links if e.get("Id") == link)
-    return target.lstrip("/") if target.startswith("/") else "xl/" + target
+    mac = any(_local(e.tag) == "workbookPr" and e.get("date1904") in ("1", "true") for e in root.iter())
+    path = target.lstrip("/") if target.startswith("/") else "xl/" + target
+    return path, _EPOCH_1904 if mac else _EPOCH
 
 
 def _column(reference: str) -> int:
@@ -94,26 +96,46 @@ def _column(reference: str) -> int:
     return number - 1
 
 
-def _value(cell: ElementTree.Element, strings: list[str], dates: set[int]) -> str | None:
+def _number(raw: str) -> str:
+    """Decimal text: whole numbers without a fraction."""
+    if not set(raw) & set(".eE"):
+        return str(int(raw))
+    value = float(raw)
+    return str(int(value)) if value.is_integer() else repr(value)
+
+
+def _date(raw: str, epoch: datetime) -> str:
+    """Date and time of a day number; a fraction alone is a time of day."""
+    days = float(raw)
+    if epoch is _EPOCH and 1 <= days < 60:
+        days += 1  # day 60 is a leap day that 1900 did not have
+    moment = epoch + timedelta(milliseconds=round(days * 86_400_000))
+    return str(moment.time()) if 0 <= days < 1 else str(moment)
+
+
+def _value(cell: ElementTree.Element, strings: list[str], dates: set[int], epoch: datetime) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         return next((_texts(e) for e in cell if _local(e.tag) == "is"), None)
     raw = next((e.text for e in cell if _local(e.tag) == "v"), None)
-    if raw is None:
+    if raw is None or kind == "e":
         return None
     if kind == "s":
         return strings[int(raw)]
     if kind == "b":
         return "True" if raw == "1" else "False"
-    if kind == "n" and int(cell.get("s", "0")) in dates:
-        return str(_EPOCH + timedelta(seconds=round(float(raw) * 86_400)))
+    if kind == "d":
+        return str(datetime.fromisoformat(raw))
+    if kind == "n":
+        return _date(raw, epoch) if int(cell.get("s", "0")) in dates else _number(raw)
     return raw
 
 
 def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         strings, dates = _strings(book), _date_styles(book)
-        with book.open(_first_sheet(book)) as part:
+        sheet, epoch = _first_sheet(book)
+        with book.open(sheet) as part:
             number = 0
             for _, element in ElementTree.iterparse(part):
                 if _local(element.tag) != "row":
@@ -124,7 +146,7 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
                     reference = cell.get("r")
                     at = _column(reference) if reference else position
                     cells += [None] * (at + 1 - len(cells))
-                    cells[at] = _value(cell, strings, dates)
+                    cells[at] = _value(cell, strings, dates, epoch)
                 yield number, cells
                 element.clear()
 
