@@ -86,12 +86,13 @@ def test_year_pages_and_yearbooks(frame):
     html = ('<a href="/r1">Report of the Visa Office 2019</a><a href="/r-2020">Report of the Visa Office</a>'
             '<a href="/r1">Report of the Visa Office 2019</a><a href="/none">Report of the Visa Office</a>'
             '<a href="/yearbook/2018">x</a><a href="/b/yearbook/2018-2019/">y</a><a href="/t1">Yearbook 2018</a>'
-            '<a href="/t2">Yearbook 2017 to 2018</a><a href="/t3">yearbook 2017</a>')
+            '<a href="/t2">Yearbook 2017 to 2018</a><a href="/t3">yearbook 2017</a>'
+            '<a href="/t4">Yearbook <b>2011</b></a><a href="/t5">Yearbook\n 2010 <i>x</i></a>')
     pages = frame([(1, "http://h/", html)], "page_id long, url string, html string")
     assert [(r["year"], r["url"]) for r in w.year_pages(pages).collect()] == [
         ("2020", "http://h/r-2020"), ("2019", "http://h/r1")]
     assert [tuple(r) for r in w.yearbooks(pages).collect()] == [
-        ("2018", "http://h/b/yearbook/2018-2019/"), ("2017", "http://h/t2")]
+        ("2018", "http://h/b/yearbook/2018-2019/"), ("2017", "http://h/t2"), ("2010", "http://h/t5")]
     assert w.anchor_by_text(pages, "YEARBOOK 2017").collect()[0]["url"] == "http://h/t2"
 
 

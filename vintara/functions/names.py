@@ -62,19 +62,30 @@ def month_period(text: Column | str, href: Column | str) -> Column:
     Month words win over numeric forms (``M/yyyy``, ``yyyy-MM``); without either the
     month stays unknown.
     """
-    words = "|".join(MONTHS)
-    found = F.struct(
-        squeeze(text).alias("text"),
-        F.concat(squeeze(text), F.lit(" "), F.coalesce(col(href), F.lit(""))).alias("both"),
-    )
-    parts = bind(found, lambda f: F.struct(
-        _first_month(F.regexp_extract_all(f["both"], F.lit(rf"(?iU)\b({words})\b"), 1)).alias("word_month"),
-        F.coalesce(_found(f["text"], _SLASH, 1), _found(f["text"], _DASH, 2)).cast("int").alias("month"),
-        F.coalesce(_found(f["text"], _SLASH, 2), _found(f["text"], _DASH, 1)).alias("month_year"),
-        _found(f["both"], r"(?iU)\bfy\s*(20\d{2})\b", 1).alias("fiscal"),
-        _found(f["both"], r"(?U)\b(20\d{2})\b", 1).alias("year"),
+    words = F.lit(r"(?iU)\b(" + "|".join(MONTHS) + r")\b")
+    address = F.coalesce(col(href), F.lit(""))
+    texts = bind(squeeze(text), lambda t: F.struct(t.alias("text"), F.concat(t, F.lit(" "), address).alias("both")))
+    parts = bind(texts, lambda f: F.struct(
+        F.regexp_extract_all(f["both"], words, 1).alias("words"),
+        F.regexp_extract(f["text"], _SLASH, 1).alias("slash_month"),
+        F.regexp_extract(f["text"], _SLASH, 2).alias("slash_year"),
+        F.regexp_extract(f["text"], _DASH, 2).alias("dash_month"),
+        F.regexp_extract(f["text"], _DASH, 1).alias("dash_year"),
+        F.regexp_extract(f["both"], r"(?iU)\bfy\s*(20\d{2})\b", 1).alias("fiscal"),
+        F.regexp_extract(f["both"], r"(?U)\b(20\d{2})\b", 1).alias("year"),
+    ))
+    read = bind(parts, lambda p: F.struct(
+        _first_month(p["words"]).alias("word_month"),
+        F.coalesce(_full(p["slash_month"]), _full(p["dash_month"])).cast("int").alias("month"),
+        F.coalesce(_full(p["slash_year"]), _full(p["dash_year"])).alias("month_year"),
+        _full(p["fiscal"]).alias("fiscal"),
+        _full(p["year"]).alias("year"),
     ))
-    return bind(parts, _period)
+    return bind(read, _period)
+
+
+def _full(c: Column) -> Column:
+    return F.when(c != "", c)
 
 
 _SLASH = r"(?:^|\D)(\d{1,2})/(20\d{2})(?:\D|$)"

@@ -57,7 +57,7 @@ def _href(value: Column) -> Column:
     return unescape(F.regexp_replace(value, "^[\"']|[\"']$", ""))
 
 
-def anchors_of(html: Column) -> Column:
+def anchors_of(html: Column, squeeze: bool = False) -> Column:
     """Array of the anchors (href, text) of a fragment, in document order."""
     pieces = F.slice(F.split(html, r"(?i)<a\s+"), 2, _REST)
     # what follows "<a": attribute value as written, and the markup inside the element
@@ -66,15 +66,18 @@ def anchors_of(html: Column) -> Column:
         F.regexp_extract(piece, r"(?is)^[^>]*>(.*?)(?:</a\s*>|\z)", 1).alias("inner"),
     ))
     return F.transform(F.filter(raw, lambda a: a["value"] != ""), lambda a: F.struct(
-        _href(a["value"]).alias("href"), plain_text(a["inner"], squeeze=False).alias("text")))
+        _href(a["value"]).alias("href"), plain_text(a["inner"], squeeze).alias("text")))
 
 
-def links(pages: DataFrame) -> DataFrame:
-    """One row per anchor with an href: (page_id, base, pos, href, text)."""
+def links(pages: DataFrame, squeeze: bool = False) -> DataFrame:
+    """One row per anchor with an href: (page_id, base, pos, href, text).
+
+    ``squeeze`` strips every piece of the text between tags before they are joined.
+    """
     # outer: a plain explode would have the markup parsed again to infer a non-empty filter
     return pages.select(
         "page_id", F.col("url").alias("base"),
-        F.posexplode_outer(anchors_of(visible("html"))).alias("pos", "a"),
+        F.posexplode_outer(anchors_of(visible("html"), squeeze)).alias("pos", "a"),
     ).where("a IS NOT NULL").select("page_id", "base", "pos", "a.href", "a.text")
 
 
@@ -87,7 +90,7 @@ def file_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     extensions = EXTENSIONS[kind]
     # pages without any such extension are dropped before their markup is taken apart
     some = pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
-    found = links(some)
+    found = links(some).where("href <> ''")
     if kind == "yearbook":
         found = found.withColumn("href", strip("href"))
     found = found.withColumn("url", urls.resolve_url("base", "href"))
@@ -128,10 +131,10 @@ def year_pages(pages: DataFrame, text: str = YEAR_PAGE_TEXT) -> DataFrame:
 def yearbooks(pages: DataFrame) -> DataFrame:
     """Year -> yearbook url. The last link with the year in its path wins, else the first
     that names the year in its text. Aggregates only."""
-    found = links(pages)
+    found = links(pages, squeeze=True)
     href = strip("href")
     by_path = F.regexp_extract(href, r"/yearbook/(\d{4})(?:-\d{4})?/?$", 1)
-    by_text = F.regexp_extract(strip("text"), r"(?i)Yearbook\s+(\d{4})(?:\s+to\s+\d{4})?", 1)
+    by_text = F.regexp_extract("text", r"(?i)Yearbook\s+(\d{4})(?:\s+to\s+\d{4})?", 1)
     at = F.struct("page_id", "pos")
     dated = found.select(
         F.when(by_path != "", by_path).when(by_text != "", by_text).alias("year"),
@@ -177,7 +180,7 @@ def table_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     found = rows.select(
         "page_id", "base", "row", plain_text(F.element_at("cells", 1)).alias("cell"),
         F.posexplode_outer(F.flatten(F.transform(
-            F.slice("cells", 2, _REST), anchors_of))).alias("nth", "a"),
+            F.slice("cells", 2, _REST), lambda cell: anchors_of(cell)))).alias("nth", "a"),
     ).withColumn("href", F.col("a.href")).where(urls.has_extension("href", extensions))
     filename = urls.last_segment("href")
     return (

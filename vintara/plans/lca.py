@@ -41,7 +41,7 @@ def compile_lca(
     if mode == "first":
         kept = keep_first(rows, [text.case_key("case_number", null_as="NAN")], ORDER)
     else:
-        placed = global_positions(rows, "vintage", "file_path", "row_index", files=None)
+        placed = global_positions(rows, "vintage", "file_path", "row_index", files=len(rows.inputFiles()))
         kept = keep_first_block(placed, "case_number", "position", block_rows)
     return kept.select(*LCA.columns)
 
