@@ -33,6 +33,13 @@ def test_keep_first(spark, nulls):
     assert got == brute_first(data, nulls == "keep")
 
 
+def test_keep_first_by_position(spark):
+    data = rows()
+    df = spark.createDataFrame([(i // 100, i % 100, key) for i, key in data], "f int, r int, key string").repartition(7)
+    got = sorted(r["f"] * 100 + r["r"] for r in dedup.keep_first_by_position(df, ["key"], ["f", "r"]).collect())
+    assert got == brute_first(data, False)
+
+
 @pytest.mark.parametrize("block", [1, 7, 50, 400, 1000])
 def test_keep_first_block(spark, block):
     data = rows()

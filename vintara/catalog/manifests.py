@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintara.catalog import cases, derive, derive_sql, query, table
-from vintara.config.sites import FILE_TYPES, STATUSES
+from vintara.config.sites import FILE_TYPES, SOURCES, STATUSES
 from vintara.operators import manifest as m
 
 RUN = "TIMESTAMP '2025-01-01 00:00:00'"
@@ -18,7 +18,7 @@ _PATH = (
 #: One entry per event: the entry of a user's file in a period, versions growing with the event.
 MANIFEST = {
     "id": "cast(event_id as string)",
-    "source_id": cases("user_id % 5", ["visastats", "visastats", "dolstats", "dhsyearbook"], "'uscis'"),
+    "source_id": cases("user_id % 5", list(SOURCES.values())[:4], "'uscis'"),
     "file_type": cases("user_id % 5", FILE_TYPES[:4], "'uscis'"),
     "program": "CASE WHEN user_id % 5 = 3 THEN NULL ELSE 'P' || cast(user_id % 3 as string) END",
     "period": _PERIOD,

@@ -41,6 +41,25 @@ def keep_first(
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def keep_first_by_position(
+    df: DataFrame, keys: Sequence[str | Column], position: Sequence[str]
+) -> DataFrame:
+    """``keep_first`` for wide rows that their position identifies (file and row number).
+
+    The first position of each key is an aggregate over keys and positions alone; a semi join
+    on the position then picks the rows. Positions are unique, so no key is hot in the join,
+    and the wide rows are sorted once instead of twice.
+    """
+    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
+    at = F.struct(*position)
+    names = [f"_key_{i}" for i in range(len(keys))]
+    first = (
+        df.select(*[k.alias(n) for k, n in zip(keys, names)], at.alias("_at"))
+        .groupBy(*names).agg(F.min("_at").alias("_first")).select("_first")
+    )
+    return df.withColumn("_at", at).join(first, F.col("_at") == F.col("_first"), "left_semi").drop("_at")
+
+
 def keep_first_block(
     df: DataFrame, key: str, position: str, block_rows: int = 200_000, null_as: str = "NAN"
 ) -> DataFrame:

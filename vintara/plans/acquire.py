@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vintara.config.sites import SOURCES
 from vintara.functions import names
 from vintara.operators import manifest as m
 from vintara.operators.dedup import keep_first
@@ -27,7 +28,7 @@ def candidates(pages: DataFrame) -> DataFrame:
     """
     found = discover_files(pages).withColumns({
         "period": names.program_period("program", "year"),
-        "source_id": F.lit("dolstats"),
+        "source_id": F.lit(SOURCES["dol"]),
         "file_type": F.lit("dol"),
     }).withColumn("folder", names.storage_folder("file_type", "program", "year"))
     placed = found.withColumn("saved_path", F.concat_ws("/", "folder", "filename"))

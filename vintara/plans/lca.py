@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vintara.config.lca import LCA, LCA_LABELS
 from vintara.config.values import BLANKS, LCA_STATUS, PAY_UNIT, VISA_CLASS, YES_NO
 from vintara.functions import text, typed
-from vintara.operators.dedup import distinct_rows, global_positions, keep_first, keep_first_block
+from vintara.operators.dedup import distinct_rows, global_positions, keep_first_block, keep_first_by_position
 from vintara.plans.convert import convert_workbooks
 from vintara.plans.releases import ORDER, find_releases, harmonise_releases, read_headers
 
@@ -39,7 +39,7 @@ def compile_lca(
     rows = harmonise_releases(spark, headers, LCA, lambda: {"year": F.col("vintage")})
     rows = rows.withColumn("case_number", text.case_key("case_number"))
     if mode == "first":
-        kept = keep_first(rows, [text.case_key("case_number", null_as="NAN")], ORDER)
+        kept = keep_first_by_position(rows, [text.case_key("case_number", null_as="NAN")], ORDER)
     else:
         placed = global_positions(rows, "vintage", "file_path", "row_index", files=len(rows.inputFiles()))
         kept = keep_first_block(placed, "case_number", "position", block_rows)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vintara.config.perm import PERM, PERM_LABELS
 from vintara.config.values import PERM_STATUS
 from vintara.functions import names, text, typed
-from vintara.operators.dedup import distinct_rows, keep_first
+from vintara.operators.dedup import distinct_rows, keep_first_by_position
 from vintara.operators.harmonise import Layout
 from vintara.plans.releases import ORDER, find_releases, harmonise_releases, read_headers
 
@@ -25,7 +25,7 @@ def compile_perm(
         "year": F.col("vintage"), "form_type": names.form_type("release_name", "vintage")})
     rows = rows.withColumn("case_number", text.case_key("case_number", trim=False))
     key = text.case_key("case_number", trim=False, null_as="NAN")
-    first = keep_first(rows, [key], ORDER).select(*layout.columns)
+    first = keep_first_by_position(rows, [key], ORDER).select(*layout.columns)
     return first if null_key is None else first.fillna(null_key, ["case_number"])
 
 

@@ -34,6 +34,10 @@ def build(name: str = "vintara", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: Folders of local sessions that name none.
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -44,9 +48,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="vintara-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    session = spark.sparkContext.applicationId
+    if session not in _local_folders:
+        _local_folders[session] = tempfile.mkdtemp(prefix="vintara-")
+    return _local_folders[session]
 
 
 def settle(df: DataFrame) -> DataFrame:
