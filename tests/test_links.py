@@ -82,6 +82,23 @@ def test_pages_of_any_size_and_none(frame):
     assert w.link_context(pages).where("block LIKE 'PERM%'").count() == 3000
 
 
+def test_markup_that_is_long_or_odd(frame):
+    rows = [
+        # unquoted text, very many attributes and long blanks must not recurse or take quadratic time
+        (1, "http://h/", "text <a " + "b c " * 40_000 + ' href="x.pdf">t</a>'),
+        (2, "http://h/", "<a " + "t='a' " * 30_000 + 'href="y.pdf">t</a>'),
+        (3, "http://h/", "<a title=\"href=no.pdf\" data-href=q.pdf HREF = 'z.pdf' x>T" + " " * 100_000 + "</a>"),
+        (4, "http://h/", '<a title="a>b" href=k.pdf>T</a><a href="u.pdf'),
+        (5, "http://h/", '<a href="m.pdf"title="x">T</a> a < b <'),
+    ]
+    pages = frame(rows, "page_id long, url string, html string")
+    want = [(1, "x.pdf"), (2, "y.pdf"), (3, "z.pdf"), (4, "k.pdf"), (5, "m.pdf")]
+    for found in (w.links(pages), w.links(pages, squeeze=True), w.link_context(pages)):
+        assert sorted((r["page_id"], r["href"]) for r in found.select("page_id", "href").collect()) == want
+    squeezed = w.links(pages, squeeze=True).where("page_id = 3").collect()
+    assert squeezed[0]["text"] == "T"
+
+
 def test_year_pages_and_yearbooks(frame):
     html = ('<a href="/r1">Report of the Visa Office 2019</a><a href="/r-2020">Report of the Visa Office</a>'
             '<a href="/r1">Report of the Visa Office 2019</a><a href="/none">Report of the Visa Office</a>'

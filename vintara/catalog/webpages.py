@@ -385,7 +385,7 @@ WITH t AS (
          CASE WHEN token NOT LIKE '<%' THEN nullif({unescape_sql(strip_sql("replace(token, '&nbsp;', chr(160))"))}, '') END AS txt,
          CASE WHEN regexp_matches(token, '(?i)^<a\\s') THEN {unescape_sql(f"regexp_replace(regexp_extract(regexp_replace(token, '(?i)^<a{chr(92)}s+', ''), {quote(_HREF)}, 1), '^[{chr(34)}'']|[{chr(34)}'']$', '', 'g')")} END AS href
   FROM (SELECT page_id, base, unnest(l) AS token, cast(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos
-        FROM (SELECT page_id, url AS base, regexp_extract_all({visible_sql('html')}, '(<[^>]+>|[^<]+)', 1) AS l FROM {PAGES_SQL}))),
+        FROM (SELECT page_id, url AS base, regexp_extract_all({visible_sql('html')}, '(?s)(<(?:[^>"'']|"[^"]*"|''[^'']*'')*>|[^<]+|<)', 1) AS l FROM {PAGES_SQL}))),
 d AS (SELECT *, {_level_sql('block', w.BLOCKS)}, {_level_sql('heading', w.HEADINGS)} FROM t),
 e AS (SELECT *,
   max(CASE WHEN block_opens THEN pos END) OVER (PARTITION BY page_id, block_level ORDER BY pos) AS block_from,

@@ -20,12 +20,12 @@ from vintara.operators.dedup import keep_first
 
 #: Comments, scripts and styles hold no links.
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_HREF = (
-    r"""(?is)^(?:(?:[^>"']|"[^"]*"|'[^']*')*?[\s"'])?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-)
+#: An opening tag up to its end, quoted values whole. Possessive, so that it runs without recursion.
+_TAG = r"""(?s)^(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_TOKEN = r"""(?s)(<(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]+|<)"""
+_ATTRIBUTE = r"""(?s)([^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))"""
 #: Length that takes the rest of any array.
 _REST = 2_000_000_000
-_SPACE = r"[\s\x1c-\x1f]"
 
 # Character references that occur in link texts and addresses.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
@@ -48,25 +48,32 @@ def plain_text(html: Column, squeeze: bool = True) -> Column:
     """Text of a fragment; ``squeeze`` strips every piece between tags before joining."""
     if not squeeze:
         return unescape(F.regexp_replace(html, "<[^>]*>", ""))
-    spaced = F.replace(html, F.lit("&nbsp;"), F.lit("\u00a0"))
-    return unescape(strip(F.regexp_replace(spaced, rf"(?U){_SPACE}*<[^>]*>{_SPACE}*", "")))
+    pieces = F.split(F.replace(html, F.lit("&nbsp;"), F.lit("\u00a0")), "<[^>]*>")
+    return unescape(F.array_join(F.transform(pieces, strip), ""))
 
 
-def _href(value: Column) -> Column:
-    """Address of an attribute value as written, quotes included."""
-    return unescape(F.regexp_replace(value, "^[\"']|[\"']$", ""))
+def _href(tag: Column) -> Column:
+    """Address in the attributes of an opening tag, null without one."""
+    attributes = F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), 1)
+    own = F.get(F.filter(attributes, lambda a: a.rlike(r"(?i)^href\s*=")), F.lit(0))
+    value = F.regexp_replace(own, r"^[^=]*=\s*", "")
+    return unescape(F.regexp_replace(value, "^[\"']|[\"']\\z", ""))
 
 
 def anchors_of(html: Column, squeeze: bool = False) -> Column:
     """Array of the anchors (href, text) of a fragment, in document order."""
     pieces = F.slice(F.split(html, r"(?i)<a\s+"), 2, _REST)
-    # what follows "<a": attribute value as written, and the markup inside the element
-    raw = F.transform(pieces, lambda piece: F.struct(
-        F.regexp_extract(piece, _HREF, 1).alias("value"),
-        F.regexp_extract(piece, r"(?is)^[^>]*>(.*?)(?:</a\s*>|\z)", 1).alias("inner"),
+    # what follows "<a": its attributes, and the markup inside the element
+    tagged = F.transform(pieces, lambda piece: F.struct(
+        F.regexp_extract(piece, _TAG, 0).alias("tag"), piece.alias("piece")))
+    raw = F.transform(tagged, lambda t: F.struct(
+        _href(t["tag"]).alias("href"),
+        F.regexp_extract(
+            F.substring(t["piece"], F.length(t["tag"]) + 1, F.length(t["piece"])), r"(?is)^>?(.*?)(?:</a\s*>|\z)", 1
+        ).alias("inner"),
     ))
-    return F.transform(F.filter(raw, lambda a: a["value"] != ""), lambda a: F.struct(
-        _href(a["value"]).alias("href"), plain_text(a["inner"], squeeze).alias("text")))
+    return F.transform(F.filter(raw, lambda a: a["href"].isNotNull()), lambda a: F.struct(
+        a["href"].alias("href"), plain_text(a["inner"], squeeze).alias("text")))
 
 
 def links(pages: DataFrame, squeeze: bool = False) -> DataFrame:
@@ -235,7 +242,7 @@ def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
         pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
         .select("page_id", F.col("url").alias("base"), "html")
         .repartition(partitions, "page_id")
-        .withColumn("tokens", F.regexp_extract_all(visible("html"), F.lit(r"(<[^>]+>|[^<]+)"), 1))
+        .withColumn("tokens", F.regexp_extract_all(visible("html"), F.lit(_TOKEN), 1))
     )
     texts = F.filter(F.transform("tokens", text_of), lambda t: t.isNotNull())
     no_token, no_texts = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
@@ -251,11 +258,8 @@ def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
             "tag": F.lower(F.regexp_extract("token", r"^</?([A-Za-z][A-Za-z0-9]*)", 1)),
             "closing": F.col("token").startswith("</"),
             "empty": F.col("token").endswith("/>"),
-            "href": F.when(
-                F.col("token").rlike(r"(?i)^<a\s"),
-                F.regexp_extract(F.regexp_replace("token", r"(?i)^<a\s+", ""), _HREF, 1)),
+            "href": F.when(F.col("token").rlike(r"(?i)^<a\s"), _href(F.substring("token", 3, 1_000_000_000))),
         })
-        .withColumn("href", _href(F.col("href")))
         .withColumn("texts_before", F.count(text_of(F.col("token"))).over(page))
     )
     for name, column in _depth(BLOCKS, page, "block") + _depth(HEADINGS, page, "heading"):
