@@ -115,7 +115,7 @@ def test_parquet_and_size(spark, frame, tmp_path):
     size = tables.size_in_mb(listing.list_files(spark, str(tmp_path), ["parquet"])).collect()[0][0]
     assert size is not None
     rows = tables.read_release(spark, str(tmp_path / "t")).collect()
-    assert rows[0]["row_index"] == 0 and rows[0]["file_path"].endswith(".parquet")
+    assert rows[0]["_row_index"] == 0 and rows[0]["_file_path"].endswith(".parquet")
     assert tables.header_of(spark, str(tmp_path / "t")) == ["a"]
 
 

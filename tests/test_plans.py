@@ -133,3 +133,31 @@ def test_acquisition(spark):
     again = a.acquire(offered, run.manifest, probe, fetched, listing, F.lit(datetime(2025, 1, 2)), mode="fast")
     assert {r["outcome"] for r in again.outcomes.where("url NOT LIKE '%b.xlsx'").collect()} == {"skipped"}
     assert again.manifest.exceptAll(run.manifest).count() == 0
+
+
+def test_names_that_differ_in_case(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    (tmp_path / "2012").mkdir()
+    pq.write_table(pa.table({"CASE_NO": ["1"], "Status": ["first"], "STATUS": ["second"]}), tmp_path / "2012" / "r.parquet")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        row = lca.compile_lca(spark, str(tmp_path)).select("case_number", "case_status").collect()[0]
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+    assert tuple(row) == ("1", "first")
+
+
+def test_typed_releases_of_one_header_are_read_apart(spark, tmp_path):
+    release(spark, tmp_path / "2012/a.parquet", ["CASE_NO", "WAGE_RATE_1"], [("1", "10")])
+    spark.createDataFrame([("2", 20.5)], "CASE_NO string, WAGE_RATE_1 double").coalesce(1).write.parquet(str(tmp_path / "2013/b.parquet"))
+    rows = lca.compile_lca(spark, str(tmp_path)).select("case_number", "wage_rate_of_pay_from").collect()
+    assert sorted(map(tuple, rows)) == [("1", "10"), ("2", "20.5")]
+
+
+def test_unreadable_perm_release_stops_the_job(spark, tmp_path):
+    (tmp_path / "2012").mkdir()
+    (tmp_path / "2012" / "r.parquet").write_bytes(b"damaged")
+    with pytest.raises(ValueError, match="unreadable"):
+        perm.compile_perm(spark, str(tmp_path))

@@ -30,18 +30,19 @@ def compile_lca(
 
     ``mode="first"`` keeps the first row of a case over all releases, ``mode="blocks"``
     every row of the first block of ``block_rows`` that has the case. ``convert`` first turns
-    workbooks without a readable Parquet release into one.
+    workbooks without a readable Parquet release into one; releases that stay unreadable are
+    logged and skipped.
     """
     headers, errors = read_headers(spark, find_releases(spark, root))
     if convert:
         convert_workbooks(spark, root, skip_existing=True, redo=[r.path for r in errors])
         headers, _ = read_headers(spark, find_releases(spark, root))
-    rows = harmonise_releases(spark, headers, LCA, lambda: {"year": F.col("vintage")})
+    rows = harmonise_releases(spark, headers, LCA, lambda: {"year": F.col("_vintage")})
     rows = rows.withColumn("case_number", text.case_key("case_number"))
     if mode == "first":
         kept = keep_first_by_position(rows, [text.case_key("case_number", null_as="NAN")], ORDER)
     else:
-        placed = global_positions(rows, "vintage", "file_path", "row_index", files=len(rows.inputFiles()))
+        placed = global_positions(rows, "_vintage", "_file_path", "_row_index", files=len(rows.inputFiles()))
         kept = keep_first_block(placed, "case_number", "position", block_rows)
     return kept.select(*LCA.columns)
 

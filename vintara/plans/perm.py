@@ -20,9 +20,11 @@ def compile_perm(
 
     Rows without a case number are one case; ``null_key`` is the text to show for it.
     """
-    headers, _ = read_headers(spark, find_releases(spark, root, companions=True))
+    headers, errors = read_headers(spark, find_releases(spark, root, companions=True))
+    if errors:
+        raise ValueError(f"unreadable releases: {', '.join(r.path for r in errors)}")
     rows = harmonise_releases(spark, headers, layout, lambda: {
-        "year": F.col("vintage"), "form_type": names.form_type("release_name", "vintage")})
+        "year": F.col("_vintage"), "form_type": names.form_type("_release_name", "_vintage")})
     rows = rows.withColumn("case_number", text.case_key("case_number", trim=False))
     key = text.case_key("case_number", trim=False, null_as="NAN")
     first = keep_first_by_position(rows, [key], ORDER).select(*layout.columns)

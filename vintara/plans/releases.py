@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import logging
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vintara.operators.harmonise import Layout, harmonise, union_all
 from vintara.sources.listing import list_files, release_files
-from vintara.sources.tables import header_of, read_release
+from vintara.sources.tables import read_release, schema_of
+
+log = logging.getLogger(__name__)
 
 #: First row wins in the order of the files' paths: year folder, release, part.
-ORDER = ["file_path", "row_index"]
+ORDER = ["_file_path", "_row_index"]
 
 
 def release_of(path: str) -> Column:
@@ -39,29 +43,30 @@ def find_releases(spark: SparkSession, root: str, companions: bool = False) -> l
 
 def read_headers(
     spark: SparkSession, releases: Sequence[Release]
-) -> tuple[dict[Release, list[str]], dict[Release, str]]:
-    """Header of each readable release, and the reason for each unreadable one."""
+) -> tuple[dict[Release, StructType], dict[Release, str]]:
+    """Schema of each readable release, and the reason for each unreadable one."""
     headers, errors = {}, {}
     for release in releases:
         try:
-            headers[release] = header_of(spark, release.path)
+            headers[release] = schema_of(spark, release.path)
         except Exception as problem:  # a damaged release must not stop the others
             errors[release] = str(problem).splitlines()[0]
+            log.warning("cannot read %s: %s", release.path, errors[release])
     return headers, errors
 
 
 def with_origin(df: DataFrame) -> DataFrame:
     """Release, folder and file name of each row, by cheap cuts of its file path."""
     return df.withColumns({
-        "release": release_of("file_path"),
-        "vintage": F.substring_index(F.substring_index(release_of("file_path"), "/", -2), "/", 1),
-        "release_name": F.substring_index(release_of("file_path"), "/", -1),
+        "_release": release_of("_file_path"),
+        "_vintage": F.substring_index(F.substring_index(release_of("_file_path"), "/", -2), "/", 1),
+        "_release_name": F.substring_index(release_of("_file_path"), "/", -1),
     })
 
 
 def harmonise_releases(
     spark: SparkSession,
-    headers: Mapping[Release, Sequence[str]],
+    headers: Mapping[Release, StructType],
     layout: Layout,
     lineage: Callable[[], Mapping[str, Column]],
 ) -> DataFrame:
@@ -69,20 +74,12 @@ def harmonise_releases(
 
     Keeps the origin of each row beside the canonical columns.
     """
-    same: dict[tuple[str, ...], list[Release]] = defaultdict(list)
-    for release, header in headers.items():
-        same[tuple(header)].append(release)
+    same: dict[str, list[Release]] = defaultdict(list)
+    for release, schema in headers.items():
+        same[schema.json()].append(release)
     frames = []
-    keep = ("file_path", "row_index", "release", "vintage", "release_name")
+    keep = (*ORDER, "_release", "_vintage", "_release_name")
     for group in same.values():
-        df = with_origin(read_release_group(spark, group))
-        frames.append(harmonise(df, layout, lineage(), keep, file="release", files=len(group)))
+        df = with_origin(read_release(spark, *[r.path for r in group]))
+        frames.append(harmonise(df, layout, lineage(), keep, file="_release", files=len(group)))
     return union_all(frames)
-
-
-def read_release_group(spark: SparkSession, releases: Sequence[Release]) -> DataFrame:
-    if len(releases) == 1:
-        return read_release(spark, releases[0].path)
-    df = spark.read.parquet(*[r.path for r in releases])
-    return df.select(
-        "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))

@@ -52,11 +52,11 @@ def amalgamate(
     release that cannot be read is reported and skipped.
     """
     headers, errors = read_headers(spark, main_releases(spark, root))
-    target = next((h for r, h in headers.items() if int(r.vintage) == target_year), None)
+    target = next((s.names for r, s in headers.items() if int(r.vintage) == target_year), None)
     if target is None:
         raise ValueError(f"no main file for {target_year} below {root}")
     names = spark.createDataFrame(
-        [(int(r.vintage), pos, name) for r, h in headers.items() for pos, name in enumerate(h)],
+        [(int(r.vintage), pos, name) for r, s in headers.items() for pos, name in enumerate(s.names)],
         "year int, pos int, name string")
     resolved = resolve_headers(
         names,

@@ -40,17 +40,21 @@ def size_in_mb(listing: DataFrame) -> DataFrame:
     return listing.agg(F.round(F.sum("length") / (1024 * 1024), 2).alias("size_mb"))
 
 
-def read_release(spark: SparkSession, path: str) -> DataFrame:
-    """A release (a Parquet file, or a folder of part files with one header) with the file
-    and row position of each row."""
-    df = spark.read.parquet(path)
-    return df.select(
-        "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+def read_release(spark: SparkSession, *paths: str) -> DataFrame:
+    """Releases with one header (Parquet files, or folders of part files) with the file and row
+    position of each row in ``_file_path`` and ``_row_index``."""
+    return spark.read.parquet(*paths).select(
+        "*", F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.row_index").alias("_row_index"))
+
+
+def schema_of(spark: SparkSession, path: str) -> T.StructType:
+    """Schema from the footer; no row is read."""
+    return spark.read.parquet(path).schema
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the footer; no row is read."""
-    return spark.read.parquet(path).schema.names
+    """Column names from the footer."""
+    return schema_of(spark, path).names
 
 
 def mapping_table(rows: DataFrame, original: str, final: str, order: str) -> DataFrame:
