@@ -1,10 +1,17 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from vintara import session
 
 
+ROOT = Path(__file__).resolve().parent.parent
+
+
 class Fake:
     """A session that is not local."""
 
@@ -32,3 +39,16 @@ def test_settled_rows_are_equal_and_have_no_lineage(spark):
 def test_tune_applies_every_setting(spark):
     session.tune(spark)
     assert all(spark.conf.get(k) == v for k, v in session.SETTINGS.items())
+
+
+def test_tasks_do_not_need_the_package(tmp_path):
+    """Executors get the functions they run, not an installed package."""
+    code = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("zip_members", "xlsx_cells"):
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, capture_output=True, timeout=300)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,10 @@ from vintara.sources.listing import fingerprint, list_files
 from vintara.sources.workbooks import workbook_cells, workbook_rows
 
 
+# the tasks' functions travel whole: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @query("SELECT doc_id, sha256(text) AS sha256, cast(octet_length(encode(text)) AS INTEGER) AS bytes FROM documents")
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and size of each text."""

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# the tasks' functions travel whole: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MEMBERS = "path string, member string, content binary, ok boolean, error string"
 
 

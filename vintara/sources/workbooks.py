@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
@@ -15,11 +16,15 @@ from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintara.functions.text import na_to_null
 
+# the tasks' functions travel whole: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _BATCH = 2_000
 # Number formats that show a date or time.
 _DATE_FORMAT_IDS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
