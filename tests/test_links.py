@@ -113,12 +113,6 @@ def test_year_pages_and_yearbooks(frame):
     assert w.anchor_by_text(pages, "YEARBOOK 2017").collect()[0]["url"] == "http://h/t2"
 
 
-def test_monthly_files(frame):
-    html = '<a href="/m/jan2024.pdf">January 2024</a><a href="/m/jan2024.pdf">again</a><a href="/m/FY2023.xls"> </a>'
-    pages = frame([(1, "http://h/", html)], "page_id long, url string, html string")
-    assert [r["period"] for r in w.monthly_files(pages).orderBy("pos").collect()] == ["FY2024-01", "FY2023"]
-
-
 def test_extraction_does_not_shuffle_and_uses_no_python(pages):
     for df in (w.links(pages), w.file_links(pages), w.table_links(pages)):
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -110,6 +110,24 @@ def test_wages(spark, tmp_path):
         wages.amalgamate(spark, str(root), target_year=1999)
 
 
+def test_candidates_of_labelled_pages(spark):
+    html = ('<a href="/m/jan2024.pdf">January 2024</a><a href="/m/jan2024.pdf">again</a><a href="/m/FY2023.XLS"> </a>'
+            '<a href="/h/H1B_fy24.csv">c</a><a href="/y/Table%201.ZIP?x=1">z</a>')
+    pages = spark.createDataFrame([(1, "http://h/", html, "L")], "page_id long, url string, html string, label string")
+
+    def got(kind):
+        return sorted(tuple(r) for r in a.labelled_candidates(pages, kind).select("period", "filename", "folder").collect())
+
+    assert got("monthly") == [
+        ("FY2023", "FY2023.XLS", "/data/visa_stats/monthly/L/FY2023/FY2023"),
+        ("FY2024-01", "jan2024.pdf", "/data/visa_stats/monthly/L/FY2024/FY2024-01"),
+        ("misc", "H1B_fy24.csv", "/data/visa_stats/monthly/L/misc")]
+    assert got("employer") == [
+        ("L/2023", "FY2023.XLS", "/data/uscis_data/L/2023"), ("L/2024", "H1B_fy24.csv", "/data/uscis_data/L/2024")]
+    assert ("L", "jan2024.pdf", "/data/visa_stats/annual/L") in got("annual")
+    assert ("L", "table%201.zip", "/data/immigration_yearbook/L") in got("yearbook")
+
+
 def test_acquisition(spark):
     html = '<h2>PERM</h2><a href="/p/FY2024_a.xlsx">a</a><a href="/p/FY2024_b.xlsx">b</a><a href="/p/lca_2023.csv">c</a>'
     pages = spark.createDataFrame([(1, "https://h/", html), (2, "https://h/x", html)], "page_id long, url string, html string")

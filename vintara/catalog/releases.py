@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vintara.catalog import derive, query, strip_sql, table
 from vintara.catalog.cleaning import DATE_SQL, number_sql, upper_code_sql
 from vintara.catalog.harmonising import EARLY, FORM, LATE, MIDDLE, RELEASES_SQL, YEAR
-from vintara.config.values import LCA_STATUS, NA_TOKENS, PERM_STATUS
+from vintara.config.values import LCA_STATUS, NA_TOKENS
 from vintara.plans.lca import clean_lca, compile_lca
 from vintara.plans.perm import clean_perm, compile_perm
 from vintara.plans.wages import amalgamate

@@ -14,10 +14,11 @@ from vintara.config.sites import (
     MONTHS,
     NO_PROGRAM,
     PROGRAM_KEYS,
+    SOURCES,
 )
 from vintara.functions import names, urls
 from vintara.operators import links as w
-from vintara.plans.acquire import candidates
+from vintara.plans.acquire import candidates, labelled_candidates
 
 # ---- pages, each followed by links of the kinds that data sites have ----
 
@@ -282,20 +283,24 @@ _SQUEEZED = ("regexp_replace(" + strip_sql("text") + r", '[\t\n\x0b\x0c\r\x1c-\x
              r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')")
 _MONTH = "CASE " + " ".join(f"WHEN {_word_sql(k)} THEN {v}" for k, v in MONTHS.items()) + " END"
 _SLASH, _DASH = r"(?:^|\D)(\d{1,2})/(20\d{2})(?:\D|$)", r"(?:^|\D)(20\d{2})-(\d{2})(?:\D|$)"
-_PERIOD_SQL = f"""
-SELECT doc_id, CASE WHEN y IS NULL THEN 'misc' WHEN mm IS NULL THEN 'FY' || y
+
+
+def period_sql(source: str, key: str) -> str:
+    """Period of each row of ``source`` with a text and an href."""
+    return f"""
+SELECT {key}, CASE WHEN y IS NULL THEN 'misc' WHEN mm IS NULL THEN 'FY' || y
   ELSE 'FY' || y || '-' || lpad(cast(mm as string), 2, '0') END AS period
-FROM (SELECT doc_id, coalesce(month, num) AS mm, coalesce(
+FROM (SELECT {key}, coalesce(month, num) AS mm, coalesce(
     nullif(regexp_extract(both_texts, '(?i)(?:^|[^\\pL\\pN_])fy\\s*(20\\d{{2}})(?:[^\\pL\\pN_]|\\z)', 1), ''),
     CASE WHEN num IS NOT NULL THEN coalesce(nullif(regexp_extract(t, '{_SLASH}', 2), ''), nullif(regexp_extract(t, '{_DASH}', 1), '')) END,
     {year_sql('both_texts')}) AS y
   FROM (SELECT *, CASE WHEN month IS NULL AND n BETWEEN 1 AND 12 THEN n END AS num FROM (
     SELECT *, {_MONTH} AS month, cast(coalesce(nullif(regexp_extract(t, '{_SLASH}', 1), ''), nullif(regexp_extract(t, '{_DASH}', 2), '')) AS INTEGER) AS n
-    FROM (SELECT *, t || ' ' || href AS both_texts FROM (SELECT doc_id, href, {_SQUEEZED} AS t FROM {derive_sql('documents', ISSUES)})))))
+    FROM (SELECT *, t || ' ' || href AS both_texts FROM (SELECT {key}, href, {_SQUEEZED} AS t FROM {source})))))
 """
 
 
-@query(_PERIOD_SQL)
+@query(period_sql(derive_sql("documents", ISSUES), "doc_id"))
 def month_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periods of monthly files from link texts and addresses."""
     return derive(table(spark, sf_dir, "documents"), ISSUES).select(
@@ -454,3 +459,45 @@ def run_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One candidate per (period, url) over all pages, with its folder."""
     return candidates(pages(spark, sf_dir)).select(
         "period", "url", "program", "year", "source_id", "file_type", "folder")
+
+
+_PROGRAM_LABEL = "CASE WHEN page_id % 2 = 0 THEN 'IV' ELSE 'NIV' END"
+_YEAR_LABEL = "cast(2000 + page_id % 25 as string)"
+LABELS = {"monthly": _PROGRAM_LABEL, "employer": _PROGRAM_LABEL, "annual": _YEAR_LABEL, "yearbook": _YEAR_LABEL}
+
+
+def _labelled_sql(kind: str) -> str:
+    tested = {"annual": "url", "yearbook": _TESTED["yearbook"]}.get(kind, "href")
+    found = (f"(SELECT page_id, pos, href, text, url, {LABELS[kind]} AS label FROM {_FOUND_SQL} "
+             f"WHERE href <> '' AND {extension_sql(tested, kind)} "
+             "QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY pos) = 1)")
+    cut = "split_part(split_part(url, '?', 1), '#', 1)" if kind == "employer" else "split_part(url, '?', 1)"
+    path = f"regexp_extract(regexp_replace({cut}, '/+$', ''), '[^/]*$', 0)"
+    if kind == "monthly":
+        texts = f"(SELECT page_id, pos, CASE WHEN text <> '' THEN text ELSE href END AS text, url AS href FROM {found})"
+        rows = f"""SELECT f.page_id, f.pos, label AS program, CAST(NULL AS VARCHAR) AS "year", p.period, url, {path} AS filename,
+  'visa_stats/monthly/' || label || '/' || CASE WHEN p.period LIKE 'FY____%' THEN substr(p.period, 1, 6) || '/' ELSE '' END || p.period AS folder
+FROM {found} f JOIN ({period_sql(texts, 'page_id, pos')}) p ON p.page_id = f.page_id AND p.pos = f.pos"""
+    elif kind == "employer":
+        year = file_year_sql("filename", year_sql("filename"))
+        rows = f"""SELECT page_id, pos, label AS program, {year} AS "year", label || '/' || coalesce({year}, 'misc') AS period, url, filename,
+  'uscis_data/' || label || '/' || coalesce({year}, 'misc') AS folder FROM (SELECT *, {path} AS filename FROM {found})"""
+    else:
+        name = "lower(regexp_extract(split_part(split_part(href, '?', 1), '#', 1), '[^/]*$', 0))" if kind == "yearbook" else path
+        folder = "immigration_yearbook/" if kind == "yearbook" else "visa_stats/annual/"
+        rows = f"""SELECT page_id, pos, CAST(NULL AS VARCHAR) AS program, label AS "year", label AS period, url, {name} AS filename,
+  '{folder}' || label AS folder FROM {found}"""
+    file_type = {"employer": "uscis"}.get(kind, kind)
+    return f"""SELECT program, "year", period, url, filename, '{SOURCES[file_type]}' AS source_id, '{file_type}' AS file_type,
+  '/data/' || folder AS folder, '/data/' || folder || '/' || filename AS saved_path FROM ({rows})
+  QUALIFY row_number() OVER (PARTITION BY period, url ORDER BY page_id, pos) = 1"""
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM ({_labelled_sql(kind)})" for kind in LABELS))
+def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of the monthly, employer, annual and yearbook pages."""
+    frames = [
+        labelled_candidates(derive(table(spark, sf_dir, "pages"), {**PAGES, "label": label}), kind)
+        for kind, label in LABELS.items()
+    ]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])

@@ -76,19 +76,19 @@ def anchors_of(html: Column, squeeze: bool = False) -> Column:
         a["href"].alias("href"), plain_text(a["inner"], squeeze).alias("text")))
 
 
-def links(pages: DataFrame, squeeze: bool = False) -> DataFrame:
-    """One row per anchor with an href: (page_id, base, pos, href, text).
+def links(pages: DataFrame, squeeze: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per anchor with an href: (page_id, base, pos, href, text) and kept page columns.
 
     ``squeeze`` strips every piece of the text between tags before they are joined.
     """
     # outer: a plain explode would have the markup parsed again to infer a non-empty filter
     return pages.select(
-        "page_id", F.col("url").alias("base"),
+        "page_id", F.col("url").alias("base"), *keep,
         F.posexplode_outer(anchors_of(visible("html"), squeeze)).alias("pos", "a"),
-    ).where("a IS NOT NULL").select("page_id", "base", "pos", "a.href", "a.text")
+    ).where("a IS NOT NULL").select("page_id", "base", *keep, "pos", "a.href", "a.text")
 
 
-def file_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
+def file_links(pages: DataFrame, kind: str = "disclosure", keep: Sequence[str] = ()) -> DataFrame:
     """Links to files of the extensions a kind of page offers, with their absolute url.
 
     The test is on the href as written, for ``annual`` pages on the absolute url, for
@@ -97,7 +97,7 @@ def file_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     extensions = EXTENSIONS[kind]
     # pages without any such extension are dropped before their markup is taken apart
     some = pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
-    found = links(some).where("href <> ''")
+    found = links(some, keep=keep).where("href <> ''")
     if kind == "yearbook":
         found = found.withColumn("href", strip("href"))
     found = found.withColumn("url", urls.resolve_url("base", "href"))
@@ -330,10 +330,3 @@ def discover_files(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
         .where((F.col("source") == 0) | (F.col("_rank") == 1))
         .select(*columns, F.when(F.col("source") == 0, "table").otherwise("page").alias("found_in"))
     )
-
-
-def monthly_files(pages: DataFrame) -> DataFrame:
-    """File links of the monthly pages with their period, first link of each url."""
-    found = first_links(file_links(pages, "monthly"), ["page_id", "url"])
-    text = F.when(F.col("text") != "", F.col("text")).otherwise(F.col("href"))
-    return found.select("page_id", "pos", "url", names.month_period(text, "url").alias("period"))

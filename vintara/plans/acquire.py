@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintara.config.sites import SOURCES
-from vintara.functions import names
+from vintara.functions import names, urls
 from vintara.operators import manifest as m
 from vintara.operators.dedup import keep_first
-from vintara.operators.links import discover_files
+from vintara.operators.links import discover_files, file_links, first_links
 from vintara.session import settle
 
 
@@ -21,18 +21,46 @@ class Run:
     manifest: DataFrame
 
 
+def _placed(found: DataFrame, file_type: str, part: str) -> DataFrame:
+    """Add source, folder and path; a (period, url) offered several times is one candidate."""
+    placed = found.withColumns({
+        "source_id": F.lit(SOURCES[file_type]),
+        "file_type": F.lit(file_type),
+        "folder": names.storage_folder(F.lit(file_type), "program", part),
+    }).withColumn("saved_path", F.concat_ws("/", "folder", "filename"))
+    return keep_first(placed, m.ENTRY, ["page_id", "pos", "filename"]).select(
+        "program", "year", "period", "url", "filename", "source_id", "file_type", "folder", "saved_path")
+
+
 def candidates(pages: DataFrame) -> DataFrame:
-    """Files the disclosure pages offer, with the entry and path each would be stored under.
+    """Files the disclosure pages offer, with the entry and path each would be stored under."""
+    found = discover_files(pages).withColumn("period", names.program_period("program", "year"))
+    return _placed(found.withColumn("pos", F.when(F.col("found_in") == "page", 0).otherwise(1)), "dol", "year")
+
 
-    A (period, url) offered by several pages is one candidate.
+def labelled_candidates(pages: DataFrame, kind: str) -> DataFrame:
+    """The same for the other kinds of pages, whose ``label`` says what a page is about: the
+    program of ``monthly`` and ``employer`` pages, the year of ``annual`` and ``yearbook`` ones.
     """
-    found = discover_files(pages).withColumns({
-        "period": names.program_period("program", "year"),
-        "source_id": F.lit(SOURCES["dol"]),
-        "file_type": F.lit("dol"),
-    }).withColumn("folder", names.storage_folder("file_type", "program", "year"))
-    placed = found.withColumn("saved_path", F.concat_ws("/", "folder", "filename"))
-    return keep_first(placed, m.ENTRY, ["page_id", "found_in", "filename"]).drop("found_in", "page_id")
+    found = first_links(file_links(pages, kind, keep=["label"]), ["page_id", "url"])
+    none = F.lit(None).cast("string")
+    if kind == "monthly":
+        text = F.when(F.col("text") != "", F.col("text")).otherwise(F.col("href"))
+        found = found.withColumns({"program": F.col("label"), "period": names.month_period(text, "url")})
+        found = found.withColumns({"year": none, "filename": urls.file_name("url", "period"), "part": F.col("period")})
+    elif kind == "employer":
+        found = found.withColumn("filename", urls.hub_file_name("url"))
+        year = names.year_of_hub_file("filename")
+        found = found.withColumns({
+            "program": F.col("label"), "year": year, "period": names.hub_period("label", "filename"),
+            "part": F.coalesce(year, F.lit("misc"))})
+    else:
+        filename = urls.yearbook_file_name("href") if kind == "yearbook" else urls.file_name("url", "label")
+        found = found.withColumns({
+            "program": none, "year": F.col("label"), "period": F.col("label"), "filename": filename,
+            "part": F.col("label")})
+    file_type = {"employer": "uscis"}.get(kind, kind)
+    return _placed(found, file_type, "part")
 
 
 def acquire(
