@@ -113,6 +113,14 @@ def test_year_pages_and_yearbooks(frame):
     assert w.anchor_by_text(pages, "YEARBOOK 2017").collect()[0]["url"] == "http://h/t2"
 
 
+def test_monthly_pages(frame):
+    html = ('<a>Monthly Immigrant Visa (IV) Issuances</a><a href="/n">see monthly nonimmigrant visa (NIV) issuances</a>'
+            '<a href="/i">Monthly Immigrant <b>Visa (IV)</b> Issuances</a><a href="/j">Monthly Immigrant Visa (IV) Issuances</a>')
+    pages = frame([(1, "http://h/", html)], "page_id long, url string, html string")
+    assert sorted((r["program"], r["url"]) for r in w.monthly_pages(pages).collect()) == [
+        ("IV", "http://h/i"), ("NIV", "http://h/n")]
+
+
 def test_extraction_does_not_shuffle_and_uses_no_python(pages):
     for df in (w.links(pages), w.file_links(pages), w.table_links(pages)):
         plan = df._jdf.queryExecution().executedPlan().toString()

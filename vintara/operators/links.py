@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintara.config.sites import EXTENSIONS, NO_PROGRAM, YEAR_PAGE_TEXT
+from vintara.config.sites import EXTENSIONS, MONTHLY_TEXTS, NO_PROGRAM, YEAR_PAGE_TEXT
 from vintara.functions import names, urls
 from vintara.functions.text import col, strip
 from vintara.operators.dedup import keep_first
@@ -119,6 +119,17 @@ def anchor_by_text(pages: DataFrame, text: str) -> DataFrame:
     )
 
 
+def monthly_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, program, url) of the first link to each program's page of monthly files."""
+    text = F.lower("text")
+    program = F.coalesce(*[
+        F.when(text.contains(announced.lower()), name) for name, announced in MONTHLY_TEXTS.items()
+    ])
+    found = links(pages).where("href <> ''").withColumn("program", program).where("program IS NOT NULL")
+    return keep_first(found, ["page_id", "program"], ["pos"]).select(
+        "page_id", "program", urls.resolve_url("base", "href").alias("url"))
+
+
 def first_candidates(found: DataFrame) -> DataFrame:
     """The first link of each page."""
     return keep_first(found, ["page_id"], ["pos"])

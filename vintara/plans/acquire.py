@@ -35,7 +35,7 @@ def _placed(found: DataFrame, file_type: str, part: str) -> DataFrame:
 def candidates(pages: DataFrame) -> DataFrame:
     """Files the disclosure pages offer, with the entry and path each would be stored under."""
     found = discover_files(pages).withColumn("period", names.program_period("program", "year"))
-    return _placed(found.withColumn("pos", F.when(F.col("found_in") == "page", 0).otherwise(1)), "dol", "year")
+    return _placed(found.withColumn("pos", F.when(F.col("found_in") == "table", 0).otherwise(1)), "dol", "year")
 
 
 def labelled_candidates(pages: DataFrame, kind: str) -> DataFrame:
