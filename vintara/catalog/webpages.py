@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vintara.catalog import ORACLES, cases, derive, derive_sql, query, quote, strip_sql, table
@@ -49,7 +49,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAGES_SQL = derive_sql("pages", PAGES)
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": chr(160), "&amp;": "&"}
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": chr(160), "&#160;": chr(160), "&amp;": "&"}
 
 
 def unescape_sql(value: str) -> str:
@@ -411,10 +411,13 @@ SELECT l.page_id, l.base, l.pos, l.href, b.block,
 FROM links l LEFT JOIN blocks b ON b.page_id = l.page_id AND b.pos = l.pos WHERE l.ok"""
 
 
-@query(_CONTEXT_SQL)
+@query(f"""SELECT page_id, base, href, block, heading, cast(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS nth
+FROM ({_CONTEXT_SQL})""")
 def link_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File links with the text of their block and the program of the heading above."""
-    return w.link_context(pages(spark, sf_dir))
+    order = Window.partitionBy("page_id").orderBy("pos")
+    found = w.link_context(pages(spark, sf_dir))
+    return found.withColumn("nth", F.row_number().over(order)).drop("pos")
 
 
 _CLASSIFIED_SQL = f"""(SELECT page_id, pos, filename, coalesce({program_sql('filename')}, {program_sql('block')}, heading, '{NO_PROGRAM}') AS program,

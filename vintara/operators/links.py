@@ -22,13 +22,12 @@ from vintara.operators.dedup import keep_first
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 #: An opening tag up to its end, quoted values whole. Possessive, so that it runs without recursion.
 _TAG = r"""(?s)^(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_TOKEN = r"""(?s)(<(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]+|<)"""
 _ATTRIBUTE = r"""(?s)([^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))"""
 #: Length that takes the rest of any array.
 _REST = 2_000_000_000
 
 # Character references that occur in link texts and addresses.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&#160;": "\u00a0", "&amp;": "&"}
 
 BLOCKS = ["td", "p", "li", "div"]
 HEADINGS = ["h2", "h3", "h4", "strong", "b"]
@@ -232,72 +231,85 @@ def _depth(tags: Sequence[str], page: Window, name: str) -> list[tuple[str, Colu
     ]
 
 
+#: Pages are cut in front of these tags; nothing else about their structure matters.
+_MARKS = "|".join([*BLOCKS, *HEADINGS, "a"])
+_CUT = rf"(?i)(?=</?(?:{_MARKS})[\s/>])"
+_MARK = rf"""(?is)^</?(?:{_MARKS})(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+
+
+def _marked(html: Column) -> Column:
+    """Array of (tag, href, text): each mark, its address if it is an anchor, and the text up to
+    the next mark. Text in front of the first mark has an empty tag."""
+    cut = F.transform(F.split(html, _CUT), lambda piece: F.struct(
+        F.regexp_extract(piece, _MARK, 0).alias("tag"), piece.alias("piece")))
+    return F.transform(cut, lambda c: F.struct(
+        c["tag"].alias("tag"),
+        F.when(c["tag"].rlike(r"(?i)^<a\s"), _href(F.substring(c["tag"], 3, _REST))).alias("href"),
+        # the mark goes up to its closing bracket, which the first cut removes
+        plain_text(F.concat(F.lit("<"), F.substring(c["piece"], F.length(c["tag"]) + 1, _REST))).alias("text"),
+    ))
+
+
 def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     """File links with the text of their nearest enclosing block and the program of the
     nearest preceding heading that announces one: (page_id, base, pos, href, block, heading).
 
-    The pages that can hold such links are shuffled by id before their tokens are exploded;
-    every window partitions by the id first, so the tokens are never shuffled. The page's texts
-    travel once, on a row in front of its tokens, and a window hands them to the few rows that
-    cut their element's text out of them. All windows are linear in the tokens of a page.
+    The pages that can hold such links are shuffled by id, then cut in front of the tags that
+    matter, and only those tags become rows; every window partitions by the id first, so the
+    rows are never shuffled. A mark's number is also the number of its text, so the text of an
+    element is a slice of the page's texts. These travel once, on a row in front of the marks,
+    and a window hands them to the few rows that need them. All windows are linear in the marks.
     """
     extensions = EXTENSIONS[kind]
-
-    def text_of(token: Column) -> Column:
-        text = unescape(strip(F.replace(token, F.lit("&nbsp;"), F.lit("\u00a0"))))
-        return F.when(~token.startswith("<") & (text != ""), text)
-
     # with a number of partitions: adaptive coalescing goes by size, but the work per byte is high here
     partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = (
         pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
         .select("page_id", F.col("url").alias("base"), "html")
         .repartition(partitions, "page_id")
-        .withColumn("tokens", F.regexp_extract_all(visible("html"), F.lit(_TOKEN), 1))
+        .withColumn("marks", _marked(visible("html")))
     )
-    texts = F.filter(F.transform("tokens", text_of), lambda t: t.isNotNull())
-    no_token, no_texts = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
-    items = F.concat(
-        F.array(F.struct(no_token.alias("token"), texts.alias("texts"))),
-        F.transform("tokens", lambda t: F.struct(t.alias("token"), no_texts.alias("texts"))),
-    )
-    page = Window.partitionBy("page_id").orderBy("pos")
-    tokens = (
-        own.select("page_id", "base", F.posexplode_outer(items).alias("item_no", "item"))
-        .select("page_id", "base", (F.col("item_no") - 1).alias("pos"), "item.token", "item.texts")
+
+    def item(pos: Column, tag: Column | None, href: Column | None, texts: Column | None) -> Column:
+        none = F.lit(None)
+        return F.struct(
+            pos.cast("int").alias("pos"), (none if tag is None else tag).cast("string").alias("tag"),
+            (none if href is None else href).cast("string").alias("href"),
+            (none if texts is None else texts).cast("array<string>").alias("texts"))
+
+    numbered = F.transform("marks", lambda mark, number: item(number, mark["tag"], mark["href"], None))
+    wanted = F.filter(numbered, lambda i: (i["tag"] != "") & F.when(
+        i["tag"].rlike(r"(?i)^</?a[\s/>]|^</?a$"), F.coalesce(urls.has_extension(i["href"], extensions), F.lit(False))
+    ).otherwise(True))
+    items = F.concat(F.array(item(F.lit(-1), None, None, F.col("marks.text"))), wanted)
+    marks = (
+        own.select("page_id", "base", F.explode_outer(items).alias("item")).select("page_id", "base", "item.*")
         .withColumns({
-            "tag": F.lower(F.regexp_extract("token", r"^</?([A-Za-z][A-Za-z0-9]*)", 1)),
-            "closing": F.col("token").startswith("</"),
-            "empty": F.col("token").endswith("/>"),
-            "href": F.when(F.col("token").rlike(r"(?i)^<a\s"), _href(F.substring("token", 3, 1_000_000_000))),
+            "is_link": F.col("href").isNotNull(),
+            "closing": F.col("tag").startswith("</"),
+            "empty": F.col("tag").endswith("/"),
+            "tag": F.lower(F.regexp_extract("tag", r"^</?([A-Za-z0-9]+)", 1)),
         })
-        .withColumn("texts_before", F.count(text_of(F.col("token"))).over(page))
-    )
-    for name, column in _depth(BLOCKS, page, "block") + _depth(HEADINGS, page, "heading"):
-        tokens = tokens.withColumn(name, column)
-
-    # texts and other tags have been counted; from here on only these tokens matter
-    tokens = (
-        tokens.withColumn("is_link", urls.has_extension(F.coalesce("href", F.lit("")), extensions))
-        .where("pos < 0 OR is_link OR block_opens OR block_closes OR heading_opens OR heading_closes")
-        .drop("token", "tag", "closing", "empty")
     )
+    page = Window.partitionBy("page_id").orderBy("pos")
+    depths = [*_depth(BLOCKS, page, "block"), *_depth(HEADINGS, page, "heading")]
+    marks = marks.select("*", *[c.alias(name) for name, c in depths]).drop("tag", "closing", "empty")
+
     level = Window.partitionBy("page_id", "block_level").orderBy("pos")
-    tokens = tokens.withColumn(
-        "block_start", F.last(F.when(F.col("block_opens"), F.col("texts_before")), ignorenulls=True).over(level))
+    marks = marks.withColumn(
+        "block_start", F.last(F.when(F.col("block_opens"), F.col("pos")), ignorenulls=True).over(level))
     for name in ("block", "heading"):
-        tokens = tokens.withColumn(f"{name}_end", F.expr(
-            f"lead(CASE WHEN {name}_closes THEN texts_before END) IGNORE NULLS "
+        marks = marks.withColumn(f"{name}_end", F.expr(
+            f"lead(CASE WHEN {name}_closes THEN pos END) IGNORE NULLS "
             f"OVER (PARTITION BY page_id, {name}_level ORDER BY pos)"))
 
     def between(start: Column, end: Column) -> Column:
-        length = F.coalesce(end, F.size("texts")) - start
-        return F.array_join(F.slice("texts", (start + 1).cast("int"), length.cast("int")), "")
+        return F.array_join(F.slice("texts", start + 1, F.coalesce(end, F.size("texts")) - start), "")
 
-    heading = F.when(F.col("heading_opens"), between(F.col("texts_before"), F.col("heading_end")))
+    heading = F.when(F.col("heading_opens"), between(F.col("pos"), F.col("heading_end")))
     block = F.when(F.col("is_link") & (F.col("block_level") > 0), between(F.col("block_start"), F.col("block_end")))
     return (
-        tokens.where("pos < 0 OR is_link OR heading_opens")
+        marks.where("pos < 0 OR is_link OR heading_opens")
         .withColumn("texts", F.first("texts").over(page))
         .select("page_id", "base", "pos", "href", "is_link", block.alias("block"), heading.alias("title"))
         .withColumn("announces", names.heading_program("title"))

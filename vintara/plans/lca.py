@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +58,15 @@ RECODED = {
 }
 
 
-def clean_lca(compiled: DataFrame, labels: bool = False) -> DataFrame:
-    """The kept columns that are present, cleaned and typed, without duplicate rows."""
+def clean_lca(
+    compiled: DataFrame, labels: bool = False, date_formats: Sequence[str] = typed.DATE_FORMATS
+) -> DataFrame:
+    """The kept columns that are present, cleaned and typed, without duplicate rows.
+
+    ``date_formats`` narrows the layouts in which dates are read.
+    """
     have = [c for c in compiled.columns if c in LCA_LABELS]
-    typing = dict.fromkeys(DATES, typed.parse_date) | dict.fromkeys(NUMBERS, typed.parse_number) \
+    typing = dict.fromkeys(DATES, partial(typed.parse_date, formats=date_formats)) | dict.fromkeys(NUMBERS, typed.parse_number) \
         | dict.fromkeys(FLAGS, typed.parse_flag)
 
     # one projection per step: a step that uses its input several times then finds it computed
