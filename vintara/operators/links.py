@@ -221,7 +221,7 @@ def _depth(tags: Sequence[str], page: Window, name: str) -> list[tuple[str, Colu
 
     An opening tag, its content outside deeper tags, and its closing tag share a level.
     """
-    mine = F.col("tag").isin(list(tags)) & ~F.col("empty")
+    mine = F.coalesce(F.col("name").isin(list(tags)), F.lit(False))
     step = F.when(mine & F.col("closing"), -1).when(mine, 1).otherwise(0)
     depth = F.sum(step).over(page) + F.when(mine & F.col("closing"), 1).otherwise(0)
     return [
@@ -238,16 +238,32 @@ _MARK = rf"""(?is)^</?(?:{_MARKS})(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 
 
 def _marked(html: Column) -> Column:
-    """Array of (tag, href, text): each mark, its address if it is an anchor, and the text up to
-    the next mark. Text in front of the first mark has an empty tag."""
+    """Array of (name, closing, href, rest): each mark, its address if it is an anchor, and the
+    markup up to the next mark. What precedes the first mark, and empty elements other than
+    anchors, have no name."""
     cut = F.transform(F.split(html, _CUT), lambda piece: F.struct(
         F.regexp_extract(piece, _MARK, 0).alias("tag"), piece.alias("piece")))
-    return F.transform(cut, lambda c: F.struct(
-        c["tag"].alias("tag"),
-        F.when(c["tag"].rlike(r"(?i)^<a\s"), _href(F.substring(c["tag"], 3, _REST))).alias("href"),
-        # the mark goes up to its closing bracket, which the first cut removes
-        plain_text(F.concat(F.lit("<"), F.substring(c["piece"], F.length(c["tag"]) + 1, _REST))).alias("text"),
+    named = F.transform(cut, lambda c: F.struct(
+        F.lower(F.regexp_extract(c["tag"], r"^</?([A-Za-z0-9]+)", 1)).alias("name"), c["tag"].alias("tag"),
+        # the mark goes up to its closing bracket: the rest starts with a tag of its own, "<>"
+        F.concat(F.lit("<"), F.substring(c["piece"], F.length(c["tag"]) + 1, _REST)).alias("rest"),
     ))
+    return F.transform(named, lambda n: F.struct(
+        F.when((n["name"] != "") & ((n["name"] == "a") | ~n["tag"].endswith("/")), n["name"]).alias("name"),
+        n["tag"].startswith("</").alias("closing"),
+        F.when((n["name"] == "a") & ~n["tag"].startswith("</"), _href(F.substring(n["tag"], 3, _REST))).alias("href"),
+        n["rest"].alias("rest"),
+    ))
+
+
+def _without_leaves(marks: Column) -> Column:
+    """The marks without blocks that hold no other mark: they enclose nothing that is asked for
+    and leave the nesting of the rest as it is."""
+    def leaf(opening: Column, closing: Column) -> Column:
+        pair = ~opening["closing"] & closing["closing"] & (opening["name"] == closing["name"])
+        return F.coalesce(pair & opening["name"].isin(BLOCKS), F.lit(False))
+
+    return F.filter(marks, lambda mark, i: ~leaf(mark, F.get(marks, i + 1)) & ~leaf(F.get(marks, i - 1), mark))
 
 
 def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
@@ -256,44 +272,40 @@ def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
 
     The pages that can hold such links are shuffled by id, then cut in front of the tags that
     matter, and only those tags become rows; every window partitions by the id first, so the
-    rows are never shuffled. A mark's number is also the number of its text, so the text of an
-    element is a slice of the page's texts. These travel once, on a row in front of the marks,
+    rows are never shuffled. A mark's number is also the number of the markup after it, so the text
+    of an element comes from a slice of the page's pieces. These travel once, on a row in front of the marks,
     and a window hands them to the few rows that need them. All windows are linear in the marks.
     """
     extensions = EXTENSIONS[kind]
     # with a number of partitions: adaptive coalescing goes by size, but the work per byte is high here
     partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def item(pos: Column, name: Column, closing: Column, href: Column, texts: Column) -> Column:
+        return F.struct(
+            pos.cast("int").alias("pos"), name.cast("string").alias("name"), closing.alias("closing"),
+            href.cast("string").alias("href"), texts.cast("array<string>").alias("texts"))
+
+    none = F.lit(None)
+    is_file = urls.has_extension
+    numbered = F.transform("marks", lambda m, i: item(i, m["name"], m["closing"], m["href"], none))
     own = (
         pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
         .select("page_id", F.col("url").alias("base"), "html")
         .repartition(partitions, "page_id")
         .withColumn("marks", _marked(visible("html")))
+        .withColumn("texts", F.col("marks.rest"))
+        .withColumn("marks", F.filter(numbered, lambda m: F.coalesce(
+            (m["name"] != "a") | is_file(m["href"], extensions), F.lit(False))))
+        .withColumn("marks", _without_leaves(F.col("marks")))
     )
-
-    def item(pos: Column, tag: Column | None, href: Column | None, texts: Column | None) -> Column:
-        none = F.lit(None)
-        return F.struct(
-            pos.cast("int").alias("pos"), (none if tag is None else tag).cast("string").alias("tag"),
-            (none if href is None else href).cast("string").alias("href"),
-            (none if texts is None else texts).cast("array<string>").alias("texts"))
-
-    numbered = F.transform("marks", lambda mark, number: item(number, mark["tag"], mark["href"], None))
-    wanted = F.filter(numbered, lambda i: (i["tag"] != "") & F.when(
-        i["tag"].rlike(r"(?i)^</?a[\s/>]|^</?a$"), F.coalesce(urls.has_extension(i["href"], extensions), F.lit(False))
-    ).otherwise(True))
-    items = F.concat(F.array(item(F.lit(-1), None, None, F.col("marks.text"))), wanted)
+    front = F.array(item(F.lit(-1), none, F.lit(False), none, F.col("texts")))
     marks = (
-        own.select("page_id", "base", F.explode_outer(items).alias("item")).select("page_id", "base", "item.*")
-        .withColumns({
-            "is_link": F.col("href").isNotNull(),
-            "closing": F.col("tag").startswith("</"),
-            "empty": F.col("tag").endswith("/"),
-            "tag": F.lower(F.regexp_extract("tag", r"^</?([A-Za-z0-9]+)", 1)),
-        })
+        own.select("page_id", "base", F.explode_outer(F.concat(front, "marks")).alias("item"))
+        .select("page_id", "base", "item.*").withColumn("is_link", F.col("href").isNotNull())
     )
     page = Window.partitionBy("page_id").orderBy("pos")
     depths = [*_depth(BLOCKS, page, "block"), *_depth(HEADINGS, page, "heading")]
-    marks = marks.select("*", *[c.alias(name) for name, c in depths]).drop("tag", "closing", "empty")
+    marks = marks.select("*", *[c.alias(name) for name, c in depths]).drop("name", "closing")
 
     level = Window.partitionBy("page_id", "block_level").orderBy("pos")
     marks = marks.withColumn(
@@ -304,7 +316,7 @@ def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
             f"OVER (PARTITION BY page_id, {name}_level ORDER BY pos)"))
 
     def between(start: Column, end: Column) -> Column:
-        return F.array_join(F.slice("texts", start + 1, F.coalesce(end, F.size("texts")) - start), "")
+        return plain_text(F.array_join(F.slice("texts", start + 1, F.coalesce(end, F.size("texts")) - start), ""))
 
     heading = F.when(F.col("heading_opens"), between(F.col("pos"), F.col("heading_end")))
     block = F.when(F.col("is_link") & (F.col("block_level") > 0), between(F.col("block_start"), F.col("block_end")))
