@@ -179,3 +179,11 @@ def test_unreadable_perm_release_stops_the_job(spark, tmp_path):
     (tmp_path / "2012" / "r.parquet").write_bytes(b"damaged")
     with pytest.raises(ValueError, match="unreadable"):
         perm.compile_perm(spark, str(tmp_path))
+
+
+def test_missing_case_numbers_are_one_case(spark, tmp_path):
+    release(spark, tmp_path / "2012/r.parquet", ["CASE_NUMBER", "CASE_STATUS"], [(None, "a"), (None, "b"), ("x", "c")])
+    kept = perm.compile_perm(spark, str(tmp_path)).select("case_number", "case_status").collect()
+    assert sorted((r[0] or "", r[1]) for r in kept) == [("", "a"), ("X", "c")]
+    shown = perm.compile_perm(spark, str(tmp_path), null_key="NAN").select("case_number").collect()
+    assert sorted(r[0] for r in shown) == ["NAN", "X"]
