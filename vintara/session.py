@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,30 +33,39 @@ def build(name: str = "vintara", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-#: Folders of local sessions that name none.
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without one gets a folder of its own.
+    A local session without one uses its warehouse, which tables go to anyway.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    session = spark.sparkContext.applicationId
-    if session not in _local_folders:
-        _local_folders[session] = tempfile.mkdtemp(prefix="vintara-")
-    return _local_folders[session]
+    return spark.conf.get("spark.sql.warehouse.dir")
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def settle(df: DataFrame) -> DataFrame:
     """The same rows read back from a table in the shared folder: what leads up to them is
-    computed once and survives the loss of executors."""
+    computed once and survives the loss of executors. The table goes when the session ends,
+    or when ``release`` is called."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/vintara-{uuid.uuid4().hex}"
+    system, at = _file_system(spark, path)
+    system.deleteOnExit(at)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._settled_at = path
+    return back
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table of a frame that ``settle`` gave and that nothing reads any more."""
+    system, at = _file_system(df.sparkSession, df._settled_at)
+    system.delete(at, True)
