@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm import bpe
+from vintara.llm import bpe, chat, embeddings, mixing, simhash, warc
 from vintara.llm.common import table
+from vintara.session import settle
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -32,3 +33,40 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, text = table(spark, sf_dir, "documents"), F.col("text")
+    sized = settle(docs.select("doc_id", "source", mixing.words(text).alias("size"),
+                               mixing.key(mixing.quality(text), F.col("doc_id"), text).alias("key")))
+    by = settle(mixing.plan(sized, "source", "size", "key", "doc_id"))
+    return mixing.mix(sized, by, "source", "size", "key", "doc_id").select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+ORACLES["op3_mixing"] = mixing.ORACLE
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
+@query
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(F.lit(-1).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"),
+                                 F.lit(said))
+    return chat.digests(chat.format_turns(turns.union(more)))
+
+
+@query
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
