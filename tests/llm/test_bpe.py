@@ -43,10 +43,11 @@ def test_random_texts_equal_the_library(library, vocabulary):
 
 
 def test_every_code_point(library, vocabulary):
-    texts = [f"a{c}b 1{c}2 .{c}. {c} " for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff"]
-    for text in texts:
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 2000):
+        text = "".join(f"a{c}b 1{c}2 .{c}. {c} " for c in points[at:at + 2000])
         want = library.pre_tokenizer.pre_tokenize_str(text)
-        assert vocabulary.pieces(text) == [text[s:e] for _, (s, e) in want], repr(text)
+        assert vocabulary.pieces(text) == [text[s:e] for _, (s, e) in want], at
 
 
 def test_long_piece(library, vocabulary):

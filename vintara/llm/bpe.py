@@ -32,6 +32,8 @@ common.by_value(__name__)
 CACHE = 300_000
 #: Pieces of more bytes than this get a tree of their own.
 LONG = 64
+#: Leaves of all trees that are merged side by side.
+_CELLS = 1 << 18
 _NONE = np.int64(2**62)
 
 
@@ -202,11 +204,13 @@ class Vocabulary:
         for at, piece in enumerate(pieces):
             by_width.setdefault(1 << max(1, (len(piece) - 1).bit_length()), []).append(at)
         for width, places in by_width.items():
-            ids = self._forest([pieces[at] for at in places], width)
-            kept = ids >= 0
-            flat, ends = ids[kept].astype("<i4").tobytes(), np.cumsum(kept.sum(1)) * 4
-            for at, begin, end in zip(places, [0, *ends[:-1].tolist()], ends.tolist()):
-                out[at] = flat[begin:end]
+            step = max(1, _CELLS // width)
+            for some in (places[i:i + step] for i in range(0, len(places), step)):
+                ids = self._forest([pieces[at] for at in some], width)
+                kept = ids >= 0
+                flat, ends = ids[kept].astype("<i4").tobytes(), np.cumsum(kept.sum(1)) * 4
+                for at, begin, end in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
+                    out[at] = flat[begin:end]
         return out
 
     def _forest(self, pieces: list[bytes], width: int) -> np.ndarray:
