@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from vintara.llm import licenses, queries
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def _base(text: str | None) -> tuple:
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lower)
+    places = []
+    for phrase, label in licenses.BASE.items():
+        p = phrase.split()
+        places += [(i, label) for i in range(len(words) - len(p) + 1) if words[i:i + len(p)] == p]
+    at = [i for i, _ in places]
+    return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({n for _, n in places}))
+
+
+def test_query_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = queries.op9_licenses(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == _base(texts[r.doc_id])
+        assert 0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+        assert r.labels == ",".join(sorted(set(r.labels.split(","))))
+
+
+def test_random_words():
+    pick = random.Random(2)
+    parts = ["cc", "by", "CC", "general", "public", "license", "all", "rights", "reserved", "é", "x", " ", "-", "\n", "\x00", ". ", " "]
+    for _ in range(3000):
+        text = "".join(pick.choices(parts, k=pick.randint(0, 30)))
+        got = licenses.scan_text(text.encode())
+        assert (got["n_words"], got["n_base"], got["first_word"], got["last_word"], got["base_labels"]) == _base(text)
+
+
+@pytest.mark.parametrize("text,label", [
+    ("Licensed under the Apache License, Version 2.0", "apache-2.0"),
+    ("see https://www.apache.org/licenses/LICENSE-2.0.html", "apache-2.0"),
+    ("GNU General Public License version 2 or later", "gpl-2.0+"),
+    ("SPDX-License-Identifier: GPL-3.0-only", "gpl-3.0"),
+    ("SPDX-License-Identifier: MIT", "mit"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa-4.0"),
+    ("CC BY-NC-ND 3.0", "cc-by-nc-nd-3.0"),
+    ("http://creativecommons.org/licenses/by-nc/2.5/", "cc-by-nc-2.5"),
+    ("the 3-clause BSD license", "bsd-3-clause"),
+    ("Mozilla Public License 1.1", "mpl-1.1"),
+    ("released into the public domain", "public-domain"),
+    ("Tous droits réservés", "reserved"),
+    ("GNU Lesser General Public License v2.1", "lgpl-2.1"),
+])
+def test_signatures(text, label):
+    got = licenses.scan_text(f"Some words. {text}. More words.".encode())
+    assert label in got["labels"].split(",")
+
+
+def test_clean_prose_has_no_label():
+    text = "The house by the lake was open; all of us had the right to walk around. Wir gingen mit Freunden."
+    assert licenses.scan_text(text.encode())["labels"] == ""
+
+
+def test_containment():
+    rule = {n: licenses.Rule(n, "", "", p, 0.5) for n, p in (("a", 1), ("b", 2), ("c", 2))}
+    d = lambda n, i, j: licenses.Detection(i, j, rule[n])
+    assert licenses.suppressed([d("a", 1, 2), d("b", 0, 5)]) == [d("b", 0, 5)]
+    assert licenses.suppressed([d("a", 0, 9), d("b", 1, 2)]) == [d("a", 0, 9), d("b", 1, 2)]
+    assert licenses.suppressed([d("b", 0, 3), d("c", 0, 3)]) == [d("b", 0, 3)]
+    assert licenses.suppressed([d("b", 0, 3), d("c", 2, 5), d("a", 3, 4)]) == [d("b", 0, 3), d("c", 2, 5)]
+    pick = random.Random(1)
+    found = [d(pick.choice("abc"), i, i + pick.randint(0, 5)) for i in (pick.randint(0, 60) for _ in range(200))]
+    order = sorted(set(found), key=lambda x: (-x.rule.priority, x.first - x.last, x.first, x.rule.label))
+    slow: list = []
+    for x in order:
+        if not any(k.first <= x.first and x.last <= k.last for k in slow):
+            slow.append(x)
+    assert licenses.suppressed(found) == sorted(slow, key=lambda x: (x.first, x.last, x.rule.label))
+
+
+def test_there_are_hundreds_of_rules():
+    assert len(licenses.rules()) > 300 and all(r.keyword for r in licenses.rules())
+
+
+def test_keywords_hide_nothing():
+    """Every rule finds the same with the prefilter as without."""
+    texts = ["CC BY 4.0", "wtfpl", "alle rechte vorbehalten", "apache 2.0", "the zlib license", "MIT license", "lgpl 2.1", "© 2020"]
+    for text in texts:
+        line = licenses.words_of(text.encode())
+        for rule in licenses.rules():
+            if re.search(rb"(?<= )(?:" + rule.pattern.encode() + rb")(?= )", line):
+                assert any(k in line for k, some in licenses._compiled().items() if rule in [r for r, _ in some]), rule
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (2, ""), (2, ""), (None, "cc by"), (3, "cc by " * 20_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("labels", F.lit("x"))
+    got = frame.select("doc_id", licenses.scan(F.col("text")).alias("f")).select("doc_id", "f.*").collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_base, r.base_labels) for r in got) == [
+        (0, 2, 1, "cc-by"), (1, 0, 0, ""), (2, 0, 0, ""), (2, 0, 0, ""), (3, 40_000, 20_000, "cc-by")]
+    assert frame.limit(0).select(licenses.scan(F.col("text"))).count() == 0
