@@ -134,11 +134,12 @@ class Vocabulary:
     # --- cutting into pieces -------------------------------------------------------------
 
     @cached_property
-    def _pattern(self) -> regex.Pattern:
-        letter, digit = rf"[\p{{L}}--[{YOUNG}]]", rf"[\p{{N}}--[{YOUNG}]]"
-        other = rf"[^\s\p{{L}}\p{{N}}]|[{YOUNG}]"
-        return regex.compile(
-            rf"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{digit}+| ?(?:{other})+|\s+(?!\S)|\s+", regex.V1)
+    def _patterns(self) -> tuple[regex.Pattern, regex.Pattern, regex.Pattern]:
+        """The pattern, what it must not take for letters or digits, and the pattern without."""
+        shape = r"'s|'t|'re|'ve|'m|'ll|'d| ?{}+| ?{}+| ?(?:{})+|\s+(?!\S)|\s+"
+        plain = shape.format(r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]")
+        exact = shape.format(rf"[\p{{L}}--[{YOUNG}]]", rf"[\p{{N}}--[{YOUNG}]]", rf"[^\s\p{{L}}\p{{N}}]|[{YOUNG}]")
+        return regex.compile(plain, regex.V1), regex.compile(f"[{YOUNG}]"), regex.compile(exact, regex.V1)
 
     @cached_property
     def _uneven(self) -> regex.Pattern:
@@ -151,7 +152,8 @@ class Vocabulary:
         return regex.compile("(" + "|".join(map(regex.escape, listed)) + ")") if listed else None
 
     def pieces(self, text: str) -> list[str]:
-        return self._pattern.findall(text)
+        plain, young, exact = self._patterns
+        return (plain if text.isascii() or not young.search(text) else exact).findall(text)
 
     # --- merging -------------------------------------------------------------------------
 

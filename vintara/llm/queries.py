@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm import bpe, chat, embeddings, mixing, simhash, warc
+from vintara.llm import bpe, chat, embeddings, licenses, mixing, quality, simhash, warc
 from vintara.llm.common import table
 from vintara.session import settle
 
@@ -67,6 +67,20 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.union(more)))
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", licenses.scan(F.col("text")).alias("found"))
+    return found.select("doc_id", *[f"found.{c}" for c in (
+        "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")])
+
+
 @query
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
