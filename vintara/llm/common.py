@@ -47,9 +47,11 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that the frame does not have yet."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
+def packed(df: DataFrame) -> Column:
+    """All columns as one, ``_row``: whatever they are called, they clash with no other."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
+def unpacked(rows: DataFrame, like: DataFrame, changed: dict[str, Column] | None = None) -> DataFrame:
+    """The columns that ``packed`` took from ``like``, some of them changed."""
+    return rows.select(*[(changed or {}).get(c, F.col("_row")[c]).alias(c) for c in like.columns])
