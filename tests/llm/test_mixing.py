@@ -57,7 +57,7 @@ def test_odd_rows(spark):
     rows = [(1, None, "s"), (2, "", "s"), (2, "", "s"), (None, "a b", None), (3, "word " * 30_000, "t"), (4, "x y z", "t")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("copies", F.lit("mine"))
     out = mixing.mix_documents(docs)
-    assert out.columns == docs.columns
+    assert out.columns == docs.columns and {r.copies for r in out.collect()} == {"mine"}
     assert out.where("text is not null and length(text) > 0").count() >= 2
     assert mixing.mix_documents(docs.limit(0)).count() == 0
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vintara.llm.common import WORD
+from vintara.llm.common import WORD, packed, unpacked
 from vintara.operators.joins import lookup_join
 from vintara.session import settle
 
@@ -127,14 +127,11 @@ def mix(rows: DataFrame, by: DataFrame, source: str, size: str, key: str, doc_id
 def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                   **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with their own columns only."""
-    columns = docs.columns
-    sized = docs.withColumns({"_words": words(F.col(text)), "_drawn": key(
-        quality(F.col(text)), F.col(doc_id), F.col(text))})
-    slim = settle(sized.select(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.col("_words").alias("size"),
-                               F.col("_drawn").alias("key")))
-    by = settle(plan(slim, "source", "size", "key", "id", **options))
-    taken = mix(sized, by, source, "_words", "_drawn", doc_id)
-    return taken.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*columns)
+    sized = docs.select(packed(docs), F.col(doc_id).cast("long").alias("id"), F.col(source).alias("source"),
+                        words(F.col(text)).alias("size"), key(quality(F.col(text)), F.col(doc_id), F.col(text)).alias("key"))
+    by = settle(plan(settle(sized.drop("_row")), "source", "size", "key", "id", **options))
+    taken = mix(sized, by, "source", "size", "key", "id").where("copies > 0")
+    return unpacked(taken.select("_row", F.explode(F.sequence(F.lit(1), "copies"))), docs)
 
 
 #: The mix in DuckDB's SQL, with whole sources in order.

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm import bpe, chat, embeddings, licenses, mixing, quality, simhash, warc
+import corpus_pipeline
+from vintara.llm import bpe, chat, embeddings, language, licenses, lines, mixing, quality, simhash, warc
 from vintara.llm.common import table
 from vintara.session import settle
 
@@ -58,6 +59,29 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lines.removed_lines(docs)
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents (declared language, source as host) and all pages (markup, address)."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.fit(docs)
+    none = F.lit(None)
+    rows = docs.select("doc_id", none.cast("long").alias("page_id"), "text", F.col("lang").alias("declared"),
+                       F.col("source").alias("host"), none.cast("string").alias("suffix"))
+    html, host = F.col("html"), language.host(F.col("url"))
+    rows = rows.unionByName(pages.select(
+        none.cast("long").alias("doc_id"), "page_id", language.visible(html).alias("text"),
+        language.declared_in(html).alias("declared"), host.alias("host"), language.suffix(host).alias("suffix")))
+    return language.identify(rows, model, declared="declared", suffix="suffix", host="host",
+                             keep=("doc_id", "page_id", "declared", "host"))
+
+
 @query
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
@@ -84,3 +108,8 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

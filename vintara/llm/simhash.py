@@ -230,6 +230,18 @@ def links(prints: DataFrame, distance: int = 4, blocks: int = 3, checks: int = 4
     return dealt(members).mapInArrow(_compare(distance), "a long, b long")
 
 
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
+            distance: int = 4) -> tuple[DataFrame, DataFrame]:
+    """(``doc_id``, ``h``, ``fp`` of each row; ``fp``, ``root`` and ``least``, the smallest
+    (no id, id, hash of the text) of a fingerprint). Fingerprints of one group have one root."""
+    slim = settle(common.tuned(docs).select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"),
+        fingerprint(F.col(text), shingle).alias("fp")))
+    prints = settle(slim.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("least")))
+    roots = components(links(prints, distance)).withColumnRenamed("node", "fp")
+    return slim, settle(lookup_join(prints, roots, ["fp"], "left").withColumn("root", F.coalesce("root", "fp")))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
                     distance: int = 4) -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id``, a row for each row of the documents.
@@ -238,12 +250,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the smallest id reachable (null only if no document there has one). Null and empty texts have
     fingerprint zero and link like any other; rows that repeat an id are compared each by itself.
     """
-    slim = settle(common.tuned(docs).select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")))
-    prints = settle(slim.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(prints, distance))
-    rooted = settle(lookup_join(prints, roots.withColumnRenamed("node", "fp"), ["fp"], "left")
-                    .withColumn("root", F.coalesce("root", "fp")))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = lookup_join(rooted.select("fp", "root"), least, ["root"], "left").select("fp", "component_id")
+    slim, rooted = grouped(docs, doc_id, text, shingle, distance)
+    least = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    named = lookup_join(rooted.select("fp", "root"), least, ["root"], "left").select("fp", F.col("first.doc_id").alias("component_id"))
     return lookup_join(slim, named, ["fp"], "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
+                    distance: int = 4) -> DataFrame:
+    """(``doc_id``, ``h``) of the one document that stays of each group: its smallest id, null last,
+    and of rows that share it the text that hashes lowest."""
+    _, rooted = grouped(docs, doc_id, text, shingle, distance)
+    return rooted.groupBy("root").agg(F.min("least").alias("first")).select("first.doc_id", "first.h")
