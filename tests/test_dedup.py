@@ -69,9 +69,18 @@ def test_distinct_rows_treat_nulls_as_equal(spark):
     assert dedup.distinct_rows(df).count() == 2
 
 
-@pytest.mark.parametrize("files", [None, 10])
-def test_positions_follow_group_file_and_row(spark, files):
-    data = [(g, f, r) for g, f, n in [("2020", "b", 3), ("2019", "z", 2), ("2020", "a", 4)] for r in range(n)]
+def test_positions_follow_group_file_and_row(spark):
+    data = [(g, f, r) for g, f, n in [("2020", "b", 3), ("2019", "z", 2), ("2020", "a", 4), (None, "n", 2)] for r in range(n)]
     df = spark.createDataFrame(data, "g string, f string, r long").repartition(3)
-    got = {(r["g"], r["f"], r["r"]): r["position"] for r in dedup.global_positions(df, "g", "f", "r", files=files).collect()}
-    assert got == {key: i for i, key in enumerate(sorted(data))}
+    got = {(r["g"], r["f"], r["r"]): r["position"] for r in dedup.global_positions(df, "g", "f", "r").collect()}
+    assert got == {key: i for i, key in enumerate(sorted(data, key=lambda x: (x[0] or "", x[1:])))}
+
+
+def test_wide_rows_are_not_sorted_where_losers_are_few(spark):
+    df = spark.range(1000).selectExpr("id AS p", "if(id < 4, 0, id) AS k", "repeat('x', 100) AS wide").repartition(4)
+    kept = dedup.keep_first_by_position(df, ["k"], ["p"])
+    assert sorted(r["p"] for r in kept.collect()) == [0, *range(4, 1000)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    above = final[:final.index("BroadcastQueryStage")]
+    assert "BroadcastHashJoin" in above and "LeftAnti" in above and "Sort " not in above

@@ -69,10 +69,9 @@ def test_empty_column_does_not_shadow_but_a_null_in_the_winner_stays(spark):
 def test_each_file_has_its_own_empty_columns(spark):
     df = one_file(spark, ["file", "A", "B"], [("x", None, "1"), ("x", None, None), ("y", "2", "3"), ("y", None, "4"), ("z", None, None)])
     layout = h.Layout(columns=["t"], aliases={"a": "t", "b": "t"})
-    for files in (None, 3):
-        out = h.harmonise(df, layout, keep=["file"], file="file", files=files)
-        got = sorted((r["file"], r["t"] or "") for r in out.collect())
-        assert got == [("x", ""), ("x", "1"), ("y", ""), ("y", "2"), ("z", "")]
+    out = h.harmonise(df, layout, keep=["file"], file="file")
+    got = sorted((r["file"], r["t"] or "") for r in out.collect())
+    assert got == [("x", ""), ("x", "1"), ("y", ""), ("y", "2"), ("z", "")]
 
 
 def test_harmonise_is_idempotent(spark):

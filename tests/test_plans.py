@@ -187,3 +187,52 @@ def test_missing_case_numbers_are_one_case(spark, tmp_path):
     assert sorted((r[0] or "", r[1]) for r in kept) == [("", "a"), ("X", "c")]
     shown = perm.compile_perm(spark, str(tmp_path), null_key="NAN").select("case_number").collect()
     assert sorted(r[0] for r in shown) == ["NAN", "X"]
+
+
+def test_every_data_file_is_read_or_reported(spark, tmp_path):
+    root = tmp_path / "lca.parquet.d"
+    columns = ["CASE_NUMBER", "CASE_STATUS"]
+    release(spark, root / "2019/a.parquet", columns, [("I-1", "x"), ("I-2", "x")], parts=2)
+    spark.createDataFrame([("I-3", "x")], "CASE_NUMBER string, CASE_STATUS string").toPandas().to_parquet(
+        _made(root / "2020") / "a.parquet.v2.parquet")
+    (root / "2020/b.parquet").write_bytes(b"damaged")
+    (_made(root / "2021") / "book.xlsx").write_bytes(b"x")
+    (root / "2019/a.xlsx").write_bytes(b"the same release")
+    (root / "2021/table.csv").write_text("a,b")
+    errors: dict = {}
+    compiled = lca.compile_lca(spark, str(root), errors=errors)
+    assert {(r["case_number"], r["year"]) for r in compiled.collect()} == {("I-1", "2019"), ("I-2", "2019"), ("I-3", "2020")}
+    assert {(r.vintage, r.filename) for r in errors} == {("2020", "b.parquet"), ("2021", "book.xlsx"), ("2021", "table.csv")}
+
+
+def _made(folder):
+    folder.mkdir(parents=True, exist_ok=True)
+    return folder
+
+
+def test_a_year_with_only_a_workbook_is_reported(spark, tmp_path):
+    release(spark, tmp_path / "2025/PW.parquet", ["CASE_STATUS"], [("c",)])
+    (_made(tmp_path / "2024") / "PW.xlsx").write_bytes(b"x")
+    done = wages.amalgamate(spark, str(tmp_path))
+    assert done.rows.count() == 1 and [(r.vintage, r.filename) for r in done.errors] == [("2024", "PW.xlsx")]
+
+
+def test_parts_are_ordered_by_number(spark):
+    paths = [f"r/2020/a.parquet/part-{n}-x.parquet" for n in ("100000", "99999", "00001")] + ["r/2020/b.parquet", "r/2019/z.parquet"]
+    frame = spark.createDataFrame([(p,) for p in paths], "path string")
+    from vintara.plans.releases import file_order, release_of
+    got = [r["path"] for r in frame.orderBy(file_order("path", release_of("path"))).collect()]
+    assert got == [paths[4], paths[2], paths[1], paths[0], paths[3]]
+
+
+@pytest.mark.parametrize("path,release_path", [
+    ("/d/lca.parquet.d/2020/a.parquet", "/d/lca.parquet.d/2020/a.parquet"),
+    ("/d/lca.parquet/2020/a.parquet", "/d/lca.parquet/2020/a.parquet"),
+    ("/d/2020/a.parquet.v2.parquet", "/d/2020/a.parquet.v2.parquet"),
+    ("/d/2020/a.parquet.v2.parquet/part-0.snappy.parquet", "/d/2020/a.parquet.v2.parquet"),
+    ("/d/2020/a.parquet/state=CA/year=2/part-0.parquet", "/d/2020/a.parquet"),
+    ("/d/2020/book.xlsx", "/d/2020/book.xlsx"),
+])
+def test_release_of(spark, path, release_path):
+    from vintara.plans.releases import release_of
+    assert spark.createDataFrame([(path,)], "p string").select(release_of("p").alias("r")).first()["r"] == release_path

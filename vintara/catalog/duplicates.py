@@ -70,6 +70,6 @@ SELECT vintage, file, n AS "rows", cast(sum(n) OVER (ORDER BY vintage, file) - n
 def row_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each file starts among all rows, in file order."""
     rows = derive(table(spark, sf_dir, "events"), {**ROW_FILES, "row": "event_id - event_id"})
-    placed = dedup.global_positions(rows, "vintage", "file", "row", files=200)
+    placed = dedup.global_positions(rows, "vintage", "file", "row")
     return placed.groupBy("vintage", "file").agg(
         F.count("*").alias("rows"), F.min("position").alias("first_position"))

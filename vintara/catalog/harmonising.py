@@ -46,8 +46,6 @@ LATE = {
     "WAGE_RATE_OF_PAY_FROM_1": WAGE, "WAGE_RATE_OF_PAY_FROM_2": "'x'",
 }
 SPLIT = {"early": "year(o_orderdate) <= 1996", "middle": "year(o_orderdate) IN (1997, 1998)", "late": "year(o_orderdate) >= 1999"}
-#: A release is a four-digit year.
-MAX_RELEASES = 10_000
 
 
 def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +55,7 @@ def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.union_all([
         h.harmonise(
             derive(orders.where(SPLIT[name]), columns), LCA, {"year": F.col("release")},
-            keep=list(POSITION), file="release", files=MAX_RELEASES)
+            keep=list(POSITION), file="release")
         for name, columns in styles.items()
     ])
 
@@ -164,7 +162,7 @@ def harmonise_copy_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def one(layout: h.Layout, policy: str) -> DataFrame:
         lineage = {"year": F.col("release"), "form_type": names.form_type(F.lit("release.xlsx"), "release")}
-        df = h.harmonise(rows, layout, lineage, ["release", "row_no"], file="release", files=MAX_RELEASES)
+        df = h.harmonise(rows, layout, lineage, ["release", "row_no"], file="release")
         return df.select(*_FORM_OUT, F.lit(policy).alias("policy"))
 
     return one(PERM, "intended").unionByName(one(PERM_LITERAL, "copy_drop"))

@@ -107,5 +107,5 @@ def versioned_name(name: Column | str, version: Column) -> Column:
     name = col(name)
     base = F.substring_index(name, ".", 1)
     tag = F.concat(base, F.lit(".v"), version.cast("string"))
-    return F.when(name.contains("."), F.concat(tag, F.substring(name, F.length(base) + 1, 1_000_000)))\
+    return F.when(name.contains("."), F.concat(tag, F.substring(name, F.length(base) + 1, F.length(name))))\
         .otherwise(tag)

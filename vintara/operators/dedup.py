@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintara.functions.text import quoted
-from vintara.operators.harmonise import BROADCAST_FILES
 from vintara.operators.joins import lookup_join
 
 
@@ -46,18 +45,18 @@ def keep_first_by_position(
 ) -> DataFrame:
     """``keep_first`` for wide rows that their position identifies (file and row number).
 
-    The first position of each key is an aggregate over keys and positions alone; a semi join
-    on the position then picks the rows. Positions are unique, so no key is hot in the join,
-    and the wide rows are sorted once instead of twice.
+    Keys and positions alone are aggregated; only the positions that lose, of keys with several
+    rows, meet the wide rows, in an anti join. Losers are few as a rule: adaptive execution then
+    sends them to the tasks, by measured size, and the wide rows are neither moved nor sorted.
+    Positions are unique, so no key is hot in that join.
     """
     keys = [F.col(k) if isinstance(k, str) else k for k in keys]
     at = F.struct(*position)
     names = [f"_key_{i}" for i in range(len(keys))]
-    first = (
-        df.select(*[k.alias(n) for k, n in zip(keys, names)], at.alias("_at"))
-        .groupBy(*names).agg(F.min("_at").alias("_first")).select("_first")
-    )
-    return df.withColumn("_at", at).join(first, F.col("_at") == F.col("_first"), "left_semi").drop("_at")
+    slim = df.select(*[k.alias(n) for k, n in zip(keys, names)], at.alias("_at"))
+    several = slim.groupBy(*names).agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    losers = lookup_join(slim, several, names, "inner").where("_at != _first").select(F.col("_at").alias("_lost"))
+    return df.withColumn("_at", at).join(losers, F.col("_at") == F.col("_lost"), "left_anti").drop("_at")
 
 
 def keep_first_block(
@@ -82,14 +81,13 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def global_positions(
-    df: DataFrame, group: str, file: str, row: str, name: str = "position",
-    files: int | None = None,
+    df: DataFrame, group: str, file: str, row: str, name: str = "position"
 ) -> DataFrame:
     """Position of each row over all files, in order of (group, file, row).
 
     Row counts per file are added up inside each group and group totals across groups; the
-    two running sums see one row per file and one row per group, never the data. With the
-    number of ``files`` known and small, the starts are broadcast and the data stay put.
+    two running sums see one row per file and one row per group, never the data. A null group
+    or file is one like any other, before the rest.
     """
     sizes = df.groupBy(F.col(group).alias("_group"), F.col(file).alias("_file")).agg(
         F.count("*").alias("_rows")
@@ -99,14 +97,8 @@ def global_positions(
     # one row per group (release year)
     across = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_group", F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_before"))
-    starts = (
-        sizes.withColumn("_start", F.coalesce(F.sum("_rows").over(within), F.lit(0)))
-        .join(totals, "_group")
-        .select("_group", "_file", (F.col("_start") + F.col("_before")).alias("_start"))
-    )
+    placed = sizes.withColumn("_start", F.coalesce(F.sum("_rows").over(within), F.lit(0)))
+    starts = lookup_join(placed, totals, ["_group"], "inner").select(
+        "_group", "_file", (F.col("_start") + F.col("_before")).alias("_start"))
     starts = starts.withColumnsRenamed({"_group": group, "_file": file})
-    if files is not None and files <= BROADCAST_FILES:
-        joined = df.join(F.broadcast(starts), [group, file], "left")
-    else:
-        joined = lookup_join(df, starts, [group, file])
-    return joined.withColumn(name, F.col("_start") + F.col(row)).drop("_start")
+    return lookup_join(df, starts, [group, file]).withColumn(name, F.col("_start") + F.col(row)).drop("_start")

@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 from vintara.functions.text import normalise_header_text, quoted
 from vintara.operators.joins import lookup_join
 
-#: Up to this many files the per-file profile is broadcast: a row is a path and a few
-#: booleans, so the table stays below some 20 MB. Beyond it the profile is shuffled.
-BROADCAST_FILES = 50_000
-
 
 def _keep_all(_: str) -> bool:
     return False
@@ -106,14 +102,13 @@ def harmonise(
     lineage: Mapping[str, Column] | None = None,
     keep: Sequence[str] = (),
     file: str | None = None,
-    files: int | None = None,
 ) -> DataFrame:
     """Project a release onto the canonical columns, all nullable strings.
 
     ``keep`` names columns passed through untouched after the canonical ones (positions,
     file names); they take no part in mapping. ``lineage`` gives canonical columns computed
-    from kept columns. ``file`` names the kept column that tells the files of ``df`` apart
-    (``files``: how many there are); without it ``df`` is one file.
+    from kept columns. ``file`` names the kept column that tells the files of ``df`` apart;
+    without it ``df`` is one file.
     """
     lineage = dict(lineage or {})
     names = df.columns
@@ -135,11 +130,8 @@ def harmonise(
             is_filled = {p: profile.getField(_filled(p)) for p in contested}
         else:
             per_file = flat.groupBy(F.col(file).alias("_file")).agg(*counts)
-            if files is not None and files <= BROADCAST_FILES:
-                flat = flat.join(F.broadcast(per_file), F.col(file).eqNullSafe(F.col("_file")), "left")
-            else:
-                per_file = per_file.withColumnRenamed("_file", file)
-                flat = lookup_join(flat, per_file, [file])
+            # a small profile is broadcast at run time, by its measured size
+            flat = lookup_join(flat, per_file.withColumnRenamed("_file", file), [file])
             is_filled = {p: F.col(_filled(p)) for p in contested}
 
     missing = F.lit(None).cast("string")

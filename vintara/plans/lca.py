@@ -13,7 +13,7 @@ from vintara.config.values import BLANKS, LCA_STATUS, PAY_UNIT, VISA_CLASS, YES_
 from vintara.functions import text, typed
 from vintara.operators.dedup import distinct_rows, global_positions, keep_first_block, keep_first_by_position
 from vintara.plans.convert import convert_workbooks
-from vintara.plans.releases import ORDER, find_releases, harmonise_releases, read_headers
+from vintara.plans.releases import ORDER, Release, find_releases, find_unread, harmonise_releases, read_headers, report
 
 DATES = ["received_date", "decision_date", "begin_date", "end_date"]
 NUMBERS = ["wage_rate_of_pay_from", "wage_rate_of_pay_to", "prevailing_wage"]
@@ -27,25 +27,32 @@ TEXTS = ["job_title", "soc_code", "soc_title", "employer_name", "employer_city",
 
 
 def compile_lca(
-    spark: SparkSession, root: str, mode: str = "first", block_rows: int = 200_000, convert: bool = False
+    spark: SparkSession, root: str, mode: str = "first", block_rows: int = 200_000, convert: bool = False,
+    errors: dict[Release, str] | None = None,
 ) -> DataFrame:
     """All releases below ``root/<year>/`` on the canonical layout, one row per case number.
 
     ``mode="first"`` keeps the first row of a case over all releases, ``mode="blocks"``
     every row of the first block of ``block_rows`` that has the case. ``convert`` first turns
-    workbooks without a readable Parquet release into one; releases that stay unreadable are
-    logged and skipped.
+    workbooks without a readable Parquet release into one. Every data file that is not read is
+    logged, and put into ``errors`` with the reason.
     """
-    headers, errors = read_headers(spark, find_releases(spark, root))
+    releases = find_releases(spark, root)
+    headers, failed = read_headers(spark, releases)
     if convert:
-        convert_workbooks(spark, root, skip_existing=True, redo=[r.path for r in errors])
-        headers, _ = read_headers(spark, find_releases(spark, root))
+        convert_workbooks(spark, root, skip_existing=True, redo=[r.path for r in failed])
+        releases = find_releases(spark, root)
+        headers, failed = read_headers(spark, releases)
+    unread = find_unread(spark, root, releases)
+    report(unread)
+    if errors is not None:
+        errors.update(failed | unread)
     rows = harmonise_releases(spark, headers, LCA, lambda: {"year": F.col("_vintage")})
     rows = rows.withColumn("case_number", text.case_key("case_number"))
     if mode == "first":
         kept = keep_first_by_position(rows, [text.case_key("case_number", null_as="NAN")], ORDER)
     else:
-        placed = global_positions(rows, "_vintage", "_file_path", "_row_index", files=len(rows.inputFiles()))
+        placed = global_positions(rows, "_vintage", "_file_order", "_row_index")
         kept = keep_first_block(placed, "case_number", "position", block_rows)
     return kept.select(*LCA.columns)
 

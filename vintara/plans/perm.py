@@ -10,19 +10,27 @@ from vintara.config.values import PERM_STATUS
 from vintara.functions import names, text, typed
 from vintara.operators.dedup import distinct_rows, keep_first_by_position
 from vintara.operators.harmonise import Layout
-from vintara.plans.releases import ORDER, find_releases, harmonise_releases, read_headers
+from vintara.plans.releases import ORDER, Release, find_releases, find_unread, harmonise_releases, read_headers, report
 
 
 def compile_perm(
-    spark: SparkSession, root: str, layout: Layout = PERM, null_key: str | None = None
+    spark: SparkSession, root: str, layout: Layout = PERM, null_key: str | None = None,
+    errors: dict[Release, str] | None = None,
 ) -> DataFrame:
     """All releases below ``root/<year>/`` on the canonical layout, first row of each case.
 
     Rows without a case number are one case; ``null_key`` is the text to show for it.
+    A damaged release stops the job; workbooks without a Parquet release are logged, and put into
+    ``errors``.
     """
-    headers, errors = read_headers(spark, find_releases(spark, root, companions=True))
-    if errors:
-        raise ValueError(f"unreadable releases: {', '.join(r.path for r in errors)}")
+    releases = find_releases(spark, root, companions=True)
+    headers, failed = read_headers(spark, releases)
+    if failed:
+        raise ValueError(f"unreadable releases: {', '.join(r.path for r in failed)}")
+    unread = find_unread(spark, root, releases, companions=True)
+    report(unread)
+    if errors is not None:
+        errors.update(unread)
     rows = harmonise_releases(spark, headers, layout, lambda: {
         "year": F.col("_vintage"), "form_type": names.form_type("_release_name", "_vintage")})
     rows = rows.withColumn("case_number", text.case_key("case_number", trim=False))

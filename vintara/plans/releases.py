@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,13 +18,23 @@ from vintara.sources.tables import read_release, schema_of
 
 log = logging.getLogger(__name__)
 
-#: First row wins in the order of the files' paths: year folder, release, part.
-ORDER = ["_file_path", "_row_index"]
+#: First row wins in the order of year folder, release, part.
+ORDER = ["_file_order", "_row_index"]
 
+#: What may hold a release that is not read: reported, never passed over in silence.
+UNREAD = ["xlsx", "xls", "csv"]
 
-def release_of(path: str) -> Column:
-    """Path of the release a file belongs to: a Parquet file, or a folder of parts of that name."""
-    return F.concat(F.substring_index(path, ".parquet", 1), F.lit(".parquet"))
+
+def release_of(path: str | Column) -> Column:
+    """Path of the release a file belongs to: the file itself, or the folder of parts it lies in,
+    whose own name ends in ``.parquet``. Partition folders below that belong to it."""
+    return F.regexp_replace(path, r"(\.parquet)(?:/[^/=]+=[^/]*)*/[^/]+$", "$1")
+
+
+def file_order(path: str | Column, release: str | Column) -> Column:
+    """Sorts files by release, then part number (not its text), then path."""
+    part = F.lpad(F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1), 12, "0")
+    return F.concat_ws("/", release, part, path)
 
 
 @dataclass(frozen=True)
@@ -41,26 +52,45 @@ def find_releases(spark: SparkSession, root: str, companions: bool = False) -> l
     return [Release(*row) for row in rows]
 
 
+def find_unread(spark: SparkSession, root: str, releases: Sequence[Release], companions: bool = False) -> dict[Release, str]:
+    """Data files below ``root`` that are no Parquet release and have none of their name beside
+    them, each with the reason it is not read."""
+    files = release_files(list_files(spark, root, UNREAD), UNREAD, companions)
+    rows = files.select("path", "vintage", "filename").collect()
+    read = {r.path.removesuffix(".parquet") for r in releases}
+    return {Release(*row): f"{row['filename'].rsplit('.', 1)[1]} without a Parquet release: convert it first"
+            for row in rows if row["path"].rsplit(".", 1)[0] not in read}
+
+
 def read_headers(
     spark: SparkSession, releases: Sequence[Release]
 ) -> tuple[dict[Release, StructType], dict[Release, str]]:
-    """Schema of each readable release, and the reason for each unreadable one."""
-    headers, errors = {}, {}
-    for release in releases:
+    """Schema of each readable release, and the reason for each unreadable one; footers are read
+    side by side."""
+    def header(release: Release) -> StructType | str:
         try:
-            headers[release] = schema_of(spark, release.path)
+            return schema_of(spark, release.path)
         except Exception as problem:  # a damaged release must not stop the others
-            errors[release] = str(problem).splitlines()[0]
-            log.warning("cannot read %s: %s", release.path, errors[release])
-    return headers, errors
+            return str(problem).splitlines()[0]
+
+    with ThreadPoolExecutor(16) as pool:
+        found = dict(zip(releases, pool.map(header, releases)))
+    errors = {r: problem for r, problem in found.items() if isinstance(problem, str)}
+    report(errors)
+    return {r: schema for r, schema in found.items() if r not in errors}, errors
+
+
+def report(errors: Mapping[Release, str]) -> None:
+    for release, problem in errors.items():
+        log.warning("cannot read %s: %s", release.path, problem)
 
 
 def with_origin(df: DataFrame) -> DataFrame:
     """Release, folder and file name of each row, by cheap cuts of its file path."""
-    return df.withColumns({
-        "_release": release_of("_file_path"),
-        "_vintage": F.substring_index(F.substring_index(release_of("_file_path"), "/", -2), "/", 1),
-        "_release_name": F.substring_index(release_of("_file_path"), "/", -1),
+    return df.withColumn("_release", release_of("_file_path")).withColumns({
+        "_vintage": F.substring_index(F.substring_index("_release", "/", -2), "/", 1),
+        "_release_name": F.substring_index("_release", "/", -1),
+        "_file_order": file_order("_file_path", "_release"),
     })
 
 
@@ -81,5 +111,5 @@ def harmonise_releases(
     keep = (*ORDER, "_release", "_vintage", "_release_name")
     for group in same.values():
         df = with_origin(read_release(spark, *[r.path for r in group]))
-        frames.append(harmonise(df, layout, lineage(), keep, file="_release", files=len(group)))
+        frames.append(harmonise(df, layout, lineage(), keep, file="_release"))
     return union_all(frames)

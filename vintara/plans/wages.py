@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vintara.config.wages import IGNORED_HEADERS, WAGE_RENAMES
 from vintara.functions.text import quoted
 from vintara.operators.harmonise import resolve_headers, union_all, unmapped_report
-from vintara.plans.releases import Release, read_headers, release_of
+from vintara.plans.releases import Release, read_headers, release_of, report
 from vintara.sources.listing import list_files, main_files, with_vintage
 from vintara.sources.tables import mapping_frame
 
@@ -29,11 +29,11 @@ class Amalgamated:
 
 
 def main_releases(spark: SparkSession, root: str) -> list[Release]:
-    """The main file of each all-digit folder below ``root``."""
-    paths = list_files(spark, root, ["parquet"]).select(
+    """The main file of each all-digit folder below ``root``; a workbook where there is no Parquet."""
+    paths = list_files(spark, root, ["parquet", "xlsx", "xls"]).select(
         release_of("path").alias("path")).distinct()
     yearly = with_vintage(paths).where(F.col("vintage").rlike("^[0-9]+$"))
-    rows = main_files(yearly, ["parquet"]).orderBy(F.col("vintage").cast("int")).select(
+    rows = main_files(yearly, ["parquet", "xlsx", "xls"]).orderBy(F.col("vintage").cast("int")).select(
         "path", "vintage", "filename").collect()
     return [Release(*row) for row in rows]
 
@@ -51,7 +51,11 @@ def amalgamate(
     Headers match exactly. ``mapping(original, final)`` replaces the built-in table. A
     release that cannot be read is reported and skipped.
     """
-    headers, errors = read_headers(spark, main_releases(spark, root))
+    found = main_releases(spark, root)
+    books = {r: "workbook without a Parquet release: convert it first" for r in found if not r.path.endswith(".parquet")}
+    report(books)
+    headers, errors = read_headers(spark, [r for r in found if r not in books])
+    errors |= books
     target = next((s.names for r, s in headers.items() if int(r.vintage) == target_year), None)
     if target is None:
         raise ValueError(f"no main file for {target_year} below {root}")
