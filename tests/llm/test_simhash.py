@@ -49,9 +49,9 @@ def test_query_equals_brute_force(spark):
     assert got == {k: (f"{v:016x}", r) for (k, v), r in zip(items, roots)}
 
 
-@pytest.mark.parametrize("cell", [8, 4096])
-def test_links_connect_what_brute_force_connects(spark, cell, monkeypatch):
-    monkeypatch.setattr(simhash, "CELL", cell)
+@pytest.mark.parametrize("cell,hot", [(8, 100), (8, 0), (4096, 100)])
+def test_links_connect_what_brute_force_connects(spark, cell, hot, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT", hot)
     monkeypatch.setattr(simhash.dealt, "__defaults__", (cell,))
     pick = random.Random(3)
     values = {0, 2**64 - 1}

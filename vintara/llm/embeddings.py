@@ -130,10 +130,13 @@ def _compare(threshold: float, sigmas: float, seed: int):
             left, right = some[i], j
             use = member[right] & (ids[left] != ids[right])
             left, right = left[use], right[use]
+            # a pair that met in an earlier table has been counted there
+            first = np.ones(len(left), bool)
+            for earlier in range(table):
+                first &= keys[left, earlier] != keys[right, earlier]
+            left, right = left[first], right[first]
             hit = np.einsum("ij,ij->i", unit[left], unit[right]) >= threshold
             left, right = left[hit], right[hit]
-            first = ~(keys[left, :table] == keys[right, :table]).any(1)
-            left, right = left[first], right[first]
             np.add.at(count, left, n[right])
             join_labels(label, left, right)
         linked = np.flatnonzero((count > 0) | (label != np.arange(len(unit))))

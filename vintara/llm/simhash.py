@@ -35,6 +35,8 @@ common.by_value(__name__)
 
 #: Members of a cell, on average, before an anchor is dealt out further.
 CELL = 4096
+#: Hot anchors up to which their list (12 bytes each) is sent to the tasks.
+HOT = 100_000
 #: Pairs compared at a time, and shingles counted at a time.
 _PAIRS, _SHINGLES = 1 << 20, 1 << 16
 #: What a row is in its cell.
@@ -206,9 +208,12 @@ def dealt(members: DataFrame, cell: int = CELL) -> DataFrame:
     n * n cells: homes are dealt into n parts, each met by each of n parts of the members.
     """
     hot = members.groupBy("anchor").agg(F.count("*").alias("_n")).where(F.col("_n") > cell)
-    hot = hot.select("anchor", F.ceil(F.col("_n") / cell).cast("int").alias("_parts"))
+    hot = settle(hot.select("anchor", F.ceil(F.col("_n") / cell).cast("int").alias("_parts")))
+    n_hot = hot.count()
     keys = [c for c in members.columns if c not in ("anchor", "home")]
-    rows = lookup_join(members, hot, ["anchor"], "left").withColumn("_part", F.coalesce(
+    # anchors are hot in the rare case: all members are moved for them only if they are very many
+    rows = members.join(F.broadcast(hot), "anchor", "left") if n_hot <= HOT else lookup_join(members, hot, ["anchor"], "left")
+    rows = rows.withColumn("_part", F.coalesce(
         F.pmod(F.xxhash64(*keys), F.col("_parts")).cast("int"), F.lit(0)))
     every = F.sequence(F.lit(0), F.col("_parts") - 1)
     homes = F.transform(every, lambda j: F.struct((F.col("_part") * F.col("_parts") + j).alias("sub"),
