@@ -40,7 +40,7 @@ _BLANK = r"[\x20\x09-\x0D]+"
 
 
 def _words(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(line, _BLANK, -1), ""))
+    return F.array_remove(F.split(line, _BLANK, -1), "")
 
 
 def _id(doc_id: str, text: str) -> list[Column]:
@@ -56,17 +56,21 @@ def frequencies(docs: DataFrame, text: str) -> list[int]:
 
 
 def _rare_first(words: Column, logs: Column) -> Column:
-    """The words as numbers that ascend from rare to frequent."""
-    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda hashes: F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
+    """The different words as numbers that ascend from rare to frequent."""
+    return let(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), lambda hashes: F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
         F.get(logs, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), 52).bitwiseOR(F.shiftrightunsigned(h, 12)))))
 
 
+def _parity(keys: Column) -> Column:
+    """Parity of the keys over 64 places."""
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+
+
 def _sketch(keys: Column, half: int) -> Column:
-    """Parity of the keys over 128 places, halved; the two halves in one where lines are short."""
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
-    mine = lambda k: F.when(F.size(keys) < WIDE, F.lit(half == 0)).otherwise(
-        F.shiftright(k, 6).bitwiseAND(F.lit(1)) == half)
-    return F.aggregate(keys, F.lit(0).cast("long"), lambda acc, k: F.when(mine(k), acc.bitwiseXOR(bit(k))).otherwise(acc))
+    """Parity of the keys over 128 places, halved; over 64 in the first half where lines are short."""
+    mine = _parity(F.filter(keys, lambda k: k.bitwiseAND(F.lit(64)) == 64 * half))
+    return F.when(F.size(keys) >= WIDE, mine).otherwise(_parity(keys) if half == 0 else F.lit(0).cast("long"))
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int]) -> DataFrame:
@@ -85,7 +89,8 @@ def _members(lines: DataFrame) -> DataFrame:
     classes = lines.groupBy("cid").agg(
         F.min(F.struct("doc_id", "line")).alias("at"),
         *[F.any_value(c).alias(c) for c in ("n", "s0", "s1", "prefix")])
-    return classes.select("cid", "at.doc_id", "at.line", "n", "s0", "s1", F.posexplode("prefix").alias("i", "word"))
+    rows = classes.select("cid", "at.doc_id", "at.line", "n", "s0", "s1", F.posexplode("prefix").alias("i", "word"))
+    return rows.where("word IS NOT NULL").repartition("word")  # one shuffle for all that meets by word
 
 
 def _filters(a: dict[str, Column], b: dict[str, Column], threshold: tuple[int, int]) -> tuple[Column, Column, Column]:
@@ -136,7 +141,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, lines: DataFrame, wanted: Dat
     need = F.broadcast(need) if need.count() <= SMALL else need
     found = rows.join(need, F.col("_doc") == F.col("doc")).select(F.explode(F.transform(
         "need", lambda x: F.struct(x["cid"].alias("cid"), F.get("t", x["line"]).alias("t")))).alias("x"))
-    return found.groupBy("x.cid").agg(F.min("x.t").alias("t")).select("cid", _words(F.col("t")).alias("words"))
+    return found.groupBy("x.cid").agg(F.min("x.t").alias("t")).select("cid", F.array_distinct(_words(F.col("t"))).alias("words"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
