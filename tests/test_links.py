@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from vintara.operators import links as w
 
@@ -49,12 +50,12 @@ def test_table_rows(pages):
 
 def test_context(pages):
     got = {r["href"]: (r["block"], r["heading"]) for r in w.link_context(pages).where("href <> 'e.doc'").collect()}
-    assert got["FY2024_x.pdf"] == ("SeeA & Bh2a", "PERM Program")
-    assert got["../c.XLSX"] == ("bc", "PERM Program")
-    assert got["/d.csv"] == ("helloDdd", "PERM Program")  # a heading of annual reports announces nothing
-    assert got["u.xlsx"] == ("onlyu", "H-2B Program")
+    assert got["FY2024_x.pdf"] == ("H-2A Program", "PERM Program")
+    assert got["../c.XLSX"] == (None, "PERM Program")
+    assert got["/d.csv"] == (None, "PERM Program")  # a heading of annual reports announces nothing
+    assert got["u.xlsx"] == (None, "H-2B Program")
     first = w.link_context(pages).where("href = 'e.doc'").orderBy("pos").collect()[0]
-    assert (first["block"], first["heading"]) == ("zzqe", "H-2B Program")
+    assert (first["block"], first["heading"]) == (None, "H-2B Program")
 
 
 def test_discovery(pages):
@@ -71,7 +72,55 @@ def test_nested_headings_and_blocks(frame):
             '<h3>Annual <strong>LCA</strong></h3><a href="3.pdf">z</a>')
     pages = frame([(1, "http://h/", html)], "page_id long, url string, html string")
     got = {r["href"]: (r["block"], r["heading"]) for r in w.link_context(pages).collect()}
-    assert got == {"1.pdf": ("innerx", None), "2.pdf": ("PERMinnerxy", None), "3.pdf": (None, "LCA Program")}
+    assert got == {"1.pdf": (None, None), "2.pdf": ("PERM Program", None), "3.pdf": (None, "LCA Program")}
+
+
+def test_a_closing_tag_ends_what_is_open_inside(frame):
+    html = ('<ul><li>PERM <p>x</li></ul><h3>H-2A data</h3><a href="c.pdf">c</a></div></p>'
+            '<div>LCA <p>one <p>two <a href="d.pdf">d</a></div><a href="e.pdf">e</a>')
+    pages = frame([(1, "http://h/", html)], "page_id long, url string, html string")
+    got = {r["href"]: (r["block"], r["heading"]) for r in w.link_context(pages).collect()}
+    assert got == {"c.pdf": (None, "H-2A Program"), "d.pdf": (None, "H-2A Program"), "e.pdf": (None, "H-2A Program")}
+
+
+def test_nested_tables_lose_no_row(frame):
+    html = ('<table><tr><td>PERM</td><td><table><tr><td>LCA</td><td><a href="in.pdf">i</a></td></tr></table>'
+            '<a href="out.pdf">o</a></td></tr><tr><td>H-2A</td><td><a href="after.pdf">a</a></td></tr></table>'
+            '<tr><td>CW-1</td><td><a href="loose.pdf">l</a></td></tr>')
+    pages = frame([(1, "http://h/", html)], "page_id long, url string, html string")
+    got = {(r["filename"], r["row"], r["program"]) for r in w.table_links(pages).collect()}
+    assert got == {("in.pdf", 1, "LCA Program"), ("out.pdf", 0, "PERM Program"), ("after.pdf", 2, "H-2A Program")}
+    found = {r["filename"]: r["found_in"] for r in w.discover_files(pages).collect()}
+    assert found == {"in.pdf": "table", "out.pdf": "table", "after.pdf": "table", "loose.pdf": "page"}
+
+
+def test_character_references(frame):
+    html = ('<p>H&#45;2A &Eacute;t&#xe9; &amp;lt; &#0;&#xD800; &nosuch; A&B;</p>'
+            '<a href="x&#x2e;pdf">H&#45;2A &lt;&nbsp;</a><a href="a&#x2F;b&#46;pd&#102;">b</a><a href="q&period;csv?x=1&amp;y">c</a>')
+    pages = frame([(1, "http://h/", html)], "page_id long, url string, html string")
+    for found in (w.file_links(pages), w.link_context(pages)):
+        assert [r["href"] for r in found.orderBy("pos").collect()] == ["x.pdf", "a/b.pdf"]
+    links = w.links(pages).orderBy("pos").collect()
+    assert (links[0]["text"], links[2]["href"]) == ("H-2A <\u00a0", "q.csv?x=1&y")
+    text = pages.select(w.unescape(F.col("html")).alias("t")).first()["t"]
+    assert text.startswith("<p>H-2A \u00c9t\u00e9 &lt; \ufffd\ufffd &nosuch; A&B;</p>")
+
+
+def test_many_links_in_one_block_take_linear_time(frame):
+    import time
+
+    from vintara.operators.pagetree import page_links
+
+    def seconds(html):
+        start = time.perf_counter()
+        assert len(page_links(html, lambda h: h.endswith(".pdf"))) == 8000
+        return time.perf_counter() - start
+
+    one = "<div>PERM " + "".join(f'text <a href="f{i}.pdf">{i}</a>' for i in range(8000)) + "</div>"
+    own = "".join(f'<p>text <a href="f{i}.pdf">{i}</a></p>' for i in range(8000))
+    never_closed = "".join(f'<li>text <a href="f{i}.pdf">{i}</a>' for i in range(8000))
+    assert max(seconds(one), seconds(never_closed)) < 20
+    assert seconds(one) < 3 * seconds(own) + 0.2
 
 
 def test_pages_of_any_size_and_none(frame):
@@ -79,7 +128,7 @@ def test_pages_of_any_size_and_none(frame):
     pages = frame([(1, "http://h/", many), (2, "http://h/", None), (3, "http://h/", "")],
                   "page_id long, url string, html string")
     assert w.links(pages).count() == 3000
-    assert w.link_context(pages).where("block LIKE 'PERM%'").count() == 3000
+    assert w.link_context(pages).where("block = 'PERM Program'").count() == 3000
 
 
 def test_markup_that_is_long_or_odd(frame):
@@ -122,6 +171,8 @@ def test_monthly_pages(frame):
 
 
 def test_extraction_does_not_shuffle_and_uses_no_python(pages):
-    for df in (w.links(pages), w.file_links(pages), w.table_links(pages)):
+    for df in (w.links(pages), w.file_links(pages)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Python" not in plan
+    for df in (w.table_links(pages), w.link_context(pages)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()

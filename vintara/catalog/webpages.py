@@ -350,77 +350,81 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- table rows and context ----
 
 
-def pieces_sql(html: str, tag: str) -> str:
-    return (f"list_transform(string_split_regex({html}, '(?i)<{tag}(?:\\s[^>]*)?>')[2:], "
-            f"lambda q: string_split_regex(q, '(?i)</{tag}\\s*>')[1])")
+# Pages that begin with a part whose elements are known: unclosed items and paragraphs, nested tables,
+# references. What is expected of each link follows from how the part is put together.
+
+_TITLE = cases("page_id % 6", _HEADINGS, "'Other'")
+_TITLE_PROGRAM = cases("page_id % 6", ["PERM Program", "", "H-2B Program", "", "CW-1 Program"], "''")
+_ITEM = cases("page_id % 4", _CONTEXT, "'see'")
+_ITEM_TEXT = cases("page_id % 4", ["Released in May 2021:", "h2adata", "prevailing & more"], "'see'")
+_FIRST = cases("page_id % 10", _HREFS, f"'f' || {_N} || '.xlsx'")
+_SECOND = "'/n/' || " + cases("page_id % 5", ["lca", "annual-report", "x_FY2016", "fy 2016 report"], _N) + " || '.pdf'"
+_ROW = cases("page_id % 7", ["PERM", "Other", "LCA <i>x</i>", "annual report"], "'H-2A'")
+_ROW_TEXT = cases("page_id % 7", ["PERM", "Other", "LCAx", "annual report"], "'H-2A'")
+_THIRD, _FOURTH = f"'t' || {_N} || '_2020.xlsx'", cases("page_id % 3", ["cw1", "fy23"], "'z'") + " || '.pdf'"
+PLACED = {"page_id": "page_id", "url": "url", "html": " || ".join([
+    "'<html><body><h3>'", _TITLE, "'</h3><ul class=\"x\"><li>'", _ITEM, "' <a class=\"k\" href=\"'", _FIRST, "'\"> File <b>'", _N,
+    "'</b></a></li><li>next <a href=\"'", _SECOND, "'\">Report</a></ul><p>never closed <table><tr><td> '", _ROW,
+    "' </td><td><a href=\"'", _THIRD, "'\">t</a></td><td><a href=\"'", _FOURTH, "'\">u</a><a href=\"none.html\">v</a></td></tr>'",
+    "'<tr><td>only <a href=\"only.csv\">o</a></td></tr><tr><td>LCA</td><td><table><tr><td>PERM</td><td><a href=\"in'", _N,
+    "'&#46;pdf\">i</a></td></tr></table><a href=\"out'", _N, "'.pd&#102;\">x</a></td></tr><tr><td>H&#45;2A</td><td><a href=\"after'", _N,
+    "'&period;csv\">a</a></td></tr></table><strong>H&#x2d;2B last</strong><div>in <p>p<a href=\"'", _THIRD,
+    "'\">again</a><a href=\"e.doc\">e</a></div></body></html>'", "html"])}
+
+
+def placed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(table(spark, sf_dir, "pages"), PLACED)
+
+
+def _place(pos: int, href: str, block: str = "''", heading: str | None = None, row: int | None = None,
+           nth: int | None = None, cell: str = "NULL") -> str:
+    """What is expected of a link: its block by the block's text, its row by number."""
+    said = heading or f"nullif({_TITLE_PROGRAM}, '')"
+    number = lambda n: "NULL" if n is None else str(n)
+    return (f"{{'pos': {pos}, 'href': {href}, 'block': {program_sql(block)}, 'heading': {said}, "
+            f"'row': {number(row)}::INTEGER, 'nth': {number(nth)}::INTEGER, 'cell': {cell}::VARCHAR}}")
+
+
+_PLACES_OF_LINKS = ", ".join([
+    _place(1, f"replace({_FIRST}, '&amp;', '&')", f"({_ITEM_TEXT} || 'File' || {_N})"),
+    _place(2, _SECOND, "'nextReport'"),
+    _place(3, _THIRD, "'t'", row=0, nth=0, cell=_ROW_TEXT),
+    _place(4, _FOURTH, "'uv'", row=0, nth=1, cell=_ROW_TEXT),
+    _place(5, "'only.csv'", "'onlyo'"),
+    _place(6, f"'in' || {_N} || '.pdf'", "'i'", row=3, nth=0, cell="'PERM'"),
+    _place(7, f"'out' || {_N} || '.pdf'", "'PERMix'", row=2, nth=0, cell="'LCA'"),
+    _place(8, f"'after' || {_N} || '.csv'", "'a'", row=4, nth=0, cell="'H-2A'"),
+    _place(9, _THIRD, "'pagaine'", "'H-2B Program'"),
+    _place(10, "'e.doc'", "'pagaine'", "'H-2B Program'"),
+])
+_PLACED_SQL = f"""(SELECT * FROM (SELECT page_id, base, unnest(x) FROM (
+  SELECT page_id, url AS base, unnest([{_PLACES_OF_LINKS}]) AS x FROM pages)) WHERE {extension_sql('href', 'disclosure')})"""
 
-
-_CELL = unescape_sql(
-    "trim(regexp_replace(replace(cells[1], '&nbsp;', chr(160)), '[\\s\\x{a0}]*<[^>]*>[\\s\\x{a0}]*', '', 'g'), ' ' || chr(160) || chr(10) || chr(9))")
 _TABLE_SQL = f"""(SELECT page_id, "row", nth, filename, coalesce({program_sql('cell', 'filename')}, '{NO_PROGRAM}') AS program,
   {normal_sql('full_url')} AS url, {any_year_sql('filename')} AS "year"
-FROM (SELECT *, {RESOLVED_SQL} AS full_url, regexp_extract(href, '[^/]*$', 0) AS filename FROM (
-  SELECT page_id, base, "row", {_CELL} AS cell, unnest(l).href AS href, cast(generate_subscripts(l, 1) - 1 AS INTEGER) AS nth FROM (
-    SELECT *, flatten(list_transform(cells[2:], lambda c: {anchor_list_sql('c')})) AS l FROM (
-      SELECT page_id, base, "row", {pieces_sql('tr', 'td')} AS cells FROM (
-        SELECT page_id, base, unnest(rs) AS tr, cast(generate_subscripts(rs, 1) - 1 AS INTEGER) AS "row" FROM (
-          SELECT page_id, url AS base, flatten(list_transform({pieces_sql(visible_sql('html'), 'table')}, lambda t: {pieces_sql('t', 'tr')})) AS rs
-          FROM {PAGES_SQL}))) WHERE len(cells) >= 2)) WHERE {extension_sql('href', 'disclosure')})
+FROM (SELECT *, {RESOLVED_SQL} AS full_url, regexp_extract(href, '[^/]*$', 0) AS filename FROM {_PLACED_SQL} WHERE "row" IS NOT NULL)
 WHERE NOT {deprecated_sql('filename', 'cell')})"""
 
 
 @query(f"SELECT * FROM {_TABLE_SQL}")
 def table_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File links in table rows, classified by the row's first cell."""
-    return w.table_links(pages(spark, sf_dir))
-
-
-def _level_sql(name: str, tags: list[str]) -> str:
-    mine = f"tag IN ({', '.join(quote(t) for t in tags)})"
-    return (f"sum(CASE WHEN {mine} THEN CASE WHEN closing THEN -1 ELSE 1 END ELSE 0 END) OVER (PARTITION BY page_id ORDER BY pos) "
-            f"+ CASE WHEN {mine} AND closing THEN 1 ELSE 0 END AS {name}_level, {mine} AND NOT closing AS {name}_opens, "
-            f"{mine} AND closing AS {name}_closes")
-
-
-# Text of an element: the stripped texts whose position lies between its tags.
-_CONTEXT_SQL = f"""
-WITH t AS (
-  SELECT page_id, base, pos, token, lower(regexp_extract(token, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) AS tag,
-         token LIKE '</%' AS closing,
-         CASE WHEN token NOT LIKE '<%' THEN nullif({unescape_sql(strip_sql("replace(token, '&nbsp;', chr(160))"))}, '') END AS txt,
-         CASE WHEN regexp_matches(token, '(?i)^<a\\s') THEN {unescape_sql(f"regexp_replace(regexp_extract(regexp_replace(token, '(?i)^<a{chr(92)}s+', ''), {quote(_HREF)}, 1), '^[{chr(34)}'']|[{chr(34)}'']$', '', 'g')")} END AS href
-  FROM (SELECT page_id, base, unnest(l) AS token, cast(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos
-        FROM (SELECT page_id, url AS base, regexp_extract_all({visible_sql('html')}, '(?s)(<(?:[^>"'']|"[^"]*"|''[^'']*'')*>|[^<]+|<)', 1) AS l FROM {PAGES_SQL}))),
-d AS (SELECT *, {_level_sql('block', w.BLOCKS)}, {_level_sql('heading', w.HEADINGS)} FROM t),
-e AS (SELECT *,
-  max(CASE WHEN block_opens THEN pos END) OVER (PARTITION BY page_id, block_level ORDER BY pos) AS block_from,
-  min(CASE WHEN block_closes THEN pos END) OVER (PARTITION BY page_id, block_level ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS block_to,
-  min(CASE WHEN heading_closes THEN pos END) OVER (PARTITION BY page_id, heading_level ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heading_to
-  FROM d),
-links AS (SELECT *, {extension_sql('href', 'disclosure')} AS ok FROM e WHERE href IS NOT NULL),
-heads AS (SELECT h.page_id, h.pos, coalesce(string_agg(x.txt, '' ORDER BY x.pos), '') AS title FROM e h
-  LEFT JOIN t x ON x.page_id = h.page_id AND x.pos > h.pos AND x.pos < coalesce(h.heading_to, 2000000000) AND x.txt IS NOT NULL
-  WHERE h.heading_opens GROUP BY h.page_id, h.pos),
-says AS (SELECT page_id, pos, program FROM (
-  SELECT *, CASE WHEN NOT contains(lower(title), 'annual') THEN {program_sql('title')} END AS program FROM heads) WHERE program IS NOT NULL),
-blocks AS (SELECT l.page_id, l.pos, coalesce(string_agg(x.txt, '' ORDER BY x.pos), '') AS block FROM links l
-  LEFT JOIN t x ON x.page_id = l.page_id AND x.pos > l.block_from AND x.pos < coalesce(l.block_to, 2000000000) AND x.txt IS NOT NULL
-  WHERE l.ok AND l.block_level > 0 GROUP BY l.page_id, l.pos)
-SELECT l.page_id, l.base, l.pos, l.href, b.block,
-  (SELECT max_by(s.program, s.pos) FROM says s WHERE s.page_id = l.page_id AND s.pos < l.pos) AS heading
-FROM links l LEFT JOIN blocks b ON b.page_id = l.page_id AND b.pos = l.pos WHERE l.ok"""
+    return w.table_links(placed_pages(spark, sf_dir))
+
+
+_CONTEXT_SQL = f"SELECT page_id, base, pos, href, block, heading FROM {_PLACED_SQL}"
 
 
 @query(f"""SELECT page_id, base, href, block, heading, cast(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS nth
 FROM ({_CONTEXT_SQL})""")
 def link_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File links with the text of their block and the program of the heading above."""
+    """File links with the program of their block and of the heading above."""
     order = Window.partitionBy("page_id").orderBy("pos")
-    found = w.link_context(pages(spark, sf_dir))
+    found = w.link_context(placed_pages(spark, sf_dir))
     return found.withColumn("nth", F.row_number().over(order)).drop("pos")
 
 
-_CLASSIFIED_SQL = f"""(SELECT page_id, pos, filename, coalesce({program_sql('filename')}, {program_sql('block')}, heading, '{NO_PROGRAM}') AS program,
+_CLASSIFIED_SQL = f"""(SELECT page_id, pos, filename, coalesce({program_sql('filename')}, block, heading, '{NO_PROGRAM}') AS program,
   {normal_sql('full_url')} AS url, {any_year_sql('filename')} AS "year"
 FROM (SELECT *, {RESOLVED_SQL} AS full_url, regexp_extract(href, '[^/]*$', 0) AS filename FROM ({_CONTEXT_SQL}))
 WHERE NOT {deprecated_sql('filename')})"""
@@ -434,7 +438,7 @@ UNION ALL SELECT page_id, program, "year", url, filename, 'page' FROM (
   QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY pos) = 1)""")
 def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All files each page offers, with program and year."""
-    return w.discover_files(pages(spark, sf_dir))
+    return w.discover_files(placed_pages(spark, sf_dir))
 
 
 _DISCOVERED_SQL = f"""
@@ -446,7 +450,7 @@ UNION ALL SELECT page_id, program, "year", url, filename FROM {_CLASSIFIED_SQL}"
 FROM ({_DISCOVERED_SQL}) GROUP BY program""")
 def links_by_program(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the pages offer by program, in tables and elsewhere."""
-    some = pages(spark, sf_dir)
+    some = placed_pages(spark, sf_dir)
     columns = ["program", "year", "url"]
     both = w.table_links(some).select(*columns).unionByName(w.classified_links(some).select(*columns))
     return both.groupBy("program").agg(
@@ -460,7 +464,7 @@ SELECT program || '/' || "year" AS period, url, program, "year", 'dolstats' AS s
 FROM ({ORACLES['discover_files']}) QUALIFY row_number() OVER (PARTITION BY program, "year", url ORDER BY page_id) = 1""")
 def run_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One candidate per (period, url) over all pages, with its folder."""
-    return candidates(pages(spark, sf_dir)).select(
+    return candidates(placed_pages(spark, sf_dir)).select(
         "period", "url", "program", "year", "source_id", "file_type", "folder")
 
 

@@ -1,14 +1,15 @@
 """Links of stored web pages: extraction, first-seen order and classification.
 
-``pages(page_id, url, html)`` holds one page per row. Anchors and table rows are found with
-array functions inside the row, so extraction needs no shuffle. Only the context of a link
-(enclosing block, preceding heading) needs running state over a page's tokens; those pages
-are shuffled once, before their tokens are exploded.
+``pages(page_id, url, html)`` holds one page per row. Anchors are found with array functions inside
+the row. What encloses a link (table row, block) and the headings before it take a stack of open
+elements: ``pagetree`` reads those pages. Neither needs a shuffle.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from vintara.config.sites import EXTENSIONS, MONTHLY_TEXTS, NO_PROGRAM, YEAR_PAG
 from vintara.functions import names, urls
 from vintara.functions.text import col, strip
 from vintara.operators.dedup import keep_first
+from vintara.operators.pagetree import placed_links
 
 #: Comments, scripts and styles hold no links.
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -26,29 +28,41 @@ _ATTRIBUTE = r"""(?s)([^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))"""
 #: Length that takes the rest of any array.
 _REST = 2_000_000_000
 
-# Character references that occur in link texts and addresses.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&#160;": "\u00a0", "&amp;": "&"}
+def visible(html: Column | str) -> Column:
+    return F.regexp_replace(col(html), _HIDDEN, "")
 
-BLOCKS = ["td", "p", "li", "div"]
-HEADINGS = ["h2", "h3", "h4", "strong", "b"]
 
+#: Named character references: those of HTML 4, and the full stop.
+_NAMED = json.dumps({name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "period": "."})
+_REFERENCE = r"(?=&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});)"
 
-def visible(html: Column | str) -> Column:
-    return F.regexp_replace(col(html), _HIDDEN, "")
+
+def _character(code: Column) -> Column:
+    """The character of a code point; what is none becomes U+FFFD."""
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
 
 
 def unescape(c: Column) -> Column:
-    for reference, char in ENTITIES.items():
-        c = F.replace(c, F.lit(reference), F.lit(char))
-    return c
+    """Character references resolved, each once: decimal, hexadecimal and named ones."""
+    named = F.from_json(F.lit(_NAMED), "map<string,string>")
+
+    def piece(p: Column) -> Column:
+        reference = F.regexp_extract(p, "^&([#A-Za-z0-9]+);", 1)
+        number = F.when(reference.rlike("^#[0-9]{1,7}$"), F.substring(reference, 2, 9).try_cast("long")).when(
+            reference.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(reference, 3, 9), 16, 10).try_cast("long"))
+        found = F.when(number.isNotNull(), _character(number)).otherwise(F.try_element_at(named, reference))
+        return F.when((reference == "") | found.isNull(), p).otherwise(
+            F.concat(found, F.substring(p, F.length(reference) + 3, F.length(p))))
+
+    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, _REFERENCE), piece), "")).otherwise(c)
 
 
 def plain_text(html: Column, squeeze: bool = True) -> Column:
     """Text of a fragment; ``squeeze`` strips every piece between tags before joining."""
     if not squeeze:
         return unescape(F.regexp_replace(html, "<[^>]*>", ""))
-    pieces = F.split(F.replace(html, F.lit("&nbsp;"), F.lit("\u00a0")), "<[^>]*>")
-    return unescape(F.array_join(F.transform(pieces, strip), ""))
+    return F.array_join(F.transform(F.split(html, "<[^>]*>"), lambda p: strip(unescape(p))), "")
 
 
 def _href(tag: Column) -> Column:
@@ -94,8 +108,8 @@ def file_links(pages: DataFrame, kind: str = "disclosure", keep: Sequence[str] =
     ``yearbook`` pages on the path, so a query does not hide the extension.
     """
     extensions = EXTENSIONS[kind]
-    # pages without any such extension are dropped before their markup is taken apart
-    some = pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
+    # pages that hold no such extension, written out or by references, are not taken apart
+    some = pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + r")|&#|&period;"))
     found = links(some, keep=keep).where("href <> ''")
     if kind == "yearbook":
         found = found.withColumn("href", strip("href"))
@@ -167,193 +181,55 @@ def yearbooks(pages: DataFrame) -> DataFrame:
     )
 
 
-# ---- links in table rows ----
+# ---- links in their place on the page ----
 
 
-def _cut(piece: Column, tag: str) -> Column:
-    """The piece up to the closing tag."""
-    return F.element_at(F.split(piece, rf"(?i)</{tag}\s*>", 2), 1)
-
+def table_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
+    """File links in the second and later cells of table rows, classified by the first cell.
 
-def _pieces(html: Column, tag: str) -> Column:
-    """What follows each opening tag, up to its closing tag."""
-    return F.transform(
-        F.slice(F.split(html, rf"(?i)<{tag}(?:\s[^>]*)?>"), 2, _REST), lambda p: _cut(p, tag)
-    )
+    In nested tables a link belongs to the innermost such row.
+    """
+    return _of_rows(placed_links(pages, kind)).select("page_id", "row", "nth", "filename", "program", "url", "year")
 
 
-def table_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
-    """File links in the second and later cells of table rows, classified by the first cell."""
-    extensions = EXTENSIONS[kind]
-    rows = (
-        pages.where(F.col("html").rlike(r"(?i)<table[\s>]"))
-        .select("page_id", F.col("url").alias("base"),
-                F.posexplode_outer(F.flatten(F.transform(
-                    _pieces(visible("html"), "table"), lambda t: _pieces(t, "tr")))).alias("row", "tr"))
-        .where("tr IS NOT NULL")
-        .select("page_id", "base", "row", _pieces(F.col("tr"), "td").alias("cells"))
-        .where(F.size("cells") >= 2)
-    )
-    found = rows.select(
-        "page_id", "base", "row", plain_text(F.element_at("cells", 1)).alias("cell"),
-        F.posexplode_outer(F.flatten(F.transform(
-            F.slice("cells", 2, _REST), lambda cell: anchors_of(cell)))).alias("nth", "a"),
-    ).withColumn("href", F.col("a.href")).where(urls.has_extension("href", extensions))
+def _of_rows(placed: DataFrame) -> DataFrame:
     filename = urls.last_segment("href")
     return (
-        found.withColumn("filename", filename)
+        placed.where("row IS NOT NULL")
+        .withColumn("filename", filename)
         .where(~names.is_deprecated("filename", "cell"))
-        .withColumn("url", urls.resolve_url("base", "href"))
-        .select(
-            "page_id", "row", "nth", "filename",
-            names.program_of_row("cell", "filename").alias("program"),
-            urls.normalise_url("url").alias("url"),
-            names.year_of_file("filename").alias("year"),
-        )
+        .withColumn("program", names.program_of_row("cell", "filename"))
+        .withColumn("url", urls.normalise_url(urls.resolve_url("base", "href")))
+        .withColumn("year", names.year_of_file("filename"))
     )
 
 
-# ---- links in their context ----
-
-
-def _depth(tags: Sequence[str], page: Window, name: str) -> list[tuple[str, Column]]:
-    """Columns for the nesting of some tags: is it an opening or closing one, and its level.
-
-    An opening tag, its content outside deeper tags, and its closing tag share a level.
-    """
-    mine = F.coalesce(F.col("name").isin(list(tags)), F.lit(False))
-    step = F.when(mine & F.col("closing"), -1).when(mine, 1).otherwise(0)
-    depth = F.sum(step).over(page) + F.when(mine & F.col("closing"), 1).otherwise(0)
-    return [
-        (f"{name}_opens", mine & ~F.col("closing")),
-        (f"{name}_closes", mine & F.col("closing")),
-        (f"{name}_level", depth),
-    ]
-
-
-#: Pages are cut in front of these tags; nothing else about their structure matters.
-_MARKS = "|".join([*BLOCKS, *HEADINGS, "a"])
-_CUT = rf"(?i)(?=</?(?:{_MARKS})[\s/>])"
-_MARK = rf"""(?is)^</?(?:{_MARKS})(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-
-
-def _marked(html: Column) -> Column:
-    """Array of (name, closing, href, rest): each mark, its address if it is an anchor, and the
-    markup up to the next mark. What precedes the first mark, and empty elements other than
-    anchors, have no name."""
-    cut = F.transform(F.split(html, _CUT), lambda piece: F.struct(
-        F.regexp_extract(piece, _MARK, 0).alias("tag"), piece.alias("piece")))
-    named = F.transform(cut, lambda c: F.struct(
-        F.lower(F.regexp_extract(c["tag"], r"^</?([A-Za-z0-9]+)", 1)).alias("name"), c["tag"].alias("tag"),
-        # the mark goes up to its closing bracket: the rest starts with a tag of its own, "<>"
-        F.concat(F.lit("<"), F.substring(c["piece"], F.length(c["tag"]) + 1, _REST)).alias("rest"),
-    ))
-    return F.transform(named, lambda n: F.struct(
-        F.when((n["name"] != "") & ((n["name"] == "a") | ~n["tag"].endswith("/")), n["name"]).alias("name"),
-        n["tag"].startswith("</").alias("closing"),
-        F.when((n["name"] == "a") & ~n["tag"].startswith("</"), _href(F.substring(n["tag"], 3, _REST))).alias("href"),
-        n["rest"].alias("rest"),
-    ))
-
-
-def _without_leaves(marks: Column) -> Column:
-    """The marks without blocks that hold no other mark: they enclose nothing that is asked for
-    and leave the nesting of the rest as it is."""
-    def leaf(opening: Column, closing: Column) -> Column:
-        pair = ~opening["closing"] & closing["closing"] & (opening["name"] == closing["name"])
-        return F.coalesce(pair & opening["name"].isin(BLOCKS), F.lit(False))
-
-    return F.filter(marks, lambda mark, i: ~leaf(mark, F.get(marks, i + 1)) & ~leaf(F.get(marks, i - 1), mark))
-
-
 def link_context(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
-    """File links with the text of their nearest enclosing block and the program of the
-    nearest preceding heading that announces one: (page_id, base, pos, href, block, heading).
-
-    The pages that can hold such links are shuffled by id, then cut in front of the tags that
-    matter, and only those tags become rows; every window partitions by the id first, so the
-    rows are never shuffled. A mark's number is also the number of the markup after it, so the text
-    of an element comes from a slice of the page's pieces. These travel once, on a row in front of the marks,
-    and a window hands them to the few rows that need them. All windows are linear in the marks.
-    """
-    extensions = EXTENSIONS[kind]
-    # with a number of partitions: adaptive coalescing goes by size, but the work per byte is high here
-    partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def item(pos: Column, name: Column, closing: Column, href: Column, texts: Column) -> Column:
-        return F.struct(
-            pos.cast("int").alias("pos"), name.cast("string").alias("name"), closing.alias("closing"),
-            href.cast("string").alias("href"), texts.cast("array<string>").alias("texts"))
-
-    none = F.lit(None)
-    is_file = urls.has_extension
-    numbered = F.transform("marks", lambda m, i: item(i, m["name"], m["closing"], m["href"], none))
-    own = (
-        pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + ")"))
-        .select("page_id", F.col("url").alias("base"), "html")
-        .repartition(partitions, "page_id")
-        .withColumn("marks", _marked(visible("html")))
-        .withColumn("texts", F.col("marks.rest"))
-        .withColumn("marks", F.filter(numbered, lambda m: F.coalesce(
-            (m["name"] != "a") | is_file(m["href"], extensions), F.lit(False))))
-        .withColumn("marks", _without_leaves(F.col("marks")))
-    )
-    front = F.array(item(F.lit(-1), none, F.lit(False), none, F.col("texts")))
-    marks = (
-        own.select("page_id", "base", F.explode_outer(F.concat(front, "marks")).alias("item"))
-        .select("page_id", "base", "item.*").withColumn("is_link", F.col("href").isNotNull())
-    )
-    page = Window.partitionBy("page_id").orderBy("pos")
-    depths = [*_depth(BLOCKS, page, "block"), *_depth(HEADINGS, page, "heading")]
-    marks = marks.select("*", *[c.alias(name) for name, c in depths]).drop("name", "closing")
-
-    level = Window.partitionBy("page_id", "block_level").orderBy("pos")
-    marks = marks.withColumn(
-        "block_start", F.last(F.when(F.col("block_opens"), F.col("pos")), ignorenulls=True).over(level))
-    for name in ("block", "heading"):
-        marks = marks.withColumn(f"{name}_end", F.expr(
-            f"lead(CASE WHEN {name}_closes THEN pos END) IGNORE NULLS "
-            f"OVER (PARTITION BY page_id, {name}_level ORDER BY pos)"))
-
-    def between(start: Column, end: Column) -> Column:
-        return plain_text(F.array_join(F.slice("texts", start + 1, F.coalesce(end, F.size("texts")) - start), ""))
-
-    heading = F.when(F.col("heading_opens"), between(F.col("pos"), F.col("heading_end")))
-    block = F.when(F.col("is_link") & (F.col("block_level") > 0), between(F.col("block_start"), F.col("block_end")))
-    return (
-        marks.where("pos < 0 OR is_link OR heading_opens")
-        .withColumn("texts", F.first("texts").over(page))
-        .select("page_id", "base", "pos", "href", "is_link", block.alias("block"), heading.alias("title"))
-        .withColumn("announces", names.heading_program("title"))
-        .withColumn("heading", F.last("announces", ignorenulls=True).over(page))
-        .where("is_link")
-        .select("page_id", "base", "pos", "href", "block", "heading")
-    )
+    """File links with the program that their nearest enclosing block names and the program of the
+    nearest preceding heading that announces one: (page_id, base, pos, href, block, heading)."""
+    return placed_links(pages, kind).select("page_id", "base", "pos", "href", "block", "heading")
 
 
 def classified_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     """File links anywhere on a page, with their program by file name, block or heading."""
+    return _of_pages(placed_links(pages, kind)).select("page_id", "pos", "filename", "program", "url", "year")
+
+
+def _of_pages(placed: DataFrame) -> DataFrame:
     filename = urls.last_segment("href")
     return (
-        link_context(pages, kind)
-        .withColumn("filename", filename)
+        placed.withColumn("filename", filename)
         .where(~names.is_deprecated("filename"))
-        .withColumn("url", urls.resolve_url("base", "href"))
-        .select(
-            "page_id", "pos", "filename",
-            F.coalesce(names.program_of("filename"), names.program_of("block"), "heading",
-                       F.lit(NO_PROGRAM)).alias("program"),
-            urls.normalise_url("url").alias("url"),
-            names.year_of_file("filename").alias("year"),
-        )
+        .withColumn("program", F.coalesce(names.program_of("filename"), "block", "heading", F.lit(NO_PROGRAM)))
+        .withColumn("url", urls.normalise_url(urls.resolve_url("base", "href")))
+        .withColumn("year", names.year_of_file("filename"))
     )
 
 
 def discover_files(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     """All file links of each page: those in tables, then each further url once.
 
-    Both kinds of links are ranked together per (page, url), a group no larger than a page,
-    so the pages are taken apart once for each kind and never joined.
+    Both kinds are ranked together per (page, url), a group no larger than a page's links.
     """
     columns = ["page_id", "program", "year", "url", "filename"]
     in_tables = table_links(pages, kind).select(*columns, F.lit(0).alias("source"), F.lit(0).alias("pos"))

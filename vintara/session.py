@@ -12,6 +12,8 @@ SETTINGS = {
     # split a skewed side even where that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Python workers get pages in batches of bounded size
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # the canonical layouts are wider than the default limit for generated code
     "spark.sql.codegen.maxFields": "300",
     # the JVM never compiles methods above 8000 bytes; Spark's split projections beat one that large
