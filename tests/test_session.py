@@ -46,9 +46,9 @@ def test_tasks_do_not_need_the_package(tmp_path):
     code = f"""
 import sys; sys.path.insert(0, {str(ROOT)!r})
 from pyspark.sql import SparkSession
-import __spark_entry__ as entry
+from vintara.catalog import files
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
 for name in ("zip_members", "xlsx_cells"):
-    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert getattr(files, name)(spark, "/root/testdata/sf0.001").count() > 0
 """
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, capture_output=True, timeout=300)

@@ -1,4 +1,4 @@
-"""Queries over file contents. The files are built from the tables in the tasks."""
+"""Fingerprints of contents; archives and workbooks built from the tables for tests."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vintara.catalog import query, table
 from vintara.sources.archives import zip_members as expand
-from vintara.sources.listing import fingerprint, list_files
+from vintara.sources.listing import fingerprint
 from vintara.sources.workbooks import workbook_cells, workbook_rows
 
 
@@ -52,12 +52,6 @@ def _archives(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": "/z/" + frame["doc_id"].astype(str) + ".zip", "content": content})
 
 
-@query("""
-SELECT '/z/' || cast(doc_id as string) || '.zip' AS path, '/z/' || cast(doc_id as string) AS folder, member,
-  CASE WHEN member IS NOT NULL THEN sha256(body) END AS sha256, member IS NOT NULL AS ok
-FROM (SELECT doc_id, 'text.txt' AS member, text AS body FROM documents WHERE doc_id % 50 <> 7
-      UNION ALL SELECT doc_id, 'meta/' || lang || '.txt', lang FROM documents WHERE doc_id % 50 <> 7
-      UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE doc_id % 50 = 7)""")
 def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of an archive per document, every fiftieth of them damaged."""
     rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
@@ -107,27 +101,6 @@ def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.mapInPandas(_workbooks, "path string, content binary")
 
 
-_HEADS = " UNION ALL ".join(
-    f"SELECT c_custkey, 1 AS r, {i} AS c, '{h}' AS v FROM good" for i, h in enumerate(HEADER))
-
-
-@query(f"""
-WITH good AS (SELECT * FROM customer WHERE c_custkey % 50 <> 7)
-SELECT '/w/' || cast(c_custkey as string) || '.xlsx' AS path, cast(r AS BIGINT) AS "row", cast(c AS INTEGER) AS col, v AS value FROM (
-  {_HEADS}
-  UNION ALL SELECT c_custkey, 2, 0, cast(c_custkey as string) FROM good
-  UNION ALL SELECT c_custkey, 2, 1, c_name FROM good
-  UNION ALL SELECT c_custkey, 2, 3, strftime(DATE '1899-12-30' + cast(43000 + c_custkey % 900 AS INTEGER), '%Y-%m-%d 00:00:00') FROM good
-  UNION ALL SELECT c_custkey, 2, 4, '2017-09-22 12:00:00' FROM good
-  UNION ALL SELECT c_custkey, 2, 5, CASE WHEN c_custkey % 2 = 1 THEN 'True' ELSE 'False' END FROM good
-  UNION ALL SELECT c_custkey, 2, 6, CASE WHEN c_acctbal = floor(c_acctbal) THEN cast(cast(c_acctbal as bigint) as string) ELSE cast(c_acctbal as string) END FROM good)""")
 def xlsx_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filled cells of a workbook per customer; damaged workbooks have none."""
     return workbook_cells(workbook_rows(workbooks(spark, sf_dir)))
-
-
-@query()
-def dir_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files the tables are stored in, with their sizes."""
-    listed = list_files(spark, sf_dir, ["parquet"])
-    return listed.select(F.substring_index("path", "/", -1).alias("filename"), "length")

@@ -14,6 +14,7 @@ from vintara.config.wages import IGNORED_HEADERS, WAGE_RENAMES
 from vintara.functions import names, text, typed
 from vintara.operators import harmonise as h
 from vintara.operators.dedup import keep_first
+from vintara.plans.releases import release_of
 from vintara.sources.listing import main_files, release_files, with_vintage
 from vintara.sources.tables import mapping_table
 
@@ -328,3 +329,25 @@ EMPTY = {
 def all_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns without any value, per file."""
     return h.empty_columns(derive(table(spark, sf_dir, "events"), EMPTY), "file")
+
+
+# ---- paths of release files ----
+
+_ID = "cast(doc_id as string)"
+_RELEASE_PATHS = {
+    "doc_id": "doc_id",
+    "path": "'s3://b/lca.parquet.d/' || cast(2000 + doc_id % 25 as string) || '/' || " + cases("doc_id % 6", [
+        "a.parquet", "a.parquet.v2.parquet", "a.parquet.v2.parquet/part-00007-x.snappy.parquet", "a.parquet/state=CA/year=1/part-0.parquet",
+        "book.xlsx"], f"source || '-' || {_ID} || '.parquet/part-' || {_ID} || '-c000.parquet'"),
+}
+
+
+@query(f"""SELECT doc_id, 's3://b/lca.parquet.d/' || vintage || '/' || filename AS release, vintage, filename, filename LIKE '%.parquet' AS read FROM (
+  SELECT doc_id, cast(2000 + doc_id % 25 as string) AS vintage, {cases("doc_id % 6", [
+      "a.parquet", "a.parquet.v2.parquet", "a.parquet.v2.parquet", "a.parquet", "book.xlsx"], f"source || '-' || {_ID} || '.parquet'")} AS filename
+  FROM documents)""")
+def release_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The release each data file belongs to, and whether it is read or reported."""
+    paths = derive(table(spark, sf_dir, "documents"), _RELEASE_PATHS).withColumn("release", release_of("path"))
+    return with_vintage(paths, "release").select(
+        "doc_id", "release", "vintage", "filename", F.col("release").endswith(".parquet").alias("read"))

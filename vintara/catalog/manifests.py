@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vintara.catalog import cases, derive, derive_sql, query, table
 from vintara.config.sites import FILE_TYPES, SOURCES, STATUSES
 from vintara.operators import manifest as m
+from vintara.plans.acquire import acquire
 
 RUN = "TIMESTAMP '2025-01-01 00:00:00'"
 _USER = "cast(user_id as string)"
@@ -299,6 +300,20 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.registered_entries(m.register_existing(plan, stored), F.expr(RUN))
 
 
+@query(f"""
+SELECT x.period, x.url, CASE WHEN x.verdict = 'download:unseen' AND s.path IS NOT NULL THEN 'registered' ELSE x.outcome END AS outcome,
+  CASE WHEN x.verdict = 'download:unseen' AND s.path IS NOT NULL THEN s.sha256 ELSE x.sha256 END AS sha256,
+  CASE WHEN x.verdict = 'download:unseen' AND s.path IS NOT NULL THEN s.length ELSE x.bytes END AS bytes
+FROM ({_OUTCOME_SQL}) x LEFT JOIN {derive_sql('customer', STORED)} s ON s.path = x.folder || '/' || x.filename""")
+def acquisition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run: planned, what storage holds registered, results applied; what became of each candidate."""
+    offered = candidates(spark, sf_dir).withColumn("saved_path", F.concat_ws("/", "folder", "filename"))
+    run = acquire(
+        offered, snapshot(spark, sf_dir), probe(spark, sf_dir), fetched(spark, sf_dir).where("sha256 <> ''"),
+        derive(table(spark, sf_dir, "customer"), STORED), F.expr(RUN))
+    return run.outcomes.select("period", "url", "outcome", "sha256", "bytes")
+
+
 # ---- the manifest without versions, keyed by url ----
 
 _LOG = {c: MANIFEST[c] for c in ("url", "etag", "last_modified")} | {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -11,19 +10,15 @@ from pyspark.sql import functions as F
 
 from vintara.catalog import derive, query, strip_sql, table
 from vintara.catalog.cleaning import DATE_SQL, number_sql, upper_code_sql
-from vintara.catalog.harmonising import EARLY, FORM, LATE, MIDDLE, RELEASES_SQL, YEAR
+from vintara.catalog.harmonising import DATE, EARLY, FORM, LATE, MIDDLE, RELEASES_SQL, YEAR
 from vintara.config.values import LCA_STATUS, NA_TOKENS
 from vintara.plans.lca import clean_lca, compile_lca
 from vintara.plans.perm import clean_perm, compile_perm
 from vintara.plans.wages import amalgamate
-from vintara.session import shared_folder
+from vintara.session import new_folder
 from vintara.sources.tables import read_csv, write_csv
 
 
-def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/vintara-{uuid.uuid4().hex}"
-
-
 def once_per_session(build: Callable[[SparkSession, str], str]) -> Callable[[SparkSession, str], str]:
     """Write a tree of input files once for a session and tables, then reuse it."""
     written: dict[tuple[str, str], str] = {}
@@ -106,14 +101,14 @@ def form_tree(spark: SparkSession, sf_dir: str) -> str:
         del old["EMP_BUSINESS_NAME"], old["JOB_OPP_PWD_NUMBER"], old["release"]
         new = {name: text for name, text in FORM.items() if name != "release"}
         for name, columns, rows in (("Old_Form", old, own.where("o_orderkey % 2 = 0")), ("New_Form", new, own.where("o_orderkey % 2 = 1"))):
-            columns = {**columns, "CASE_NUMBER": "'g-' || cast(o_orderkey - o_orderkey % 4 as string)", "CASE_STATUS": "o_orderstatus || '-x'"}
+            columns = {**columns, "CASE_NUMBER": "'g-' || cast(o_orderkey - o_orderkey % 4 as string)", "CASE_STATUS": "o_orderstatus || '-x'", "DECISION_DATE": DATE}
             write_release(derive(rows, columns), f"{root}/{year + 25}/PERM_{name}.parquet", "row_no")
     return root
 
 
 _FORMS_SQL = f"""(
 SELECT 'G-' || cast(o_orderkey - o_orderkey % 4 as string) AS case_number, upper(o_orderstatus || '-x') AS case_status,
-  {_FORM_YEAR} AS "year", o_orderkey % 2 AS new_form, o_orderkey, {FORM['EMP_BUSINESS_NAME']} AS emp_business_name,
+  {_FORM_YEAR} AS "year", {DATE} AS decided, o_orderkey % 2 AS new_form, o_orderkey, {FORM['EMP_BUSINESS_NAME']} AS emp_business_name,
   CASE WHEN o_orderkey % 2 = 1 THEN coalesce({FORM['PW_TRACK_NUMBER']}, {FORM['JOB_OPP_PWD_NUMBER']}) ELSE {FORM['PW_TRACK_NUMBER']} END AS pw_track_number,
   CASE WHEN o_orderkey % 2 = 0 OR {_FORM_YEAR} <= '2023' THEN 'OLD' ELSE 'NEW' END AS form_type, upper(o_orderpriority) AS class_of_admission
 FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderkey - o_orderkey % 4 ORDER BY {_FORM_YEAR}, o_orderkey % 2 DESC, o_orderkey) = 1)"""
@@ -126,7 +121,7 @@ def perm_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case_number", "emp_business_name", "pw_track_number", "year", "form_type")
 
 
-@query(f"""SELECT DISTINCT case_number, case_status, CAST(NULL AS TIMESTAMP) AS decision_date, "year", form_type, class_of_admission
+@query(f"""SELECT DISTINCT case_number, case_status, {DATE_SQL.format(c='decided')} AS decision_date, "year", form_type, class_of_admission
 FROM {_FORMS_SQL}""")
 def perm_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Release files of two forms -> cleaned table."""
@@ -187,4 +182,4 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(derive(table(spark, sf_dir, "documents"), {
         "doc_id": "cast(doc_id as string)", "lang": "lang", "source": "source",
         "body": "CASE WHEN doc_id % 5 = 0 THEN 'NULL' ELSE text END"}), path)
-    return read_csv(spark, path, columns=["doc_id", "source", "body"])
+    return read_csv(spark, path, columns=["doc_id", "source", "body"], multi_line=True)

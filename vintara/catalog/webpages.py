@@ -406,6 +406,20 @@ FROM (SELECT *, {RESOLVED_SQL} AS full_url, regexp_extract(href, '[^/]*$', 0) AS
 WHERE NOT {deprecated_sql('filename', 'cell')})"""
 
 
+_MONTHLY = {"page_id": "page_id", "url": "url", "html": " || ".join([
+    "'<a>Monthly Immigrant Visa (IV) Issuances</a><a href=\"/first/'", _N, "'\">see monthly <b>nonimmigrant</b> visa (NIV) issuances</a>'",
+    "CASE WHEN page_id % 3 = 0 THEN '<p>Monthly Immigrant Visa (IV) Issuances</p>' ELSE '<a href=\"iv&#x2F;' || " + _N
+    + " || '\">Monthly Immigrant Visa &#40;IV&#41; Issuances</a>' END", "'<a href=\"/later\">Monthly Nonimmigrant Visa (NIV) Issuances</a>'", "html"])}
+
+
+@query(f"""SELECT page_id, program, {RESOLVED_SQL} AS url FROM (
+  SELECT page_id, url AS base, 'NIV' AS program, '/first/' || {_N} AS href FROM pages
+  UNION ALL SELECT page_id, url, 'IV', 'iv/' || {_N} FROM pages WHERE page_id % 3 <> 0)""")
+def monthly_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first link to each program's page of monthly files."""
+    return w.monthly_pages(derive(table(spark, sf_dir, "pages"), _MONTHLY))
+
+
 @query(f"SELECT * FROM {_TABLE_SQL}")
 def table_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File links in table rows, classified by the row's first cell."""

@@ -53,14 +53,20 @@ def _file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own in the shared one, deleted when the session ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/vintara-{uuid.uuid4().hex}"
+    system, at = _file_system(spark, path)
+    system.deleteOnExit(at)
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
     """The same rows read back from a table in the shared folder: what leads up to them is
     computed once and survives the loss of executors. The table goes when the session ends,
     or when ``release`` is called."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/vintara-{uuid.uuid4().hex}"
-    system, at = _file_system(spark, path)
-    system.deleteOnExit(at)
+    path = new_folder(spark)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._settled_at = path

@@ -12,12 +12,13 @@ from vintara.functions.text import na_to_null, quoted, strip
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-             header: Sequence[str] | None = None) -> DataFrame:
+             header: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
     """CSV as text, missing-value tokens null, only ``columns`` (in file order).
 
-    ``header`` gives the file's columns; without it they are read from its first line.
+    ``header`` gives the file's columns; without it they are read from its first line. A file is
+    split over tasks unless its values hold line breaks (``multi_line``): convert such files once.
     """
-    options = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "nullValue": ""}
+    options = {"header": "true", "multiLine": str(multi_line).lower(), "escape": '"', "quote": '"', "nullValue": ""}
     if header is None:
         header = spark.read.options(**options).csv(path).schema.names
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])

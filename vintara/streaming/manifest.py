@@ -3,7 +3,8 @@
 Rows are planned fetches with their result: the candidate's columns, ``decision``, the
 response's ``sha256``, ``bytes``, ``etag``, ``last_modified`` and ``http_304``, and ``run_at``.
 Each micro-batch writes the next snapshot to its own folder (``snapshot=<n>``), named after
-the batch, so a batch repeated after a failure overwrites its own output and nothing else.
+the batch, so a batch repeated after a failure overwrites its own output and nothing else. The
+last two snapshots stay.
 """
 
 from __future__ import annotations
@@ -22,6 +23,11 @@ def snapshot_path(root: str, number: int) -> str:
     return f"{root}/snapshot={number:010d}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def apply_batches(root: str, first: DataFrame, mode: str = "safe") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function.
 
@@ -31,8 +37,8 @@ def apply_batches(root: str, first: DataFrame, mode: str = "safe") -> Callable[[
     def apply(results: DataFrame, batch: int) -> None:
         spark: SparkSession = results.sparkSession
         held = first if batch == 0 else spark.read.schema(m.MANIFEST).parquet(snapshot_path(root, batch))
-        # one result per entry and batch: the last one
-        one = keep_first(results, m.ENTRY, [F.desc("run_at")])
+        # one result per entry and batch: the last one, of ties always the same
+        one = keep_first(results, m.ENTRY, [F.desc("run_at"), F.desc("sha256"), F.desc("bytes"), F.desc("etag")])
         states = m.entry_states(held).select(
             *m.ENTRY, F.col("held.sha256").alias("held_sha256"), "top_version")
         plan = one.join(states, m.ENTRY, "left").withColumn(
@@ -42,6 +48,8 @@ def apply_batches(root: str, first: DataFrame, mode: str = "safe") -> Callable[[
         entries = m.new_entries(m.fetch_outcomes(planned, fetched, mode), F.col("run_at"))
         run_at = entries.agg(F.max("created_at")).scalar()
         m.apply_entries(held, entries, run_at).write.mode("overwrite").parquet(snapshot_path(root, batch + 1))
+        if batch > 0:  # a repeated batch reads the snapshot before it, never an older one
+            _delete(spark, snapshot_path(root, batch - 1))
 
     return apply
 
