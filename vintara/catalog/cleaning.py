@@ -42,15 +42,16 @@ DATE_SQL = (
     "THEN (DATE '1899-12-30' + try_cast({c} AS INTEGER))::TIMESTAMP END)"
 )
 
-TOKENS = {"doc_id": "doc_id", "cell": cases("doc_id % 25", NA_TOKENS + ["NAN", "NONE"], "text")}
+TOKENS = {"doc_id": "doc_id", "cell": cases("doc_id % 25", NA_TOKENS + ["NAN", "NONE"], "text"), "body": "text"}
 
 
-@query(f"""SELECT doc_id, CASE WHEN cell NOT IN ({listed(NA_TOKENS)}) THEN cell END AS value
+@query(f"""SELECT doc_id, CASE WHEN cell NOT IN ({listed(NA_TOKENS)}) THEN cell END AS value,
+  CASE WHEN body NOT IN ({listed(NA_TOKENS)}) THEN body END AS body
 FROM {derive_sql('documents', TOKENS)}""")
 def na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing-value tokens become null."""
     return derive(table(spark, sf_dir, "documents"), TOKENS).select(
-        "doc_id", text.na_to_null("cell").alias("value"))
+        "doc_id", text.na_to_null("cell").alias("value"), text.na_to_null("body").alias("body"))
 
 
 PADDED = {

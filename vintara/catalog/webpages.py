@@ -270,7 +270,7 @@ ISSUES = {
     "doc_id": "doc_id",
     "text": cases("doc_id % 14", [
         " January  2024", "FY 2023 May", "FY2022", "2021 report", "Sept 2020", "nothing", "10/2019 data", "2018-07 x",
-        "Dec. and Nov 2017", "FY 21 March", "april2020"], "text"),
+        "Dec. and Nov 2017", "FY 21 March", "april2020"], "''") + " || ' ' || text",
     "href": cases("doc_id % 5", ["/a/FY2019-june.pdf", "/x/oct/2016.csv", "/x_2015_jul.pdf"], "'/y.pdf'"),
 }
 
@@ -310,7 +310,7 @@ def month_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLACES = {
     "doc_id": "doc_id",
     "file_type": cases("doc_id % 5", ["monthly", "annual", "dol", "yearbook"], "'uscis'"),
-    "program": "' ' || " + cases("doc_id % 4", ["IV", "PERM: <new>", "a/b|c*d?"], "chr(92) || source || ' \"' || text || '\" '"),
+    "program": "' ' || " + cases("doc_id % 4", ["IV", "PERM: <new>", "a/b|c*d?"], "chr(92) || source || ' \"'") + " || text || '\" '",
     "period": cases("doc_id % 3", ["FY2024-10", "misc"], "cast(2000 + doc_id % 25 as string)"),
     "url": "'https://h/p/' || " + cases("doc_id % 6", ["a.b.xlsx?x=1", "dir/", "?q", "name", "N.PDF"], "source || '.zip'"),
     "version": "cast(doc_id % 4 + 1 as int)",
