@@ -16,7 +16,7 @@ from vintara.operators import harmonise as h
 from vintara.operators.dedup import keep_first
 from vintara.plans.releases import release_of
 from vintara.sources.listing import main_files, release_files, with_vintage
-from vintara.sources.tables import mapping_table
+from vintara.sources.tables import mapping_dict, mapping_table
 
 # ---- orders as yearly releases in three header styles ----
 
@@ -237,9 +237,7 @@ def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(o, f, i) for i, (o, f) in enumerate(_LINES)], "original string, final string, ord int")
     return h.resolve_headers(
         derive(table(spark, sf_dir, "documents"), HEADERS),
-        mapping_table(lines, "original", "final", "ord"),
-        spark.createDataFrame([(t,) for t in _TARGETS], "name string"),
-        spark.createDataFrame(_IGNORED, "year int, name string"),
+        mapping_dict(mapping_table(lines, "original", "final", "ord")), _TARGETS, IGNORED_HEADERS,
     )
 
 

@@ -8,6 +8,7 @@ per file, and everything else needs no extra pass.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -157,38 +158,44 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 # ---- headers as data: all files' headers are one table (year, pos, name) ----
 
 
+def resolve_header(
+    header: Sequence[str], mapping: Mapping[str, str], targets: Sequence[str], ignored: Sequence[str] = ()
+) -> dict[str, str]:
+    """Target -> column of one file's header: the first column that maps to a known target."""
+    found: dict[str, str] = {}
+    for name in header:
+        target = mapping.get(name)
+        if name not in ignored and target in targets:
+            found.setdefault(target, name)
+    return found
+
+
 def resolve_headers(
     headers: DataFrame,
-    mapping: DataFrame,
-    targets: DataFrame,
-    ignored: DataFrame | None = None,
+    mapping: Mapping[str, str],
+    targets: Sequence[str],
+    ignored: Mapping[int, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Header rows with their target and what becomes of them.
 
-    ``headers(year, pos, name)``, ``mapping(original, final)`` with unique originals,
-    ``targets(name)`` and ``ignored(year, name)``. ``outcome`` is ``mapped``,
-    ``duplicate`` (an earlier column of the file has the target), ``no_target`` or
-    ``unmapped``; ignored headers are left out.
+    ``headers(year, pos, name)``; the mapping (original -> final), the target names and the
+    ignored names by year are tables of a few hundred entries, literals of the plan.
+    ``outcome`` is ``mapped``, ``duplicate`` (an earlier column of the file has the target),
+    ``no_target`` or ``unmapped``; ignored headers are left out. Only headers with a known
+    target meet their file's first one, by an aggregate and a join.
     """
-    known = targets.select(F.col("name").alias("target")).distinct().withColumn("known", F.lit(True))
-    if ignored is not None:
-        headers = headers.join(ignored, ["year", "name"], "left_anti")
-    linked = (
-        headers.join(
-            mapping.select(F.col("original").alias("name"), F.col("final").alias("target")), "name", "left")
-        .join(known, "target", "left")
-    )
-    # the smallest position per (year, target): an aggregate, so no window over a header group
-    first = (
-        linked.where("known").groupBy("year", "target").agg(F.min("pos").alias("first_pos"))
-    )
-    return linked.join(first, ["year", "target"], "left").select(
+    skipped = reduce(lambda a, b: a | b, [
+        (F.col("year") == year) & F.col("name").isin(list(names)) for year, names in (ignored or {}).items()], F.lit(False))
+    table = F.from_json(F.lit(json.dumps(dict(mapping))), "map<string,string>")
+    known = F.coalesce(F.col("target").isin(list(targets)), F.lit(False))
+    linked = headers.where(~F.coalesce(skipped, F.lit(False))).select(
+        "year", "pos", "name", F.try_element_at(table, F.col("name")).alias("target"))
+    first = linked.where(known).groupBy("year", "target").agg(F.min("pos").alias("first_pos"))
+    placed = lookup_join(linked.where(known), first, ["year", "target"]).select(
         "year", "pos", "name", "target",
-        F.when(F.col("target").isNull(), "unmapped")
-        .when(F.col("known").isNull(), "no_target")
-        .when(F.col("pos") == F.col("first_pos"), "mapped")
-        .otherwise("duplicate").alias("outcome"),
-    )
+        F.when(F.col("pos") == F.col("first_pos"), "mapped").otherwise("duplicate").alias("outcome"))
+    return placed.unionByName(linked.where(~known).withColumn(
+        "outcome", F.when(F.col("target").isNull(), "unmapped").otherwise("no_target")))
 
 
 def unmapped_report(resolved: DataFrame) -> DataFrame:

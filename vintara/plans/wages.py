@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -11,10 +10,10 @@ from pyspark.sql import functions as F
 
 from vintara.config.wages import IGNORED_HEADERS, WAGE_RENAMES
 from vintara.functions.text import quoted
-from vintara.operators.harmonise import resolve_headers, union_all, unmapped_report
+from vintara.operators.harmonise import resolve_header, resolve_headers, union_all, unmapped_report
 from vintara.plans.releases import Release, read_headers, release_of, report
 from vintara.sources.listing import list_files, main_files, with_vintage
-from vintara.sources.tables import mapping_frame
+from vintara.sources.tables import mapping_dict, mapping_of
 
 
 @dataclass(frozen=True)
@@ -62,22 +61,13 @@ def amalgamate(
     names = spark.createDataFrame(
         [(int(r.vintage), pos, name) for r, s in headers.items() for pos, name in enumerate(s.names)],
         "year int, pos int, name string")
-    resolved = resolve_headers(
-        names,
-        mapping if mapping is not None else mapping_frame(spark, target, renames),
-        spark.createDataFrame([(t,) for t in target], "name string"),
-        spark.createDataFrame(
-            [(y, n) for y, ns in ignored.items() for n in ns], "year int, name string"),
-    )
-    # header rows, not data: a few hundred per release
-    sources: dict[int, dict[str, str]] = defaultdict(dict)
-    for row in resolved.where("outcome = 'mapped'").collect():
-        sources[row["year"]][row["target"]] = row["name"]
+    table = mapping_dict(mapping) if mapping is not None else mapping_of(target, renames)
+    resolved = resolve_headers(names, table, target, ignored)
     missing = F.lit(None).cast("string")
     frames = []
     for release in headers:
         year = int(release.vintage)
-        found = sources[year]
+        found = resolve_header(headers[release].names, table, target, ignored.get(year, ()))
         frames.append(spark.read.parquet(release.path).select(
             *[F.col(quoted(found[t])).cast("string").alias(t) if t in found else missing.alias(t)
               for t in target],

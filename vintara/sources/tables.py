@@ -66,7 +66,11 @@ def mapping_table(rows: DataFrame, original: str, final: str, order: str) -> Dat
     )
 
 
-def mapping_frame(spark: SparkSession, targets: Sequence[str], renames: Mapping[str, str]) -> DataFrame:
+def mapping_of(targets: Sequence[str], renames: Mapping[str, str]) -> dict[str, str]:
     """Every target under its own name, and the renames."""
-    pairs = {**{t: t for t in targets}, **renames}
-    return spark.createDataFrame(list(pairs.items()), "original string, final string")
+    return {**{t: t for t in targets}, **renames}
+
+
+def mapping_dict(mapping: DataFrame) -> dict[str, str]:
+    """A mapping table (a few hundred rows) as a dictionary."""
+    return {row["original"]: row["final"] for row in mapping.select("original", "final").collect()}
