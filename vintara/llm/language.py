@@ -178,19 +178,20 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
         known(declared).alias("declared"), known(suffix).alias("suffix"), known(host).alias("host"),
         model.scores(F.col(text)).alias("s"))
     scored = settle(scored.withColumn("text_p", _softmax(F.col("s"))))
-    every = _sums(scored, [], k, "all_n")
+    # a number for each class: literals of what follows
+    every = [float(x or 0) for x in _sums(scored, [], k, "all_n").first()["all_n"]]
     # chances given each class: of being declared as something, and of living under a suffix
     facts = {}
     for fact in ("declared", "suffix"):
         sums = _sums(scored.where(F.col(fact).isNotNull()), [fact], k, "n")
-        totals = sums.agg(*[F.sum(F.get("n", F.lit(i))).alias(f"_{i}") for i in range(k)], F.count("*").alias("kinds"))
-        facts[fact] = lookup_join(sums.withColumn("_k", F.lit(1)), totals.withColumn("_k", F.lit(1)), ["_k"], "inner").select(
-            fact, F.array(*[F.ln((F.get("n", F.lit(i)) + 1) / (F.col(f"_{i}") + F.col("kinds") + 1)) for i in range(k)])
+        *totals, kinds = sums.agg(*[F.sum(F.get("n", F.lit(i))) for i in range(k)], F.count("*")).first()
+        facts[fact] = sums.select(
+            fact, F.array(*[F.ln((F.get("n", F.lit(i)) + 1) / ((totals[i] or 0.0) + kinds + 1)) for i in range(k)])
             .alias(f"{fact}_ln"), F.col("n").alias(f"{fact}_n"))
     hosts = _sums(scored.where("host IS NOT NULL"), ["host"], k, "host_n")
     found = lookup_join(lookup_join(lookup_join(scored, facts["declared"].drop("declared_n"), ["declared"]),
                                     facts["suffix"], ["suffix"]), hosts, ["host"])
-    found = found.withColumn("_k", F.lit(1)).join(every.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    found = found.withColumn("all_n", F.array(*[F.lit(x) for x in every]))
     even = F.array(*[F.lit(1.0 / k)] * k)
     # no row vouches for itself: its own text leaves the counts
     own = lambda c: F.transform(F.col(c), lambda x, i: F.greatest(F.lit(0.0), x - F.get("text_p", i)))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from vintara.llm.common import let, packed, unpacked
+from vintara.llm.common import BLANKS, let, packed, unpacked
 from vintara.operators.joins import lookup_join
 from vintara.session import settle
 
@@ -78,19 +78,22 @@ def lines_of(docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int]
     num, den = threshold
     logs = F.split(F.lit(",".join(map(str, frequencies(docs, text)))), ",").cast("array<bigint>")
     rows = docs.select(*_id(doc_id, text), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line", "t"))
+    rows = rows.where(F.length(F.translate("t", BLANKS, "")) > 0)
     found = let(_rare_first(_words(F.col("t")), logs), lambda keys: F.struct(
         F.xxhash64(keys).alias("cid"), F.size(keys).alias("n"), _sketch(keys, 0).alias("s0"), _sketch(keys, 1).alias("s1"),
         F.slice(keys, 1, F.size(keys) - F.floor((num * F.size(keys) + den - 1) / den).cast("int") + 1).alias("prefix")))
-    return rows.withColumn("c", found).select("doc_id", "doc_h", "line", "c.*").where("n > 0")
+    return rows.withColumn("c", found).select("doc_id", "doc_h", "line", "c.*")
 
 
 def _members(lines: DataFrame) -> DataFrame:
     """A row for each class and word of its prefix; ``at`` is the class's first place."""
     classes = lines.groupBy("cid").agg(
         F.min(F.struct("doc_id", "line")).alias("at"),
-        *[F.any_value(c).alias(c) for c in ("n", "s0", "s1", "prefix")])
+        *[F.min(c).alias(c) for c in ("n", "s0", "s1", "prefix")])  # the same in all rows of a class
     rows = classes.select("cid", "at.doc_id", "at.line", "n", "s0", "s1", F.posexplode("prefix").alias("i", "word"))
-    return rows.where("word IS NOT NULL").repartition("word")  # one shuffle for all that meets by word
+    # one shuffle for all that meets by word; no column is null, and saying so keeps it one
+    some = " AND ".join(f"{c} IS NOT NULL" for c in ("word", "cid", "line", "n", "s0", "s1"))
+    return rows.where(some).repartition("word")
 
 
 def _filters(a: dict[str, Column], b: dict[str, Column], threshold: tuple[int, int]) -> tuple[Column, Column, Column]:
