@@ -155,3 +155,10 @@ def test_reports(spark):
     assert m.missing_files(held).collect()[0]["id"] == "qb1"
     assert [r["url"] for r in m.active_files(held, "s").collect()] == ["a", "b"]
     assert tuple(m.active_by_source(held).collect()[0]) == ("s", "dol", 2)
+
+
+def test_a_file_listed_twice_changes_no_row(spark):
+    rows = spark.createDataFrame([("a", "active", None), ("b", "active", None)], "saved_path string, status string, updated_at timestamp")
+    listing = spark.createDataFrame([("a",), ("a",)], "path string")
+    got = m.reconcile(rows, listing, F.current_timestamp()).collect()
+    assert sorted((r["saved_path"], r["status"]) for r in got) == [("a", "active"), ("b", "missing")]

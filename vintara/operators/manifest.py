@@ -126,12 +126,19 @@ def constraint_violations(manifest: DataFrame) -> DataFrame:
 # ---- storage ----
 
 
+def _stored_files(listing: DataFrame) -> DataFrame:
+    """(saved_path, bytes, sha256) of a listing, once for each path even if it was listed twice."""
+    file = F.max(F.struct("length", "sha256"))
+    return listing.groupBy(F.col("path").alias("saved_path")).agg(file.alias("f")).select(
+        "saved_path", F.col("f.length").alias("bytes"), "f.sha256")
+
+
 def reconcile(manifest: DataFrame, listing: DataFrame, run_at: Column) -> DataFrame:
     """Next snapshot: active files that storage no longer holds become ``missing``.
 
-    ``listing(path)`` holds each file found once.
+    ``listing(path)`` holds the files found; one listed twice counts once.
     """
-    found = listing.select(F.col("path").alias("saved_path"), F.lit(True).alias("_found"))
+    found = listing.select(F.col("path").alias("saved_path")).distinct().withColumn("_found", F.lit(True))
     joined = lookup_join(manifest, found, ["saved_path"])
     lost = (F.col("status") == "active") & F.col("_found").isNull()
     return joined.withColumns({
@@ -236,7 +243,7 @@ def plan_by_url(candidates: DataFrame, manifest: DataFrame, probe: DataFrame, li
         F.col("etag").alias("_etag"), F.col("last_modified").alias("_last_modified"),
     )
     owned = manifest.select("saved_path").distinct().withColumn("_owned", F.lit(True))
-    stored = listing.select(F.col("path").alias("saved_path"), F.lit(True).alias("_stored"))
+    stored = listing.select(F.col("path").alias("saved_path")).distinct().withColumn("_stored", F.lit(True))
     seen = probe.select(
         "url", F.coalesce(F.col("http_ok"), F.lit(False)).alias("_ok"),
         _text("etag").alias("_new_etag"), _text("last_modified").alias("_new_modified"),
@@ -277,8 +284,7 @@ def register_existing(plan: DataFrame, listing: DataFrame) -> DataFrame:
     ``plan`` is a fetch plan whose candidates carry ``saved_path``; ``listing(path, length,
     sha256)`` holds each stored file once.
     """
-    files = listing.select(F.col("path").alias("saved_path"), F.col("length").alias("bytes"), "sha256")
-    return lookup_join(plan.where("reason = 'unseen'"), files, ["saved_path"], "inner")
+    return lookup_join(plan.where("reason = 'unseen'"), _stored_files(listing), ["saved_path"], "inner")
 
 
 def fetch_outcomes(
@@ -296,8 +302,7 @@ def fetch_outcomes(
     same = F.coalesce(F.col("held_sha256") == F.col("sha256"), F.lit(False)) & F.lit(mode == "safe")
     outcome = F.when(F.col("decision") == "skip", "skipped")
     if listing is not None:
-        stored = listing.select(
-            F.col("path").alias("saved_path"), F.struct(F.col("length").alias("bytes"), "sha256").alias("_stored"))
+        stored = _stored_files(listing).select("saved_path", F.struct("bytes", "sha256").alias("_stored"))
         rows = lookup_join(rows, stored, ["saved_path"])
         outcome = outcome.when((F.col("reason") == "unseen") & F.col("_stored").isNotNull(), "registered")
     outcome = (
