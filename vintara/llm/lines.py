@@ -12,9 +12,9 @@ to the first of them by the sketch are compared with that one only: if it matche
 whatever else they match; the few for which it does not are joined again without that shortcut. So
 no group of similar lines gives all its pairs, and none is lost.
 
-All of it is DataFrame expressions. The driver gets one thing, the number of words in each of
-``BUCKETS`` buckets, by which rarity is ordered: a frequent word is never taken for a rare one.
-Words meet by 64-bit hashes, sets by 64-bit hashes of those.
+All of it is DataFrame expressions. The driver gets one thing, a byte for each of ``BUCKETS`` buckets
+that tells how many words fall into it, by which rarity is ordered: a frequent word is never taken
+for a rare one. Words meet by 64-bit hashes, sets by 64-bit hashes of those.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from vintara.session import settle
 
 #: Similarity of at least this fraction.
 THRESHOLD = (4, 5)
-BUCKETS = 1 << 13
+BUCKETS = 1 << 20
 #: Words from which a line's sketch has 128 bits, not 64.
 WIDE = 96
 #: Rows up to which documents to look at again are sent to the tasks instead of shuffling texts.
@@ -47,18 +47,27 @@ def _id(doc_id: str, text: str) -> list[Column]:
     return [F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("doc_h")]
 
 
-def frequencies(docs: DataFrame, text: str) -> list[int]:
-    """Logarithm of the number of words in each bucket, over all texts."""
+def frequencies(docs: DataFrame, text: str) -> bytes:
+    """Logarithm of the number of words in each bucket, over all texts: a printable byte each."""
     words = docs.select(F.explode(F.split(F.col(text), _BLANK, -1)).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count().collect()
-    found = {r.b: r["count"] for r in counts}
-    return [int(32 * math.log2(1 + found.get(b, 0))) for b in range(BUCKETS)]
+    counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).count()
+    every = docs.sparkSession.range(BUCKETS).join(counts, F.col("id") == F.col("b"), "left")
+    level = F.least(F.lit(94), F.floor(3 * F.log2(1 + F.coalesce("count", F.lit(0)))))
+    pieces = every.groupBy((F.col("id") / 4096).cast("int").alias("p")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", F.char(32 + level).alias("c")))), lambda x: x["c"]), "")
+        .alias("s")).collect()
+    return "".join(r.s for r in sorted(pieces)).encode("ascii")
 
 
-def _rare_first(words: Column, logs: Column) -> Column:
+def _bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def _rare_first(words: Column, levels: bytes) -> Column:
     """The different words as numbers that ascend from rare to frequent."""
-    return let(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), lambda hashes: F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
-        F.get(logs, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), 52).bitwiseOR(F.shiftrightunsigned(h, 12)))))
+    level = lambda h: F.ascii(F.substring(F.lit(levels), _bucket(h) + 1, 1).cast("string")).cast("long")
+    return let(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), lambda hashes: F.sort_array(
+        F.transform(hashes, lambda h: F.shiftleft(level(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))))
 
 
 def _parity(keys: Column) -> Column:
@@ -76,10 +85,10 @@ def _sketch(keys: Column, half: int) -> Column:
 def lines_of(docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int]) -> DataFrame:
     """Each line with a word: its place, class, size, sketches and prefix, rare words first."""
     num, den = threshold
-    logs = F.split(F.lit(",".join(map(str, frequencies(docs, text)))), ",").cast("array<bigint>")
+    levels = frequencies(docs, text)
     rows = docs.select(*_id(doc_id, text), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line", "t"))
     rows = rows.where(F.length(F.translate("t", BLANKS, "")) > 0)
-    found = let(_rare_first(_words(F.col("t")), logs), lambda keys: F.struct(
+    found = let(_rare_first(_words(F.col("t")), levels), lambda keys: F.struct(
         F.xxhash64(keys).alias("cid"), F.size(keys).alias("n"), _sketch(keys, 0).alias("s0"), _sketch(keys, 1).alias("s1"),
         F.slice(keys, 1, F.size(keys) - F.floor((num * F.size(keys) + den - 1) / den).cast("int") + 1).alias("prefix")))
     return rows.withColumn("c", found).select("doc_id", "doc_h", "line", "c.*")
@@ -189,6 +198,15 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.sort_array(F.collect_set(F.when(F.col("out"), F.col("line")))).alias("removed"))
 
 
+def removed_by_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                   threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """The same for every row of the documents; one without words has no lines."""
+    found = removed_lines(docs, doc_id, text, threshold)
+    rows = lookup_join(docs.select(*_id(doc_id, text)), found, ["doc_id", "doc_h"])
+    return rows.select("doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+                       F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+
+
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """The documents without the lines that match an earlier one; other columns stay.

@@ -61,8 +61,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = lines.removed_lines(docs)
+    found = lines.removed_by_row(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
