@@ -65,9 +65,10 @@ def _bucket(h: Column) -> Column:
 
 def _rare_first(words: Column, levels: bytes) -> Column:
     """The different words as numbers that ascend from rare to frequent."""
-    level = lambda h: F.ascii(F.substring(F.lit(levels), _bucket(h) + 1, 1).cast("string")).cast("long")
+    # folded to a literal array once; an element of it is found at once, unlike a map's
+    table = F.split(F.lit(",".join(str(b) for b in levels)), ",").cast("array<int>")
     return let(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), lambda hashes: F.sort_array(
-        F.transform(hashes, lambda h: F.shiftleft(level(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))))
+        F.transform(hashes, lambda h: F.shiftleft(F.get(table, _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))))
 
 
 def _parity(keys: Column) -> Column:
