@@ -95,15 +95,16 @@ def lines_of(docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int]
     return rows.withColumn("c", found).select("doc_id", "doc_h", "line", "c.*")
 
 
-def _members(lines: DataFrame) -> DataFrame:
-    """A row for each class and word of its prefix; ``at`` is the class's first place."""
+def _members(lines: DataFrame, words: DataFrame | None = None) -> DataFrame:
+    """A row for each class and word of its prefix, at the class's first place; of some ``words`` only."""
     classes = lines.groupBy("cid").agg(
         F.min(F.struct("doc_id", "line")).alias("at"),
         *[F.min(c).alias(c) for c in ("n", "s0", "s1", "prefix")])  # the same in all rows of a class
     rows = classes.select("cid", "at.doc_id", "at.line", "n", "s0", "s1", F.posexplode("prefix").alias("i", "word"))
     # one shuffle for all that meets by word; no column is null, and saying so keeps it one
     some = " AND ".join(f"{c} IS NOT NULL" for c in ("word", "cid", "line", "n", "s0", "s1"))
-    return rows.where(some).repartition("word")
+    rows = rows.where(some)
+    return (rows if words is None else rows.join(words, "word", "left_semi")).repartition("word")
 
 
 def _filters(a: dict[str, Column], b: dict[str, Column], threshold: tuple[int, int]) -> tuple[Column, Column, Column]:
@@ -187,7 +188,10 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     gone = found.where("match").select(F.col("late").alias("cid")).distinct()
     unsure = settle(found.where("close AND NOT match").select(F.col("late").alias("cid")).distinct().join(gone, "cid", "left_anti"))
     if not unsure.isEmpty():
-        again = check(_join(lookup_join(members, unsure, ["cid"], "left_semi"), members, threshold)
+        own = settle(lines.join(F.broadcast(unsure) if unsure.count() <= SMALL else unsure, "cid", "left_semi")
+                     .select(F.explode("prefix").alias("word")).distinct())
+        some = _members(lines, F.broadcast(own) if own.count() <= SMALL else own)  # others cannot meet them
+        again = check(_join(lookup_join(some, unsure, ["cid"], "left_semi"), some, threshold)
                       .distinct().withColumn("close", F.lit(False)))
         gone = gone.union(again.where("match").select(F.col("late").alias("cid")).distinct())
     gone = gone.withColumn("gone", F.lit(True))
