@@ -106,3 +106,50 @@ def test_odd_rows(spark, model):
     got = language.identify(frame, model, host="host", keep=("doc_id", "s", "_p"))
     assert got.count() == 5 and {r.s for r in got.collect()} == {"x"}
     assert language.identify(frame.limit(0), model, host="host", keep=("doc_id",)).count() == 0
+
+
+def _languages(spark, n, each):
+    """``each`` documents in each of ``n`` made-up languages, whose words share no letters' order."""
+    import random
+    pick, rows = random.Random(7), []
+    for i in range(n):
+        words = ["".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(pick.randrange(2, 8))) for _ in range(60)]
+        rows += [(100_000 + i * each + j, " ".join(pick.choice(words) for _ in range(150)), f"X{i:02}") for j in range(each)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_every_language_has_a_model(spark, docs):
+    """More languages than 32, each with less than a hundredth of the texts."""
+    more = _languages(spark, 45, 3)
+    every = docs.select("doc_id", "text", "lang").union(more)
+    model = language.fit(every)
+    assert model.languages == sorted(["de", "en", "es", "fr", *[f"x{i:02}" for i in range(45)]])
+    got = {r.doc_id: r for r in language.identify(every, model, declared="lang", keep=("doc_id",)).collect()}
+    assert all(got[r.doc_id].kept and got[r.doc_id].lang == r.lang.lower() for r in more.collect())
+    assert sum(got[r.doc_id].kept and got[r.doc_id].lang == r.lang for r in docs.collect()) >= 0.98 * docs.count()
+
+
+def test_a_language_too_rare_for_one_draw(spark, docs):
+    """One document among more others than a model is fitted on; its texts are the lowest hashes of its own language."""
+    rare = _languages(spark, 1, 1)
+    model = language.fit(docs.select("doc_id", "text", "lang").union(rare), sample=1)
+    assert model.languages == ["de", "en", "es", "fr", "x00"]
+
+
+def test_lowest_hashes_of_each_language(spark):
+    import random
+    pick = random.Random(3)
+    rows = [("abc"[i % 3] if i % 50 else "d", pick.randrange(-2**63, 2**63)) for i in range(3000)]
+    rows += [("e", -2**63), ("e", 2**63 - 1), ("e", 0)]
+    got = sorted(tuple(r) for r in language._lowest(spark.createDataFrame(rows, "lang string, h long"), 100).select("lang", "h").collect())
+    assert got == sorted((k, h) for k in "abcde" for h in sorted(h for x, h in rows if x == k)[:100])
+
+
+def test_declared_without_a_model_is_undecided(spark, model):
+    import random
+    pick = random.Random(1)
+    noise = "".join(chr(pick.randrange(0x21, 0x2FF)) for _ in range(400))
+    rows = [(0, noise, "Xx"), (1, noise, "en"), (2, noise, None), (3, "the house by the river was old and the door was open", "xx")]
+    frame = spark.createDataFrame(rows, "id long, text string, declared string")
+    got = {r.id: (r.lang, r.kept) for r in language.identify(frame, model, declared="declared", keep=("id",)).collect()}
+    assert got == {0: (None, True), 1: (language.NONE, False), 2: (language.NONE, False), 3: ("en", True)}

@@ -2,15 +2,16 @@
 
 What is known of a row is multiplied: the likelihood of its text, of the language its markup
 declares, and of the suffix of its address, given each language, with a prior of its host. Text
-models are byte trigrams, fitted on a bounded sample of rows whose language is known. Everything
-else comes from all rows by grouped aggregation of what their texts alone say: how often a language
+models are byte trigrams, one for every language that a row is labelled with, fitted on a bounded
+number of its texts. Everything else comes from all rows by grouped aggregation of what their texts alone say: how often a language
 is declared as which, which suffixes it lives under, and the languages of each host, smoothed
 towards its suffix and that towards all rows. A row's own text is taken out of its host's counts.
 
 A text counts as ``strength`` independent trigrams at most, by its mean over the whole text: trigrams
 of a text depend on each other, and without that no other evidence could ever matter. One more
 class, of trigrams drawn evenly, stands for what is no language; a row for which it is most
-probable, or no language reaches ``least``, is rejected.
+probable, or no language reaches ``least``, is rejected, unless it declares a language that has no
+model: nothing here speaks against that, and it stays undecided.
 
 Texts are scored where they are; only counts by host, suffix and declared language move, after
 partial aggregation, and a host with a third of all rows is a key of an aggregate and of a join
@@ -25,6 +26,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vintara.llm import common
@@ -33,21 +35,22 @@ from vintara.session import settle
 
 common.by_value(__name__)
 
-#: Rows that the text models are fitted on, at most; trigrams are hashed to this many numbers; languages, the
-#: most frequent ones of those rows.
-SAMPLE, TRIGRAMS, LANGUAGES = 4000, 1 << 14, 32
+#: Texts that the model of a language is fitted on, at most; trigrams are hashed to this many numbers.
+SAMPLE, TRIGRAMS = 1000, 1 << 14
 #: Trigrams of a text that count as independent; rows a prior counts for, as the next wider one.
 STRENGTH, PRIOR_ROWS = 60.0, 5.0
 #: The class of what is no language.
 NONE = "und"
 _STEP = 1 << 20
+#: Log likelihoods looked up at a time, trigrams by classes.
+_CELLS = 1 << 23
 
 
-def _trigrams(text: bytes) -> Iterator[np.ndarray]:
+def _trigrams(text: bytes, step: int = _STEP) -> Iterator[np.ndarray]:
     """Hashed byte trigrams of a text in lower case, a blank around it, some at a time."""
     data = np.frombuffer(b" " + text.lower() + b" ", np.uint8)
-    for at in range(0, len(data) - 2, _STEP):
-        part = data[at:at + _STEP + 2].astype(np.uint32)
+    for at in range(0, len(data) - 2, step):
+        part = data[at:at + step + 2].astype(np.uint32)
         yield (part[:-2] * np.uint32(0x9E3779B1) ^ part[1:-1] * np.uint32(0x85EBCA77) ^ part[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(18)
 
 
@@ -82,7 +85,7 @@ class TextModel:
     def score(self, text: bytes) -> list[float]:
         """Mean log likelihood by class, times the number of trigrams that count."""
         total, n = np.zeros(self.table.shape[1]), 0
-        for part in _trigrams(text):
+        for part in _trigrams(text, max(1, _CELLS // len(total))):
             total += self.table[part].sum(0, dtype=np.float64)
             n += len(part)
         return (total / max(1, n) * min(n, STRENGTH)).tolist() if text.strip() else [0.0] * len(total)
@@ -99,28 +102,45 @@ class TextModel:
         return scored(text)
 
 
+def _lowest(texts: DataFrame, sample: int) -> DataFrame:
+    """The ``sample`` lowest hashes ``h`` of each ``lang``, one row for each.
+
+    Hashes are counted by the power of two they lie below; of a language only the powers that hold
+    its lowest ones, about twice as many at most, are put in order.
+    """
+    power = F.floor(-F.log2((F.col("h").cast("double") + 2.0 ** 63 + 1024) / 2.0 ** 64))
+    texts = texts.withColumn("power", F.greatest(power, F.lit(0)))
+    counted = texts.groupBy("lang", "power").agg(F.count("*").alias("n"))
+    lower = F.sum("n").over(W.partitionBy("lang").orderBy(F.desc("power"))) - F.col("n")
+    least = counted.withColumn("lower", lower).where(F.col("lower") < sample).groupBy("lang").agg(F.min("power").alias("least"))
+    near = texts.join(F.broadcast(least), "lang").where("power >= least")  # a row for each language
+    place = F.row_number().over(W.partitionBy("lang").orderBy("h"))
+    return near.withColumn("place", place).where(F.col("place") <= sample).select("lang", "h")
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """Trigram models of the languages in ``lang``, from ``sample`` rows at most.
+    """Trigram models of all languages in ``lang``, each from ``sample`` texts at most.
 
-    The driver gets ``LANGUAGES`` times ``TRIGRAMS`` counts at most.
+    The driver gets ``TRIGRAMS`` counts at most of each language, and keeps 64 KB of it.
 
-    The rows are those whose text hashes lowest, the same on every run; copies of a text count
-    once. Each language's counts are smoothed by half a trigram of each kind.
+    The texts are those of a language that hash lowest, the same on every run; copies of a text
+    count once. Each language's counts are smoothed by half a trigram of each kind.
     """
     rows = common.tuned(labelled).select(F.col(text).alias("text"), F.lower(lang).alias("lang"))
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
-    chosen = rows.select("h").distinct().orderBy("h").limit(sample)
-    some = rows.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("text").alias("text"), F.min("lang").alias("lang"))
-    counted = settle(some.select("lang", trigram_counts(F.col("text")).alias("g")))
-    common_ones = counted.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    counts = (counted.join(F.broadcast(common_ones), "lang").select("lang", F.explode("g").alias("g"))
-              .select("lang", "g.gram", "g.n").groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect())
-    languages = sorted({r.lang for r in counts})
-    table = np.full((TRIGRAMS, len(languages) + 1), 0.5)
-    for r in counts:
-        table[r.gram, languages.index(r.lang)] += r.n
-    table[:, -1] = 1.0
-    return TextModel(languages, np.log(table / table.sum(0)).astype(np.float32))
+    chosen = _lowest(settle(rows.groupBy("h").agg(F.min("lang").alias("lang"))), sample)
+    some = rows.select("h", "text").join(F.broadcast(chosen), "h").groupBy("h", "lang").agg(F.min("text").alias("text"))
+    counts = (some.select("lang", F.explode(trigram_counts(F.col("text"))).alias("g")).select("lang", "g.gram", "g.n")
+              .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+              .groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("g")).select("lang", "g.gram", "g.n")).toArrow()
+    languages = sorted(counts["lang"].to_pylist())
+    table = np.empty((TRIGRAMS, len(languages) + 1), np.float32)
+    table[:, -1] = -math.log(TRIGRAMS)
+    for lang_, gram, n in zip(counts["lang"].to_pylist(), counts["gram"], counts["n"]):
+        own = np.full(TRIGRAMS, 0.5)
+        own[gram.values.to_numpy()] += n.values.to_numpy()
+        table[:, languages.index(lang_)] = np.log(own / own.sum())
+    return TextModel(languages, table)
 
 
 def _softmax(scores: Column) -> Column:
@@ -169,7 +189,8 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
     """The columns ``keep`` with ``lang``, ``probability`` and ``kept`` of each row.
 
     Null evidence, or none named, leaves the rest to decide; a text without anything in it says
-    nothing about any class. Rows that share a host with no other have the suffix's prior.
+    nothing about any class. Rows that share a host with no other have the suffix's prior. An
+    undecided row, not to be rejected for a language without a model, is kept with a null ``lang``.
     """
     k, classes = len(model.classes), model.classes
     known = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
@@ -185,9 +206,9 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
     for fact in ("declared", "suffix"):
         sums = _sums(scored.where(F.col(fact).isNotNull()), [fact], k, "n")
         *totals, kinds = sums.agg(*[F.sum(F.get("n", F.lit(i))) for i in range(k)], F.count("*")).first()
-        facts[fact] = sums.select(
-            fact, F.array(*[F.ln((F.get("n", F.lit(i)) + 1) / ((totals[i] or 0.0) + kinds + 1)) for i in range(k)])
-            .alias(f"{fact}_ln"), F.col("n").alias(f"{fact}_n"))
+        of = F.array(*[F.lit((t or 0.0) + kinds + 1) for t in totals])
+        ln = F.transform(F.zip_with("n", of, lambda x, y: (x + 1) / y), F.ln)
+        facts[fact] = sums.select(fact, ln.alias(f"{fact}_ln"), F.col("n").alias(f"{fact}_n"))
     hosts = _sums(scored.where("host IS NOT NULL"), ["host"], k, "host_n")
     found = lookup_join(lookup_join(lookup_join(scored, facts["declared"].drop("declared_n"), ["declared"]),
                                     facts["suffix"], ["suffix"]), hosts, ["host"])
@@ -206,7 +227,10 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
     found = found.withColumn("_p", _softmax(fused))
     best = F.array_max("_p")
     names = F.array(*[F.lit(c) for c in classes])
-    out = found.select("_row", F.element_at(names, F.array_position("_p", best).cast("int")).alias("lang"),
+    out = found.select("_row", F.lower("declared").alias("declared"), F.element_at(names, F.array_position("_p", best).cast("int")).alias("lang"),
                        best.alias("probability"))
-    kept = (F.col("lang") != NONE) & (F.col("probability") >= least)
-    return out.select(*[F.col(f"_row.{c}").alias(c) for c in keep], "lang", "probability", kept.alias("kept"))
+    sure = (F.col("lang") != NONE) & (F.col("probability") >= least)
+    # declared, and no class that could have been found
+    open_ = ~sure & F.coalesce(~F.array_contains(names, F.col("declared")), F.lit(False))
+    return out.select(*[F.col(f"_row.{c}").alias(c) for c in keep], F.when(~open_, F.col("lang")).alias("lang"), "probability",
+                      (sure | open_).alias("kept"))
