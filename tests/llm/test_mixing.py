@@ -77,3 +77,33 @@ def test_heavier_weights_are_taken_more_often(spark):
     taken = mixing.mix(frame, by, "source", "size", "key", "doc_id").where("copies > 0")
     heavy, light = taken.where("w = 1").count(), taken.where("w < 1").count()
     assert abs(heavy + light - 4000) <= 1 and heavy > 3 * light
+
+
+def test_light_documents_crowd_no_bucket(spark, monkeypatch):
+    """The rest ends among the large keys of light documents: few of them are put in order, and the cut is right."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    left, narrowed = [], mixing._narrowed
+
+    def seen(near, edge):
+        out = narrowed(near, edge)
+        left.append((near.count(), out[0].groupBy("_source").count().agg(F.max("count")).first()[0]))
+        return out
+
+    monkeypatch.setattr(mixing, "_narrowed", seen)
+    frame = spark.range(4000).select(F.greatest("id", F.lit(300)).alias("doc_id"), F.when(F.col("id") % 7 > 0, "s").alias("source"))
+    frame = frame.withColumn("size", F.col("doc_id") % 9)
+    frame = frame.withColumn("key", mixing.key(F.lit(0.1), F.col("doc_id")))
+    for share in (0.9, 0.95, 0.999):
+        by = mixing.plan(frame, "source", "size", "key", "doc_id", weights=(6, 1), share=share)
+        got = {(r.source, r.doc_id): (r.copies, r.target, r.source_size) for r in mixing.mix(frame, by, "source", "size", "key", "doc_id").collect()}
+        rows = [tuple(r) for r in frame.select("source", "key", "doc_id", "size").collect()]
+        for name in ("s", None):
+            total, want, cut = 0, {}, None
+            mine = sorted(r[1:] for r in rows if r[0] == name)
+            _, target, size = got[name, mine[0][1]]
+            epochs = target // size
+            for k, i, n in mine:
+                want.setdefault(i, epochs + (total + n / 2 <= target - epochs * size))
+                total += n
+            assert {i: c for (s, i), (c, _, _) in got.items() if s == name} == want
+    assert all(before > 50 >= after for before, after in left)

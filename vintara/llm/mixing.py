@@ -6,8 +6,10 @@ e times its size and a rest is taken e times as a whole; the rest is the documen
 keys whose sizes sum up to it.
 
 No source is sorted: keys are counted into buckets, which are summed up per source, and only the
-one bucket in which a source's rest ends is put in order. Buckets hold a bounded number of rows,
-also where one source has most of them; sums are pre-aggregated.
+one bucket in which a source's rest ends is put in order. Light documents have large keys, which
+crowd the last bucket: while the one where a rest ends has more than ``BUCKET_ROWS`` rows, its keys
+are counted into finer parts, of which again one is left. Rows alike are one row there, so what is
+put in order is bounded, also where one source has most rows; sums are pre-aggregated.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from vintara.session import settle
 
 #: Rows of all sources that fall into one bucket number on average.
 BUCKET_ROWS = 20_000
+#: Parts into which a bucket with more is cut.
+PARTS = 1024
 
 
 def words(text: Column) -> Column:
@@ -78,6 +82,31 @@ def _order() -> Column:
     return F.struct("_key", "_id", "_size")
 
 
+def _narrowed(near: DataFrame, edge: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows where the rest of each source ends, ``BUCKET_ROWS`` at most, and per source what is
+    before them: ``_before``, the sum of sizes, and ``_low``, the last row of the bucket if there is one.
+
+    ``near`` has a row, with its ``_times``, for all rows of a bucket that are alike.
+    """
+    edge = edge.select("_source", "_before", "_rest", F.lit(None).cast(near.select(_order().alias("o")).schema["o"].dataType).alias("_low"))
+    while True:
+        spans = settle(near.groupBy("_source").agg(F.count("*").alias("_rows"), F.min("_key").alias("_lo"), F.max("_key").alias("_hi")))
+        large = (F.col("_rows") > BUCKET_ROWS) & (F.col("_lo") < F.col("_hi"))
+        if spans.where(large).isEmpty():
+            return near, edge
+        part = F.least(F.floor((F.col("_key") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PARTS), F.lit(PARTS - 1))
+        rows = lookup_join(near, spans, ["_source"], "inner").withColumn("_part", F.when(large, part).otherwise(F.lit(0)))
+        sums = rows.groupBy("_source", "_part").agg(F.sum(F.col("_size") * F.col("_times")).alias("_sum"), F.max(_order()).alias("_top"))
+        earlier = W.partitionBy("_source").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+        ends = lookup_join(sums.withColumns({"_sums": F.coalesce(F.sum("_sum").over(earlier), F.lit(0)), "_tops": F.max("_top").over(earlier)}),
+                           edge, ["_source"], "inner")
+        ends = ends.select("_source", "_part", (F.col("_before") + F.col("_sums")).alias("_before"), "_rest", F.coalesce("_tops", "_low").alias("_low"))
+        ends = settle(ends.where("_before <= _rest").groupBy("_source").agg(
+            F.max_by(F.struct("_part", "_before", "_rest", "_low"), "_part").alias("_end")).select("_source", "_end.*"))
+        near = settle(lookup_join(rows, ends.select("_source", "_part"), ["_source", "_part"], "left_semi").select(near.columns))
+        edge = ends.drop("_part")
+
+
 def plan(rows: DataFrame, source: str, size: str, key: str, doc_id: str, **options) -> DataFrame:
     """Per source: ``source_size``, ``target``, ``epochs`` and ``cut``, the last document of the
     rest in (key, id, size) order; null where the rest has none.
@@ -97,12 +126,15 @@ def plan(rows: DataFrame, source: str, size: str, key: str, doc_id: str, **optio
     ends = lookup_join(sums.withColumn("_before", before), goals.select("_source", "_rest"), ["_source"], "inner")
     ends = ends.where("_before <= _rest").groupBy("_source").agg(
         F.max(F.struct("_bucket", "_before", "_rest")).alias("_end"))
-    edge = ends.select("_source", "_end.*")
-    near = lookup_join(slim, edge, ["_source", "_bucket"], "inner")
-    running = F.sum("_size").over(W.partitionBy("_source").orderBy("_key", "_id", "_size")
-                                  .rowsBetween(W.unboundedPreceding, 0))
-    chosen = near.withColumn("_until", F.col("_before") + running - F.col("_size") / 2).where("_until <= _rest")
-    cuts = chosen.groupBy("_source").agg(F.max(_order()).alias("cut"))
+    edge = settle(ends.select("_source", "_end.*"))
+    near = lookup_join(slim, edge.select("_source", "_bucket"), ["_source", "_bucket"], "inner")
+    near, last = _narrowed(settle(near.groupBy("_source", "_key", "_id", "_size").agg(F.count("*").alias("_times"))), edge)
+    # of rows alike, the first one decides
+    running = F.sum(F.col("_size") * F.col("_times")).over(W.partitionBy("_source").orderBy("_key", "_id", "_size")
+                                                           .rowsBetween(W.unboundedPreceding, 0))
+    found = lookup_join(near.withColumn("_run", running - F.col("_size") * F.col("_times")), last, ["_source"])
+    chosen = F.col("_before") + F.col("_run") + F.col("_size") / 2 <= F.col("_rest")
+    cuts = found.groupBy("_source").agg(F.coalesce(F.max(F.when(chosen, _order())), F.max("_low")).alias("cut"))
     return (goals.join(edge.select("_source", F.col("_bucket").alias("_last")), "_source", "left")
             .join(cuts, "_source", "left")
             .select("_source", "source_size", "target", "epochs", "cut", "_last", F.lit(buckets).alias("_buckets")))
