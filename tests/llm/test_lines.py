@@ -105,3 +105,13 @@ def test_texts_go_by_shuffle_where_they_are_many(spark, monkeypatch):
     monkeypatch.setattr(lines, "SMALL", 0)
     docs = _varied(7, 10, 6, 25)
     assert _got(spark.createDataFrame(docs, SCHEMA), docs) == _want(docs)
+
+
+def test_documents_with_very_many_lines_are_not_broadcast(spark, monkeypatch):
+    need = spark.range(3).select(F.struct("id").alias("doc"), F.sequence(F.lit(1), F.lit(400)).alias("need"))
+    assert lines._few(need) and lines._few(need.limit(0))
+    monkeypatch.setattr(lines, "ENTRIES", 1000)
+    assert not lines._few(need)
+    docs = _varied(7, 10, 6, 25)
+    monkeypatch.setattr(lines, "ENTRIES", 0)
+    assert _got(spark.createDataFrame(docs, SCHEMA), docs) == _want(docs)

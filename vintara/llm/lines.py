@@ -36,6 +36,8 @@ BUCKETS = 1 << 20
 WIDE = 96
 #: Rows up to which documents to look at again are sent to the tasks instead of shuffling texts.
 SMALL = 200_000
+#: The same for the lines to look at in them.
+ENTRIES = 1_000_000
 _BLANK = r"[\x20\x09-\x0D]+"
 
 
@@ -145,6 +147,12 @@ def candidates(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     return close.union(rest).groupBy("late", "early").agg(F.max("close").alias("close"))
 
 
+def _few(need: DataFrame) -> bool:
+    """Whether documents and the entries of their arrays, some 32 bytes each, are few enough to be broadcast."""
+    rows, entries = need.agg(F.count("*"), F.coalesce(F.sum(F.size("need")), F.lit(0))).first()
+    return rows <= SMALL and entries <= ENTRIES
+
+
 def _sets(docs: DataFrame, doc_id: str, text: str, lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """``cid`` and ``words`` of the wanted classes, read from the texts again."""
     places = lookup_join(lines.select("cid", "doc_id", "doc_h", "line"), wanted, ["cid"], "inner").groupBy("cid").agg(
@@ -152,7 +160,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, lines: DataFrame, wanted: Dat
     need = settle(places.groupBy(F.struct(F.col("at.doc_id"), F.col("at.doc_h")).alias("doc")).agg(
         F.collect_list(F.struct("cid", "at.line")).alias("need")))  # no more than the document has lines
     rows = docs.select(F.struct(*_id(doc_id, text)).alias("_doc"), F.split(F.col(text), "\n", -1).alias("t"))
-    need = F.broadcast(need) if need.count() <= SMALL else need
+    need = F.broadcast(need) if _few(need) else need
     found = rows.join(need, F.col("_doc") == F.col("doc")).select(F.explode(F.transform(
         "need", lambda x: F.struct(x["cid"].alias("cid"), F.get("t", x["line"]).alias("t")))).alias("x"))
     return found.groupBy("x.cid").agg(F.min("x.t").alias("t")).select("cid", F.array_distinct(_words(F.col("t"))).alias("words"))
