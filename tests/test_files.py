@@ -160,3 +160,9 @@ def test_cell_values():
     assert value('<c t="b"><v>1</v></c>') == "True" and value('<c t="d"><v>2020-01-02T03:04:05</v></c>') == "2020-01-02 03:04:05"
     assert workbooks._date("0", workbooks._EPOCH_1904) == "00:00:00"
     assert workbooks._date("366", workbooks._EPOCH_1904) == "1905-01-01 00:00:00"
+
+
+def test_csv_values_with_line_breaks_stay_whole(spark, frame, tmp_path):
+    data = [("1", "a\nb\n\nc"), ("2", 'said "x\ny", then'), ("3", "z")]
+    tables.write_csv(frame(data, "id string, v string").coalesce(1), str(tmp_path / "b"))
+    assert sorted(map(tuple, tables.read_csv(spark, str(tmp_path / "b")).collect())) == data

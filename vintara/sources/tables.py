@@ -12,11 +12,11 @@ from vintara.functions.text import na_to_null, quoted, strip
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-             header: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
+             header: Sequence[str] | None = None, multi_line: bool = True) -> DataFrame:
     """CSV as text, missing-value tokens null, only ``columns`` (in file order).
 
-    ``header`` gives the file's columns; without it they are read from its first line. A file is
-    split over tasks unless its values hold line breaks (``multi_line``): convert such files once.
+    ``header`` gives the file's columns; without it they are read from its first line. Values may
+    hold line breaks; files known to hold none are split over tasks without ``multi_line``.
     """
     options = {"header": "true", "multiLine": str(multi_line).lower(), "escape": '"', "quote": '"', "nullValue": ""}
     if header is None:
