@@ -105,3 +105,35 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or 0, r.n_words, r.n_base, r.base_labels) for r in got) == [
         (0, 2, 1, "cc-by"), (1, 0, 0, ""), (2, 0, 0, ""), (2, 0, 0, ""), (3, 40_000, 20_000, "cc-by")]
     assert frame.limit(0).select(licenses.scan(F.col("text"))).count() == 0
+
+
+def _example(parsed) -> str:
+    """The shortest text of an expression, by its first alternatives."""
+    out = ""
+    for op, of in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            out += chr(of)
+        elif kind == "IN":
+            out += "0" if str(of[0][0]) == "CATEGORY" else chr(of[0][1])
+        elif kind == "BRANCH":
+            out += _example(of[1][0])
+        elif kind == "SUBPATTERN":
+            out += _example(of[-1])
+        else:
+            assert kind == "MAX_REPEAT", kind
+            out += _example(of[2]) * of[0]
+    return out
+
+
+def test_every_rule_matches_an_example_of_its_own():
+    compiled = [(rule, keyword, pattern) for keyword, some in licenses._compiled().items() for rule, pattern in some]
+    for rule in licenses.rules():
+        line = licenses.words_of(f"x {_example(re._parser.parse(rule.pattern))} y".encode())
+        assert any(r == rule and keyword in line and pattern.search(line) for r, keyword, pattern in compiled), rule
+
+
+@pytest.mark.parametrize("text", ["this is licensed under the foo license", "Licensed under a thing", "licensed under x", "are licensed under"])
+def test_notice_without_a_known_license(text):
+    got = licenses.scan_text(text.encode())
+    assert got["labels"] == "licensed" and got["score"] > 0

@@ -151,7 +151,7 @@ SENTENCES = (
     Rule("copyright", r"copyright(?: c)?(?: by)? (?:19|20)\d\d(?: (?:19|20)\d\d)?", "copyright", 1, 0.6),
     Rule("copyright", r"(?:copyright )?© ?(?:19|20)\d\d(?: (?:19|20)\d\d)?", "©", 1, 0.6),
     Rule("copyright", r"copyright (?:c )?(?:holders?|owners?)", "copyright", 1, 0.5),
-    Rule("licensed", rf"(?:is |are )?licensed under (?:the |a )?", "licensed", 0, 0.3),
+    Rule("licensed", r"(?:is |are )?licensed under(?: the| a)?", "licensed", 0, 0.3),
 )
 
 
