@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vintara.llm import bpe, chat, embeddings, language, licenses, lines, mixing, quality, simhash, warc
+from vintara.llm import bpe, chat, embeddings, importance, language, licenses, lines, mixing, quality, simhash, warc
 from vintara.llm.common import table
 from vintara.session import settle
 
@@ -109,6 +109,13 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target, percent=5, min_words=20, seed=42).select(
+        "doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
