@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vintara.llm import bpe, chat, embeddings, importance, language, licenses, lines, mixing, packing, quality, simhash, warc
+from vintara.llm import bpe, chat, embeddings, importance, language, licenses, lines, mixing, packing, quality, repair, simhash, warc
 from vintara.llm.common import table
 from vintara.session import settle
 
@@ -109,6 +109,11 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")), copies="copies")
+
+
 @query
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
