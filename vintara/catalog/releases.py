@@ -12,9 +12,11 @@ from vintara.catalog import derive, query, strip_sql, table
 from vintara.catalog.cleaning import DATE_SQL, number_sql, upper_code_sql
 from vintara.catalog.harmonising import DATE, EARLY, FORM, LATE, MIDDLE, RELEASES_SQL, YEAR
 from vintara.config.values import LCA_STATUS, NA_TOKENS
+from vintara.operators.joins import lookup_join
 from vintara.plans.lca import clean_lca, compile_lca
 from vintara.plans.perm import clean_perm, compile_perm
-from vintara.plans.wages import amalgamate
+from vintara.plans.releases import count_rows, read_headers
+from vintara.plans.wages import amalgamate, main_releases
 from vintara.session import new_folder
 from vintara.sources.tables import read_csv, write_csv
 
@@ -154,6 +156,59 @@ def _amalgamated(spark: SparkSession, sf_dir: str):
     return amalgamate(spark, wage_tree(spark, sf_dir), target_year=last)
 
 
+def _damage(spark: SparkSession, release: str) -> None:
+    """Overwrite bytes in the middle of a release's largest file; its footer stays as it is."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(release)
+    system = folder.getFileSystem(conf)
+    largest = max((s for s in system.listStatus(folder) if s.getPath().getName().endswith(".parquet")), key=lambda s: s.getLen())
+    middle, garbage = largest.getLen() // 2, bytearray(b"\xff" * 512)
+    source, copy = system.open(largest.getPath()), jvm.org.apache.hadoop.fs.Path(release, "_copy")
+    target = system.create(copy)
+    copied = jvm.org.apache.commons.io.IOUtils.copyLarge
+    copied(source, target, 0, middle)
+    target.write(garbage)
+    copied(source, target, len(garbage), largest.getLen())
+    target.close()
+    source.close()
+    system.delete(largest.getPath(), False)
+    system.rename(copy, largest.getPath())
+
+
+@once_per_session
+def damaged_tree(spark: SparkSession, sf_dir: str) -> str:
+    """A release per year, the one of the second year damaged."""
+    root = new_folder(spark)
+    orders = table(spark, sf_dir, "orders")
+    years = sorted(r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect())
+    for year in years:
+        own = derive(orders.where(F.year("o_orderdate") == year), {**_STYLES[1], "row_no": "o_orderkey"})
+        write_release(own, f"{root}/{year}/PW_Disclosure_Data.parquet", "row_no")
+    _damage(spark, f"{root}/{years[1]}/PW_Disclosure_Data.parquet")
+    return root
+
+
+_SECOND = "(SELECT min(year(o_orderdate)) + 1 FROM orders)"
+
+
+@query(f"""
+SELECT cast(year(o_orderdate) AS INTEGER) AS "year", count(*) AS on_disk,
+  count(*) FILTER (WHERE year(o_orderdate) <> {_SECOND}) AS kept, count(*) FILTER (WHERE year(o_orderdate) = {_SECOND}) AS reported
+FROM orders GROUP BY ALL""")
+def release_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each year's release: on disk, kept, and lost with a release that is reported."""
+    last = table(spark, sf_dir, "orders").agg(F.max(F.year("o_orderdate"))).collect()[0][0]
+    root = damaged_tree(spark, sf_dir)
+    done = amalgamate(spark, root, target_year=last)
+    kept = done.rows.groupBy(F.col("SOURCE_YEAR").alias("year")).agg(F.count("*").alias("kept"))
+    headers, _ = read_headers(spark, main_releases(spark, root))
+    there = count_rows(spark, headers, lambda names: []).groupBy(
+        F.regexp_extract("release", r"/(\d+)/[^/]+$", 1).cast("int").alias("year")).agg(F.sum("on_disk").alias("on_disk"))
+    lost = F.col("year").isin([int(r.vintage) for r in done.errors])
+    return lookup_join(there, kept, ["year"]).select(
+        "year", "on_disk", F.coalesce("kept", F.lit(0)).alias("kept"), F.when(lost, F.col("on_disk")).otherwise(0).alias("reported"))
+
+
 _LAST = "(SELECT max(year(o_orderdate)) FROM orders)"
 
 

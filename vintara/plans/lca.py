@@ -13,7 +13,9 @@ from vintara.config.values import BLANKS, LCA_STATUS, PAY_UNIT, VISA_CLASS, YES_
 from vintara.functions import text, typed
 from vintara.operators.dedup import distinct_rows, global_positions, keep_first_block, keep_first_by_position
 from vintara.plans.convert import convert_workbooks
-from vintara.plans.releases import ORDER, Release, find_releases, find_unread, harmonise_releases, read_headers, report
+from vintara.plans.releases import (
+    ORDER, Release, find_damaged, find_releases, find_unread, harmonise_releases, read_headers, report, used_columns,
+)
 
 DATES = ["received_date", "decision_date", "begin_date", "end_date"]
 NUMBERS = ["wage_rate_of_pay_from", "wage_rate_of_pay_to", "prevailing_wage"]
@@ -36,13 +38,22 @@ def compile_lca(
     every row of the first block of ``block_rows`` that has the case. ``convert`` first turns
     workbooks without a readable Parquet release into one. Every data file that is not read is
     logged, and put into ``errors`` with the reason.
+
+    With ``errors`` or ``convert``, releases whose rows cannot all be read are found beforehand, in
+    one pass over the columns that are used, and left out like those without a sound footer; without,
+    such a release stops the job that reads it.
     """
-    releases = find_releases(spark, root)
-    headers, failed = read_headers(spark, releases)
-    if convert:
-        convert_workbooks(spark, root, skip_existing=True, redo=[r.path for r in failed])
+    def readable() -> tuple[list[Release], dict, dict[Release, str]]:
         releases = find_releases(spark, root)
         headers, failed = read_headers(spark, releases)
+        if errors is not None or convert:
+            failed |= find_damaged(spark, headers, used_columns(LCA))
+        return releases, {r: s for r, s in headers.items() if r not in failed}, failed
+
+    releases, headers, failed = readable()
+    if convert:
+        convert_workbooks(spark, root, skip_existing=True, redo=[r.path for r in failed])
+        releases, headers, failed = readable()
     unread = find_unread(spark, root, releases)
     report(unread)
     if errors is not None:

@@ -10,7 +10,9 @@ from vintara.config.values import PERM_STATUS
 from vintara.functions import names, text, typed
 from vintara.operators.dedup import distinct_rows, keep_first_by_position
 from vintara.operators.harmonise import Layout
-from vintara.plans.releases import ORDER, Release, find_releases, find_unread, harmonise_releases, read_headers, report
+from vintara.plans.releases import (
+    ORDER, Release, find_damaged, find_releases, find_unread, harmonise_releases, read_headers, report, used_columns,
+)
 
 
 def compile_perm(
@@ -20,11 +22,13 @@ def compile_perm(
     """All releases below ``root/<year>/`` on the canonical layout, first row of each case.
 
     Rows without a case number are one case; ``null_key`` is the text to show for it.
-    A damaged release stops the job; workbooks without a Parquet release are logged, and put into
-    ``errors``.
+    A damaged release stops the job, with ``errors`` before any row is compiled; workbooks without a
+    Parquet release are logged, and put into ``errors``.
     """
     releases = find_releases(spark, root, companions=True)
     headers, failed = read_headers(spark, releases)
+    if errors is not None:
+        failed |= find_damaged(spark, headers, used_columns(layout))
     if failed:
         raise ValueError(f"unreadable releases: {', '.join(r.path for r in failed)}")
     unread = find_unread(spark, root, releases, companions=True)

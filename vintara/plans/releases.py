@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vintara.operators.harmonise import Layout, harmonise, union_all
+from vintara.functions.text import quoted
+from vintara.operators.harmonise import Layout, candidates, harmonise, union_all
 from vintara.sources.listing import list_files, release_files
 from vintara.sources.tables import read_release, schema_of
 
@@ -80,11 +83,82 @@ def read_headers(
     return {r: schema for r, schema in found.items() if r not in errors}, errors
 
 
+def _counted(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(path, on_disk, readable) for each file of releases with one header.
+
+    On disk is what the footers say; no column is read for it. Readable are the rows whose
+    ``columns`` can all be decoded, pages checked against their checksums; what a damaged file
+    yields before it breaks off counts, the other files are not touched by it.
+    """
+    path = F.col("_metadata.file_path").alias("path")
+    there = spark.read.parquet(*paths).groupBy(path).agg(F.count("*").alias("on_disk"))
+    rows = spark.read.options(**{"ignoreCorruptFiles": "true", "parquet.page.verify-checksum.enabled": "true"}).parquet(*paths)
+    # a hash that the optimizer cannot know makes the scan decode every value
+    decoded = F.xxhash64(*[F.col(quoted(c)) for c in columns]) >= F.lit(-2**63) if columns else F.lit(True)
+    read = rows.groupBy(path).agg(F.count_if(decoded).alias("readable"))
+    zero = F.lit(0).cast("long")
+    return there.select("path", "on_disk", zero.alias("readable")).unionByName(
+        read.select("path", zero.alias("on_disk"), "readable"))
+
+
+def count_rows(
+    spark: SparkSession, headers: Mapping[Release, StructType], used: Callable[[Sequence[str]], Sequence[str]] = list
+) -> DataFrame:
+    """Rows on disk and readable rows of each file: (release, path, on_disk, readable).
+
+    One job over all releases; ``used`` gives the columns of a header that have to be readable.
+    """
+    counted = union_all([
+        _counted(spark, [r.path for r in group], used(headers[group[0]].names)) for group in by_header(headers)])
+    return counted.groupBy("path").agg(F.sum("on_disk").alias("on_disk"), F.sum("readable").alias("readable")).withColumn(
+        "release", release_of("path"))
+
+
+def find_damaged(
+    spark: SparkSession, headers: Mapping[Release, StructType], used: Callable[[Sequence[str]], Sequence[str]] = list
+) -> dict[Release, str]:
+    """Releases that have a sound footer but rows that cannot be read, with the reason."""
+    if not headers:
+        return {}
+    short = count_rows(spark, headers, used).where("readable < on_disk").groupBy("release").agg(
+        F.sum("readable").alias("readable"), F.sum("on_disk").alias("on_disk"), F.count("*").alias("files"),
+        F.min("path").alias("path"))
+    by_path = {r.path: r for r in headers}
+    found = {}
+    for row in short.collect():  # a row per damaged release
+        release = next(r for path, r in by_path.items() if _same_path(path, row["release"]))
+        found[release] = (f"{row['on_disk'] - row['readable']} of {row['on_disk']} rows unreadable in {row['files']} file(s), "
+                          f"the first being {row['path']}")
+    report(found)
+    return found
+
+
+def _same_path(a: str, b: str) -> bool:
+    """Whether two spellings (percent-encoded or not, with one or three slashes) are one path."""
+    return unquote(re.sub("^file:/+", "/", a)) == unquote(re.sub("^file:/+", "/", b))
+
+
+def by_header(headers: Mapping[Release, StructType]) -> list[list[Release]]:
+    """The releases in groups that share a header, so that each group is one scan."""
+    same: dict[str, list[Release]] = defaultdict(list)
+    for release, schema in headers.items():
+        same[schema.json()].append(release)
+    return list(same.values())
+
+
 def report(errors: Mapping[Release, str]) -> None:
     for release, problem in errors.items():
         log.warning("cannot read %s: %s", release.path, problem)
 
 
+def used_columns(layout: Layout) -> Callable[[Sequence[str]], list[str]]:
+    """Which columns of a header the layout reads."""
+    def used(names: Sequence[str]) -> list[str]:
+        return [names[p] for p in sorted({p for ps in candidates(names, layout).values() for p in ps})]
+
+    return used
+
+
 def with_origin(df: DataFrame) -> DataFrame:
     """Release, folder and file name of each row, by cheap cuts of its file path."""
     return df.withColumn("_release", release_of("_file_path")).withColumns({
@@ -104,12 +178,9 @@ def harmonise_releases(
 
     Keeps the origin of each row beside the canonical columns.
     """
-    same: dict[str, list[Release]] = defaultdict(list)
-    for release, schema in headers.items():
-        same[schema.json()].append(release)
     frames = []
     keep = (*ORDER, "_release", "_vintage", "_release_name")
-    for group in same.values():
+    for group in by_header(headers):
         df = with_origin(read_release(spark, *[r.path for r in group]))
         frames.append(harmonise(df, layout, lineage(), keep, file="_release"))
     return union_all(frames)

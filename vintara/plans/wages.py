@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vintara.config.wages import IGNORED_HEADERS, WAGE_RENAMES
 from vintara.functions.text import quoted
 from vintara.operators.harmonise import resolve_header, resolve_headers, union_all, unmapped_report
-from vintara.plans.releases import Release, read_headers, release_of, report
+from vintara.plans.releases import Release, find_damaged, read_headers, release_of, report
 from vintara.sources.listing import list_files, main_files, with_vintage
 from vintara.sources.tables import mapping_dict, mapping_of
 
@@ -44,11 +44,14 @@ def amalgamate(
     renames: Mapping[str, str] = WAGE_RENAMES,
     ignored: Mapping[int, Sequence[str]] = IGNORED_HEADERS,
     mapping: DataFrame | None = None,
+    verify: bool = True,
 ) -> Amalgamated:
     """Union of the yearly main files with the columns of ``target_year``'s file.
 
     Headers match exactly. ``mapping(original, final)`` replaces the built-in table. A
-    release that cannot be read is reported and skipped.
+    release that cannot be read is reported and skipped, also one whose footer is sound and whose
+    rows are not; without ``verify`` the pass that finds the latter is left out. The header of the
+    target year counts even where its rows are lost.
     """
     found = main_releases(spark, root)
     books = {r: "workbook without a Parquet release: convert it first" for r in found if not r.path.endswith(".parquet")}
@@ -62,12 +65,24 @@ def amalgamate(
         [(int(r.vintage), pos, name) for r, s in headers.items() for pos, name in enumerate(s.names)],
         "year int, pos int, name string")
     table = mapping_dict(mapping) if mapping is not None else mapping_of(target, renames)
-    resolved = resolve_headers(names, table, target, ignored)
+    def used(release: Release) -> dict[str, str]:
+        return resolve_header(headers[release].names, table, target, ignored.get(int(release.vintage), ()))
+
+    if verify:
+        # the mapping depends on the year, so releases of one header may differ in what they use
+        uses = {tuple(headers[r].names): set() for r in headers}
+        for release in headers:
+            uses[tuple(headers[release].names)] |= set(used(release).values())
+        errors |= find_damaged(spark, headers, lambda names: [n for n in names if n in uses[tuple(names)]])
+    sound = [r for r in headers if r not in errors]
+    if not sound:
+        raise ValueError(f"no readable main file below {root}")
+    resolved = resolve_headers(names.where(F.col("year").isin([int(r.vintage) for r in sound])), table, target, ignored)
     missing = F.lit(None).cast("string")
     frames = []
-    for release in headers:
+    for release in sound:
         year = int(release.vintage)
-        found = resolve_header(headers[release].names, table, target, ignored.get(year, ()))
+        found = used(release)
         frames.append(spark.read.parquet(release.path).select(
             *[F.col(quoted(found[t])).cast("string").alias(t) if t in found else missing.alias(t)
               for t in target],
