@@ -12,8 +12,7 @@ A task packs the documents it reads and moves nothing: it holds one batch, a poo
 thousand tokens and the windows that wait for their step group. The same input files give the same
 sequences, also where a task is run again.
 
-Texts are tokenised by the library whose file is given. A text is cut where white space ends, since
-no token of these vocabularies spans that, and each distinct cut of a batch is encoded once.
+Texts are tokenised by the library whose file is given, each distinct word once.
 
 Odd rows: a null or empty text is the end token alone; rows of one id, or without one, are documents
 of their own; long texts give many windows. Empty tables give no rows. Only the id and the text are
@@ -22,8 +21,11 @@ read, so other columns may have any names.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,10 @@ common.by_value(__name__)
 TIERS = (256, 512, 1024, 2048, 4096)
 #: Tokens of a step group.
 STEP = 16 * 4096
-#: Tokens waiting to be packed, and cuts that a worker remembers in each of two generations.
-POOL, CACHE = 1 << 19, 150_000
-#: Cuts longer than this are not remembered; texts are encoded in groups of that many characters.
-LONG, GROUP = 256, 1 << 18
+#: Tokens waiting to be packed, and distinct cuts that a worker remembers.
+POOL, CACHE = 1 << 19, 600_000
+#: Cuts longer than this are not remembered; cuts are encoded in groups of that many characters.
+LONG, GROUP = 256, 1 << 15
 _PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, "
            "window long, step_group long")
 
@@ -50,76 +52,139 @@ Piece = tuple[int | None, int, int, bytes]  # document, its tokens, start, ids o
 
 
 class Encoder:
-    """Token ids of whole texts by a file of the tokenizers library."""
+    """Token ids of whole texts by a file of the tokenizers library.
 
-    def __init__(self, content: str) -> None:
-        self.content, self.tokenizer = content, None
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+    A text is cut where white space stands. Cuts of ASCII and Latin-1 letters alone, whose case
+    the library ignores, are taken in lower case and cut further between letters and others, where
+    its pattern cuts too (but not after an apostrophe, which may begin a contraction). Every
+    distinct cut is encoded once and remembered.
+    """
+
+    def __init__(self, content: str, end: int) -> None:
+        self.content, self.end, self.tokenizer = content, end, None
+        self._forget()
 
     def __reduce__(self):
-        return Encoder, (self.content,)
+        return Encoder, (self.content, self.end)
+
+    def _forget(self) -> None:
+        """Only the end token is known, as number 0."""
+        self.codes: dict[str, int] = {}
+        self.ids, self.sizes = np.array([self.end], np.uint32), np.ones(1, np.int64)
 
     def _open(self) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(self.content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # the same model, for cuts that nothing normalises and the pattern leaves whole
+        self.plain = Tokenizer.from_str(self.content)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
-    def _encode(self, cuts: list[str]) -> Iterator[bytes]:
+    def _encode(self, cuts: list[str]) -> Iterator[list[int]]:
+        """Ids of each cut; cuts of small ASCII and Latin-1 letters, nearly all, go straight to the model."""
         if self.tokenizer is None:
             self._open()
+        plain = [c.isalpha() and c == c.lower() and (c.isascii() or max(c) < "\u0100") for c in cuts]
+        short = iter(self.plain.encode_batch_fast([c for c, p in zip(cuts, plain) if p], add_special_tokens=False))
+        other = iter(self.tokenizer.encode_batch_fast([c for c, p in zip(cuts, plain) if not p], add_special_tokens=False))
+        return (next(short if p else other).ids for p in plain)
+
+    def numbers(self, cuts: list[str]) -> np.ndarray:
+        """A number for each of the distinct cuts, by which its ids are found."""
+        known = self.codes.get
+        out = np.array([known(c, -1) for c in cuts], np.int64)
+        missing = np.flatnonzero(out < 0)
+        ids, sizes = [self.ids], [self.sizes]
         group: list[str] = []
         held = 0
-        for i, cut in enumerate(cuts, 1):
-            group.append(cut)
-            held += len(cut)
-            if held >= GROUP or i == len(cuts):
-                for found in self.tokenizer.encode_batch_fast(group, add_special_tokens=False):
-                    yield np.array(found.ids, "<u4").tobytes()
+        for i in missing.tolist():
+            group.append(cuts[i])
+            held += len(cuts[i])
+            if held >= GROUP or i == missing[-1]:
+                found = list(self._encode(group))
+                ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+                sizes.append(np.fromiter(map(len, found), np.int64))
                 group, held = [], 0
-
-    def cuts(self, cuts: list[str]) -> list[bytes]:
-        """Ids of each of the distinct cuts."""
-        out = [self.new.get(c) or self.old.get(c) for c in cuts]
-        missing = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(missing, self._encode([cuts[i] for i in missing])):
-            out[i] = ids
-        for cut, ids in zip(cuts, out):
-            if len(cut) <= LONG:
-                if len(self.new) >= CACHE:
-                    self.old, self.new = self.new, {}
-                self.new[cut] = ids
+        out[missing] = np.arange(len(missing)) + len(self.sizes)
+        for i, number in zip(missing.tolist(), out[missing].tolist()):
+            if len(cuts[i]) <= LONG:
+                self.codes[cuts[i]] = number
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
         return out
 
-    def texts(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end token, and where each text's ids end."""
+        if len(self.sizes) > CACHE or len(self.ids) > 8 * CACHE:
+            self._forget()
         flat = texts.fill_null("").cast(pa.large_binary())
         bounds = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset:flat.offset + len(flat) + 1]
         low, high = (int(bounds[0]), int(bounds[-1])) if len(flat) else (0, 0)
         raw = np.frombuffer(flat.buffers()[2] or b"", np.uint8)[low:high]
-        bounds = bounds - low
-        blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
-        begins = np.zeros(high - low, bool)
-        begins[1:] = blank[:-1] & ~blank[1:]
-        begins[bounds[:-1][bounds[:-1] < high - low]] = True
-        offsets = np.append(np.flatnonzero(begins), high - low)
-        cuts = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        begins, left, lower = _cuts(raw, bounds - low)
+        at = np.flatnonzero(begins)
+        kept = lower[left]
+        offsets = np.append(np.flatnonzero(begins[left]), len(kept))
+        cuts = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
         coded = cuts.dictionary_encode()
-        ids = self.cuts(coded.dictionary.to_pylist()) + [np.array([end], "<u4").tobytes()]
-        # an end token after the last cut of each text
-        codes = np.insert(coded.indices.to_numpy(), np.searchsorted(offsets[:-1], bounds[1:]), len(ids) - 1)
-        sizes = np.array([len(i) // 4 for i in ids])
-        first = np.cumsum(sizes) - sizes
-        each = sizes[codes]
+        numbers = self.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        # number 0, the end token, after the last cut of each text
+        numbers = np.insert(numbers, np.searchsorted(at, bounds[1:] - low), 0)
+        first = np.cumsum(self.sizes) - self.sizes
+        each = self.sizes[numbers]
         ends = np.cumsum(each)
-        flat_ids = np.frombuffer(b"".join(ids), "<u4")
-        out = flat_ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[codes] - (ends - each), each)]
-        return out, ends[codes == len(ids) - 1]
+        out = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[numbers] - (ends - each), each)]
+        return out, ends[numbers == 0]
+
+
+def _kept(encoder: Encoder) -> Encoder:
+    """The encoder of this Python worker: its later tasks know the words of earlier ones."""
+    here = sys.modules.setdefault("_packing_encoder", types.ModuleType("_packing_encoder"))
+    known = getattr(here, "encoder", None)
+    if known is None or (known.content, known.end) != (encoder.content, encoder.end):
+        here.encoder = encoder
+    return here.encoder
+
+
+def _cuts(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes begin a cut, which belong to one, and the bytes with plain cuts in lower case."""
+    n = len(raw)
+    byte = np.arange(256)
+    kinds = np.zeros(256, np.uint8)  # 1 white space, 2 ASCII letter, 4 none of ASCII, 8 apostrophe
+    kinds[[*range(9, 14), 32]], kinds[39], kinds[128:] = 1, 8, 4
+    kinds[((byte | 32) >= 97) & ((byte | 32) <= 122) & (byte < 128)] = 2
+    kind = kinds[raw]
+    blank, letter, other = kind == 1, kind == 2, kind == 4
+    # U+00C0 to U+00FF but for the signs of multiplication and division: a letter of two bytes
+    lead = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7))
+    lower = raw.copy()
+    lower[letter] |= 32
+    capital = lead[raw[lead + 1] < 0x9F] + 1
+    lower[capital] += 32
+    for at in (lead, lead + 1):
+        letter[at], other[at] = True, False
+    # other characters, and what may be a special token, are left as they are
+    other[:-1] |= (raw[:-1] == 60) & (raw[1:] == 124)
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    begins[bounds[:-1][bounds[:-1] < n]] = True
+    begins &= ~blank
+    starts = np.flatnonzero(begins)
+    if not len(starts):
+        return begins, ~blank, lower
+    plain = ~np.logical_or.reduceat(other, starts)
+    plain = np.repeat(plain, np.diff(np.append(starts, n)))
+    plain = np.concatenate([np.zeros(n - len(plain), bool), plain])
+    lower = np.where(plain, lower, raw)
+    turn = letter[1:] != letter[:-1]
+    turn &= ~(letter[1:] & (kind[:-1] == 8)) & plain[1:] & ~blank[1:]
+    begins[1:] |= turn
+    return begins, ~blank, lower
 
 
 class Packer:
@@ -264,15 +329,15 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     ``step_group`` which sequences are trained on together.
     """
     with open(tokenizer, encoding="utf-8") as file:
-        encoder = Encoder(file.read())
+        encoder = Encoder(file.read(), end)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(TaskContext.get().partitionId(), tiers, step)
+        known, packer = _kept(encoder), Packer(TaskContext.get().partitionId(), tiers, step)
         for batch in batches:
             # a few rows at a time: token ids take more room than text
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                ids, ends = encoder.texts(rows.column(1), end)
+            for at in range(0, batch.num_rows, 1024):
+                rows = batch.slice(at, 1024)
+                ids, ends = known.texts(rows.column(1))
                 for doc, start, stop in zip(rows.column(0).to_pylist(), [0, *ends.tolist()], ends.tolist()):
                     packer.add(doc, ids[start:stop])
                     if packer.fresh >= POOL:
