@@ -464,10 +464,7 @@ UNION ALL SELECT page_id, program, "year", url, filename FROM {_CLASSIFIED_SQL}"
 FROM ({_DISCOVERED_SQL}) GROUP BY program""")
 def links_by_program(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the pages offer by program, in tables and elsewhere."""
-    some = placed_pages(spark, sf_dir)
-    columns = ["program", "year", "url"]
-    both = w.table_links(some).select(*columns).unionByName(w.classified_links(some).select(*columns))
-    return both.groupBy("program").agg(
+    return w.all_links(placed_pages(spark, sf_dir)).groupBy("program").agg(
         F.countDistinct("url").alias("urls"), F.count("*").alias("links"), F.min("year").alias("first_year"),
         F.max("year").alias("last_year"))
 

@@ -7,9 +7,7 @@ elements: ``pagetree`` reads those pages. Neither needs a shuffle.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,13 +16,13 @@ from vintara.config.sites import EXTENSIONS, MONTHLY_TEXTS, NO_PROGRAM, YEAR_PAG
 from vintara.functions import names, urls
 from vintara.functions.text import col, strip
 from vintara.operators.dedup import keep_first
+from vintara.operators.markup import href_of, unescape
 from vintara.operators.pagetree import placed_links
 
 #: Comments, scripts and styles hold no links.
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 #: An opening tag up to its end, quoted values whole. Possessive, so that it runs without recursion.
 _TAG = r"""(?s)^(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_ATTRIBUTE = r"""(?s)([^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))"""
 #: Length that takes the rest of any array.
 _REST = 2_000_000_000
 
@@ -32,32 +30,6 @@ def visible(html: Column | str) -> Column:
     return F.regexp_replace(col(html), _HIDDEN, "")
 
 
-#: Named character references: those of HTML 4, and the full stop.
-_NAMED = json.dumps({name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "period": "."})
-_REFERENCE = r"(?=&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});)"
-
-
-def _character(code: Column) -> Column:
-    """The character of a code point; what is none becomes U+FFFD."""
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
-
-
-def unescape(c: Column) -> Column:
-    """Character references resolved, each once: decimal, hexadecimal and named ones."""
-    named = F.from_json(F.lit(_NAMED), "map<string,string>")
-
-    def piece(p: Column) -> Column:
-        reference = F.regexp_extract(p, "^&([#A-Za-z0-9]+);", 1)
-        number = F.when(reference.rlike("^#[0-9]{1,7}$"), F.substring(reference, 2, 9).try_cast("long")).when(
-            reference.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(reference, 3, 9), 16, 10).try_cast("long"))
-        found = F.when(number.isNotNull(), _character(number)).otherwise(F.try_element_at(named, reference))
-        return F.when((reference == "") | found.isNull(), p).otherwise(
-            F.concat(found, F.substring(p, F.length(reference) + 3, F.length(p))))
-
-    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, _REFERENCE), piece), "")).otherwise(c)
-
-
 def plain_text(html: Column, squeeze: bool = True) -> Column:
     """Text of a fragment; ``squeeze`` strips every piece between tags before joining."""
     if not squeeze:
@@ -65,14 +37,6 @@ def plain_text(html: Column, squeeze: bool = True) -> Column:
     return F.array_join(F.transform(F.split(html, "<[^>]*>"), lambda p: strip(unescape(p))), "")
 
 
-def _href(tag: Column) -> Column:
-    """Address in the attributes of an opening tag, null without one."""
-    attributes = F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), 1)
-    own = F.get(F.filter(attributes, lambda a: a.rlike(r"(?i)^href\s*=")), F.lit(0))
-    value = F.regexp_replace(own, r"^[^=]*=\s*", "")
-    return unescape(F.regexp_replace(value, "^[\"']|[\"']\\z", ""))
-
-
 def anchors_of(html: Column, squeeze: bool = False) -> Column:
     """Array of the anchors (href, text) of a fragment, in document order."""
     pieces = F.slice(F.split(html, r"(?i)<a\s+"), 2, _REST)
@@ -80,7 +44,7 @@ def anchors_of(html: Column, squeeze: bool = False) -> Column:
     tagged = F.transform(pieces, lambda piece: F.struct(
         F.regexp_extract(piece, _TAG, 0).alias("tag"), piece.alias("piece")))
     raw = F.transform(tagged, lambda t: F.struct(
-        _href(t["tag"]).alias("href"),
+        href_of(t["tag"]).alias("href"),
         F.regexp_extract(
             F.substring(t["piece"], F.length(t["tag"]) + 1, F.length(t["piece"])), r"(?is)^>?(.*?)(?:</a\s*>|\z)", 1
         ).alias("inner"),
@@ -226,18 +190,32 @@ def _of_pages(placed: DataFrame) -> DataFrame:
     )
 
 
+def all_links(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
+    """Links in table rows and file links anywhere, classified by their place: (page_id, source,
+    pos, program, year, url, filename), ``source`` 0 for tables. A link in a table is both.
+
+    Pages are read once; each link gives its rows where it is found.
+    """
+    filename = urls.last_segment("href")
+    placed = placed_links(pages, kind).withColumn("filename", filename).withColumns({
+        "url": urls.normalise_url(urls.resolve_url("base", "href")), "year": names.year_of_file("filename")})
+    in_row = F.when(F.col("row").isNotNull() & ~names.is_deprecated("filename", "cell"), F.struct(
+        F.lit(0).alias("source"), F.lit(0).alias("pos"), names.program_of_row("cell", "filename").alias("program")))
+    anywhere = F.when(~names.is_deprecated("filename"), F.struct(
+        F.lit(1).alias("source"), F.col("pos"),
+        F.coalesce(names.program_of("filename"), "block", "heading", F.lit(NO_PROGRAM)).alias("program")))
+    found = placed.select("page_id", "year", "url", "filename", F.explode_outer(F.array(in_row, anywhere)).alias("as")).where("as IS NOT NULL")
+    return found.select("page_id", "as.source", "as.pos", "as.program", "year", "url", "filename")
+
+
 def discover_files(pages: DataFrame, kind: str = "disclosure") -> DataFrame:
     """All file links of each page: those in tables, then each further url once.
 
     Both kinds are ranked together per (page, url), a group no larger than a page's links.
     """
-    columns = ["page_id", "program", "year", "url", "filename"]
-    in_tables = table_links(pages, kind).select(*columns, F.lit(0).alias("source"), F.lit(0).alias("pos"))
-    others = classified_links(pages, kind).select(*columns, F.lit(1).alias("source"), "pos")
     rank = F.row_number().over(Window.partitionBy("page_id", "url").orderBy("source", "pos"))
     return (
-        in_tables.unionByName(others)
-        .withColumn("_rank", rank)
+        all_links(pages, kind).withColumn("_rank", rank)
         .where((F.col("source") == 0) | (F.col("_rank") == 1))
-        .select(*columns, F.when(F.col("source") == 0, "table").otherwise("page").alias("found_in"))
+        .select("page_id", "program", "year", "url", "filename", F.when(F.col("source") == 0, "table").otherwise("page").alias("found_in"))
     )
