@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -161,9 +160,19 @@ def _number(version: str) -> str:
     return rf"{head} {tail}" if tail != "0" else rf"{head}(?: 0)?"
 
 
-@cache
+#: What is worked out once per process. A plain dictionary: functions with a cache of their own
+#: would be sent to the tasks by name, and executors need not have this package.
+_KNOWN: dict = {}
+
+
 def rules() -> tuple[Rule, ...]:
     """All rules, those of higher priority first."""
+    if "rules" not in _KNOWN:
+        _KNOWN["rules"] = _all_rules()
+    return _KNOWN["rules"]
+
+
+def _all_rules() -> tuple[Rule, ...]:
     out = list(SENTENCES)
     for f in FAMILIES:
         out.append(Rule(f.label, f.name, f.keyword, 1, 0.7))
@@ -189,8 +198,13 @@ def rules() -> tuple[Rule, ...]:
     return tuple(sorted(dict.fromkeys(out), key=lambda r: -r.priority))
 
 
-@cache
 def _compiled() -> dict[bytes, list[tuple[Rule, re.Pattern]]]:
+    if "compiled" not in _KNOWN:
+        _KNOWN["compiled"] = _by_keyword()
+    return _KNOWN["compiled"]
+
+
+def _by_keyword() -> dict[bytes, list[tuple[Rule, re.Pattern]]]:
     """Rules by keyword. Keywords of fewer than three letters gate nothing by themselves: their
     rules wait for what the rule's own words need."""
     gates = {"c": ("creative commons", " cc "), "s": (" droits ", " rechte ", " derechos "), "w": ("wtfpl", " fuck ")}
