@@ -18,6 +18,7 @@ from vintara.plans.perm import clean_perm, compile_perm
 from vintara.plans.releases import count_rows, read_headers
 from vintara.plans.wages import amalgamate, main_releases
 from vintara.session import new_folder
+from vintara.sources.footers import profile_files
 from vintara.sources.tables import read_csv, write_csv
 
 
@@ -75,6 +76,30 @@ def lca_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("case_number", "case_status", "received_date", "employer_name", "wage_rate_of_pay_from", "year")
 
 
+_PROFILED = {"CASE_STATUS": "o_orderstatus", "EMPLOYER_FEIN": "CASE WHEN o_custkey % 3 <> 0 THEN cast(o_custkey as string) END",
+             "NEVER": "CASE WHEN o_custkey < 0 THEN o_orderstatus END", "WORKERS": "cast(o_custkey % 100 as int)",
+             "DECIDED": "cast(o_orderdate as date)", "PWD_WAGE": "o_totalprice"}
+
+
+@once_per_session
+def typed_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as one typed release."""
+    path = f"{new_folder(spark)}/release.parquet"
+    derive(table(spark, sf_dir, "orders"), _PROFILED).write.parquet(path)
+    return path
+
+
+@query(" UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(*) AS "rows", count(*) - count(x) AS null_rows,
+  round(100.0::DOUBLE * (count(*) - count(x)) / count(*), 4) AS null_percent,
+  {'cast(min(x) as string)' if c in ('WORKERS', 'DECIDED', 'CASE_STATUS') else 'CAST(NULL AS VARCHAR)'} AS first_value,
+  {'cast(max(x) as string)' if c in ('WORKERS', 'DECIDED', 'CASE_STATUS') else 'CAST(NULL AS VARCHAR)'} AS last_value
+FROM (SELECT {e} AS x FROM orders)""" for c, e in _PROFILED.items()))
+def release_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, nulls and ranges of a release from its footers; of texts the one column is read."""
+    return profile_files(spark, [typed_tree(spark, sf_dir)], ranges=["WORKERS", "DECIDED", "CASE_STATUS"])
+
+
 _BLOCK = 1000
 
 
@@ -229,12 +254,12 @@ def wage_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT doc_id, CASE WHEN source NOT IN ({', '.join(repr(t) for t in NA_TOKENS)}) THEN source END AS source, {_na('body')} AS body
-FROM (SELECT cast(doc_id as string) AS doc_id, source, CASE WHEN doc_id % 5 = 0 THEN 'NULL' ELSE text END AS body FROM documents)""")
+SELECT doc_id, {_na('source')} AS source, {_na('text')} AS body, {_na('mark')} AS mark
+FROM (SELECT cast(doc_id as string) AS doc_id, source, text, CASE WHEN doc_id % 5 = 0 THEN 'NULL' ELSE lang END AS mark FROM documents)""")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts written as CSV and read back as text, only the wanted columns."""
+    """Whole texts written as CSV and read back as text, only the wanted columns."""
     path = new_folder(spark)
     write_csv(derive(table(spark, sf_dir, "documents"), {
-        "doc_id": "cast(doc_id as string)", "lang": "lang", "source": "source",
-        "body": "CASE WHEN doc_id % 5 = 0 THEN 'NULL' ELSE text END"}), path)
-    return read_csv(spark, path, columns=["doc_id", "source", "body"], multi_line=True)
+        "doc_id": "cast(doc_id as string)", "lang": "lang", "source": "source", "body": "text",
+        "mark": "CASE WHEN doc_id % 5 = 0 THEN 'NULL' ELSE lang END"}), path)
+    return read_csv(spark, path, columns=["doc_id", "source", "body", "mark"])

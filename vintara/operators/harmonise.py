@@ -80,6 +80,13 @@ def candidates(header: Sequence[str], layout: Layout) -> dict[str, list[int]]:
     return targets
 
 
+def contested_columns(header: Sequence[str], layout: Layout) -> list[str]:
+    """Columns of which several map to one target and the first that is not empty counts."""
+    if layout.policy != "first":
+        return []
+    return [header[p] for p in sorted({p for ps in candidates(header, layout).values() if len(ps) > 1 for p in ps})]
+
+
 def _filled(position: int) -> str:
     return f"filled_{position}"
 
@@ -103,13 +110,15 @@ def harmonise(
     lineage: Mapping[str, Column] | None = None,
     keep: Sequence[str] = (),
     file: str | None = None,
+    filled: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Project a release onto the canonical columns, all nullable strings.
 
     ``keep`` names columns passed through untouched after the canonical ones (positions,
     file names); they take no part in mapping. ``lineage`` gives canonical columns computed
     from kept columns. ``file`` names the kept column that tells the files of ``df`` apart;
-    without it ``df`` is one file.
+    without it ``df`` is one file. ``filled`` says in which files contested columns hold values,
+    if that is known; otherwise they are counted in a pass of their own.
     """
     lineage = dict(lineage or {})
     names = df.columns
@@ -124,7 +133,9 @@ def harmonise(
     }
     contested = sorted({p for ps in options.values() if len(ps) > 1 for p in ps})
     is_filled: dict[int, Column] = {}
-    if contested and layout.policy == "first":
+    if contested and layout.policy == "first" and filled is not None:
+        is_filled = {p: F.col(file).isin(list(filled.get(names[p], ()))) for p in contested}
+    elif contested and layout.policy == "first":
         counts = [F.max(F.col(f"_{p}").isNotNull()).alias(_filled(p)) for p in contested]
         if file is None:
             profile = flat.agg(F.struct(*counts)).scalar()

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vintara.functions.text import quoted
-from vintara.operators.harmonise import Layout, candidates, harmonise, union_all
+from vintara.operators.harmonise import Layout, candidates, contested_columns, harmonise, union_all
+from vintara.sources.footers import count_values
 from vintara.sources.listing import list_files, release_files
 from vintara.sources.tables import read_release, schema_of
 
@@ -133,6 +134,11 @@ def find_damaged(
     return found
 
 
+def _spellings(spark: SparkSession, path: str) -> list[str]:
+    """A path as listed, and as it is named beside rows, percent-encoded."""
+    return list(dict.fromkeys([path, spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()]))
+
+
 def _same_path(a: str, b: str) -> bool:
     """Whether two spellings (percent-encoded or not, with one or three slashes) are one path."""
     return unquote(re.sub("^file:/+", "/", a)) == unquote(re.sub("^file:/+", "/", b))
@@ -176,11 +182,15 @@ def harmonise_releases(
 ) -> DataFrame:
     """Union of all releases on the canonical layout, one scan per distinct header.
 
-    Keeps the origin of each row beside the canonical columns.
+    Keeps the origin of each row beside the canonical columns. Which of the columns that map to one
+    target hold values at all is read from the footers of the releases.
     """
+    contested = {r: contested_columns(s.names, layout) for r, s in headers.items()}
+    values = count_values(spark, {r.path: names for r, names in contested.items() if names})
     frames = []
     keep = (*ORDER, "_release", "_vintage", "_release_name")
     for group in by_header(headers):
         df = with_origin(read_release(spark, *[r.path for r in group]))
-        frames.append(harmonise(df, layout, lineage(), keep, file="_release"))
+        filled = {c: [p for r in group if values[r.path][c] for p in _spellings(spark, r.path)] for c in contested[group[0]]}
+        frames.append(harmonise(df, layout, lineage(), keep, file="_release", filled=filled))
     return union_all(frames)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vintara.functions.text import na_to_null, quoted, strip
+from vintara.sources.csvblocks import csv_records, parsed
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -16,11 +17,15 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     """CSV as text, missing-value tokens null, only ``columns`` (in file order).
 
     ``header`` gives the file's columns; without it they are read from its first line. Values may
-    hold line breaks; files known to hold none are split over tasks without ``multi_line``.
+    hold line breaks, and large files are read by many tasks nevertheless (``csvblocks``); for files
+    known to hold none Spark's own reader does without the pass that finds out where values end.
     """
     options = {"header": "true", "multiLine": str(multi_line).lower(), "escape": '"', "quote": '"', "nullValue": ""}
     if header is None:
         header = spark.read.options(**options).csv(path).schema.names
+    if multi_line:
+        df = parsed(csv_records(spark, path), header, options)
+        return df.select(*[na_to_null(F.col(quoted(c))).alias(c) for c in header if columns is None or c in set(columns)])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     df = spark.read.options(**options, enforceSchema="true").schema(schema).csv(path)
     wanted = [c for c in header if columns is None or c in set(columns)]
