@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.catalog import cases, derive, derive_sql, query, table
+from vintara.catalog import ORACLES, cases, derive, derive_sql, query, table
 from vintara.config.sites import FILE_TYPES, SOURCES, STATUSES
 from vintara.operators import manifest as m
 from vintara.plans.acquire import acquire
+from vintara.plans.manifest_store import ManifestStore
+from vintara.session import new_folder
+from vintara.sources.manifest_json import read_manifest_json, write_manifest_json
 
 RUN = "TIMESTAMP '2025-01-01 00:00:00'"
 _USER = "cast(user_id as string)"
@@ -277,6 +280,27 @@ def apply_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.apply_fetch(snapshot(spark, sf_dir), run_outcomes(spark, sf_dir), F.expr(RUN))
 
 
+@query(ORACLES["apply_fetch"])
+def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same next manifest, kept in buckets of which only the touched ones are rewritten."""
+    store = ManifestStore(new_folder(spark), buckets=32)
+    store.create(snapshot(spark, sf_dir))
+    store.apply(run_outcomes(spark, sf_dir), F.expr(RUN))
+    return store.read(spark)
+
+
+_LATEST_SQL = f"(SELECT * FROM {MANIFEST_SQL} QUALIFY row_number() OVER (PARTITION BY url ORDER BY version DESC) = 1)"
+_JSON_FIELDS = ("program", "filename", "period", "saved_path", "sha256", "etag", "last_modified")
+
+
+@query(f"SELECT url, {', '.join(_JSON_FIELDS)} FROM {_LATEST_SQL}")
+def json_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last entry of each url written as one JSON document, and read back."""
+    path = f"{new_folder(spark)}/manifest.json"
+    write_manifest_json(m.latest_by_url(snapshot(spark, sf_dir), "version"), path, _JSON_FIELDS)
+    return read_manifest_json(spark, path, _JSON_FIELDS)[0]
+
+
 STORED = {
     "path": f"'/data/' || c_mktsegment || '/u' || {_CUST} || CASE WHEN c_custkey % 6 = 0 THEN '.pdf' ELSE '.xlsx' END",
     "length": "c_custkey * 3", "sha256": "'s' || " + _CUST,

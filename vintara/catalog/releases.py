@@ -13,9 +13,10 @@ from vintara.catalog.cleaning import DATE_SQL, number_sql, upper_code_sql
 from vintara.catalog.harmonising import DATE, EARLY, FORM, LATE, MIDDLE, RELEASES_SQL, YEAR
 from vintara.config.values import LCA_STATUS, NA_TOKENS
 from vintara.operators.joins import lookup_join
-from vintara.plans.lca import clean_lca, compile_lca
+from vintara.plans.incremental import CaseStore
+from vintara.plans.lca import clean_lca, compile_lca, write_clean
 from vintara.plans.perm import clean_perm, compile_perm
-from vintara.plans.releases import count_rows, read_headers
+from vintara.plans.releases import count_rows, find_releases, read_headers
 from vintara.plans.wages import amalgamate, main_releases
 from vintara.session import new_folder
 from vintara.sources.footers import profile_files
@@ -113,6 +114,25 @@ def lca_releases_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compiled.select("case_number", "year", "wage_rate_of_pay_from")
 
 
+@query(f"""SELECT {_KEY} AS case_number, case_status, "year", wage_rate_of_pay_from FROM {_FIRST_SQL}""")
+def lca_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases added in three steps, the earliest last -> the same table as compiled at once."""
+    store, releases = CaseStore(new_folder(spark)), find_releases(spark, yearly_tree(spark, sf_dir))
+    for some in (releases[1:-1], releases[-1:], releases[:1]):
+        store.add(spark, some)
+    return store.read(spark).select("case_number", "case_status", "year", "wage_rate_of_pay_from")
+
+
+@query(f"""
+SELECT count(*) AS rows_in, (SELECT count(*) FROM ({{clean}})) AS rows_out, 107 AS columns_in, 36 AS columns_out FROM {_FIRST_SQL}""".replace(
+    "{clean}", "SELECT DISTINCT * FROM (" + f"SELECT {_KEY} AS k FROM {_FIRST_SQL}" + ")"))
+def lca_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns before and after cleaning, counted by the job that writes the table."""
+    done = write_clean(compile_lca(spark, yearly_tree(spark, sf_dir)), f"{new_folder(spark)}/clean")
+    return spark.createDataFrame([(done.rows_in, done.rows_out, done.columns_in, done.columns_out)],
+                                 "rows_in long, rows_out long, columns_in int, columns_out int")
+
+
 _FORM_YEAR = "cast(year(o_orderdate) + 25 as string)"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from vintara.plans.convert import convert_workbooks
 from vintara.plans.releases import (
     ORDER, Release, find_damaged, find_releases, find_unread, harmonise_releases, read_headers, report, used_columns,
 )
+from vintara.sources.tables import counted
 
 DATES = ["received_date", "decision_date", "begin_date", "end_date"]
 NUMBERS = ["wage_rate_of_pay_from", "wage_rate_of_pay_to", "prevailing_wage"]
@@ -107,3 +109,28 @@ def clean_lca(
         cleaned = cleaned.select(*[step(c).alias(c) for c in have])
     distinct = distinct_rows(cleaned)
     return distinct.withColumnsRenamed(LCA_LABELS) if labels else distinct
+
+
+@dataclass(frozen=True)
+class Cleaned:
+    """Counts of a written table: what was printed beside each step, from the pass that wrote it."""
+
+    rows_in: int
+    rows_out: int
+    columns_in: int
+    columns_out: int
+    flags_rejected: dict[str, int]
+
+    @property
+    def duplicates(self) -> int:
+        return self.rows_in - self.rows_out
+
+
+def write_clean(compiled: DataFrame, path: str, labels: bool = False) -> Cleaned:
+    """Write the cleaned table; its counts come from the same pass over the rows."""
+    flags = [c for c in FLAGS if c in compiled.columns]
+    rejected = {c: F.count_if(typed.flag_rejected(text.strip(text.na_to_null(c)))) for c in flags}
+    rows, read = counted(compiled, **rejected)
+    clean, kept = counted(clean_lca(rows, labels))
+    clean.write.mode("overwrite").parquet(path)
+    return Cleaned(read.get["rows"], kept.get["rows"], len(compiled.columns), len(clean.columns), {c: read.get[c] for c in flags})

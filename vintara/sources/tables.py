@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """The same rows, and their number with other aggregates of them (``rows``, ``metrics``), which
+    the job that reads them gathers along the way; there is no scan of their own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in metrics.items()]), seen
+
+
 def size_in_mb(listing: DataFrame) -> DataFrame:
     """Total size of listed files."""
     return listing.agg(F.round(F.sum("length") / (1024 * 1024), 2).alias("size_mb"))
