@@ -78,4 +78,5 @@ def load() -> None:
         profiling,
         releases,
         webpages,
+        wide,
     )

@@ -56,19 +56,19 @@ def na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PADDED = {
     "doc_id": "doc_id",
-    "cell": "chr(160) || ' ' || chr(9) || " + cases("doc_id % 11", ["nan", "NAN", "", "NONE"], "text")
-    + " || chr(13) || chr(10) || chr(160)",
+    "cell": "chr(160) || ' ' || chr(9) || text || chr(13) || chr(10) || chr(160)",
+    "mark": "chr(160) || " + cases("doc_id % 11", ["nan", "NAN", "", "NONE"], "source") + " || chr(9)",
 }
 _RUN = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
-@query(f"""SELECT doc_id, {clean_text_sql('cell')} AS value,
+@query(f"""SELECT doc_id, {clean_text_sql('cell')} AS value, {clean_text_sql('mark')} AS mark,
 regexp_replace({strip_sql('cell')}, '{_RUN}', ' ', 'g') AS squeezed
 FROM {derive_sql('documents', PADDED)}""")
 def strip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts stripped of any whitespace, blanks to null; runs of whitespace collapsed."""
     return derive(table(spark, sf_dir, "documents"), PADDED).select(
-        "doc_id", text.clean_text("cell").alias("value"), text.squeeze("cell").alias("squeezed"))
+        "doc_id", text.clean_text("cell").alias("value"), text.clean_text("mark").alias("mark"), text.squeeze("cell").alias("squeezed"))
 
 
 _STATUSES = [" certified ", "CERTIFIED-EXPIRED", "Certified - Expired", "CERTIFIED-WITHDRAWN",

@@ -471,12 +471,14 @@ def links_by_program(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT program || '/' || "year" AS period, url, program, "year", 'dolstats' AS source_id, 'dol' AS file_type,
-  '/data/performance_data/' || program || '/' || "year" AS folder
-FROM ({ORACLES['discover_files']}) QUALIFY row_number() OVER (PARTITION BY program, "year", url ORDER BY page_id) = 1""")
+  '/data/performance_data/' || program || '/' || "year" AS folder, filename,
+  '/data/performance_data/' || program || '/' || "year" || '/' || filename AS saved_path
+FROM ({ORACLES['discover_files']})
+QUALIFY row_number() OVER (PARTITION BY program, "year", url ORDER BY page_id, found_in DESC, filename) = 1""")
 def run_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One candidate per (period, url) over all pages, with its folder."""
     return candidates(placed_pages(spark, sf_dir)).select(
-        "period", "url", "program", "year", "source_id", "file_type", "folder")
+        "period", "url", "program", "year", "source_id", "file_type", "folder", "filename", "saved_path")
 
 
 _PROGRAM_LABEL = "CASE WHEN page_id % 2 = 0 THEN 'IV' ELSE 'NIV' END"
