@@ -42,6 +42,20 @@ class ManifestStore:
     def read(self, spark: SparkSession) -> DataFrame:
         return self._read(spark).drop("bucket")
 
+    def put(self, rows: DataFrame) -> None:
+        """Replace all rows of the entries among ``rows`` by these."""
+        rows = settle(rows.select([f.name for f in m.MANIFEST]))
+        touched = [r["bucket"] for r in rows.select(self._bucket()).distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return
+        spark = rows.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            self._write(rows)
+            return
+        held = self._read(spark).where(F.col("bucket").isin(touched)).drop("bucket")
+        self._write(lookup_join(held, rows.select(*m.ENTRY).distinct(), m.ENTRY, "left_anti").unionByName(rows))
+
     def apply(self, outcomes: DataFrame, run_at: Column) -> list[int]:
         """Put a run's new entries in and replace what they supersede; the buckets rewritten.
 
