@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import shutil
 from datetime import datetime
 from itertools import permutations
@@ -11,10 +13,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from vintara.operators import manifest as m
-from vintara.plans import lca
+from vintara.plans import lca, manifest_table
 from vintara.plans.incremental import CaseStore
 from vintara.plans.manifest_store import ManifestStore
 from vintara.plans.releases import find_releases
+from vintara.sources.listing import fingerprinted
 from vintara.sources.manifest_json import read_manifest_json, write_manifest_json
 
 WHEN = datetime(2025, 1, 1)
@@ -170,3 +173,49 @@ def test_counts_come_with_the_write(spark, tmp_path):
     written = spark.read.parquet(str(tmp_path / "out"))
     assert (done.rows_in, done.rows_out, done.duplicates, done.columns_in, done.columns_out) == (5, written.count(), 1, 2, 2)
     assert done.flags_rejected == {"new_employment": 2}
+
+
+# ---- the manifest in buckets of its paths ----
+
+
+def test_reconciling_moves_only_the_listing(spark):
+    manifest = _manifest(spark, 500).withColumn("saved_path", F.expr("if(bytes % 3 = 0, '/d/hot', saved_path)")).withColumn(
+        "status", F.expr("if(bytes % 7 = 0, 'replaced', 'active')"))
+    listing = spark.createDataFrame([(f"/d/f{i}",) for i in range(0, 600, 2)] + [("/d/f4",), ("/d/x",)], "path string")
+    spark.sql("DROP TABLE IF EXISTS manifest_paths")
+    manifest_table.save(manifest, "manifest_paths", buckets=8)
+    got, want = (f for f in (manifest_table.reconcile(spark, "manifest_paths", listing, F.lit(WHEN)), m.reconcile(manifest, listing, F.lit(WHEN))))
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() == 500
+    assert _paths(manifest_table.untracked(spark, "manifest_paths", listing)) == _paths(m.untracked(manifest, listing).distinct())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = manifest_table.reconcile(spark, "manifest_paths", listing, F.lit(WHEN))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("Join"):]
+    scan = join[:join.index("FileScan")]
+    assert "Exchange" not in scan and "Bucketed: true" in join and "Exchange" in join[join.index("FileScan"):]
+    spark.sql("DROP TABLE manifest_paths")
+
+
+def _paths(df) -> list:
+    return sorted(r["path"] for r in df.collect())
+
+
+def test_only_changed_files_are_fingerprinted(spark, tmp_path):
+    for name in "abc":
+        (tmp_path / f"{name}.csv").write_text(f"{name} one")
+    first = fingerprinted(spark, str(tmp_path))
+    held = spark.createDataFrame(first.collect(), first.schema)
+    assert {r["path"].rsplit("/", 1)[-1]: r["sha256"] for r in held.collect()} == {
+        f"{n}.csv": hashlib.sha256(f"{n} one".encode()).hexdigest() for n in "abc"}
+    stat = (tmp_path / "a.csv").stat()
+    (tmp_path / "a.csv").write_text("a two")  # same length and time: not opened, so the old fingerprint stays
+    os.utime(tmp_path / "a.csv", ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    (tmp_path / "b.csv").write_text("b longer")
+    (tmp_path / "c.csv").unlink()
+    (tmp_path / "d.csv").write_text("d new")
+    got = {r["path"].rsplit("/", 1)[-1]: r["sha256"] for r in fingerprinted(spark, str(tmp_path), held).collect()}
+    assert got == {n: hashlib.sha256(t.encode()).hexdigest() for n, t in (("a.csv", "a one"), ("b.csv", "b longer"), ("d.csv", "d new"))}
+    again = fingerprinted(spark, str(tmp_path), spark.createDataFrame(fingerprinted(spark, str(tmp_path)).collect(), first.schema))
+    assert again.count() == 3 and fingerprinted(spark, str(tmp_path), extensions=["zip"]).count() == 0

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintara.catalog import ORACLES, cases, derive, derive_sql, query, table
 from vintara.config.sites import FILE_TYPES, SOURCES, STATUSES
 from vintara.operators import manifest as m
+from vintara.plans import manifest_table
 from vintara.plans.acquire import acquire
 from vintara.plans.manifest_store import ManifestStore
 from vintara.session import new_folder
@@ -369,3 +372,11 @@ def plan_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.plan_by_url(
         derive(table(spark, sf_dir, "customer"), _BY_PATH), held, probe(spark, sf_dir),
         derive(table(spark, sf_dir, "customer"), _STORED_PATHS))
+
+
+@query(ORACLES["reconcile"])
+def reconcile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reconciled manifest, from a table in buckets of its paths."""
+    name = f"manifest_{uuid.uuid4().hex}"
+    manifest_table.save(snapshot(spark, sf_dir), name, buckets=8)
+    return manifest_table.reconcile(spark, name, disk(spark, sf_dir), F.expr(RUN))

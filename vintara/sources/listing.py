@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vintara.config.sites import LISTED_EXTENSIONS
 from vintara.functions.names import is_companion
+from vintara.operators.joins import lookup_join
 
 
 def list_files(spark: SparkSession, root: str, extensions: Sequence[str] = LISTED_EXTENSIONS) -> DataFrame:
@@ -38,6 +39,36 @@ def read_files(spark: SparkSession, root: str, extensions: Sequence[str]) -> Dat
     )
 
 
+def list_versions(spark: SparkSession, root: str, extensions: Sequence[str] = LISTED_EXTENSIONS) -> DataFrame:
+    """(path, length, modified) of the files below ``root``; no file is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.{" + ",".join(extensions) + "}").load(root)
+    return files.select("path", "length", F.col("modificationTime").alias("modified")).where(~F.col("path").contains(".tmp"))
+
+
+def fingerprinted(
+    spark: SparkSession, root: str, before: DataFrame | None = None, extensions: Sequence[str] = LISTED_EXTENSIONS
+) -> DataFrame:
+    """(path, length, modified, sha256) of the files below ``root``.
+
+    A file that has its length and time from ``before``, an earlier result, keeps the fingerprint it
+    has there and is not opened; only the others are read.
+    """
+    now = list_versions(spark, root, extensions)
+    if before is None:
+        known, fresh = None, now
+    else:
+        keys = ["path", "length", "modified"]
+        known = lookup_join(now, before.select(*keys, "sha256").dropDuplicates(keys), keys, "inner")
+        fresh = lookup_join(now, before.select(*keys).distinct(), keys, "left_anti")
+    paths = [r["path"] for r in fresh.select("path").collect()]  # names of the files that are to be read
+    if not paths:
+        return known if known is not None else now.withColumn("sha256", F.lit(None).cast("string"))
+    read = spark.read.format("binaryFile").load(paths).select(
+        "path", "length", F.col("modificationTime").alias("modified"), fingerprint("content").alias("sha256"))
+    return read if known is None else known.unionByName(read)
+
+
 def fingerprint(content: Column | str) -> Column:
     """SHA-256 of bytes."""
     content = F.col(content) if isinstance(content, str) else content
