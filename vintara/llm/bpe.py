@@ -13,6 +13,8 @@ holds the vocabulary, one batch and caches of bounded size.
 from __future__ import annotations
 
 import json
+import sys
+import types
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
@@ -28,7 +30,7 @@ from vintara.llm import common
 
 common.by_value(__name__)
 
-#: Chunks and pieces a worker remembers before it starts anew.
+#: Chunks, and pieces, that a worker remembers.
 CACHE = 300_000
 #: Pieces of more bytes than this get a tree of their own.
 LONG = 64
@@ -56,6 +58,28 @@ YOUNG = (
 )
 
 
+class _Known:
+    """What a worker remembers, in two generations: what is still asked for outlives the older one."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Those that are not known; all others are among the young afterwards."""
+        if len(self.young) + len(wanted) > CACHE // 2:
+            self.old, self.young = self.young, {}
+        young, old, out = self.young, self.old, []
+        for key in wanted:
+            if key not in young:
+                found = old.get(key)
+                if found is None:
+                    out.append(key)
+                else:
+                    young[key] = found
+        return out
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary in the JSON format of the tokenizers library."""
 
@@ -259,22 +283,18 @@ class Vocabulary:
     # --- whole texts ---------------------------------------------------------------------
 
     @cached_property
-    def _chunk_ids(self) -> dict[str, bytes]:
-        return {}
+    def _chunk_ids(self) -> _Known:
+        return _Known()
 
     @cached_property
-    def _piece_ids(self) -> dict[str, bytes]:
-        return {}
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Fill the caches for chunks that are in none."""
-        known, pieces = self._chunk_ids, self._piece_ids
-        if len(known) + len(chunks) > CACHE:
-            known.clear()
-        if len(pieces) > CACHE:
-            pieces.clear()
+    def _piece_ids(self) -> _Known:
+        return _Known()
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the ids of chunks."""
         cut = {chunk: self.pieces(chunk) for chunk in chunks}
-        new = list({p for parts in cut.values() for p in parts if p not in pieces})
+        new = self._piece_ids.missing(set(chain.from_iterable(cut.values())))
+        pieces, known = self._piece_ids.young, self._chunk_ids.young
         raw = [p.encode() for p in new]
         short = [i for i, p in enumerate(raw) if len(p) <= LONG]
         for i, ids in zip(short, self.merge_many([raw[i] for i in short])):
@@ -283,7 +303,7 @@ class Vocabulary:
             if len(b) > LONG:
                 pieces[p] = np.array(self.merge_long(b), dtype="<i4").tobytes()
         for chunk, parts in cut.items():
-            known[chunk] = b"".join([pieces[p] for p in parts])
+            known[chunk] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
 
     def _chunks(self, text: str) -> list[str]:
         """Parts whose ids joined are the ids of the text: what stands between spaces, with the
@@ -318,13 +338,8 @@ class Vocabulary:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [list(self._parts(text)) for text in texts]
-        known = self._chunk_ids
-        wanted = set(chain.from_iterable(chunks for parts in cut for chunks, _ in parts))
-        missing = wanted.difference(known)
-        if missing:
-            if len(known) + len(missing) > CACHE:
-                missing = wanted
-            self._learn(missing)
+        self._learn(self._chunk_ids.missing(set(chain.from_iterable(chunks for parts in cut for chunks, _ in parts))))
+        known = self._chunk_ids.young
         return [b"".join(chain.from_iterable(chain(map(known.__getitem__, chunks), (token,))
                                              for chunks, token in parts)) for parts in cut]
 
@@ -333,6 +348,16 @@ class Vocabulary:
         return b"".join(self.tokens[ids].tolist())
 
 
+def _kept(vocabulary: Vocabulary) -> Vocabulary:
+    """The vocabulary of this Python worker: its later tasks need not build it again, and know the
+    pieces of earlier ones."""
+    here = sys.modules.setdefault("_bpe_vocabulary", types.ModuleType("_bpe_vocabulary"))
+    known = getattr(here, "vocabulary", None)
+    if known is None or known.source != vocabulary.source:
+        here.vocabulary = vocabulary
+    return here.vocabulary
+
+
 def load(path: str) -> Vocabulary:
     """Read the vocabulary on the driver; the tasks get its content (1.5 MB)."""
     with open(path, encoding="utf-8") as file:
@@ -350,8 +375,9 @@ def encode(text: Column, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = _kept(vocabulary)
         for texts in batches:
-            yield _lists(vocabulary.encode_batch([t or "" for t in texts.to_pylist()]))
+            yield _lists(own.encode_batch([t or "" for t in texts.to_pylist()]))
 
     return ids(text)
 
@@ -362,11 +388,12 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = _kept(vocabulary)
         for lists in batches:
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             ends = np.cumsum(sizes)
-            yield pa.array([vocabulary.decode(flat[e - n:e]).decode("utf-8", "replace")
+            yield pa.array([own.decode(flat[e - n:e]).decode("utf-8", "replace")
                             for n, e in zip(sizes, ends)], pa.string())
 
     return text(ids)
