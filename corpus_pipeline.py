@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vintara.llm import bpe, language, lines, mixing, simhash
 from vintara.llm.common import packed, table, tuned, unpacked
 from vintara.operators.joins import lookup_join
-from vintara.session import settle
+from vintara.session import release, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -75,9 +75,12 @@ STAGES: list[tuple[str, Stage]] = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))
+        if before is not None:
+            release(before)  # nothing reads the stage before any more
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
