@@ -7,7 +7,7 @@ elements: ``pagetree`` reads those pages. Neither needs a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +37,11 @@ def plain_text(html: Column, squeeze: bool = True) -> Column:
     return F.array_join(F.transform(F.split(html, "<[^>]*>"), lambda p: strip(unescape(p))), "")
 
 
-def anchors_of(html: Column, squeeze: bool = False) -> Column:
-    """Array of the anchors (href, text) of a fragment, in document order."""
+def anchors_of(html: Column, squeeze: bool = False, only: Callable[[Column], Column] | None = None) -> Column:
+    """Array of the anchors (pos, href, text) of a fragment, in document order.
+
+    ``only`` tells by their address which are wanted; the texts of others are not put together.
+    """
     pieces = F.slice(F.split(html, r"(?i)<a\s+"), 2, _REST)
     # what follows "<a": its attributes, and the markup inside the element
     tagged = F.transform(pieces, lambda piece: F.struct(
@@ -49,20 +52,25 @@ def anchors_of(html: Column, squeeze: bool = False) -> Column:
             F.substring(t["piece"], F.length(t["tag"]) + 1, F.length(t["piece"])), r"(?is)^>?(.*?)(?:</a\s*>|\z)", 1
         ).alias("inner"),
     ))
-    return F.transform(F.filter(raw, lambda a: a["href"].isNotNull()), lambda a: F.struct(
-        a["href"].alias("href"), plain_text(a["inner"], squeeze).alias("text")))
+    found = F.transform(F.filter(raw, lambda a: a["href"].isNotNull()), lambda a, i: F.struct(
+        i.alias("pos"), a["href"].alias("href"), a["inner"].alias("inner")))
+    wanted = found if only is None else F.filter(found, lambda a: only(a["href"]))
+    return F.transform(wanted, lambda a: F.struct(
+        a["pos"].alias("pos"), a["href"].alias("href"), plain_text(a["inner"], squeeze).alias("text")))
 
 
-def links(pages: DataFrame, squeeze: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+def links(pages: DataFrame, squeeze: bool = False, keep: Sequence[str] = (),
+          only: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row per anchor with an href: (page_id, base, pos, href, text) and kept page columns.
 
-    ``squeeze`` strips every piece of the text between tags before they are joined.
+    ``squeeze`` strips every piece of the text between tags before they are joined; ``only`` tells
+    by their address which anchors are wanted.
     """
     # outer: a plain explode would have the markup parsed again to infer a non-empty filter
     return pages.select(
         "page_id", F.col("url").alias("base"), *keep,
-        F.posexplode_outer(anchors_of(visible("html"), squeeze)).alias("pos", "a"),
-    ).where("a IS NOT NULL").select("page_id", "base", *keep, "pos", "a.href", "a.text")
+        F.explode_outer(anchors_of(visible("html"), squeeze, only)).alias("a"),
+    ).where("a IS NOT NULL").select("page_id", "base", *keep, "a.pos", "a.href", "a.text")
 
 
 def file_links(pages: DataFrame, kind: str = "disclosure", keep: Sequence[str] = ()) -> DataFrame:
@@ -74,7 +82,9 @@ def file_links(pages: DataFrame, kind: str = "disclosure", keep: Sequence[str] =
     extensions = EXTENSIONS[kind]
     # pages that hold no such extension, written out or by references, are not taken apart
     some = pages.where(F.col("html").rlike(r"(?i)\.(" + "|".join(extensions) + r")|&#|&period;"))
-    found = links(some, keep=keep).where("href <> ''")
+    # what can be no such file by its address alone goes first; a query alone takes the page's own path
+    named = r"(?i)\.(" + "|".join(extensions) + r")|^\s*[?#]"
+    found = links(some, keep=keep, only=lambda href: href.rlike(named)).where("href <> ''")
     if kind == "yearbook":
         found = found.withColumn("href", strip("href"))
     found = found.withColumn("url", urls.resolve_url("base", "href"))
