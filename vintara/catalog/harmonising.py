@@ -68,8 +68,8 @@ SELECT {YEAR} AS release, o_orderkey AS row_no, {CASE_NO} AS case_number, {STATU
        {YEAR} AS "year"
 FROM orders)"""
 
-_FILLED = ["case_number", "case_status", "received_date", "employer_name", "wage_rate_of_pay_from", "year"]
-_ALL = ", ".join(f'"{c}"' if c in _FILLED else f'CAST(NULL AS VARCHAR) AS "{c}"' for c in LCA_COLUMNS)
+FILLED = ["case_number", "case_status", "received_date", "employer_name", "wage_rate_of_pay_from", "year"]
+_ALL = ", ".join(f'"{c}"' if c in FILLED else f'CAST(NULL AS VARCHAR) AS "{c}"' for c in LCA_COLUMNS)
 
 
 @query(f"SELECT {_ALL}, release, row_no FROM {RELEASES_SQL}")
@@ -90,7 +90,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY} ORDER BY release, row_no)
 def clean_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Releases -> first row of each case -> cleaned values."""
     # project before the shuffle: the canonical layout is wide, the report is not
-    rows = releases(spark, sf_dir).select(*_FILLED, "release", "row_no")
+    rows = releases(spark, sf_dir).select(*FILLED, "release", "row_no")
     first = keep_first(rows, [text.case_key("case_number", null_as="NAN")], ["release", "row_no"])
     return first.select(
         "year",

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from vintara.catalog import derive, query, strip_sql, table
 from vintara.catalog.cleaning import DATE_SQL, number_sql, upper_code_sql
-from vintara.catalog.harmonising import DATE, EARLY, FORM, LATE, MIDDLE, RELEASES_SQL, YEAR
+from vintara.catalog.harmonising import DATE, EARLY, FILLED, FORM, LATE, MIDDLE, RELEASES_SQL, YEAR
+from vintara.config.lca import LCA_COLUMNS
 from vintara.config.values import LCA_STATUS, NA_TOKENS
 from vintara.operators.joins import lookup_join
 from vintara.plans.incremental import CaseStore
@@ -104,14 +105,17 @@ def release_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BLOCK = 1000
 
 
+_COMPILED = ", ".join(f"{_KEY} AS case_number" if c == "case_number" else f'"{c}"' if c in FILLED else f'CAST(NULL AS VARCHAR) AS "{c}"'
+                      for c in LCA_COLUMNS)
+
+
 @query(f"""
 WITH placed AS (SELECT *, coalesce({_KEY}, 'NAN') AS k, row_number() OVER (ORDER BY release, row_no) - 1 AS p FROM {RELEASES_SQL})
-SELECT {_KEY} AS case_number, "year", wage_rate_of_pay_from FROM placed
+SELECT {_COMPILED} FROM placed
 QUALIFY min(p // {_BLOCK}) OVER (PARTITION BY k) = p // {_BLOCK}""")
 def lca_releases_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Release files -> one table, every row of the block where a case first appears."""
-    compiled = compile_lca(spark, yearly_tree(spark, sf_dir), mode="blocks", block_rows=_BLOCK)
-    return compiled.select("case_number", "year", "wage_rate_of_pay_from")
+    """Release files -> one table, every row of the block where a case first appears, all columns."""
+    return compile_lca(spark, yearly_tree(spark, sf_dir), mode="blocks", block_rows=_BLOCK)
 
 
 @query(f"""SELECT {_KEY} AS case_number, case_status, "year", wage_rate_of_pay_from FROM {_FIRST_SQL}""")
