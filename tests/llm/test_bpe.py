@@ -89,3 +89,13 @@ def test_query(spark, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_a_vocabulary_that_was_sent_is_the_same():
+    import pickle
+
+    own = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    sent = pickle.loads(pickle.dumps(own))
+    assert sent.tokens.tolist() == own.tokens.tolist() and sent.merges == own.merges and sent.special == own.special
+    texts = ["plain words", "x" * 500 + " <|endoftext|> é🙂", ""]
+    assert sent.encode_batch(texts) == own.encode_batch(texts)

@@ -13,8 +13,6 @@ holds the vocabulary, one batch and caches of bounded size.
 from __future__ import annotations
 
 import json
-import sys
-import types
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
@@ -30,8 +28,8 @@ from vintara.llm import common
 
 common.by_value(__name__)
 
-#: Chunks, and pieces, that a worker remembers.
-CACHE = 300_000
+#: Chunks, and pieces, that a task remembers.
+CACHE = 450_000
 #: Pieces of more bytes than this get a tree of their own.
 LONG = 64
 #: Leaves of all trees that are merged side by side.
@@ -59,7 +57,7 @@ YOUNG = (
 
 
 class _Known:
-    """What a worker remembers, in two generations: what is still asked for outlives the older one."""
+    """What a task remembers, in two generations: what is still asked for outlives the older one."""
 
     def __init__(self) -> None:
         self.young: dict[str, bytes] = {}
@@ -87,7 +85,10 @@ class Vocabulary:
         self.source = source
 
     def __getstate__(self) -> dict:
-        return {"source": self.source}
+        """What tasks need, as arrays: a task has them at once, while reading the file takes a second."""
+        tokens = self.tokens.tolist()
+        return {"special": self.special, "byte_ids": self.byte_ids, "_ranked": self._ranked,
+                "_shipped": (b"".join(tokens), [len(t) for t in tokens])}
 
     @cached_property
     def _content(self) -> dict:
@@ -117,6 +118,12 @@ class Vocabulary:
     @cached_property
     def tokens(self) -> np.ndarray:
         """Bytes by id."""
+        if "_shipped" in self.__dict__:
+            raw, sizes = self._shipped
+            ends = np.cumsum(sizes).tolist()
+            out = np.empty(len(sizes), dtype=object)
+            out[:] = [raw[e - n:e] for n, e in zip(sizes, ends)]
+            return out
         out = np.full(max([*self.ids.values(), *self.special.values()]) + 1, b"", dtype=object)
         for token, i in self.ids.items():
             out[i] = token
@@ -127,6 +134,9 @@ class Vocabulary:
     @cached_property
     def merges(self) -> dict[tuple[int, int], tuple[int, int]]:
         """(left id, right id) -> (rank, id of the merged token)."""
+        if "_shipped" in self.__dict__:
+            keys, ranks, into = self._ranked
+            return {(k >> 32, k & 0xFFFFFFFF): (r, i) for k, r, i in zip(keys.tolist(), ranks.tolist(), into[ranks].tolist())}
         back, ids, out = self._bytes_of, self.ids, {}
         for rank, pair in enumerate(self._content["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
@@ -348,16 +358,6 @@ class Vocabulary:
         return b"".join(self.tokens[ids].tolist())
 
 
-def _kept(vocabulary: Vocabulary) -> Vocabulary:
-    """The vocabulary of this Python worker: its later tasks need not build it again, and know the
-    pieces of earlier ones."""
-    here = sys.modules.setdefault("_bpe_vocabulary", types.ModuleType("_bpe_vocabulary"))
-    known = getattr(here, "vocabulary", None)
-    if known is None or known.source != vocabulary.source:
-        here.vocabulary = vocabulary
-    return here.vocabulary
-
-
 def load(path: str) -> Vocabulary:
     """Read the vocabulary on the driver; the tasks get its content (1.5 MB)."""
     with open(path, encoding="utf-8") as file:
@@ -375,9 +375,8 @@ def encode(text: Column, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = _kept(vocabulary)
         for texts in batches:
-            yield _lists(own.encode_batch([t or "" for t in texts.to_pylist()]))
+            yield _lists(vocabulary.encode_batch([t or "" for t in texts.to_pylist()]))
 
     return ids(text)
 
@@ -388,12 +387,11 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = _kept(vocabulary)
         for lists in batches:
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             ends = np.cumsum(sizes)
-            yield pa.array([own.decode(flat[e - n:e]).decode("utf-8", "replace")
+            yield pa.array([vocabulary.decode(flat[e - n:e]).decode("utf-8", "replace")
                             for n, e in zip(sizes, ends)], pa.string())
 
     return text(ids)
