@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from vintara.operators import dedup
 
@@ -84,3 +85,43 @@ def test_wide_rows_are_not_sorted_where_losers_are_few(spark):
     final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
     above = final[:final.index("BroadcastQueryStage")]
     assert "BroadcastHashJoin" in above and "LeftAnti" in above and "Sort " not in above
+
+
+def _wide(spark, data):
+    return spark.createDataFrame([("g", f"f{i // 50_000}", i % 50_000 * 3, key, "x" * 50) for i, key in data],
+                                 "g string, f string, r long, key string, wide string").repartition(7)
+
+
+def test_rows_at_lost_positions_go_by_bitmaps(spark, monkeypatch):
+    df = spark.range(200_000).selectExpr("concat('f', id % 3) AS f", "id AS r", "id AS i")
+    df = df.union(spark.createDataFrame([(None, 5, -1), ("f0", None, -2), ("f1", None, -3)], "f string, r long, i long"))
+    lost = df.where("i % 7 = 0 OR i IN (-1, -2)").select("f", "r")
+    want = [-3] + [i for i in range(200_000) if i % 7]
+    for most in (dedup.BITMAPS, 0):  # sent to the tasks, met by a shuffle
+        monkeypatch.setattr(dedup, "BITMAPS", most)
+        assert sorted(r["i"] for r in dedup.without_positions(df, lost.union(lost), ["f", "r"]).collect()) == want
+
+
+def test_wide_rows_are_not_moved_where_most_lose(spark, tmp_path):
+    """Files are small where positions repeat their paths; what is sent to the tasks must not be sized by them."""
+    spark.range(60_000).selectExpr("concat('/a/long/path/', id % 2) AS f", "id AS r", "id % 3 AS key", "'w' AS wide").write.parquet(str(tmp_path / "t"))
+    kept = dedup.keep_first_by_position(spark.read.parquet(str(tmp_path / "t")), ["key"], ["f", "r"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "_bits" in plan and "_lost" not in plan and "Sort " not in plan
+    assert sorted(r["r"] for r in kept.collect()) == [0, 2, 4]  # of even ones, which come first
+
+
+@pytest.mark.parametrize("block", [1, 7, 50, 400])
+def test_first_block_by_position(spark, block):
+    data = rows()
+    df = _wide(spark, data).withColumn("place", F.col("r"))
+    seen, want = set(), []
+    for start in range(0, len(data), block):
+        chunk = [(i, key) for i, key in data[start:start + block] if key not in seen]
+        seen |= {key for _, key in chunk}
+        want += [i for i, _ in chunk]
+    # row numbers in a file are gapless
+    kept = dedup.keep_first_block_by_position(df.withColumn("r", F.expr("r div 3")), "key", "g", ["f", "r"], block)
+    assert sorted(r["place"] // 3 for r in kept.collect()) == want
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "_bits" in plan and "Sort " not in plan

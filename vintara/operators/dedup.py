@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vintara.functions.text import quoted
 from vintara.operators.joins import lookup_join
+from vintara.session import settle
 
 
 def keep_first(
@@ -40,23 +41,64 @@ def keep_first(
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+#: Bits of a row number that choose a row among those that one bitmap stands for: 2^15 rows, 4 KB.
+_CHUNK = 15
+#: Bitmaps that are sent to the tasks, 64 MB for half a billion rows; where they are more, rows meet them by a shuffle.
+BITMAPS = 1 << 14
+
+
+def _place(position: Sequence[str]) -> tuple[Column, Column]:
+    """Which bitmap a row has its bit in, and which bit that is."""
+    *file, row = position
+    number = F.col(row).cast("long")
+    own = F.coalesce(number.bitwiseAND(F.lit((1 << _CHUNK) - 1)), F.lit(0).cast("long"))
+    return F.struct(*[F.col(f) for f in file], F.shiftright(number, _CHUNK).alias("chunk")), own
+
+
+def without_positions(df: DataFrame, lost: DataFrame, position: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` but those at the positions of ``lost``, which has the same columns.
+
+    A position is a file and a row number in it, the last of its columns. Each bitmap tells of the
+    rows of a file by a bit, so however many are lost, what the wide rows meet is an eighth of a
+    byte a row, and they are neither moved nor sorted.
+    """
+    chunk, bit = _place(position)
+    places = lost.select(chunk.alias("_chunk"), bit.alias("_bit")).repartition("_chunk")  # no task holds all bitmaps
+    marks = settle(places.groupBy("_chunk").agg(F.expr("bitmap_construct_agg(_bit)").alias("_bits")))
+    marks = F.broadcast(marks) if marks.count() <= BITMAPS else marks.hint("merge")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright("_own_bit", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_lost = F.bit_get(byte, F.col("_own_bit").bitwiseAND(F.lit(7)).cast("int")) == 1
+    rows = df.withColumns({"_own_chunk": chunk, "_own_bit": bit})
+    return rows.join(marks, (F.col("_own_chunk") == F.col("_chunk")) & is_lost, "left_anti").drop("_own_chunk", "_own_bit")
+
+
 def keep_first_by_position(
     df: DataFrame, keys: Sequence[str | Column], position: Sequence[str]
 ) -> DataFrame:
     """``keep_first`` for wide rows that their position identifies (file and row number).
 
-    Keys and positions alone are aggregated; only the positions that lose, of keys with several
-    rows, meet the wide rows, in an anti join. Losers are few as a rule: adaptive execution then
-    sends them to the tasks, by measured size, and the wide rows are neither moved nor sorted.
-    Positions are unique, so no key is hot in that join.
+    Keys and positions alone are aggregated and joined, by a shuffle: how large they are in memory
+    cannot be told from the size of their files. The wide rows only meet the positions that lose.
     """
     keys = [F.col(k) if isinstance(k, str) else k for k in keys]
-    at = F.struct(*position)
     names = [f"_key_{i}" for i in range(len(keys))]
-    slim = df.select(*[k.alias(n) for k, n in zip(keys, names)], at.alias("_at"))
+    slim = df.select(*[k.alias(n) for k, n in zip(keys, names)], F.struct(*position).alias("_at"))
     several = slim.groupBy(*names).agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    losers = lookup_join(slim, several, names, "inner").where("_at != _first").select(F.col("_at").alias("_lost"))
-    return df.withColumn("_at", at).join(losers, F.col("_at") == F.col("_lost"), "left_anti").drop("_at")
+    losers = lookup_join(slim, several.hint("merge"), names, "inner").where("_at != _first")
+    return without_positions(df, losers.select("_at.*"), position)
+
+
+def keep_first_block_by_position(
+    df: DataFrame, key: str, group: str, position: Sequence[str], block_rows: int = 200_000, null_as: str = "NAN"
+) -> DataFrame:
+    """``keep_first_block`` over the ``global_positions`` of wide rows that their position, file and
+    row number, identifies: keys and positions alone are placed, aggregated and joined."""
+    slim = df.select(F.coalesce(F.col(quoted(key)), F.lit(null_as)).alias("_key"), group, *position)
+    placed = global_positions(slim, group, *position, name="_position")
+    blocks = placed.select("_key", F.floor(F.col("_position") / F.lit(block_rows)).cast("bigint").alias("_block"), *position)
+    first = blocks.groupBy("_key").agg(F.min("_block").alias("_first"))
+    losers = lookup_join(blocks, first.hint("merge"), ["_key"], "inner").where("_block != _first")
+    return without_positions(df, losers.select(*position), position)
 
 
 def keep_first_block(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vintara.config.lca import LCA
 from vintara.functions import text
-from vintara.operators.dedup import keep_first_by_position
+from vintara.operators.dedup import keep_first_by_position, without_positions
 from vintara.operators.joins import lookup_join
 from vintara.plans.releases import ORDER, Release, find_damaged, harmonise_releases, read_headers, used_columns
 
@@ -65,7 +65,7 @@ class CaseStore:
         if index is None:
             known = new.withColumn("_held", F.lit(None).cast(new.schema["_at"].dataType))
         else:
-            known = lookup_join(new, index.groupBy("_key").agg(F.min("_at").alias("_held")), ["_key"], "left")
+            known = lookup_join(new, index.groupBy("_key").agg(F.min("_at").alias("_held")).hint("merge"), ["_key"], "left")
         loses = F.coalesce(F.col("_held") < F.col("_at"), F.lit(False))
         lost = known.where("_held IS NOT NULL").select(F.when(loses, F.col("_at")).otherwise(F.col("_held")).alias("_at"))
         lost.write.mode("overwrite").parquet(f"{self.root}/lost/{number}")
@@ -77,6 +77,5 @@ class CaseStore:
         rows = self._part(spark, "rows")
         if rows is None:
             raise ValueError(f"nothing was added to {self.root}")
-        # positions are unique, so no key is hot; the lost ones are few as a rule
-        lost = self._part(spark, "lost").withColumnRenamed("_at", "_lost")
-        return rows.join(lost, F.col("_at") == F.col("_lost"), "left_anti").select(*LCA.columns)
+        lost = self._part(spark, "lost").select("_at.*")
+        return without_positions(rows.select("*", "_at.*"), lost, ORDER).select(*LCA.columns)
