@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vintara.config.lca import LCA, LCA_LABELS
 from vintara.config.values import BLANKS, LCA_STATUS, PAY_UNIT, VISA_CLASS, YES_NO
 from vintara.functions import text, typed
-from vintara.operators.dedup import distinct_rows, global_positions, keep_first_block, keep_first_by_position
+from vintara.operators.dedup import distinct_rows, keep_first_block_by_position, keep_first_by_position
 from vintara.plans.convert import convert_workbooks
 from vintara.plans.releases import (
     ORDER, Release, find_damaged, find_releases, find_unread, harmonise_releases, read_headers, report, used_columns,
@@ -65,8 +65,7 @@ def compile_lca(
     if mode == "first":
         kept = keep_first_by_position(rows, [text.case_key("case_number", null_as="NAN")], ORDER)
     else:
-        placed = global_positions(rows, "_vintage", "_file_order", "_row_index")
-        kept = keep_first_block(placed, "case_number", "position", block_rows)
+        kept = keep_first_block_by_position(rows, "case_number", "_vintage", ORDER, block_rows)
     return kept.select(*LCA.columns)
 
 
