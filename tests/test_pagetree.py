@@ -9,6 +9,7 @@ import pagewalk
 import pytest
 from pyspark.sql import functions as F
 
+from vintara.catalog import webpages
 from vintara.functions import names
 from vintara.operators import links as w
 from vintara.operators import pagetree
@@ -109,3 +110,13 @@ def test_no_python_and_no_shuffle(spark):
     for df in (w.table_links(frame), w.link_context(frame), w.classified_links(frame)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_a_file_of_one_row_group_is_read_by_many_tasks(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"<a href='f{i}.pdf'>f</a>") for i in range(300)] + [(None, None, None)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    pages = webpages.placed_pages(spark, str(tmp_path))
+    held = pages.groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) >= 4 * spark.sparkContext.defaultParallelism and sum(r["count"] for r in held) == 301
+    assert pages.exceptAll(webpages.derive(frame, webpages.PLACED)).count() == 0
