@@ -219,3 +219,24 @@ def test_only_changed_files_are_fingerprinted(spark, tmp_path):
     assert got == {n: hashlib.sha256(t.encode()).hexdigest() for n, t in (("a.csv", "a one"), ("b.csv", "b longer"), ("d.csv", "d new"))}
     again = fingerprinted(spark, str(tmp_path), spark.createDataFrame(fingerprinted(spark, str(tmp_path)).collect(), first.schema))
     assert again.count() == 3 and fingerprinted(spark, str(tmp_path), extensions=["zip"]).count() == 0
+
+
+def test_case_store_sends_no_positions_to_the_tasks(spark, tmp_path):
+    """Positions take little room in files and much in memory."""
+    _tree(spark, tmp_path / "lca")
+    store = CaseStore(str(tmp_path / "store"))
+    for release in find_releases(spark, str(tmp_path / "lca")):
+        store.add(spark, [release])
+    plan = store.read(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "_bits" in plan and "_lost" not in plan
+
+
+def test_buckets_grow_with_the_manifest(spark, monkeypatch):
+    manifest, listing = _manifest(spark, 1000), spark.range(0, 1000, 2).selectExpr("concat('/d/f', id) AS path")
+    monkeypatch.setattr(manifest_table, "BUCKET_ROWS", 40)
+    manifest_table.save(manifest, "manifest_grown", buckets=8)
+    got, want = (f for f in (manifest_table.reconcile(spark, "manifest_grown", listing, F.lit(WHEN)), m.reconcile(manifest, listing, F.lit(WHEN))))
+    assert got.exceptAll(want).count() == 0 and got.count() == 1000
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED manifest_grown").collect()}
+    assert int(detail["Num Buckets"]) == 25
+    spark.sql("DROP TABLE manifest_grown")

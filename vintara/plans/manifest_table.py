@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from vintara.operators.manifest import MANIFEST
 
 PARTS = 8
+#: Rows that a bucket has room for, some 100 MB; a table that grows has more buckets.
+BUCKET_ROWS = 250_000
 
 
 def _part(rows: DataFrame) -> DataFrame:
@@ -21,7 +23,11 @@ def _part(rows: DataFrame) -> DataFrame:
 
 
 def save(manifest: DataFrame, table: str, buckets: int = 200) -> None:
-    """Write a snapshot as the table, replacing the one before."""
+    """Write a snapshot as the table, replacing the one before.
+
+    It has ``buckets`` buckets at least, and one for every ``BUCKET_ROWS`` rows.
+    """
+    buckets = max(buckets, -(-manifest.count() // BUCKET_ROWS))
     rows = _part(manifest.select([f.name for f in MANIFEST]))
     rows.repartition(buckets, "saved_path", "_part").write.mode("overwrite").bucketBy(buckets, "saved_path", "_part").sortBy(
         "saved_path", "_part").saveAsTable(table)
