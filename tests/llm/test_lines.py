@@ -115,3 +115,29 @@ def test_documents_with_very_many_lines_are_not_broadcast(spark, monkeypatch):
     docs = _varied(7, 10, 6, 25)
     monkeypatch.setattr(lines, "ENTRIES", 0)
     assert _got(spark.createDataFrame(docs, SCHEMA), docs) == _want(docs)
+
+
+def _family(size: int) -> list[tuple]:
+    """Near copies of one line, each with a few words of its own, of which hardly two are close."""
+    pick, base, docs = random.Random(11), [f"b{i}" for i in range(60)], []
+    for i in range(size):
+        line = list(base)
+        for at in pick.sample(range(60), 3):
+            line[at] = f"x{i}.{at}"
+        docs.append((i, " ".join(line)))
+    return docs
+
+
+def test_pairs_of_a_group_do_not_grow_with_its_square(spark, monkeypatch):
+    """What is left to meet by word, and what is verified, stay in proportion to the lines."""
+    checked, verify = [], lines.verified
+
+    def counted(pairs, sets, threshold):
+        checked.append(pairs.count())
+        return verify(pairs, sets, threshold)
+
+    monkeypatch.setattr(lines, "verified", counted)
+    docs = _family(400)
+    frame = spark.createDataFrame(docs, SCHEMA)
+    assert _got(frame, docs) == _want(docs)
+    assert 0 < sum(checked) < 4 * len(docs)

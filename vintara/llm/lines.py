@@ -3,14 +3,13 @@
 A line is the set of its words. Two lines match if their Jaccard similarity reaches the threshold;
 the later one, by document id and line number, is removed. The words of every line are ordered by
 rarity, so that two lines can only match if they share a word among the first few of each (prefix
-filter), if that word stands early enough in both (positional filter) and if they are of similar
-size (length filter); a parity sketch of the set bounds the words in which two lines differ. What
+filter) and if they are of similar size (length filter); a parity sketch of the set bounds the words in which two lines differ. What
 passes is verified on the words themselves.
 
-Lines of equal sets meet once, as a class. Where very many similar lines share a word, those close
-to the first of them by the sketch are compared with that one only: if it matches they are removed,
-whatever else they match; the few for which it does not are joined again without that shortcut. So
-no group of similar lines gives all its pairs, and none is lost.
+Lines of equal sets meet once, as a class. A line is removed by any one earlier line, so each is first
+compared with a few likely ones: those that share its smallest or its largest word hashes, the first
+of them and the last three before it. Only classes for which none of these matches look for all
+others. So a group of similar lines does not give all its pairs, and none is lost.
 
 All of it is DataFrame expressions. The driver gets one thing, a byte for each of ``BUCKETS`` buckets
 that tells how many words fall into it, by which rarity is ordered: a frequent word is never taken
@@ -27,7 +26,7 @@ from pyspark.sql import Window as W
 
 from vintara.llm.common import BLANKS, let, packed, unpacked
 from vintara.operators.joins import lookup_join
-from vintara.session import settle
+from vintara.session import release, settle
 
 #: Similarity of at least this fraction.
 THRESHOLD = (4, 5)
@@ -65,12 +64,13 @@ def _bucket(h: Column) -> Column:
     return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def _rare_first(words: Column, levels: bytes) -> Column:
-    """The different words as numbers that ascend from rare to frequent."""
+def _rare_first(hashes: Column, levels: bytes) -> Column:
+    """Hashes of different words as numbers that ascend from rare to frequent."""
     # folded to a literal array once; an element of it is found at once, unlike a map's
     table = F.split(F.lit(",".join(str(b) for b in levels)), ",").cast("array<int>")
-    return let(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), lambda hashes: F.sort_array(
-        F.transform(hashes, lambda h: F.shiftleft(F.get(table, _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))))
+    # no element is null, and saying so lets them be sorted as plain numbers
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.coalesce(F.get(table, _bucket(h)), F.lit(0)).cast("long"), 56)
+                                    .bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _parity(keys: Column) -> Column:
@@ -86,36 +86,41 @@ def _sketch(keys: Column, half: int) -> Column:
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int]) -> DataFrame:
-    """Each line with a word: its place, class, size, sketches and prefix, rare words first."""
+    """Each line with a word: its place, class, size, sketches, prefix of rare words and ``signs``,
+    which lines of similar sets are likely to share."""
     num, den = threshold
     levels = frequencies(docs, text)
-    rows = docs.select(*_id(doc_id, text), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line", "t"))
-    rows = rows.where(F.length(F.translate("t", BLANKS, "")) > 0)
-    found = let(_rare_first(_words(F.col("t")), levels), lambda keys: F.struct(
-        F.xxhash64(keys).alias("cid"), F.size(keys).alias("n"), _sketch(keys, 0).alias("s0"), _sketch(keys, 1).alias("s1"),
-        F.slice(keys, 1, F.size(keys) - F.floor((num * F.size(keys) + den - 1) / den).cast("int") + 1).alias("prefix")))
-    return rows.withColumn("c", found).select("doc_id", "doc_h", "line", "c.*")
-
-
-def _members(lines: DataFrame, words: DataFrame | None = None) -> DataFrame:
-    """A row for each class and word of its prefix, at the class's first place; of some ``words`` only."""
+    # step by step, not in lambdas: what stands in no lambda is compiled
+    rows = docs.select(*_id(doc_id, text), F.split(F.col(text), "\n", -1).alias("ts"))
+    rows = rows.select("doc_id", "doc_h", F.posexplode("ts").alias("line", "t")).where(F.col("t").rlike(f"[^{BLANKS}]"))
+    rows = rows.select("doc_id", "doc_h", "line", F.sort_array(F.array_distinct(
+        F.transform(_words(F.col("t")), lambda w: F.xxhash64(w)))).alias("h"))
+    size = F.size("h")
+    rows = rows.select("doc_id", "doc_h", "line", "h", _rare_first(F.col("h"), levels).alias("keys"),
+                       F.round(3 * F.log(size)).cast("int").alias("about"))
+    prefix = F.slice("keys", 1, size - F.floor((num * size + den - 1) / den).cast("int") + 1)
+    return rows.select(
+        "doc_id", "doc_h", "line", F.xxhash64("h").alias("cid"), size.alias("n"),
+        _sketch(F.col("keys"), 0).alias("s0"), _sketch(F.col("keys"), 1).alias("s1"),
+        F.transform(prefix, lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix"),
+        F.array(F.xxhash64(F.slice("h", 1, 2), "about"),
+                F.xxhash64(F.slice("h", F.greatest(size - 1, F.lit(1)), 2), "about", F.lit(1))).alias("signs"))
+
+
+def _classes(lines: DataFrame) -> DataFrame:
+    """A row for each class, at its first place."""
     classes = lines.groupBy("cid").agg(
         F.min(F.struct("doc_id", "line")).alias("at"),
-        *[F.min(c).alias(c) for c in ("n", "s0", "s1", "prefix")])  # the same in all rows of a class
-    rows = classes.select("cid", "at.doc_id", "at.line", "n", "s0", "s1", F.posexplode("prefix").alias("i", "word"))
-    # one shuffle for all that meets by word; no column is null, and saying so keeps it one
-    some = " AND ".join(f"{c} IS NOT NULL" for c in ("word", "cid", "line", "n", "s0", "s1"))
-    rows = rows.where(some)
-    return (rows if words is None else rows.join(words, "word", "left_semi")).repartition("word")
+        *[F.min(c).alias(c) for c in ("n", "s0", "s1", "prefix", "signs")])  # the same in all rows of a class
+    return classes.select("cid", "at.doc_id", "at.line", "n", "s0", "s1", "prefix", "signs")
 
 
 def _filters(a: dict[str, Column], b: dict[str, Column], threshold: tuple[int, int]) -> tuple[Column, Column, Column]:
-    """(pair may match by size and position, differing sketch bits, words that may differ)."""
+    """(pair may match by size, differing sketch bits, words that may differ)."""
     num, den = threshold
     both = a["n"] + b["n"]
     shared = F.floor((num * both + (num + den) - 1) / (num + den))
-    may = (den * F.least(a["n"], b["n"]) >= num * F.greatest(a["n"], b["n"])) & (
-        F.least(a["n"] - a["i"], b["n"] - b["i"]) >= shared)
+    may = den * F.least(a["n"], b["n"]) >= num * F.greatest(a["n"], b["n"])
     folded = F.bit_count(a["s0"].bitwiseXOR(a["s1"]).bitwiseXOR(b["s0"].bitwiseXOR(b["s1"])))
     wide = F.bit_count(a["s0"].bitwiseXOR(b["s0"])) + F.bit_count(a["s1"].bitwiseXOR(b["s1"]))
     return may, F.when(F.least(a["n"], b["n"]) >= WIDE, wide).otherwise(folded), both - 2 * shared
@@ -125,26 +130,35 @@ def _columns(names: str, prefix: str = "") -> dict[str, Column]:
     return {c: F.col(prefix + c) for c in names.split()}
 
 
-def _join(late: DataFrame, early: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (late, early) of classes that may match."""
-    early = early.select(*[F.col(c).alias(f"e_{c}") for c in ("word", "cid", "doc_id", "line", "n", "i", "s0", "s1")])
-    may, differ, allowed = _filters(_columns("n i s0 s1"), _columns("n i s0 s1", "e_"), threshold)
+def likely(classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (late, early), one for each class at most: the likeliest match among a few earlier
+    classes that share a sign with it."""
+    rows = classes.select(F.explode("signs").alias("sign"), "cid", "doc_id", "line", "n", "s0", "s1")
+    order = W.partitionBy("sign").orderBy("doc_id", "line", "cid")
+    one = F.struct("cid", "n", "s0", "s1")
+    others = {"f": F.first(one).over(order)} | {f"l{k}": F.lag(one, k).over(order) for k in (1, 2, 3)}
+    rows, found = rows.withColumns(others), []
+    for name in others:
+        may, differ, allowed = _filters(_columns("n s0 s1"), _columns("n s0 s1", f"{name}."), threshold)
+        fits = may & (differ <= allowed) & (F.col("cid") != F.col(f"{name}.cid"))
+        found.append(F.when(fits, F.struct(differ.alias("differ"), F.col(f"{name}.cid").alias("early"))))
+    rows = rows.select(F.col("cid").alias("late"), F.least(*found).alias("best")).where("best IS NOT NULL")
+    return rows.groupBy("late").agg(F.min("best").alias("best")).select("late", "best.early")
+
+
+def candidates(classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (late, early) that may match, of all classes that are not ``gone`` with all earlier ones."""
+    rows = classes.select(F.explode("prefix").alias("word"), "cid", "doc_id", "line", "n", "s0", "s1", "gone")
+    # one shuffle for all that meets by word; no column is null, and saying so keeps it one
+    some = " AND ".join(f"{c} IS NOT NULL" for c in ("word", "cid", "line", "n", "s0", "s1", "gone"))
+    rows = rows.where(some).repartition("word")
+    early = rows.select(*[F.col(c).alias(f"e_{c}") for c in ("word", "cid", "doc_id", "line", "n", "s0", "s1")])
+    may, differ, allowed = _filters(_columns("n s0 s1"), _columns("n s0 s1", "e_"), threshold)
     before = F.struct("e_doc_id", "e_line", "e_cid") < F.struct("doc_id", "line", "cid")
-    return late.join(early, (F.col("word") == F.col("e_word")) & before & may & (differ <= allowed)).select(
-        F.col("cid").alias("late"), F.col("e_cid").alias("early"))
-
-
-def candidates(members: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (late, early, close); ``close`` ones stand for all pairs of the late line at a word."""
-    order = W.partitionBy("word").orderBy("doc_id", "line", "cid")
-    first = F.first(F.struct("cid", "n", "i", "s0", "s1")).over(order)
-    rows = members.withColumn("f", first)
-    may, differ, allowed = _filters(_columns("n i s0 s1"), _columns("n i s0 s1", "f."), threshold)
-    narrow = F.when(F.least("n", "f.n") >= WIDE, 24).otherwise(12)
-    rows = rows.withColumn("close", may & (differ <= F.least(F.floor(allowed / 3), narrow))).where("cid != f.cid")
-    close = rows.where("close").select(F.col("cid").alias("late"), F.col("f.cid").alias("early"), F.lit(True).alias("close"))
-    rest = _join(rows.where("NOT close").drop("f", "close"), members, threshold).withColumn("close", F.lit(False))
-    return close.union(rest).groupBy("late", "early").agg(F.max("close").alias("close"))
+    # the flag is asked with the other side's columns: alone it would be moved in front of the shuffle
+    open_ = differ <= F.when(F.col("gone"), -1).otherwise(allowed)
+    return rows.join(early, (F.col("word") == F.col("e_word")) & open_ & may & before).select(
+        F.col("cid").alias("late"), F.col("e_cid").alias("early")).distinct()
 
 
 def _few(need: DataFrame) -> bool:
@@ -153,26 +167,31 @@ def _few(need: DataFrame) -> bool:
     return rows <= SMALL and entries <= ENTRIES
 
 
-def _sets(docs: DataFrame, doc_id: str, text: str, lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``cid`` and ``words`` of the wanted classes, read from the texts again."""
+def _places(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """For each document that is looked at again, ``need``: classes and the lines they stand in."""
     places = lookup_join(lines.select("cid", "doc_id", "doc_h", "line"), wanted, ["cid"], "inner").groupBy("cid").agg(
         F.min(F.struct("doc_id", "doc_h", "line")).alias("at"))
-    need = settle(places.groupBy(F.struct(F.col("at.doc_id"), F.col("at.doc_h")).alias("doc")).agg(
-        F.collect_list(F.struct("cid", "at.line")).alias("need")))  # no more than the document has lines
-    rows = docs.select(F.struct(*_id(doc_id, text)).alias("_doc"), F.split(F.col(text), "\n", -1).alias("t"))
+    return places.groupBy(F.struct(F.col("at.doc_id"), F.col("at.doc_h")).alias("doc")).agg(
+        F.collect_list(F.struct("cid", "at.line")).alias("need"))  # no more than the document has lines
+
+
+def _sets(docs: DataFrame, doc_id: str, text: str, need: DataFrame) -> DataFrame:
+    """``cid`` and ``words`` of the needed classes, read from the texts again."""
+    rows = docs.select(F.struct(*_id(doc_id, text)).alias("_doc"), F.col(text).alias("_text"))
     need = F.broadcast(need) if _few(need) else need
-    found = rows.join(need, F.col("_doc") == F.col("doc")).select(F.explode(F.transform(
+    found = rows.join(need, F.col("_doc") == F.col("doc")).select("need", F.split("_text", "\n", -1).alias("t"))
+    found = found.select(F.explode(F.transform(
         "need", lambda x: F.struct(x["cid"].alias("cid"), F.get("t", x["line"]).alias("t")))).alias("x"))
     return found.groupBy("x.cid").agg(F.min("x.t").alias("t")).select("cid", F.array_distinct(_words(F.col("t"))).alias("words"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs with ``match``: whether the similarity reaches the threshold."""
+    """The pairs whose similarity reaches the threshold."""
     num, den = threshold
     late = lookup_join(pairs, sets.select(F.col("cid").alias("late"), F.col("words").alias("a")), ["late"], "inner")
     both = lookup_join(late, sets.select(F.col("cid").alias("early"), F.col("words").alias("b")), ["early"], "inner")
     shared = F.size(F.array_intersect("a", "b"))
-    return both.select("late", "early", "close", (den * shared >= num * (F.size("a") + F.size("b") - shared)).alias("match"))
+    return both.where(den * shared >= num * (F.size("a") + F.size("b") - shared)).select("late", "early")
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -185,24 +204,26 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     same places, and no line is earlier than another at its own place.
     """
     lines = settle(lines_of(docs, doc_id, text, threshold))
-    members = _members(lines)
+    classes = settle(_classes(lines))
 
-    def check(pairs: DataFrame) -> DataFrame:
+    def matched(pairs: DataFrame) -> DataFrame:
+        """The late classes of pairs that match."""
         pairs = settle(pairs)
         wanted = pairs.select(F.col("late").alias("cid")).union(pairs.select(F.col("early").alias("cid"))).distinct()
-        return settle(verified(pairs, _sets(docs, doc_id, text, lines, wanted), threshold))
-
-    found = check(candidates(members, threshold))
-    gone = found.where("match").select(F.col("late").alias("cid")).distinct()
-    unsure = settle(found.where("close AND NOT match").select(F.col("late").alias("cid")).distinct().join(gone, "cid", "left_anti"))
-    if not unsure.isEmpty():
-        own = settle(lines.join(F.broadcast(unsure) if unsure.count() <= SMALL else unsure, "cid", "left_semi")
-                     .select(F.explode("prefix").alias("word")).distinct())
-        some = _members(lines, F.broadcast(own) if own.count() <= SMALL else own)  # others cannot meet them
-        again = check(_join(lookup_join(some, unsure, ["cid"], "left_semi"), some, threshold)
-                      .distinct().withColumn("close", F.lit(False)))
-        gone = gone.union(again.where("match").select(F.col("late").alias("cid")).distinct())
-    gone = gone.withColumn("gone", F.lit(True))
+        need = settle(_places(lines, wanted))
+        found = settle(verified(pairs, _sets(docs, doc_id, text, need), threshold).select(
+            F.col("late").alias("cid"), F.lit(True).alias("gone")).distinct())
+        release(pairs)
+        release(need)
+        return found
+
+    at_once = matched(likely(classes, threshold))
+    if at_once.count() <= SMALL:
+        left = classes.join(F.broadcast(at_once), "cid", "left")
+    else:
+        left = lookup_join(classes, at_once, ["cid"])
+    gone = at_once.union(matched(candidates(left.withColumn("gone", F.coalesce("gone", F.lit(False))), threshold)))
+    release(classes)
     first = lines.groupBy("cid").agg(F.min(F.struct("doc_id", "line")).alias("first"))
     marked = lookup_join(lines.select("cid", "doc_id", "doc_h", "line"), lookup_join(first, gone, ["cid"]), ["cid"])
     later = F.col("first") < F.struct("doc_id", "line")
