@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +142,39 @@ def test_pairs_of_a_group_do_not_grow_with_its_square(spark, monkeypatch):
     frame = spark.createDataFrame(docs, SCHEMA)
     assert _got(frame, docs) == _want(docs)
     assert 0 < sum(checked) < 4 * len(docs)
+
+
+def _classes_of(spark, docs) -> tuple:
+    rows = lines.lines_of(spark.createDataFrame(docs, SCHEMA), "doc_id", "text", lines.THRESHOLD)
+    return rows, lines.settle(lines._classes(rows).withColumn("gone", F.lit(False)))
+
+
+def test_lines_that_share_words_by_chance_are_no_candidates(spark):
+    """Long lines of one small vocabulary: all share rare words, only two match, and they meet by one shuffle."""
+    pick = random.Random(13)
+    words = [f"w{i}" for i in range(1500)]
+    docs = [(i, " ".join(pick.sample(words, 88))) for i in range(700)]
+    docs.append((700, docs[0][1] + " more"))
+    rows, classes = _classes_of(spark, docs)
+    found = lines.candidates(classes, lines.THRESHOLD)
+    assert 0 < len(found.collect()) < 5  # of 245350 pairs
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]
+    # the table of rarity is no large part of the plan, which the driver holds as text several times
+    assert len(rows._jdf.queryExecution().toString()) < 2_000_000
+
+
+def test_shuffle_files_of_finished_steps_go(spark):
+    def files() -> set:
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "shuffle_" in f}
+
+    before = files()
+    settled = lines.settle(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    own = files() - before
+    assert own and settled.count() == 7  # another job: Spark's scheduler may still hold the last one
+    lines.tidy(spark)
+    until = time.time() + 20
+    while own & files() and time.time() < until:
+        time.sleep(0.2)
+    assert not own & files()

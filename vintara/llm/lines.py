@@ -3,17 +3,20 @@
 A line is the set of its words. Two lines match if their Jaccard similarity reaches the threshold;
 the later one, by document id and line number, is removed. The words of every line are ordered by
 rarity, so that two lines can only match if they share a word among the first few of each (prefix
-filter) and if they are of similar size (length filter); a parity sketch of the set bounds the words in which two lines differ. What
-passes is verified on the words themselves.
+filter) and if they are of similar size (length filter). At the first word they share, all words before
+it are words in which they differ (positional filter), and a parity sketch of the words from there on
+bounds how many more there are. What passes is verified on the words themselves.
 
 Lines of equal sets meet once, as a class. A line is removed by any one earlier line, so each is first
 compared with a few likely ones: those that share its smallest or its largest word hashes, the first
 of them and the last three before it. Only classes for which none of these matches look for all
 others. So a group of similar lines does not give all its pairs, and none is lost.
 
-All of it is DataFrame expressions. The driver gets one thing, a byte for each of ``BUCKETS`` buckets
-that tells how many words fall into it, by which rarity is ordered: a frequent word is never taken
-for a rare one. Words meet by 64-bit hashes, sets by 64-bit hashes of those.
+All of it is DataFrame expressions. The driver gets one thing, for each of ``BUCKETS`` buckets how
+far the words in it exceed an even share, by which rarity is ordered: a frequent word is never taken
+for a rare one. Words of buckets with no more than a share are ordered by length, the longest first.
+Any order gives the same result. Words meet by 60 bits of hash and their length, sets by 64-bit
+hashes of those.
 """
 
 from __future__ import annotations
@@ -26,13 +29,15 @@ from pyspark.sql import Window as W
 
 from vintara.llm.common import BLANKS, let, packed, unpacked
 from vintara.operators.joins import lookup_join
-from vintara.session import release, settle
+from vintara.session import release, settle, tidy
 
 #: Similarity of at least this fraction.
 THRESHOLD = (4, 5)
-BUCKETS = 1 << 20
+BUCKETS = 1 << 16
 #: Words from which a line's sketch has 128 bits, not 64.
-WIDE = 96
+WIDE = 64
+#: Words of the prefix that are left out of the sketch of the words from a later one on.
+AHEAD = 64
 #: Rows up to which documents to look at again are sent to the tasks instead of shuffling texts.
 SMALL = 200_000
 #: The same for the lines to look at in them.
@@ -48,41 +53,47 @@ def _id(doc_id: str, text: str) -> list[Column]:
     return [F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("doc_h")]
 
 
-def frequencies(docs: DataFrame, text: str) -> bytes:
-    """Logarithm of the number of words in each bucket, over all texts: a printable byte each."""
-    words = docs.select(F.explode(F.split(F.col(text), _BLANK, -1)).alias("w"))
-    counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).count()
-    every = docs.sparkSession.range(BUCKETS).join(counts, F.col("id") == F.col("b"), "left")
-    level = F.least(F.lit(94), F.floor(3 * F.log2(1 + F.coalesce("count", F.lit(0)))))
-    pieces = every.groupBy((F.col("id") / 4096).cast("int").alias("p")).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", F.char(32 + level).alias("c")))), lambda x: x["c"]), "")
-        .alias("s")).collect()
-    return "".join(r.s for r in sorted(pieces)).encode("ascii")
+def _hashed(word: Column) -> Column:
+    """60 bits of hash, then how much the word is shorter than 15 characters."""
+    return F.xxhash64(word).bitwiseAND(F.lit(-16)).bitwiseOR(15 - F.least(F.length(word), F.lit(15)))
 
 
 def _bucket(h: Column) -> Column:
-    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+    return F.shiftright(h, 4).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def _rare_first(hashes: Column, levels: bytes) -> Column:
+def frequencies(docs: DataFrame, text: str) -> list[int]:
+    """For each bucket, how often its number of words over all texts doubles an even share."""
+    words = docs.select(F.explode(F.split(F.col(text), _BLANK, -1)).alias("w")).where("w != ''")
+    counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).count().collect()
+    share = sum(r["count"] for r in counts) / BUCKETS
+    levels = [0] * BUCKETS
+    for r in counts:
+        levels[r.b] = max(0, min(31, int(2 * math.log2(r["count"] / share))))
+    return levels
+
+
+def _rare_first(hashes: Column, levels: list[int]) -> Column:
     """Hashes of different words as numbers that ascend from rare to frequent."""
     # folded to a literal array once; an element of it is found at once, unlike a map's
-    table = F.split(F.lit(",".join(str(b) for b in levels)), ",").cast("array<int>")
+    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<int>")
     # no element is null, and saying so lets them be sorted as plain numbers
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.coalesce(F.get(table, _bucket(h)), F.lit(0)).cast("long"), 56)
-                                    .bitwiseOR(F.shiftrightunsigned(h, 8))))
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.coalesce(F.get(table, _bucket(h)), F.lit(0)).cast("long"), 58)
+                                    .bitwiseOR(F.shiftleft(h.bitwiseAND(F.lit(15)), 54)).bitwiseOR(F.shiftrightunsigned(h, 10))))
 
 
-def _parity(keys: Column) -> Column:
-    """Parity of the keys over 64 places."""
-    return F.aggregate(keys, F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+def _parity(keys: Column, half: Column | None = None) -> Column:
+    """Parity of the keys over 64 places; of those in a half of 128 only, where one is given."""
+    def place(k: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
+        return one if half is None else F.when(k.bitwiseAND(F.lit(64)) == half, one).otherwise(F.lit(0).cast("long"))
+
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(place(k)))
 
 
 def _sketch(keys: Column, half: int) -> Column:
-    """Parity of the keys over 128 places, halved; over 64 in the first half where lines are short."""
-    mine = _parity(F.filter(keys, lambda k: k.bitwiseAND(F.lit(64)) == 64 * half))
-    return F.when(F.size(keys) >= WIDE, mine).otherwise(_parity(keys) if half == 0 else F.lit(0).cast("long"))
+    """Parity of keys of a line of ``n`` over 128 places, halved; over 64 in the first half where lines are short."""
+    return F.when(F.col("n") >= WIDE, _parity(keys, F.lit(64 * half))).otherwise(_parity(keys) if half == 0 else F.lit(0).cast("long"))
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int]) -> DataFrame:
@@ -94,13 +105,13 @@ def lines_of(docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int]
     rows = docs.select(*_id(doc_id, text), F.split(F.col(text), "\n", -1).alias("ts"))
     rows = rows.select("doc_id", "doc_h", F.posexplode("ts").alias("line", "t")).where(F.col("t").rlike(f"[^{BLANKS}]"))
     rows = rows.select("doc_id", "doc_h", "line", F.sort_array(F.array_distinct(
-        F.transform(_words(F.col("t")), lambda w: F.xxhash64(w)))).alias("h"))
+        F.transform(_words(F.col("t")), _hashed))).alias("h"))
     size = F.size("h")
-    rows = rows.select("doc_id", "doc_h", "line", "h", _rare_first(F.col("h"), levels).alias("keys"),
+    rows = rows.select("doc_id", "doc_h", "line", "h", size.alias("n"), _rare_first(F.col("h"), levels).alias("keys"),
                        F.round(3 * F.log(size)).cast("int").alias("about"))
     prefix = F.slice("keys", 1, size - F.floor((num * size + den - 1) / den).cast("int") + 1)
     return rows.select(
-        "doc_id", "doc_h", "line", F.xxhash64("h").alias("cid"), size.alias("n"),
+        "doc_id", "doc_h", "line", F.xxhash64("h").alias("cid"), "n",
         _sketch(F.col("keys"), 0).alias("s0"), _sketch(F.col("keys"), 1).alias("s1"),
         F.transform(prefix, lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix"),
         F.array(F.xxhash64(F.slice("h", 1, 2), "about"),
@@ -146,19 +157,43 @@ def likely(classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     return rows.groupBy("late").agg(F.min("best").alias("best")).select("late", "best.early")
 
 
+def _starts(classes: DataFrame) -> DataFrame:
+    """A row for each word of a prefix, with its position and the sketch of the words from there on
+    (of some before it too, where more than ``AHEAD`` are before it)."""
+    def start(word: Column, i: Column) -> Column:
+        ahead = F.slice("prefix", F.lit(1), F.least(i, F.lit(AHEAD)))
+        return F.struct(word.alias("word"), i.alias("i"), *[
+            F.col(s).bitwiseXOR(_sketch(ahead, half)).alias(s) for half, s in enumerate(("s0", "s1"))])
+
+    # small numbers side by side: rows are shuffled with fewer columns, and compress better
+    rows = classes.select("cid", "doc_id", "line", "n", "gone", F.inline(F.transform("prefix", start)))
+    return rows.select("word", "cid", "doc_id", F.shiftleft(F.col("line").cast("long"), 1).bitwiseOR(F.col("gone").cast("long")).alias("line"),
+                       F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("n"), "s0", "s1")
+
+
+def _opened(prefix: str = "") -> dict[str, Column]:
+    """The numbers that ``_starts`` has packed."""
+    line, n = F.col(f"{prefix}line"), F.col(f"{prefix}n")
+    return {"n": F.shiftright(n, 32), "i": n.bitwiseAND(F.lit((1 << 32) - 1)), "gone": line.bitwiseAND(F.lit(1)),
+            "line": F.shiftright(line, 1)} | _columns("cid doc_id s0 s1", prefix)
+
+
 def candidates(classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs (late, early) that may match, of all classes that are not ``gone`` with all earlier ones."""
-    rows = classes.select(F.explode("prefix").alias("word"), "cid", "doc_id", "line", "n", "s0", "s1", "gone")
-    # one shuffle for all that meets by word; no column is null, and saying so keeps it one
-    some = " AND ".join(f"{c} IS NOT NULL" for c in ("word", "cid", "line", "n", "s0", "s1", "gone"))
-    rows = rows.where(some).repartition("word")
-    early = rows.select(*[F.col(c).alias(f"e_{c}") for c in ("word", "cid", "doc_id", "line", "n", "s0", "s1")])
-    may, differ, allowed = _filters(_columns("n s0 s1"), _columns("n s0 s1", "e_"), threshold)
-    before = F.struct("e_doc_id", "e_line", "e_cid") < F.struct("doc_id", "line", "cid")
+    # one shuffle for all that meets by word: both sides use all columns; none is null, and saying so keeps it one
+    rows = _starts(classes)
+    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in rows.columns if c != "doc_id")).repartition("word")
+    a, b = _opened(), _opened("e_")
+    may, differ, allowed = _filters(a, b, threshold)
+    before = F.struct(b["doc_id"], b["line"], b["cid"]) < F.struct(a["doc_id"], a["line"], a["cid"])
+    # at the first word that a pair shares, no word ahead is shared
+    near = a["i"] + b["i"] <= allowed
+    close = differ + F.least(a["i"], F.lit(AHEAD)) + F.least(b["i"], F.lit(AHEAD)) <= allowed
     # the flag is asked with the other side's columns: alone it would be moved in front of the shuffle
-    open_ = differ <= F.when(F.col("gone"), -1).otherwise(allowed)
-    return rows.join(early, (F.col("word") == F.col("e_word")) & open_ & may & before).select(
-        F.col("cid").alias("late"), F.col("e_cid").alias("early")).distinct()
+    open_ = F.when(a["gone"] == 1, F.lit(-1)).otherwise(b["n"]) >= 0
+    early = rows.select(*[F.col(c).alias(f"e_{c}") for c in rows.columns])
+    return rows.join(early, (F.col("word") == F.col("e_word")) & open_ & near & may & close & before).select(
+        a["cid"].alias("late"), b["cid"].alias("early")).distinct()
 
 
 def _few(need: DataFrame) -> bool:
@@ -203,18 +238,25 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Places are ordered by id, null first, and number; rows that repeat id and text stand at the
     same places, and no line is earlier than another at its own place.
     """
-    lines = settle(lines_of(docs, doc_id, text, threshold))
-    classes = settle(_classes(lines))
+    spark = docs.sparkSession
+    tidy(spark)
+    whole = settle(lines_of(docs, doc_id, text, threshold))
+    classes = settle(_classes(whole))
+    lines = settle(whole.select("cid", "doc_id", "doc_h", "line"))
+    release(whole)
+    tidy(spark)
 
     def matched(pairs: DataFrame) -> DataFrame:
         """The late classes of pairs that match."""
         pairs = settle(pairs)
         wanted = pairs.select(F.col("late").alias("cid")).union(pairs.select(F.col("early").alias("cid"))).distinct()
         need = settle(_places(lines, wanted))
+        tidy(spark)  # the shuffle that gave the pairs
         found = settle(verified(pairs, _sets(docs, doc_id, text, need), threshold).select(
             F.col("late").alias("cid"), F.lit(True).alias("gone")).distinct())
         release(pairs)
         release(need)
+        tidy(spark)
         return found
 
     at_once = matched(likely(classes, threshold))
@@ -249,9 +291,10 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     gone = removed_lines(docs, doc_id, text, threshold).where(F.size("removed") > 0)
     gone = gone.select(F.struct("doc_id", "doc_h").alias("_k"), "removed", (F.size("removed") == F.col("n_lines")).alias("_all"))
-    rows = lookup_join(docs.select(packed(docs), F.struct(*_id(doc_id, text)).alias("_k"), F.col(text).alias("_text")),
+    rows = lookup_join(docs.select(packed(docs), F.struct(*_id(doc_id, text)).alias("_k")),
                        gone.withColumnRenamed("removed", "_removed"), ["_k"])
-    left = let(F.split("_text", "\n", -1), lambda t: F.array_join(F.transform(
+    whole = F.col("_row")[text]
+    left = let(F.split(whole, "\n", -1), lambda t: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(t) - 1), F.col("_removed")), lambda i: F.get(t, i)), "\n"))
     rows = rows.where(~F.coalesce("_all", F.lit(False)))
-    return unpacked(rows, docs, {text: F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(left)})
+    return unpacked(rows, docs, {text: F.when(F.col("_removed").isNull(), whole).otherwise(left)})

@@ -77,3 +77,9 @@ def release(df: DataFrame) -> None:
     """Delete the table of a frame that ``settle`` gave and that nothing reads any more."""
     system, at = _file_system(df.sparkSession, df._settled_at)
     system.delete(at, True)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let the shuffle files of finished jobs go now: Spark deletes them once the driver's JVM has
+    collected their plans, which it puts off while its heap has room. Those of the last job may stay."""
+    spark._jvm.java.lang.System.gc()
