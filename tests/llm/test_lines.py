@@ -178,3 +178,55 @@ def test_shuffle_files_of_finished_steps_go(spark):
     while own & files() and time.time() < until:
         time.sleep(0.2)
     assert not own & files()
+
+
+@pytest.mark.parametrize("threshold", [(4, 5), (2, 3), (9, 10), (1, 2), (3, 3)])
+def test_equals_brute_force_at_other_thresholds(spark, threshold):
+    docs = _varied(21, 20, 6, 14) + [(900, "a b c d\na b c d e\na b c\nf\nf g"), (901, "b a\ne d c b a\nc b\ng f")]
+    frame = spark.createDataFrame(docs, SCHEMA)
+    by = {r.h: (r.doc_id, r.text) for r in frame.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    got = {by[r.doc_h]: r.removed for r in lines.removed_lines(frame, threshold=threshold).collect()}
+    assert got == _want(docs, *threshold)
+
+
+@pytest.mark.parametrize("threshold", [(4, 5), (2, 3), (9, 10), (1, 2), (3, 5)])
+def test_lines_that_match_meet_by_their_first_words(spark, threshold):
+    """However the words in which two lines differ lie among those they share."""
+    num, den = threshold
+    first = {r.n: r.f for r in spark.range(1, 60).select(F.col("id").cast("int").alias("n")).select(
+        "n", lines._first_words(F.col("n"), threshold).alias("f")).collect()}
+    step, pick = lines._together(threshold), random.Random(3)
+    assert step == (2 if threshold in ((4, 5), (9, 10)) else 1)
+
+    def signs(words: list) -> set:
+        words = words[:first[len(words)]]
+        return {tuple(words[i:i + step]) for i in range(len(words) - step + 1)}
+
+    for n in range(1, 48):
+        for m in range(n, min(n * den // num, 58) + 1):
+            shared = -(-num * (n + m) // (num + den))
+            if shared > n or n + m == 2 * shared:
+                continue
+            odd = ["a"] * (n - shared) + ["b"] * (m - shared)
+            for trial in range(30):
+                pick.shuffle(odd)
+                if trial % 2:  # as many as can be part shared words from the beginning on
+                    order = [x for pair in zip(["s"] * len(odd), odd) for x in pair][:2 * shared] + odd[shared:] + ["s"] * (shared - len(odd))
+                else:
+                    order = ["s"] * shared + odd
+                    pick.shuffle(order)
+                words = [f"{kind}{i}" for i, kind in enumerate(order)]
+                assert signs([w for w in words if w[0] != "b"]) & signs([w for w in words if w[0] != "a"]), order
+
+
+def test_words_that_recur_bring_few_lines_together(spark):
+    """Each word stands in many lines, hardly two of them alike: what meets, and is sorted, stays small."""
+    pick = random.Random(17)
+    words = [f"w{i}" for i in range(400)]
+    docs = [(i, " ".join(pick.sample(words, 12))) for i in range(2000)]
+    docs.append((2000, docs[0][1] + " more"))
+    _, classes = _classes_of(spark, docs)
+    met = lines.meeting(classes, lines.THRESHOLD)
+    alike = {r.id for r in classes.where("doc_id in (0, 2000)").collect()}
+    assert len(alike) == 2 and alike <= {r.id for r in met.collect()}
+    assert met.count() < 2500  # of 10005 rows: of single words, all would have company

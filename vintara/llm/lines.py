@@ -2,26 +2,29 @@
 
 A line is the set of its words. Two lines match if their Jaccard similarity reaches the threshold;
 the later one, by document id and line number, is removed. The words of every line are ordered by
-rarity, so that two lines can only match if they share a word among the first few of each (prefix
-filter) and if they are of similar size (length filter). At the first word they share, all words before
-it are words in which they differ (positional filter), and a parity sketch of the words from there on
-bounds how many more there are. What passes is verified on the words themselves.
+rarity. Two lines that match differ in few words, so that somewhere early in that order two words
+follow each other in both lines: each word in which they differ parts one such pair at most. Lines
+meet by pairs of words that follow each other, as many from the beginning as it takes (at thresholds
+too low for that, by single words). Most pairs of words have one class of lines only: they are summed
+up and go without a sort. What meets must be of similar size (length filter), a parity sketch of the
+words bounds how many differ, and what passes is verified on the words themselves.
 
 Lines of equal sets meet once, as a class. A line is removed by any one earlier line, so each is first
 compared with a few likely ones: those that share its smallest or its largest word hashes, the first
-of them and the last three before it. Only classes for which none of these matches look for all
+of them and the last few before it. Only classes for which none of these matches look for all
 others. So a group of similar lines does not give all its pairs, and none is lost.
 
 All of it is DataFrame expressions. The driver gets one thing, for each of ``BUCKETS`` buckets how
 far the words in it exceed an even share, by which rarity is ordered: a frequent word is never taken
-for a rare one. Words of buckets with no more than a share are ordered by length, the longest first.
-Any order gives the same result. Words meet by 60 bits of hash and their length, sets by 64-bit
-hashes of those.
+for a rare one.
+Any order gives the same result. Words meet by 58 bits of hash, sets by 64-bit hashes of those.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +39,8 @@ THRESHOLD = (4, 5)
 BUCKETS = 1 << 16
 #: Words from which a line's sketch has 128 bits, not 64.
 WIDE = 64
-#: Words of the prefix that are left out of the sketch of the words from a later one on.
-AHEAD = 64
+#: Lines before it that a line is compared with at once, of those with which it shares a sign.
+LAGS = 6
 #: Rows up to which documents to look at again are sent to the tasks instead of shuffling texts.
 SMALL = 200_000
 #: The same for the lines to look at in them.
@@ -46,7 +49,10 @@ _BLANK = r"[\x20\x09-\x0D]+"
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, _BLANK, -1), "")
+    """The words of a text without line breaks."""
+    # split by one character, where that is enough: no pattern is run
+    odd = [F.contains(line, F.lit(c)) for c in "\x09\x0b\x0c\x0d"]
+    return F.array_remove(F.when(reduce(or_, odd), F.split(line, _BLANK, -1)).otherwise(F.split(line, " ", -1)), "")
 
 
 def _id(doc_id: str, text: str) -> list[Column]:
@@ -54,18 +60,18 @@ def _id(doc_id: str, text: str) -> list[Column]:
 
 
 def _hashed(word: Column) -> Column:
-    """60 bits of hash, then how much the word is shorter than 15 characters."""
-    return F.xxhash64(word).bitwiseAND(F.lit(-16)).bitwiseOR(15 - F.least(F.length(word), F.lit(15)))
+    """58 bits of hash."""
+    return F.shiftrightunsigned(F.xxhash64(word), 6)
 
 
 def _bucket(h: Column) -> Column:
-    return F.shiftright(h, 4).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def frequencies(docs: DataFrame, text: str) -> list[int]:
     """For each bucket, how often its number of words over all texts doubles an even share."""
-    words = docs.select(F.explode(F.split(F.col(text), _BLANK, -1)).alias("w")).where("w != ''")
-    counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).count().collect()
+    texts = docs.select(F.replace(F.col(text), F.lit("\n"), F.lit(" ")).alias("t"))
+    counts = texts.select(F.explode(_words(F.col("t"))).alias("w")).groupBy(_bucket(_hashed(F.col("w"))).alias("b")).count().collect()
     share = sum(r["count"] for r in counts) / BUCKETS
     levels = [0] * BUCKETS
     for r in counts:
@@ -76,65 +82,106 @@ def frequencies(docs: DataFrame, text: str) -> list[int]:
 def _rare_first(hashes: Column, levels: list[int]) -> Column:
     """Hashes of different words as numbers that ascend from rare to frequent."""
     # folded to a literal array once; an element of it is found at once, unlike a map's
-    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<int>")
+    table = F.split(F.lit(",".join(str(x << 58) if x else "0" for x in levels)), ",").cast("array<long>")
     # no element is null, and saying so lets them be sorted as plain numbers
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.coalesce(F.get(table, _bucket(h)), F.lit(0)).cast("long"), 58)
-                                    .bitwiseOR(F.shiftleft(h.bitwiseAND(F.lit(15)), 54)).bitwiseOR(F.shiftrightunsigned(h, 10))))
+    return F.sort_array(F.transform(hashes, lambda h: h.bitwiseOR(F.coalesce(F.get(table, _bucket(h)), F.lit(0).cast("long")))))
 
 
-def _parity(keys: Column, half: Column | None = None) -> Column:
-    """Parity of the keys over 64 places; of those in a half of 128 only, where one is given."""
+def _parity(keys: Column, half: bool = False) -> Column:
+    """Parity of the keys over 64 places; for a half, of those only that have a bit set."""
     def place(k: Column) -> Column:
         one = F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
-        return one if half is None else F.when(k.bitwiseAND(F.lit(64)) == half, one).otherwise(F.lit(0).cast("long"))
+        return one * F.shiftright(k, 6).bitwiseAND(F.lit(1)) if half else one
 
     return F.aggregate(keys, F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(place(k)))
 
 
 def _sketch(keys: Column, half: int) -> Column:
-    """Parity of keys of a line of ``n`` over 128 places, halved; over 64 in the first half where lines are short."""
-    return F.when(F.col("n") >= WIDE, _parity(keys, F.lit(64 * half))).otherwise(_parity(keys) if half == 0 else F.lit(0).cast("long"))
+    """Parity of the keys of a line of ``n`` over 64 places; where lines are long, also of half of them."""
+    return _parity(keys) if half == 0 else F.when(F.col("n") >= WIDE, _parity(keys, True)).otherwise(F.lit(0).cast("long"))
+
+
+def _together(threshold: tuple[int, int]) -> int:
+    """Words that follow each other in any two lines that match and differ: 2, or 1 at low thresholds.
+
+    Of ``s`` words in all, two lines share at least ``h`` and differ in ``s - 2 * h`` at most. The shared
+    ones follow each other ``h - 1`` times, of which each word they differ in parts one at most.
+    """
+    num, den = threshold
+    if 2 * num <= den:
+        return 1
+    for s in range(2, 2 * (num + den) // (2 * num - den) + 2):  # for more words it holds by the slope
+        h = -(-num * s // (num + den))
+        if s - 2 * h >= 1 and 3 * h < s + 2:
+            return 1
+    return 2
+
+
+def _first_words(n: Column, threshold: tuple[int, int]) -> Column:
+    """How many of the first words of a line of ``n`` have to meet those of others.
+
+    With ``m`` words in the other line and ``h`` shared at least, ``n - h`` own words differ at most, and
+    ``n + m - 2 * h`` in all. A single shared word is found among the first ``n - h + 1``. Two that follow
+    each other are the ``g``-th and next shared; before them ``g - 1`` words differ or more, so ``g`` is at
+    most 1 more than all that differ, and their places at most that and ``n - h`` more. Both are largest
+    for the least ``m``.
+    """
+    num, den = threshold
+    least, most = F.ceil(num * n / den), F.floor(den * n / num)
+    alike = n - F.ceil(num * 2 * n / (num + den))  # words that one of two lines of this size may have alone
+    if _together(threshold) == 1:
+        words = n - least + 1
+    else:
+        words = 2 * n + least + 2 - F.ceil(3 * num * (n + least) / (num + den))
+    return F.when((least < n) | (most > n) | (alike >= 1), words).otherwise(0).cast("int")
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str, threshold: tuple[int, int]) -> DataFrame:
     """Each line with a word: its place, class, size, sketches, prefix of rare words and ``signs``,
-    which lines of similar sets are likely to share."""
-    num, den = threshold
+    which lines of similar sets are likely to share; and how many such lines the document has."""
     levels = frequencies(docs, text)
     # step by step, not in lambdas: what stands in no lambda is compiled
-    rows = docs.select(*_id(doc_id, text), F.split(F.col(text), "\n", -1).alias("ts"))
-    rows = rows.select("doc_id", "doc_h", F.posexplode("ts").alias("line", "t")).where(F.col("t").rlike(f"[^{BLANKS}]"))
-    rows = rows.select("doc_id", "doc_h", "line", F.sort_array(F.array_distinct(
+    # and what is selected with an explosion is computed for each of its rows
+    rows = docs.select(*_id(doc_id, text), F.regexp_count(text, F.lit(f"[^{BLANKS}][^\n]*")).alias("n_lines"),
+                       F.split(F.col(text), "\n", -1).alias("ts"))
+    rows = rows.select("doc_id", "doc_h", "n_lines", F.posexplode("ts").alias("line", "t")).where(F.col("t").rlike(f"[^{BLANKS}]"))
+    rows = rows.select("doc_id", "doc_h", "n_lines", "line", F.sort_array(F.array_distinct(
         F.transform(_words(F.col("t")), _hashed))).alias("h"))
     size = F.size("h")
-    rows = rows.select("doc_id", "doc_h", "line", "h", size.alias("n"), _rare_first(F.col("h"), levels).alias("keys"),
+    rows = rows.select("doc_id", "doc_h", "n_lines", "line", "h", size.alias("n"), _rare_first(F.col("h"), levels).alias("keys"),
                        F.round(3 * F.log(size)).cast("int").alias("about"))
-    prefix = F.slice("keys", 1, size - F.floor((num * size + den - 1) / den).cast("int") + 1)
+    prefix = F.slice("keys", 1, _first_words(F.col("n"), threshold))
     return rows.select(
-        "doc_id", "doc_h", "line", F.xxhash64("h").alias("cid"), "n",
+        "doc_id", "doc_h", "n_lines", "line", F.xxhash64("h").alias("cid"), "n",
         _sketch(F.col("keys"), 0).alias("s0"), _sketch(F.col("keys"), 1).alias("s1"),
-        F.transform(prefix, lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix"),
+        F.transform(prefix, lambda k: k.bitwiseAND(F.lit((1 << 24) - 1)).cast("int")).alias("prefix"),
         F.array(F.xxhash64(F.slice("h", 1, 2), "about"),
                 F.xxhash64(F.slice("h", F.greatest(size - 1, F.lit(1)), 2), "about", F.lit(1))).alias("signs"))
 
 
 def _classes(lines: DataFrame) -> DataFrame:
-    """A row for each class, at its first place."""
+    """A row for each class, at its first place; ``more`` if it may have others."""
     classes = lines.groupBy("cid").agg(
-        F.min(F.struct("doc_id", "line")).alias("at"),
+        F.min(F.struct("doc_id", "line", "doc_h")).alias("at"), (F.count("*") > 1).alias("more"),
         *[F.min(c).alias(c) for c in ("n", "s0", "s1", "prefix", "signs")])  # the same in all rows of a class
-    return classes.select("cid", "at.doc_id", "at.line", "n", "s0", "s1", "prefix", "signs")
+    # a small number that stands for the class where many rows hold it; settled, it stays
+    return classes.select("cid", F.monotonically_increasing_id().alias("id"), "at.doc_id", "at.doc_h", "at.line", "more", "n", "s0", "s1", "prefix", "signs")
+
+
+def _sizes(least: Column, most: Column, threshold: tuple[int, int]) -> tuple[Column, Column]:
+    """(lines of these sizes may match, words that may differ)."""
+    num, den = threshold
+    shared = F.floor((num * (least + most) + (num + den) - 1) / (num + den))
+    return den * least >= num * most, least + most - 2 * shared
 
 
 def _filters(a: dict[str, Column], b: dict[str, Column], threshold: tuple[int, int]) -> tuple[Column, Column, Column]:
     """(pair may match by size, differing sketch bits, words that may differ)."""
-    num, den = threshold
-    both = a["n"] + b["n"]
-    shared = F.floor((num * both + (num + den) - 1) / (num + den))
-    may = den * F.least(a["n"], b["n"]) >= num * F.greatest(a["n"], b["n"])
-    folded = F.bit_count(a["s0"].bitwiseXOR(a["s1"]).bitwiseXOR(b["s0"].bitwiseXOR(b["s1"])))
-    wide = F.bit_count(a["s0"].bitwiseXOR(b["s0"])) + F.bit_count(a["s1"].bitwiseXOR(b["s1"]))
-    return may, F.when(F.least(a["n"], b["n"]) >= WIDE, wide).otherwise(folded), both - 2 * shared
+    least = F.least(a["n"], b["n"])
+    may, allowed = _sizes(least, F.greatest(a["n"], b["n"]), threshold)
+    whole, half = a["s0"].bitwiseXOR(b["s0"]), a["s1"].bitwiseXOR(b["s1"])
+    wide = F.bit_count(whole.bitwiseXOR(half)) + F.bit_count(half)
+    return may, F.when(least >= WIDE, wide).otherwise(F.bit_count(whole)), allowed
 
 
 def _columns(names: str, prefix: str = "") -> dict[str, Column]:
@@ -147,7 +194,7 @@ def likely(classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     rows = classes.select(F.explode("signs").alias("sign"), "cid", "doc_id", "line", "n", "s0", "s1")
     order = W.partitionBy("sign").orderBy("doc_id", "line", "cid")
     one = F.struct("cid", "n", "s0", "s1")
-    others = {"f": F.first(one).over(order)} | {f"l{k}": F.lag(one, k).over(order) for k in (1, 2, 3)}
+    others = {"f": F.first(one).over(order)} | {f"l{k}": F.lag(one, k).over(order) for k in range(1, LAGS + 1)}
     rows, found = rows.withColumns(others), []
     for name in others:
         may, differ, allowed = _filters(_columns("n s0 s1"), _columns("n s0 s1", f"{name}."), threshold)
@@ -157,42 +204,50 @@ def likely(classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     return rows.groupBy("late").agg(F.min("best").alias("best")).select("late", "best.early")
 
 
-def _starts(classes: DataFrame) -> DataFrame:
-    """A row for each word of a prefix, with its position and the sketch of the words from there on
-    (of some before it too, where more than ``AHEAD`` are before it)."""
-    def start(word: Column, i: Column) -> Column:
-        ahead = F.slice("prefix", F.lit(1), F.least(i, F.lit(AHEAD)))
-        return F.struct(word.alias("word"), i.alias("i"), *[
-            F.col(s).bitwiseXOR(_sketch(ahead, half)).alias(s) for half, s in enumerate(("s0", "s1"))])
-
-    # small numbers side by side: rows are shuffled with fewer columns, and compress better
-    rows = classes.select("cid", "doc_id", "line", "n", "gone", F.inline(F.transform("prefix", start)))
-    return rows.select("word", "cid", "doc_id", F.shiftleft(F.col("line").cast("long"), 1).bitwiseOR(F.col("gone").cast("long")).alias("line"),
-                       F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("n"), "s0", "s1")
-
-
-def _opened(prefix: str = "") -> dict[str, Column]:
-    """The numbers that ``_starts`` has packed."""
-    line, n = F.col(f"{prefix}line"), F.col(f"{prefix}n")
-    return {"n": F.shiftright(n, 32), "i": n.bitwiseAND(F.lit((1 << 32) - 1)), "gone": line.bitwiseAND(F.lit(1)),
-            "line": F.shiftright(line, 1)} | _columns("cid doc_id s0 s1", prefix)
-
-
-def candidates(classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+_LOW = (1 << 32) - 1
+
+
+def meeting(classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Classes by ``sign``, words of their prefix that follow each other: for signs that several have, not
+    all of them ``gone``. ``n`` holds the flag too, ``mark`` the word ahead (0 at the beginning) and half a sketch."""
+    ahead = F.when(F.col("i") > 0, F.get("prefix", F.col("i") - 1).cast("long") + 1).otherwise(F.lit(0).cast("long"))
+    fold = F.col("s0").bitwiseXOR(F.shiftrightunsigned("s0", 32)).bitwiseAND(F.lit(_LOW))
+    sign = F.col("word").cast("long")
+    rows = classes.select("id", "n", "gone", "s0", "prefix", F.posexplode("prefix").alias("i", "word"))
+    if _together(threshold) == 2:
+        rows = rows.where(F.col("i") < F.size("prefix") - 1)
+        sign = F.shiftleft(sign, 24).bitwiseOR(F.get("prefix", F.col("i") + 1).cast("long"))
+    none = F.lit(0).cast("long")
+    # one shuffle for both sides: both use all columns; none is null, and saying so keeps it one
+    rows = rows.select(F.coalesce(sign, none).alias("sign"), "id", F.shiftleft(F.col("n").cast("long"), 1).bitwiseOR(F.col("gone").cast("long")).alias("n"),
+                       F.coalesce(F.shiftleft(ahead, 32).bitwiseOR(fold), none).alias("mark")).repartition("sign")
+    size = F.shiftright("n", 1)
+    groups = rows.groupBy("sign").agg(F.count("*").alias("rows"), F.bit_xor("id").alias("ids"), F.sum(size).alias("both"), F.max(size).alias("most"),
+                                      F.min(F.col("n").bitwiseAND(F.lit(1))).alias("gone"), F.bit_xor("mark").alias("marks"))
+    # the sums over two tell in how many places their sketches differ
+    may, allowed = _sizes(F.col("both") - F.col("most"), F.col("most"), threshold)
+    pair = (F.col("ids") != 0) & may & (F.bit_count(F.col("marks").bitwiseAND(F.lit(_LOW))) <= allowed)
+    several = groups.where((F.col("gone") == 0) & ((F.col("rows") > 2) | ((F.col("rows") == 2) & pair)))
+    # the few signs are looked up by hash: the many rows need no sort
+    several = several.select(F.col("sign").alias("_sign")).hint("shuffle_hash")
+    return rows.join(several, F.col("sign") == F.col("_sign")).drop("_sign")
+
+
+def candidates(classes: DataFrame, threshold: tuple[int, int], met: DataFrame | None = None) -> DataFrame:
     """Pairs (late, early) that may match, of all classes that are not ``gone`` with all earlier ones."""
-    # one shuffle for all that meets by word: both sides use all columns; none is null, and saying so keeps it one
-    rows = _starts(classes)
-    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in rows.columns if c != "doc_id")).repartition("word")
-    a, b = _opened(), _opened("e_")
+    met = meeting(classes, threshold) if met is None else met
+    rows = lookup_join(met, classes.select("id", "cid", "doc_id", "line", "s0", "s1"), ["id"], "inner").drop("id")
+    # one shuffle again
+    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in rows.columns if c != "doc_id")).repartition("sign")
+    early = rows.select(*[F.col(c).alias(f"e_{c}") for c in rows.columns])
+    a, b = ({"n": F.shiftright(f"{e}n", 1), "ahead": F.shiftrightunsigned(f"{e}mark", 32)} | _columns("cid doc_id line s0 s1", e) for e in ("", "e_"))
     may, differ, allowed = _filters(a, b, threshold)
     before = F.struct(b["doc_id"], b["line"], b["cid"]) < F.struct(a["doc_id"], a["line"], a["cid"])
-    # at the first word that a pair shares, no word ahead is shared
-    near = a["i"] + b["i"] <= allowed
-    close = differ + F.least(a["i"], F.lit(AHEAD)) + F.least(b["i"], F.lit(AHEAD)) <= allowed
+    # two that have the word ahead in common as well have met by it
+    first = (a["ahead"] == 0) | (a["ahead"] != b["ahead"])
     # the flag is asked with the other side's columns: alone it would be moved in front of the shuffle
-    open_ = F.when(a["gone"] == 1, F.lit(-1)).otherwise(b["n"]) >= 0
-    early = rows.select(*[F.col(c).alias(f"e_{c}") for c in rows.columns])
-    return rows.join(early, (F.col("word") == F.col("e_word")) & open_ & near & may & close & before).select(
+    open_ = F.when(F.col("n").bitwiseAND(F.lit(1)) == 1, F.lit(-1)).otherwise(b["n"]) >= 0
+    return rows.join(early, (F.col("sign") == F.col("e_sign")) & open_ & first & may & (differ <= allowed) & before).select(
         a["cid"].alias("late"), b["cid"].alias("early")).distinct()
 
 
@@ -202,12 +257,11 @@ def _few(need: DataFrame) -> bool:
     return rows <= SMALL and entries <= ENTRIES
 
 
-def _places(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+def _places(classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """For each document that is looked at again, ``need``: classes and the lines they stand in."""
-    places = lookup_join(lines.select("cid", "doc_id", "doc_h", "line"), wanted, ["cid"], "inner").groupBy("cid").agg(
-        F.min(F.struct("doc_id", "doc_h", "line")).alias("at"))
-    return places.groupBy(F.struct(F.col("at.doc_id"), F.col("at.doc_h")).alias("doc")).agg(
-        F.collect_list(F.struct("cid", "at.line")).alias("need"))  # no more than the document has lines
+    places = lookup_join(classes.select("cid", "doc_id", "doc_h", "line"), wanted, ["cid"], "inner")
+    return places.groupBy(F.struct("doc_id", "doc_h").alias("doc")).agg(
+        F.collect_list(F.struct("cid", "line")).alias("need"))  # no more than the document has lines
 
 
 def _sets(docs: DataFrame, doc_id: str, text: str, need: DataFrame) -> DataFrame:
@@ -242,7 +296,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tidy(spark)
     whole = settle(lines_of(docs, doc_id, text, threshold))
     classes = settle(_classes(whole))
-    lines = settle(whole.select("cid", "doc_id", "doc_h", "line"))
+    lines = settle(whole.select("cid", "doc_id", "doc_h", "n_lines", "line"))
     release(whole)
     tidy(spark)
 
@@ -250,7 +304,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         """The late classes of pairs that match."""
         pairs = settle(pairs)
         wanted = pairs.select(F.col("late").alias("cid")).union(pairs.select(F.col("early").alias("cid"))).distinct()
-        need = settle(_places(lines, wanted))
+        need = settle(_places(classes, wanted))
         tidy(spark)  # the shuffle that gave the pairs
         found = settle(verified(pairs, _sets(docs, doc_id, text, need), threshold).select(
             F.col("late").alias("cid"), F.lit(True).alias("gone")).distinct())
@@ -260,18 +314,28 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return found
 
     at_once = matched(likely(classes, threshold))
-    if at_once.count() <= SMALL:
+    few = at_once.count() <= SMALL
+    tidy(spark)  # after another job: the shuffles of the last one
+    if few:
         left = classes.join(F.broadcast(at_once), "cid", "left")
     else:
         left = lookup_join(classes, at_once, ["cid"])
-    gone = at_once.union(matched(candidates(left.withColumn("gone", F.coalesce("gone", F.lit(False))), threshold)))
+    left = left.withColumn("gone", F.coalesce("gone", F.lit(False)))
+    met = settle(meeting(left, threshold))
+    met.count()  # another job again, for the shuffle of all signs
+    tidy(spark)
+    gone = at_once.union(matched(candidates(left, threshold, met)))
+    release(met)
+    # only classes that are gone or stand in several lines have lines to remove
+    some = lookup_join(classes.select("cid", F.struct("doc_id", "line").alias("first"), "more"), gone, ["cid"])
+    some = settle(some.where("gone OR more").select("cid", "first", F.coalesce("gone", F.lit(False)).alias("gone")))
     release(classes)
-    first = lines.groupBy("cid").agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    marked = lookup_join(lines.select("cid", "doc_id", "doc_h", "line"), lookup_join(first, gone, ["cid"]), ["cid"])
-    later = F.col("first") < F.struct("doc_id", "line")
-    return marked.withColumn("out", F.coalesce("gone", F.lit(False)) | later).groupBy("doc_id", "doc_h").agg(
-        F.countDistinct("line").alias("n_lines"),
-        F.sort_array(F.collect_set(F.when(F.col("out"), F.col("line")))).alias("removed"))
+    marked = lookup_join(lines.select("cid", "doc_id", "doc_h", "line"), some, ["cid"], "inner")
+    removed = marked.where(F.col("gone") | (F.col("first") < F.struct("doc_id", "line"))).groupBy("doc_id", "doc_h").agg(
+        F.sort_array(F.collect_set("line")).alias("removed"))
+    every = lines.groupBy("doc_id", "doc_h").agg(F.max("n_lines").cast("long").alias("n_lines"))
+    return lookup_join(every, removed, ["doc_id", "doc_h"]).select(
+        "doc_id", "doc_h", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def removed_by_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
